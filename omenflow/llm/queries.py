@@ -5,6 +5,7 @@ from __future__ import annotations
 from .archive import OP4_SQL, op4_warc_archive
 from .decontamination import OP9_SQL, op9_minhash_containment
 from .extraction import op10_html_consensus
+from .jaccard import op8_divide_skip_join
 from .sharding import op3_vector_shards
 from .tokenizer import op7_byte_bpe
 from .url_filter import op2_url_ratio
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_vector_shards": op3_vector_shards,
     "op4_warc_archive": op4_warc_archive,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_divide_skip_join": op8_divide_skip_join,
     "op9_minhash_containment": op9_minhash_containment,
     "op10_html_consensus": op10_html_consensus,
 }

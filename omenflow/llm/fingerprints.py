@@ -77,16 +77,6 @@ def larger(a: str, b: str, attempt: int) -> str:
     return let("z", each, total)
 
 
-def likeness(a: str, b: str, first_a: str, first_b: str) -> str:
-    """The share of paragraphs that two versions have in common, from the difference of their sketches."""
-    one_by_one = f"named_struct('ok', true, 'a', size(array_except({a}, {b})), 'b', size(array_except({b}, {a})))"
-    found = one_by_one
-    for attempt in reversed(range(RETRIES)):
-        found = let(f"f{attempt}", larger(a, b, attempt), f"if(f{attempt}.ok, f{attempt}, {found})")
-    found = let("f", peel(subtract(first_a, first_b)), f"if(f.ok, f, {found})")
-    return let("d", found, f"if(size({a}) + d.b = 0, 1.0D, double(size({a}) - d.a) / (size({a}) + d.b))")
-
-
 def text_of(first: str, digests: str) -> str:
     """A sketch as a string."""
     return f"concat(string(size({digests})), '/', array_join(transform({first}, x -> concat(string(x.n), '.', lower(hex(x.k)), '.', lower(hex(x.h)))), '/'))"
@@ -135,17 +125,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def compare_versions(pairs: DataFrame, *others: str) -> DataFrame:
     """Adds ``fingerprint``, and for each other text column ``<name>_fingerprint`` and ``<name>_likeness``, to ``pairs`` (with ``text``).
 
-    Each step is kept apart from the next by an array of one row that is taken out again, so that no step is done twice.
+    The likeness is the share of paragraphs that two versions have in common.  Each step is a projection of its own,
+    whose columns the next ones read more than once, so that Spark does none of them twice.
     """
-    names = ["text", *others]
-    sets = ", ".join(f"'p{i}', {paragraphs(name)}" for i, name in enumerate(names))
-    firsts = ", ".join(f"'c{i}', {cells(f'o.p{i}')}" for i in range(len(names)))
-    outs = [f"'fingerprint', {text_of('k.c0', 'o.p0')}"]
-    for i, name in enumerate(others, 1):
-        outs.append(f"'{name}_fingerprint', {text_of(f'k.c{i}', f'o.p{i}')}, '{name}_likeness', {likeness('o.p0', f'o.p{i}', 'k.c0', f'k.c{i}')}")
-    whole = let("o", f"named_struct({sets})", let("k", f"named_struct({firsts})", f"named_struct({', '.join(outs)})"))
-    found = pairs.select("*", F.explode(F.array(F.expr(whole))).alias("found"))
-    return found.select(*pairs.columns, "found.*")
+    numbered = dict(enumerate(["text", *others]))
+    keep = [F.col(c) for c in pairs.columns]
+    rows = pairs.select(*keep, *(F.expr(paragraphs(name)).alias(f"_p{i}") for i, name in numbered.items()))
+    rows = rows.select("*", *(F.expr(cells(f"_p{i}")).alias(f"_c{i}") for i in numbered))
+    rows = rows.select("*", *(F.expr(peel(subtract("_c0", f"_c{i}"))).alias(f"_d{i}") for i in numbered if i))
+    for attempt in range(RETRIES):
+        found = (F.expr(f"if(_d{i}.ok, _d{i}, {larger('_p0', f'_p{i}', attempt)})").alias(f"_d{i}") for i in numbered if i)
+        rows = rows.select(*keep, *(f"_{x}{i}" for i in numbered for x in "pc"), *found)
+    outs = [F.expr(text_of("_c0", "_p0")).alias("fingerprint")]
+    for i, name in numbered.items():
+        if i:
+            only = f"if(_d{i}.ok, _d{i}, named_struct('ok', true, 'a', size(array_except(_p0, _p{i})), 'b', size(array_except(_p{i}, _p0))))"
+            share = f"if(size(_p0) + {only}.b = 0, 1.0D, double(size(_p0) - {only}.a) / (size(_p0) + {only}.b))"
+            outs += [F.expr(text_of(f"_c{i}", f"_p{i}")).alias(f"{name}_fingerprint"), F.expr(share).alias(f"{name}_likeness")]
+    return rows.select(*keep, *outs)
 
 
 def op6_paragraph_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,14 +197,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> tuple[Mode
     return train(windows[even], labels[even], languages, steps=steps), languages
 
 
-def predict(docs: DataFrame, model: Model | None, languages: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+def predict(docs: DataFrame, model: Model | None, languages: list[str], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``doc_id, lang_pred, score`` of every row; with ``keep``, those columns of the input and ``lang_pred, score``."""
+    held = docs.sparkSession.sparkContext.broadcast(model)  # some kilobytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in text_chunks(whole, "text", 1 << 22):
-                text = b.column(1)
+            for b in text_chunks(whole, "_text", 1 << 22):
+                text = b.column(b.num_columns - 1)
                 letter = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
                 if held.value is None:
                     names, score = [UNKNOWN] * len(b), np.zeros(len(b))
@@ -213,16 +213,18 @@ def predict(docs: DataFrame, model: Model | None, languages: list[str], id_col:
                     best = p.argmax(axis=1)
                     names = [languages[k] if x else UNKNOWN for k, x in zip(best.tolist(), letter.tolist(), strict=True)]
                     score = np.where(letter, p.max(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(names, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names[:-1], "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
+    kept = [F.col(c) for c in keep if c not in ("lang_pred", "score")] if keep else [F.col(id_col).alias("doc_id")]
+    rows = docs.select(*kept, F.col(text_col).alias("_text"))
+    schema = rows.drop("_text").select("*", F.lit("").cast("string").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    return rows.mapInArrow(run, schema)
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Learn from the rows whose fold isn't 0 and predict every row."""
     model, languages = fit(docs.where(fold(F.col("doc_id")) != 0).select("doc_id", "text", "lang"))
-    return predict(docs, model, languages)
+    return predict(docs, model, languages, keep=keep)
 
 
 def op5_byte_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,15 +5,21 @@ from __future__ import annotations
 from .archive import OP4_SQL, op4_warc_archive
 from .decontamination import OP9_SQL, op9_minhash_containment
 from .extraction import op10_html_consensus
+from .fingerprints import op6_paragraph_iblt
 from .jaccard import op8_divide_skip_join
+from .language_id import op5_byte_bigru
+from .lm_scoring import op1_deleted_interpolation
 from .sharding import op3_vector_shards
 from .tokenizer import op7_byte_bpe
 from .url_filter import op2_url_ratio
 
 QUERIES = {
+    "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_url_ratio": op2_url_ratio,
     "op3_vector_shards": op3_vector_shards,
     "op4_warc_archive": op4_warc_archive,
+    "op5_byte_bigru": op5_byte_bigru,
+    "op6_paragraph_iblt": op6_paragraph_iblt,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_divide_skip_join": op8_divide_skip_join,
     "op9_minhash_containment": op9_minhash_containment,

@@ -43,7 +43,7 @@ def pack(vectors: np.ndarray, n_shards: int, order: np.ndarray | None = None) ->
     return out
 
 
-def shard(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16, per_shard: int = 256, share: float = 1 / 256) -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16, per_shard: int = 256, share: float = 1 / 8) -> DataFrame:
     """Adds ``size, text_crc32, shard, slot`` to the id column."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -50,6 +52,19 @@ def fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
+def give_back() -> None:
+    """Return memory that a worker no longer uses to the system: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+@functools.cache
+def _libc():
+    return ctypes.CDLL(None)
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal keys, joined across batch borders; the input is sorted by the keys."""
     held: list[pa.RecordBatch] = []
@@ -70,6 +85,8 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         held.append(batch.slice(begin))
     if held:
         yield pa.Table.from_batches(held)
+    held.clear()
+    give_back()
 
 
 def per_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
@@ -97,6 +114,7 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.R
         end = max(begin + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(begin, end - begin)
         begin = end
+    give_back()
 
 
 def env_path(name: str, default: str) -> str:

@@ -33,9 +33,9 @@ from .common import fold, groups, per_group, stored, table, text_chunks
 ORDER = 2
 #: The fold that is scored without being learned from, and the training fold whose counts are held out for the weights.
 UNSEEN, HELD = 1, 2
-BLOCK_TOKENS = 1_200_000
+BLOCK_TOKENS = 700_000
 #: Requests that one bucket has on average, and the least number of buckets.
-BUCKET_KEYS, LEAST_BUCKETS = 1_000_000, 512
+BUCKET_KEYS, LEAST_BUCKETS = 1_000_000, 256
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Histogram of the logarithms of estimates over the uniform one: steps for a factor of two, and the largest logarithm.
 FINE, TOP = 4, 40
@@ -91,7 +91,7 @@ def blocks(docs: DataFrame, limit: int = BLOCK_TOKENS) -> DataFrame:
         id_type = pa.int64()
         for whole in batches:
             id_type = whole.column(0).type
-            for b in text_chunks(whole, "text", 1 << 22):
+            for b in text_chunks(whole, "text", 1 << 20):
                 hashes, counts = words(*utf8(b.column(2)))
                 ends = np.cumsum(counts)
                 # One end after each row's words.

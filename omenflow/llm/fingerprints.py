@@ -1,12 +1,12 @@
 """Document fingerprints by invertible Bloom lookup sketches.  DataFrame functions only.
 
-A text is cut into paragraphs: lines, and within a line sentences, so that texts of one line can be compared too.  The
-distinct 64-bit digests of its paragraphs go into a sketch of ``3 * CELLS`` cells; a digest goes into one cell of each
+A text is cut into paragraphs: lines, and in texts of under ``SHORT`` characters sentences, so that short texts of a
+few lines can be compared too.  The distinct 64-bit digests of its paragraphs go into a sketch of ``3 * CELLS`` cells; a digest goes into one cell of each
 of the three parts.  A cell has the number of its digests, their exclusive or, and that of their checks.  Two versions'
 sketches are subtracted cell by cell, which leaves the digests that differ; peeling recovers these: a cell that holds a
 single digest (its check fits) gives it away, it is taken out of its other cells, and so on until all cells are empty.
-If some are left, both texts are sketched again larger, as ``2 ** k`` such tables among which digests are dealt, with
-about ``LOAD`` digests a table, then four times as many, and so on (``RETRIES`` times; after that digests are compared
+If some are left, both texts are sketched again larger, as several such tables among which digests are dealt, with about
+``LOAD`` digests a table, then four times as many, and so on (``RETRIES`` times; after that digests are compared
 one by one).  The likeness of two versions is the share of their paragraphs that both have.
 
 The fingerprint is the first sketch, as text.  The next document in descending order of ids is found without a global
@@ -29,9 +29,12 @@ from .common import table
 CELLS = 16
 LOAD = 18
 RETRIES = 4
-ROUNDS = 16
+ROUNDS = 12
 RANGES = 1024
-CUT = r"[.!?]+\\s+|\\s*\\n\\s*"
+#: Texts of fewer characters are cut at the ends of sentences too.
+SHORT = 2000
+LINE = r"\\s*\\n\\s*"
+SENTENCE = r"[.!?]+\\s+|\\s*\\n\\s*"
 CHECK = "(xxhash64({k}, 1) & 4294967295)"
 ZERO = "named_struct('n', 0L, 'k', 0L, 'h', 0L)"
 
@@ -43,14 +46,21 @@ def let(name: str, value: str, body: str) -> str:
 
 def paragraphs(text: str) -> str:
     """Distinct digests of the paragraphs of a text."""
-    return f"array_distinct(transform(filter(split({text}, '{CUT}'), x -> x <> ''), x -> xxhash64(x)))"
+    cut = f"if(length({text}) < {SHORT}, split({text}, '{SENTENCE}'), split({text}, '{LINE}'))"
+    return f"array_distinct(transform(filter({cut}, x -> x <> ''), x -> xxhash64(x)))"
 
 
 def cells(digests: str) -> str:
-    """The cells of one table."""
+    """The cells of one table; each part's digests are dealt over fours of cells first, then over cells."""
     step = f"(a, p) -> named_struct('n', a.n + 1L, 'k', a.k ^ p, 'h', a.h ^ {CHECK.format(k='p')})"
-    one = f"aggregate(filter({digests}, p -> (shiftrightunsigned(p, 8 * j) & {CELLS - 1}) = i), {ZERO}, {step})"
-    return f"flatten(transform(sequence(0L, 2L), j0 -> {let('j', 'int(j0)', f'transform(sequence(0L, {CELLS - 1}L), i -> {one})')}))"
+    side = int(CELLS**0.5)
+    one = f"aggregate(filter(fours, p -> (shiftrightunsigned(p, {{at}}) & {side - 1}) = i), {ZERO}, {step})"
+    inner = f"transform(sequence(0L, {side - 1}L), i -> {one})"
+    parts = []
+    for j in range(3):
+        each = let("fours", f"filter({digests}, p -> (shiftrightunsigned(p, {8 * j + 2}) & {side - 1}) = v)", inner.format(at=8 * j))
+        parts.append(f"flatten(transform(sequence(0L, {side - 1}L), v -> {each}))")
+    return f"concat({', '.join(parts)})"
 
 
 def subtract(a: str, b: str) -> str:
@@ -68,9 +78,9 @@ def peel(difference: str) -> str:
 
 
 def larger(a: str, b: str, attempt: int) -> str:
-    """The same from two sets of digests, over ``2 ** k`` tables."""
-    tables = f"int(pow(2, ceil(log2(greatest(1.0D, (size({a}) + size({b})) / double({LOAD}))))) * {4**attempt})"
-    part = lambda x: f"filter({x}, p -> (shiftrightunsigned(p, 44) & (g - 1)) = v)"
+    """The same from two sets of digests, over several tables."""
+    tables = f"int(ceil((1 + size({a}) + size({b})) / double({LOAD}))) * {4**attempt}"
+    part = lambda x: f"filter({x}, p -> shiftrightunsigned(p, 44) % g = v)"
     both = let("pa", part(a), let("pb", part(b), peel(subtract(cells("pa"), cells("pb")))))
     each = let("g", tables, f"transform(sequence(0, g - 1), v -> {both})")
     total = "aggregate(z, named_struct('ok', true, 'a', 0, 'b', 0), (s, x) -> named_struct('ok', s.ok AND x.ok, 'a', s.a + x.a, 'b', s.b + x.b))"

@@ -1,8 +1,9 @@
 """Document fingerprints by invertible Bloom lookup sketches.  DataFrame functions only.
 
 A text is cut into paragraphs: lines, and in texts of under ``SHORT`` characters sentences, so that short texts of a
-few lines can be compared too.  The distinct 64-bit digests of its paragraphs go into a sketch of ``3 * CELLS`` cells; a digest goes into one cell of each
-of the three parts.  A cell has the number of its digests, their exclusive or, and that of their checks.  Two versions'
+few lines can be compared too.  The distinct 64-bit digests of its paragraphs go into a sketch of ``3 * CELLS`` cells; a
+digest goes into one cell of each of the three parts.  A cell has the number of its digests and their exclusive or; a
+part of a digest's bits checks the others.  Two versions'
 sketches are subtracted cell by cell, which leaves the digests that differ; peeling recovers these: a cell that holds a
 single digest (its check fits) gives it away, it is taken out of its other cells, and so on until all cells are empty.
 If some are left, both texts are sketched again larger, as several such tables among which digests are dealt, with about
@@ -29,14 +30,14 @@ from .common import table
 CELLS = 16
 LOAD = 18
 RETRIES = 4
-ROUNDS = 12
+ROUNDS = 8
 RANGES = 1024
 #: Texts of fewer characters are cut at the ends of sentences too.
-SHORT = 2000
+SHORT = 1000
 LINE = r"\\s*\\n\\s*"
 SENTENCE = r"[.!?]+\\s+|\\s*\\n\\s*"
-CHECK = "(xxhash64({k}, 1) & 4294967295)"
-ZERO = "named_struct('n', 0L, 'k', 0L, 'h', 0L)"
+#: A digest has 43 bits of the paragraph's hash, 20 bits that check these, and a last bit that is 0 (a sign, while peeling).
+CHECKS = "(xxhash64({k} & -2097152L, 1) & 2097150L)"
 
 
 def let(name: str, value: str, body: str) -> str:
@@ -47,40 +48,53 @@ def let(name: str, value: str, body: str) -> str:
 def paragraphs(text: str) -> str:
     """Distinct digests of the paragraphs of a text."""
     cut = f"if(length({text}) < {SHORT}, split({text}, '{SENTENCE}'), split({text}, '{LINE}'))"
-    return f"array_distinct(transform(filter({cut}, x -> x <> ''), x -> xxhash64(x)))"
+    hashes = f"transform(filter({cut}, x -> x <> ''), x -> xxhash64(x))"
+    return f"array_distinct(transform({hashes}, h -> (h & -2097152L) | {CHECKS.format(k='h')}))"
+
+
+def place(key: str, part: str) -> str:
+    """A digest's cell in a part; its bits above the check's."""
+    return f"(shiftrightunsigned({key}, 21 + 4 * {part}) & {CELLS - 1})"
 
 
 def cells(digests: str) -> str:
-    """The cells of one table; each part's digests are dealt over fours of cells first, then over cells."""
-    step = f"(a, p) -> named_struct('n', a.n + 1L, 'k', a.k ^ p, 'h', a.h ^ {CHECK.format(k='p')})"
+    """The cells of one table: ``n``, how many digests each has, and ``k``, their exclusive or.
+
+    Each part's digests are dealt over groups of cells first, then over the cells of a group.
+    """
     side = int(CELLS**0.5)
-    one = f"aggregate(filter(fours, p -> (shiftrightunsigned(p, {{at}}) & {side - 1}) = i), {ZERO}, {step})"
-    inner = f"transform(sequence(0L, {side - 1}L), i -> {one})"
-    parts = []
+    parts: dict[str, list[str]] = {"n": [], "k": []}
     for j in range(3):
-        each = let("fours", f"filter({digests}, p -> (shiftrightunsigned(p, {8 * j + 2}) & {side - 1}) = v)", inner.format(at=8 * j))
-        parts.append(f"flatten(transform(sequence(0L, {side - 1}L), v -> {each}))")
-    return f"concat({', '.join(parts)})"
+        for name, form in (("n", "size({})"), ("k", "aggregate({}, 0L, (a, p) -> a ^ p)")):
+            inner = f"transform(sequence(0L, {side - 1}L), i -> {form.format(f'filter(few, p -> ({place("p", str(j))} & {side - 1}) = i)')})"
+            each = let("few", f"filter({digests}, p -> (shiftrightunsigned(p, {23 + 4 * j}) & {side - 1}) = v)", inner)
+            parts[name].append(f"flatten(transform(sequence(0L, {side - 1}L), v -> {each}))")
+    return f"named_struct('n', concat({', '.join(parts['n'])}), 'k', concat({', '.join(parts['k'])}))"
 
 
 def subtract(a: str, b: str) -> str:
-    return f"zip_with({a}, {b}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h))"
+    return f"named_struct('n', zip_with({a}.n, {b}.n, (x, y) -> x - y), 'k', zip_with({a}.k, {b}.k, (x, y) -> x ^ y))"
 
 
 def peel(difference: str) -> str:
     """``ok, a, b``: whether all digests were recovered, and how many only the first and only the second version has."""
-    pure = f"array_distinct(transform(filter(s.c, x -> (x.n = 1 OR x.n = -1) AND {CHECK.format(k='x.k')} = x.h), x -> named_struct('n', x.n, 'k', x.k)))"
-    inside = f"(shiftrightunsigned(q.k, 8 * int(i div {CELLS})) & {CELLS - 1}) = i % {CELLS}"
-    taken = f"transform(s.c, (x, i) -> aggregate(filter(u, q -> {inside}), x, (t, q) -> named_struct('n', t.n - q.n, 'k', t.k ^ q.k, 'h', t.h ^ {CHECK.format(k='q.k')})))"
-    after = f"named_struct('c', {taken}, 'a', s.a + size(filter(u, q -> q.n > 0)), 'b', s.b + size(filter(u, q -> q.n < 0)))"
-    loop = f"aggregate(sequence(1, {ROUNDS}), named_struct('c', {difference}, 'a', 0, 'b', 0), (s, r) -> {let('u', pure, f'if(size(u) = 0, s, {after})')})"
-    return let("e", loop, "named_struct('ok', forall(e.c, x -> x.n = 0 AND x.k = 0 AND x.h = 0), 'a', e.a, 'b', e.b)")
+    size = 3 * CELLS
+    alone = f"(s.n[i] = 1 OR s.n[i] = -1) AND {place('s.k[i]', f'(i div {CELLS})')} = i % {CELLS} AND (s.k[i] & 2097151L) = {CHECKS.format(k='s.k[i]')}"
+    found = f"array_distinct(transform(filter(sequence(0, {size - 1}), i -> {alone}), i -> s.k[i] | if(s.n[i] < 0, 1L, 0L)))"
+    touched = "concat(" + ", ".join(f"transform(u, q -> int({place('q', j)}) + {CELLS * j})" for j in range(3)) + ")"
+    mine = f"filter(u, q -> {place('q', f'(i div {CELLS})')} = i % {CELLS})"
+    n = f"transform(s.n, (x, i) -> if(array_contains(w, i), aggregate({mine}, x, (t, q) -> t - 1 + 2 * int(q & 1)), x))"
+    k = f"transform(s.k, (x, i) -> if(array_contains(w, i), aggregate({mine}, x, (t, q) -> t ^ (q & -2L)), x))"
+    after = let("w", touched, f"named_struct('n', {n}, 'k', {k}, 'a', s.a + size(filter(u, q -> q & 1 = 0)), 'b', s.b + size(filter(u, q -> q & 1 = 1)))")
+    start = let("z", difference, "named_struct('n', z.n, 'k', z.k, 'a', 0, 'b', 0)")
+    loop = f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> {let('u', found, f'if(size(u) = 0, s, {after})')})"
+    return let("e", loop, "named_struct('ok', forall(e.n, x -> x = 0) AND forall(e.k, x -> x = 0), 'a', e.a, 'b', e.b)")
 
 
 def larger(a: str, b: str, attempt: int) -> str:
     """The same from two sets of digests, over several tables."""
     tables = f"int(ceil((1 + size({a}) + size({b})) / double({LOAD}))) * {4**attempt}"
-    part = lambda x: f"filter({x}, p -> shiftrightunsigned(p, 44) % g = v)"
+    part = lambda x: f"filter({x}, p -> shiftrightunsigned(p, 34) % g = v)"
     both = let("pa", part(a), let("pb", part(b), peel(subtract(cells("pa"), cells("pb")))))
     each = let("g", tables, f"transform(sequence(0, g - 1), v -> {both})")
     total = "aggregate(z, named_struct('ok', true, 'a', 0, 'b', 0), (s, x) -> named_struct('ok', s.ok AND x.ok, 'a', s.a + x.a, 'b', s.b + x.b))"
@@ -89,7 +103,7 @@ def larger(a: str, b: str, attempt: int) -> str:
 
 def text_of(first: str, digests: str) -> str:
     """A sketch as a string."""
-    return f"concat(string(size({digests})), '/', array_join(transform({first}, x -> concat(string(x.n), '.', lower(hex(x.k)), '.', lower(hex(x.h)))), '/'))"
+    return f"concat(string(size({digests})), '/', array_join(zip_with({first}.n, {first}.k, (n, k) -> concat(string(n), '.', lower(hex(k)))), '/'))"
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:

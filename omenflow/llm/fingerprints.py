@@ -33,7 +33,7 @@ RETRIES = 4
 ROUNDS = 8
 RANGES = 1024
 #: Texts of fewer characters are cut at the ends of sentences too.
-SHORT = 1000
+SHORT = 2000
 LINE = r"\\s*\\n\\s*"
 SENTENCE = r"[.!?]+\\s+|\\s*\\n\\s*"
 #: A digest has 43 bits of the paragraph's hash, 20 bits that check these, and a last bit that is 0 (a sign, while peeling).

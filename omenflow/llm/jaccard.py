@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .arrays import shingle_rows, utf8, words
+from .arrays import pack, shingle_rows, unpack, utf8, words
 from .common import per_group, stored, table, text_chunks
 from .components import components
 
@@ -177,7 +177,7 @@ class Bundle:
 
 
 def _sets(column) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), np.uint64) for x in column]
+    return [unpack(x.as_py()) for x in column]
 
 
 def _found(a: list[int], b: list[int], apart: int) -> pa.RecordBatch:
@@ -232,26 +232,28 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
     leaders = wide.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("leader").alias("cls"), "blocks")
     dealt = dealt.unionByName(leaders)
 
-    # Whole sets of the classes in bundles; a fixed-size filter keeps most others from being moved at all.
-    bit = lambda x: x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
-    wanted = members.select("cls").distinct()
-    filter_bits = spark.sparkContext.broadcast(sketch(wanted, lambda b: [bit(b.column(0).to_numpy(zero_copy_only=False))]) > 0)
-
-    def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        may = filter_bits.value
-        for batch in batches:
-            for _, rows in rows_of(batch, width):
-                cls, sets = [], []
-                for s in rows:
-                    if len(s) and (c := class_of(s)) not in seen and may[int(bit(np.array([c], np.int64))[0] & mask)]:
-                        seen.add(c)
-                        cls.append(c)
-                        sets.append(s.tobytes())
-                if cls:
-                    yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
-
-    sets = stored(docs.mapInArrow(whole_sets, "cls long, shingles binary").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]))
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """``cls, shingles`` of some classes; a fixed-size filter keeps most others from being moved at all."""
+        bit = lambda x: x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
+        bits = spark.sparkContext.broadcast(sketch(wanted, lambda b: [bit(b.column(0).to_numpy(zero_copy_only=False))]) > 0)
+
+        def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
+            may = bits.value
+            for batch in batches:
+                for _, rows in rows_of(batch, width):
+                    cls, sets = [], []
+                    for s in rows:
+                        if len(s) and (c := class_of(s)) not in seen and may[int(bit(np.array([c], np.int64))[0] & mask)]:
+                            seen.add(c)
+                            cls.append(c)
+                            sets.append(pack(s >> np.uint64(8)))
+                    if cls:
+                        yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "shingles"])
+
+        return docs.mapInArrow(whole_sets, "cls long, shingles binary").join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
+
+    sets = sets_of(members.select("cls").distinct())
 
     def search(t: pa.Table) -> Iterator[pa.RecordBatch]:
         names = t["cls"].to_pylist()
@@ -293,7 +295,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
             if a:
                 yield _found(a, b, 0)
 
-        more = per_group(asked.unionByName(index).join(sets, "cls"), ["leader", "block", "chunk"], across, "a long, b long, apart int")
+        in_wide = members.join(wide.select("leader"), "leader", "left_semi").select("cls").distinct()
+        more = per_group(asked.unionByName(index).join(sets_of(in_wide), "cls"), ["leader", "block", "chunk"], across, "a long, b long, apart int")
         edges = edges.unionByName(stored(more).select("a", "b"))
     return rows.select("doc_id", "n_shingles", "cls"), edges
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import STEP, mix, utf8, words
+from .arrays import STEP, mix, pack, planes, unpack, unplanes, utf8, words
 from .common import fold, groups, per_group, stored, table, text_chunks
 
 ORDER = 2
@@ -42,29 +42,6 @@ FINE, TOP = 4, 40
 LEVELS = 24
 
 
-def pack(keys: np.ndarray) -> bytes:
-    """Sorted numbers as differences."""
-    return planes(np.diff(keys, prepend=keys.dtype.type(0)))
-
-
-def planes(x: np.ndarray) -> bytes:
-    """Numbers byte plane by byte plane, compressed."""
-    raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T
-    return len(x).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(raw).tobytes(), "zstd", asbytes=True) if len(x) else b""
-
-
-def unplanes(data: bytes, kind) -> np.ndarray:
-    if not data:
-        return np.zeros(0, kind)
-    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
-    raw = np.frombuffer(pa.decompress(data[8:], n * width, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(raw.reshape(width, n).T).view(kind).ravel()
-
-
-def unpack(data: bytes) -> np.ndarray:
-    return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
-
-
 BLOCK_SCHEMA = "block string, fold int, doc_ids array<{kind}>, lengths binary, vocab binary, tokens binary, n_tokens long"
 
 

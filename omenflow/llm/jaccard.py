@@ -6,6 +6,10 @@ count sketch has seen less often first; two sets with a Jaccard similarity of 0.
 a list, split where neighbouring sizes differ too much to link, make up the bundle of their least class.  So each pair
 that can link is in some bundle, and a bundle holds whole sets: there the search runs.
 
+Before whole sets are moved, a sieve drops what can't link.  Every class has a bitmap of about two bits a shingle that
+holds the parities of its hashed shingles; two bitmaps that differ in ``d`` bits belong to sets whose overlap is
+``(n + m - d) / 2`` at most.  A bundle falls apart into the components of its pairs that this bound allows.
+
 A search inverts the sets of its bundle.  For a query with ``n`` shingles that must meet ``T`` times, the ``L`` longest
 of its lists are put aside, the short ones are heap-merged to find documents that occur ``T - L`` times, and the long
 ones are probed for these by binary search; the count is exact.  First the least class is a query; then each document
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .arrays import pack, shingle_rows, unpack, utf8, words
-from .common import per_group, stored, table, text_chunks
+from .common import groups, per_group, stored, table, text_chunks
 from .components import components
 
 SHARE = 75
@@ -88,6 +92,40 @@ def least_overlap(n: int, share: int) -> int:
     return -(-share * n // 100)
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Parities of hashed shingles: a power of two of 64 bits, twice as many bits as shingles at least."""
+    size = 1 << max(6, int(2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles >> np.uint64(24) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def sieve(sizes: list[int], bitmaps: list[bytes], share: int = SHARE) -> list[int]:
+    """For each set of a bundle the first set (smallest place) of its component of pairs that may link."""
+    top = list(range(len(sizes)))
+
+    def find(i: int) -> int:
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    order = sorted(top, key=lambda i: (len(bitmaps[i]), sizes[i]))
+    n = np.array([sizes[i] for i in order], np.int64)
+    words = [np.frombuffer(bitmaps[i], np.uint64) for i in order]
+    width, rows = 0, np.zeros((0, 0), np.uint64)
+    for at in range(len(order) - 1):
+        if len(words[at]) != width:  # all sets from here on have bitmaps of this width or larger ones, which fold
+            width = len(words[at])
+            rows = np.stack([np.bitwise_xor.reduce(w.reshape(-1, width), axis=0) for w in words[at:]])
+            base = at
+        apart = np.bitwise_count(rows[at - base + 1 :] ^ rows[at - base]).sum(axis=1, dtype=np.int64)
+        most = (n[at] + n[at + 1 :] - apart) // 2
+        for k in np.flatnonzero(100 * most >= share * (n[at] + n[at + 1 :] - most)).tolist():
+            a, b = find(order[at]), find(order[at + 1 + k])
+            top[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sizes))]
+
+
 class Bundle:
     """Inverted lists of some sets, and the components found so far."""
 
@@ -201,20 +239,22 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
         order = counts.value
         for batch in batches:
             for b, rows in rows_of(batch, width):
-                cls, first = [], []
+                cls, first, bits = [], [], []
                 for s in rows:
                     c = class_of(s) if len(s) else None
                     cls.append(c)
                     if c is None or c in seen:  # once a task is enough
                         first.append(None)
+                        bits.append(None)
                         continue
                     seen.add(c)
+                    bits.append(bitmap(s))
                     rare = np.argsort(order[(s & mask).astype(np.int64)], kind="stable")
                     first.append(s[rare[: len(s) - least_overlap(len(s), share) + 1]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in rows], pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "cls", "first"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in rows], pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["doc_id", "n_shingles", "cls", "first", "bits"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    rows = stored(docs.mapInArrow(first_shingles, f"doc_id {kind}, n_shingles long, cls long, first array<long>"))
+    rows = stored(docs.mapInArrow(first_shingles, f"doc_id {kind}, n_shingles long, cls long, first array<long>, bits binary"))
 
     # Lists of at least two classes whose sizes can link, each as a run of neighbouring sizes.
     posted = rows.where("first is not null").select(F.explode("first").alias("s"), "cls", F.col("n_shingles").cast("int").alias("n"))
@@ -225,6 +265,22 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
     listed = runs.select("cls", F.min("cls").over(in_run).alias("leader"), F.max("cls").over(in_run).alias("other"))
     members = stored(listed.where("leader < other").select("leader", "cls").distinct())
 
+    def sieved(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        names = t["cls"].to_pylist()  # sorted
+        of = sieve(t["n"].to_pylist(), t["bits"].to_pylist(), share)
+        more = {k for i, k in enumerate(of) if k != i}
+        keep = [i for i, k in enumerate(of) if k in more]
+        if keep:
+            yield pa.RecordBatch.from_arrays([pa.array([names[of[i]] for i in keep], pa.int64()), pa.array([names[i] for i in keep], pa.int64())], names=["leader", "cls"])
+
+    # Wide bundles are left as they are: their members are searched by blocks.
+    many = stored(members.groupBy("leader").agg(F.count("*").alias("m")).where(F.col("m") > block).select("leader"))
+    bitmaps = rows.where("bits is not null").select("cls", F.col("n_shingles").cast("int").alias("n"), "bits")
+    bitmaps = bitmaps.join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+    small = members.join(many, "leader", "left_anti").join(bitmaps, "cls")
+    small = small.repartition("leader").sortWithinPartitions("leader", "cls").mapInArrow(lambda b: (x for t in groups(b, ["leader"]) for x in sieved(t)), "leader long, cls long")
+    members = stored(small.unionByName(members.join(many, "leader", "left_semi")).distinct())
+
     sizes = members.groupBy("leader").agg(F.count("*").alias("m")).withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     wide = stored(sizes.where("blocks > 1"))
     dealt = members.join(wide.select("leader", "blocks"), "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))

@@ -28,7 +28,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = stored(jaccard.link_components(docs))
     # Copies that also share their id count as one document.
     leaders = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(leaders, docs["doc_id"].eqNullSafe(leaders["doc_id"]), "left_semi").select(*docs.columns)
+    # Leaders are most of the ids, so that they are merged, as large inputs need it anyhow.
+    return docs.join(leaders.hint("merge"), docs["doc_id"].eqNullSafe(leaders["doc_id"]), "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 Each text is read whole, in windows of ``WINDOW`` bytes; two gated recurrent layers run over a window, one each way,
 and label every position with log-odds for each language.  A document's probabilities are those of the mean log-odds
 over all of its positions.  The network is trained by backpropagation through time (Adam) on windows of a bounded sample
-of labelled documents: ``SAMPLE`` a language, those with the smallest hashes of their ids, and ``WINDOWS_EACH`` windows
-of each at hashed places of the whole text.
+of labelled documents: about ``SAMPLE`` a language (the share of them, by hashes of ids, that makes that many; all where
+there are fewer), and ``WINDOWS_EACH`` windows of each at hashed places of the whole text.
 
 Cases: a null text, or one without any letter, is ``und`` with score 0; very short texts are one short window; equal
 texts get equal results; with no labelled text at all every text is ``und``; with one language each text with a letter
@@ -20,7 +20,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .arrays import utf8
 from .common import fold, table, text_chunks
@@ -28,8 +27,10 @@ from .common import fold, table, text_chunks
 UNKNOWN = "und"
 HIDDEN = 8
 WINDOW = 64
-#: Labelled documents for each language, and windows of each.
+#: Labelled documents for each language (expected), and windows of each.
 SAMPLE = 400
+#: Hashes of ids fall evenly into this range.
+RANGE = 1 << 40
 WINDOWS_EACH = 12
 STEPS = 700
 BATCH = 256
@@ -165,8 +166,11 @@ def document_odds(model: Model, raw: np.ndarray, at: np.ndarray, window: int = W
 def labelled_windows(docs: DataFrame, sample: int = SAMPLE, each: int = WINDOWS_EACH, window: int = WINDOW) -> DataFrame:
     """``lang, bytes`` of training windows; ``docs`` has ``doc_id, text, lang`` of the rows that may be learned from."""
     hashed = docs.where("lang is not null and text is not null and text rlike '\\\\p{L}'").select("lang", "text", F.xxhash64("doc_id", F.lit(11)).alias("key"))
-    # The row_number filter keeps `sample` rows a language in each task before any is moved.
-    chosen = hashed.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key", "text"))).where(F.col("rank") <= sample)
+    sizes = {r.lang: r.n for r in hashed.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    # A language's share of its hashes' range; rows beyond it are dropped where they are read.
+    shares = [F.lit(x) for lang, n in sizes.items() for x in (lang, min(RANGE, RANGE * sample // n))]
+    near = hashed.where(F.pmod("key", F.lit(RANGE)) < F.create_map(*shares)[F.col("lang")]) if shares else hashed.where(F.lit(False))
+    chosen = near.groupBy("lang", "key").agg(F.min("text").alias("text"))  # rows that repeat an id count once
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

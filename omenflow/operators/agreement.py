@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .rows import slices
 
 
 def share(part: Column, whole: Column) -> Column:
@@ -64,3 +67,29 @@ def majority(ratings: DataFrame) -> DataFrame:
     """``subject, vote, votes``: the most frequent value, the smallest of equals."""
     counted = ratings.groupBy("subject", "value").agg(F.count("*").alias("n"))
     return counted.groupBy("subject").agg(F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("x")).select("subject", F.col("x.value").alias("vote"), (-F.col("x.n")).alias("votes"))
+
+
+def report(cells: DataFrame) -> DataFrame:
+    """``model, class, precision, recall, f1, support`` of a confusion matrix."""
+    said = cells.select("model", F.col("y_hat").alias("class"), "n", F.lit(1).alias("said"), (F.col("y") == F.col("y_hat")).alias("hit"))
+    true = cells.select("model", F.col("y").alias("class"), "n", F.lit(0).alias("said"), F.lit(False).alias("hit"))
+    of = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    sums = said.unionByName(true).groupBy("model", "class").agg(of(F.col("hit")).alias("h"), of(F.col("said") == 1).alias("s"), of(F.col("said") == 0).alias("support"))
+    h, s, t = map(F.col, ("h", "s", "support"))
+    return sums.select("model", "class", share(h, s).alias("precision"), share(h, t).alias("recall"), share(2 * h, s + t).alias("f1"), "support")
+
+
+def auc(df: DataFrame, truth: str, score: str) -> DataFrame:
+    """One row: the chance that a positive scores above a negative, equals counting half.
+
+    Equal scores are counted first; the running sum goes over ranges of scores, each in its own task, and over the
+    ranges' totals.
+    """
+    y = F.col(truth).cast("int")
+    counted = df.where(F.col(truth).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    ranged = counted.withColumn("part", slices(counted, "s"))
+    totals = ranged.groupBy("part").agg(F.sum("neg").alias("all"))
+    before = totals.select("part", (F.sum("all").over(Window.orderBy("part")) - F.col("all")).alias("base"))  # one row a range
+    below = F.sum("neg").over(Window.partitionBy("part").orderBy("s")) - F.col("neg") + F.col("base")
+    won = ranged.join(F.broadcast(before), "part").withColumn("won", F.col("pos") * (below + F.col("neg") / 2))
+    return won.agg(F.try_divide(F.sum("won"), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))

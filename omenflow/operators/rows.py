@@ -98,3 +98,34 @@ def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the smallest ``order`` of each key; rows of a hot key are pre-aggregated, not ranked."""
     rest = [c for c in df.columns if c not in (*keys, order)]
     return df.groupBy(*keys).agg(F.min(F.struct(order, *rest)).alias("_x")).select(*keys, "_x.*")
+
+
+def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Inner join on all columns of the same name."""
+    return left.join(right, [c for c in left.columns if c in right.columns])
+
+
+def slices(df: DataFrame, value: str, parts: int = 64):
+    """A column that deals rows over up to ``parts`` ranges of a number, of about equal sizes.
+
+    The borders are approximate quantiles, ``parts - 1`` numbers in one row; a row's slice depends on its value alone.
+    """
+    cuts = df.select(F.percentile_approx(value, [k / parts for k in range(1, parts)], 10000)).first()[0] or []
+    return sum(((F.col(value) >= c).cast("int") for c in sorted(set(cuts))), F.lit(0))
+
+
+def positioned(df: DataFrame, order: str) -> DataFrame:
+    """Adds ``pos`` from 0 by ascending ``order`` (a number that is not null; rows with equal ones come in any order).
+
+    Ranges of ``order`` are ranked apart, then shifted by the sizes of those before.
+    """
+    ranged = df.withColumn("_part", slices(df, order))
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    base = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))  # one row a range
+    placed = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
+    return placed.join(F.broadcast(base), "_part").withColumn("pos", F.col("_base") + F.col("_k") - 1).drop("_part", "_base", "_k")
+
+
+def zipped(left: DataFrame, left_order: str, right: DataFrame, right_order: str) -> DataFrame:
+    """Rows at the same position of two ordered tables, side by side."""
+    return positioned(left, left_order).join(positioned(right, right_order), "pos")

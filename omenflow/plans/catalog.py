@@ -267,11 +267,17 @@ def log_lines(spark, d):
     return writers.as_log_lines(load(spark, d, "region").select("r_regionkey", "r_name"))
 
 
+def _all() -> None:
+    from . import more  # noqa: F401  registers its queries here
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _all()
     return dict(QUERIES)
 
 
 def sql() -> dict[str, str]:
+    _all()
     return dict(SQL)
 
 

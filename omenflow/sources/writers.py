@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,3 +26,37 @@ def next_version(names: DataFrame, prefix: str) -> DataFrame:
 
 def json_rows(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
+
+
+def from_log_lines(lines: DataFrame, ignore: list[str], delimiter: str = ",") -> DataFrame:
+    """``fields`` of the lines in which none of the words to ignore is; the fields are trimmed."""
+    kept = lines
+    for word in ignore:
+        kept = kept.where(~F.col("value").contains(word))
+    return kept.select(F.transform(F.split(F.trim("value"), rf"\Q{delimiter}\E"), lambda x: F.trim(x)).alias("fields"))
+
+
+def versioned(df: DataFrame, folder: str, prefix: str, kind: str = "parquet", version: int | None = None) -> str:
+    """Write ``prefix`` (over what is there) or, with a version, ``prefix-vN`` (an error if it is there); gives the path."""
+    if kind not in ("parquet", "csv", "json"):
+        raise ValueError(f"unknown kind {kind!r}")
+    path = f"{folder}/{prefix}" + ("" if version is None else f"-v{version}")
+    writer = df.write.mode("overwrite" if version is None else "errorifexists")
+    (writer.option("header", True) if kind == "csv" else writer).format(kind).save(path)
+    return path
+
+
+def append_pending(todo: DataFrame, folder: str, id_col: str, work, schema: str) -> None:
+    """A resumable job: rows whose id isn't in ``folder`` yet go through ``work`` and are appended."""
+    try:
+        left = todo.join(todo.sparkSession.read.schema(schema).parquet(folder).select(id_col), id_col, "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        left = todo
+    work(left).write.mode("append").parquet(folder)
+
+
+def sidecar(spark: SparkSession, folder: str, **values) -> None:
+    """A run's parameters and counts as one row of JSON, written once."""
+    spark.createDataFrame([tuple(map(str, values.values()))], list(values)).coalesce(1).write.mode("ignore").json(folder)

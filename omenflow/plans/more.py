@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import forecasts as fc
 from ..functions import text as tx
-from ..operators import agreement, learning, providers, sequences, similarity
-from ..operators import corpus, rows
+from ..operators import agreement, corpus, learning, linguistic, providers, rows, sequences, similarity
 from ..sources import pages as pg
 from .catalog import JUDGED, LOWER, RATERS, judged, load, query, rounded
 
@@ -211,6 +210,19 @@ def unioned(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-@query("SELECT r_name AS name, r_regionkey AS region, NULL AS nation FROM region UNION ALL SELECT n_name, n_regionkey, n_nationkey FROM nation")
+@query("SELECT r_name AS name, r_regionkey AS region, -1 AS nation FROM region UNION ALL SELECT n_name, n_regionkey, n_nationkey FROM nation")
 def union_by_name(spark, d):
-    return unioned([load(spark, d, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("region")), load(spark, d, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"), F.col("n_nationkey").alias("nation"))])
+    return unioned([load(spark, d, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("region")), load(spark, d, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"), F.col("n_nationkey").alias("nation"))]).na.fill(-1, ["nation"])
+
+
+@query(r"WITH t AS (SELECT item_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+(?:[''’][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_\s]')) AS w FROM benchmark) SELECT item_id, count(*) AS n, sum((lower(w) IN ('will', 'shall', 'would', 'could', 'should', 'may', 'might', 'must', 'can'))::INT)::BIGINT AS modals FROM t GROUP BY item_id")
+def tagged_words(spark, d):
+    """Tokens and modals by the rules that stand in for a model."""
+    found = linguistic.tokens(load(spark, d, "benchmark"), "item_id", "text")
+    return found.groupBy("item_id").agg(F.count("*").alias("n"), F.sum((F.col("tag") == "MD").cast("int")).alias("modals"))
+
+
+@query(f"SELECT doc_id, count(*) AS n, sum((label = 'O')::INT)::BIGINT AS words FROM (SELECT doc_id, unnest(list_append(list_transform({LOWER}, lambda x: 'O'), ' ')) AS label FROM documents) GROUP BY doc_id")
+def labelling_rows(spark, d):
+    r = linguistic.labelling_rows(load(spark, d, "documents").select("doc_id", F.lower("text").alias("text")), "doc_id", "text")
+    return r.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum((F.col("label") == "O").cast("int")).alias("words"))

@@ -164,3 +164,16 @@ def test_models(spark, tmp_path):
 @pytest.mark.parametrize("name", ["varied_search", "classifiers", "cross_validation", "vector_clusters", "cluster_centroids", "principal_components", "document_topics"])
 def test_queries_without_sql_have_rows(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0
+
+
+def test_linguistic_rules(spark):
+    df = spark.createDataFrame([(1, "Acme Corp will pay $2,000 in Q3 of 2027."), (2, None), (3, "")], "id long, t string")
+    from omenflow.operators import linguistic as lg
+
+    tok = lg.tokens(df, "id", "t").orderBy("n").collect()
+    assert [r.term for r in tok][:3] == ["Acme", "Corp", "will"] and {r.id for r in tok} == {1}
+    assert (tok[2].pos, tok[2].tag, tok[0].shape, tok[2].is_alpha) == ("AUX", "MD", "Xxxx", True)
+    assert sequences.tense(lg.tokens(df, "id", "t"), "id").first().future == 1
+    assert [(r.label, r.term) for r in lg.entities(df, "id", "t").orderBy("n").collect()] == [("ORG", "Acme Corp"), ("MONEY", "$2,000"), ("DATE", "Q3 of 2027")]
+    assert lg.lemmatized(df, "id", "t").first().lemmas.startswith("acme corp will")
+    assert [(r.word, r.label) for r in lg.labelling_rows(df.where("id = 3"), "id", "t").collect()] == [(" ", " ")]

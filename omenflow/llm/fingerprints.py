@@ -1,11 +1,12 @@
 """Document fingerprints by invertible Bloom lookup sketches.  DataFrame functions only.
 
-A text is cut into paragraphs: lines, and in texts of under ``SHORT`` characters sentences, so that short texts of a
-few lines can be compared too.  The distinct 64-bit digests of its paragraphs go into a sketch of ``3 * CELLS`` cells; a
-digest goes into one cell of each of the three parts.  A cell has the number of its digests and their exclusive or; a
-part of a digest's bits checks the others.  Two versions'
-sketches are subtracted cell by cell, which leaves the digests that differ; peeling recovers these: a cell that holds a
-single digest (its check fits) gives it away, it is taken out of its other cells, and so on until all cells are empty.
+Every text is cut alike into paragraphs, whatever its length: at line breaks and after the ends of sentences, so that
+long texts of few lines can be compared too, and a sentence has the same digest in a long and in a short text.  The
+distinct 64-bit digests of its paragraphs go into a sketch of ``3 * CELLS`` cells; a digest goes into one cell of each
+of the three parts.  A cell has the number of its digests and their exclusive or; a part of a digest's bits checks the
+others.  Two versions' sketches are subtracted cell by cell, which leaves the digests that differ; peeling recovers
+these: a cell that holds a single digest (its check fits) gives it away, it is taken out of its other cells, and so on
+until all cells are empty.
 If some are left, both texts are sketched again larger, as several such tables among which digests are dealt, with about
 ``LOAD`` digests a table, then four times as many, and so on (``RETRIES`` times; after that digests are compared
 one by one).  The likeness of two versions is the share of their paragraphs that both have.
@@ -32,10 +33,10 @@ LOAD = 18
 RETRIES = 4
 ROUNDS = 8
 RANGES = 1024
-#: Texts of fewer characters are cut at the ends of sentences too.
-SHORT = 2000
-LINE = r"\\s*\\n\\s*"
-SENTENCE = r"[.!?]+\\s+|\\s*\\n\\s*"
+#: White space after the end of a sentence, which keeps its full stop, and around line breaks.
+SENTENCE = r"\\s(?<=[.!?]\\s)\\s*|\\s*\\n\\s*"
+#: Texts of ``SHORT`` characters and more are cut by the same rule.
+SHORT, LINE = 2000, SENTENCE
 #: A digest has 43 bits of the paragraph's hash, 20 bits that check these, and a last bit that is 0 (a sign, while peeling).
 CHECKS = "(xxhash64({k} & -2097152L, 1) & 2097150L)"
 
@@ -47,8 +48,7 @@ def let(name: str, value: str, body: str) -> str:
 
 def paragraphs(text: str) -> str:
     """Distinct digests of the paragraphs of a text."""
-    cut = f"if(length({text}) < {SHORT}, split({text}, '{SENTENCE}'), split({text}, '{LINE}'))"
-    hashes = f"transform(filter({cut}, x -> x <> ''), x -> xxhash64(x))"
+    hashes = f"transform(filter(split({text}, '{SENTENCE}'), x -> x <> ''), x -> xxhash64(x))"
     return f"array_distinct(transform({hashes}, h -> (h & -2097152L) | {CHECKS.format(k='h')}))"
 
 
@@ -92,11 +92,14 @@ def peel(difference: str) -> str:
 
 
 def larger(a: str, b: str, attempt: int) -> str:
-    """The same from two sets of digests, over several tables."""
-    tables = f"int(ceil((1 + size({a}) + size({b})) / double({LOAD}))) * {4**attempt}"
-    part = lambda x: f"filter({x}, p -> shiftrightunsigned(p, 34) % g = v)"
-    both = let("pa", part(a), let("pb", part(b), peel(subtract(cells("pa"), cells("pb")))))
-    each = let("g", tables, f"transform(sequence(0, g - 1), v -> {both})")
+    """The same from two sets of digests, over several tables: ``g`` groups of ``g``, so that a digest is looked at ``2 * g`` times."""
+    side = f"int(ceil(sqrt(ceil((1 + size({a}) + size({b})) / double({LOAD})) * {4**attempt})))"
+    part = lambda x, at, v: f"filter({x}, p -> {at} % g = {v})"
+    one = lambda x: part(x, "(shiftrightunsigned(p, 34) div g)", "v")
+    both = let("pa", one("ga"), let("pb", one("gb"), peel(subtract(cells("pa"), cells("pb")))))
+    dealt = lambda x: part(x, "shiftrightunsigned(p, 34)", "w0")
+    group = let("ga", dealt(a), let("gb", dealt(b), f"transform(sequence(0, g - 1), v -> {both})"))
+    each = let("g", side, f"flatten(transform(sequence(0, g - 1), w0 -> {group}))")
     total = "aggregate(z, named_struct('ok', true, 'a', 0, 'b', 0), (s, x) -> named_struct('ok', s.ok AND x.ok, 'a', s.a + x.a, 'b', s.b + x.b))"
     return let("z", each, total)
 

@@ -1,10 +1,11 @@
 """HTML extraction by consensus host paths.
 
-Each page's containers are scored by the text of the blocks below them, links counting against it; the deepest
-container with most of the page's score is the page's vote.  Votes are generalised tag-class paths (such as
+Each page's blocks of text are scored, links counting against them.  Its content is what is not left out and has a
+score, and headlines; where articles and main parts hold most of the score, their blocks and headlines only.  The deepest
+container of all of the content is the page's vote.  Votes are generalised tag-class paths (such as
 ``html/body/div.post/article``; digits in classes are dropped), summed per host by Spark; every path with at least a
 tenth of its host's votes wins (ten at most, by arithmetic).  Each page is then extracted again from the first winning
-path that it has; a page with none of them, from its own vote.  Menus, headers, footers, sidebars, notices, adverts,
+path that has all of its content; a page with none such, from its own vote.  Menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments inside a container are left out.
 
 Cases: a null or empty page has an empty text; a null url has the empty host; pages of any length are read whole;
@@ -35,10 +36,16 @@ OTHER_PARTS = frozenset(
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORDS = re.compile(r"[a-z]+")
-#: A container that holds this part of a page's score is its vote.
+#: Elements that hold a text, not an article.
+TEXT = frozenset("p li pre blockquote h1 h2 h3 td".split())
+#: Articles and main parts that hold this part of a page's score have its content.
 MOST = 0.75
 
 
+def _tag(path: str) -> str:
+    return path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+
 class Page:
     """Elements (parent, path, left out) and blocks (element, source text, letters in links) of a page."""
 
@@ -136,39 +143,69 @@ class Page:
                     out = out or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
         return names, out
 
-    def vote(self) -> tuple[str, float]:
-        """The path of the deepest container with most of the page's score, and that score."""
-        score = [0.0] * len(self.parent)
-        for at, text, linked in self.blocks:
-            if at >= 0 and not self.out[at]:
+    def content(self) -> tuple[list[int], float]:
+        """The blocks (their places) that an extracted text must have, and their score.
+
+        These are the kept blocks with a score, and kept headlines.  Where articles and main parts hold most of the
+        score, they are those in any of them, and headlines.
+        """
+        named = []
+        for path, above in zip(self.path, self.parent, strict=True):
+            named.append(above >= 0 and named[above] or _tag(path) in ("article", "main"))
+        found = []
+        for i, (at, text, linked) in enumerate(self.blocks):
+            if at < 0 or not self.out[at]:
                 value = max(0.0, len(text) - 2.0 * linked)
-                while at >= 0:
-                    score[at] += value
-                    at = self.parent[at]
-        best, most = -1, max(score, default=0.0)
+                head = at >= 0 and _tag(self.path[at]) == "h1"
+                if value > 0 or head:
+                    found.append((i, value, head, at >= 0 and named[at]))
+        total = sum(x[1] for x in found)
+        if sum(x[1] for x in found if x[3]) >= MOST * total:
+            inside = [x for x in found if x[2] or x[3]]
+            found = inside or found
+        return [x[0] for x in found], sum(x[1] for x in found)
+
+    def vote(self, content: tuple[list[int], float] | None = None) -> tuple[str, float]:
+        """The path of the deepest container of all of the page's content, and the content's score."""
+        places, most = content or self.content()
         if most <= 0:
             return "", 0.0
-        holder = {at for at, _, _ in self.blocks}
-        for i, s in enumerate(score):  # parents come before their children
-            leaf = i in holder and not any(p == i for p in self.parent[i + 1 : i + 2])
-            if s >= MOST * most and not (leaf and self.path[i].rsplit("/", 1)[-1].split(".")[0] in ("p", "li", "pre", "blockquote", "h1", "h2", "h3", "td")):
-                best = i
-        return (self.path[best], score[best]) if best >= 0 else (self.path[0], score[0])
+        owners = {self.blocks[i][0] for i in places}
+        best = owners.pop()
+        for at in owners:
+            while at != best:  # parents come before their children
+                if at > best:
+                    at = self.parent[at]
+                else:
+                    best = self.parent[best]
+        while best >= 0 and self.parent[best] >= 0 and _tag(self.path[best]) in TEXT:
+            best = self.parent[best]
+        return (self.path[best], most) if best >= 0 else ("", most)
 
-    def text(self, path: str | None) -> str:
-        """The blocks below the elements with a path, in page order; None: all blocks."""
+    def holds(self, path: str, places: list[int]) -> bool:
+        """Whether the elements with a path have all of some blocks."""
+        wanted = self._below(path)
+        return all(self.blocks[i][0] >= 0 and wanted[self.blocks[i][0]] for i in places)
+
+    def _below(self, path: str | None) -> list[bool]:
         wanted = [False] * len(self.parent)
         for i, p in enumerate(self.path):
             wanted[i] = path is None or p == path or self.parent[i] >= 0 and wanted[self.parent[i]]
+        return wanted
+
+    def text(self, path: str | None) -> str:
+        """The blocks below the elements with a path, in page order; None: all blocks."""
+        wanted = self._below(path)
         held = (t for at, t, _ in self.blocks if (path is None if at < 0 else wanted[at] and not self.out[at]))
         return "\n\n".join(filter(None, (" ".join((_html.unescape(t) if "&" in t else t).split()) for t in held)))
 
     def extract(self, winners: list[str]) -> str:
         have = set(self.path)
+        content = self.content()
         for path in winners:
-            if path in have and (text := self.text(path)):
+            if path in have and self.holds(path, content[0]) and (text := self.text(path)):
                 return text
-        path = self.vote()[0]
+        path = self.vote(content)[0]
         return self.text(path if path else None)
 
 

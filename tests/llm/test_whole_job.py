@@ -2,7 +2,7 @@
 
 import pytest
 
-from omenflow.llm import fingerprints
+from omenflow.llm import extraction, fingerprints
 
 
 def likeness(spark, a, b):
@@ -19,3 +19,17 @@ def test_fingerprints_cut_texts_of_any_length_alike(spark):
     assert likeness(spark, whole, short) == pytest.approx(40 / 120)
     many = [f"Line {i} of very many. It goes on!" for i in range(1500)]
     assert likeness(spark, " ".join(many), " ".join(many[:1000])) == pytest.approx(1001 / 1501)
+
+
+def test_extraction_keeps_what_is_outside_the_body_div(spark):
+    body = "".join(f"<p>Paragraph {i} of the body of this article.</p>" for i in range(20))
+    page = "<html><body><nav><a href='/'>Home</a></nav>{}<footer>Imprint</footer></body></html>".format
+    plain = page(f"<article><h1>Title</h1><p>The lead.</p><div class='body'>{body}</div><p>The end.</p></article>")
+    split = page(f"<div class='a'><h1>Title</h1><p>The lead.</p></div><div class='body'>{body}</div><div class='z'><p>The end.</p></div>")
+    two = page(f"<h1>Title</h1><article><p>The lead.</p>{body}</article><article><p>The end.</p></article>")
+    # Most pages of the host have only a body; those with more keep it all.
+    bare = page(f"<article><div class='body'>{body}</div></article>")
+    for host, pages in (("a", [plain] * 3), ("b", [split] * 3), ("c", [two] * 3), ("d", [bare] * 30 + [plain])):
+        rows = spark.createDataFrame([(i, f"http://{host}.org/{i}", x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+        text = {r.page_id: r.text for r in extraction.extract(rows).collect()}[len(pages) - 1].split("\n\n")
+        assert text[:2] == ["Title", "The lead."] and text[-1] == "The end." and len(text) == 23

@@ -4,9 +4,10 @@ Each text is read whole, in windows of ``WINDOW`` bytes; two gated recurrent lay
 and label every position with log-odds for each language.  A document's probabilities are those of the mean log-odds
 over all of its positions.  The network is trained by backpropagation through time (Adam) on windows of a bounded sample
 of labelled documents: about ``SAMPLE`` a language (the share of them, by hashes of ids, that makes that many; all where
-there are fewer), and ``WINDOWS_EACH`` windows of each at hashed places of the whole text.
+there are fewer), and ``WINDOWS_EACH`` windows of each at hashed places of the whole text.  A text that is shorter
+than a window is learned as a window of its own length: positions beyond its end have no state and no error.
 
-Cases: a null text, or one without any letter, is ``und`` with score 0; very short texts are one short window; equal
+Cases: a null text, or one without any letter, is ``und`` with score 0; very short texts are one short window, in training too; equal
 texts get equal results; with no labelled text at all every text is ``und``; with one language each text with a letter
 gets it; an empty table gives an empty result; other columns are not looked at.
 """
@@ -60,9 +61,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def run_way(model: Model, way: str, windows: np.ndarray, keep: list | None = None) -> np.ndarray:
+def run_way(model: Model, way: str, windows: np.ndarray, keep: list | None = None, inside: np.ndarray | None = None) -> np.ndarray:
     """The states of one direction, in the order in which they are made: (length, rows, hidden).
 
+    ``inside`` (length, rows, 1) is 1 where a position is part of the text; elsewhere the state is 0.
+
     Gates: update z, reset r, candidate c; h' = h + z (c - h), with r on the recurrent part of c.
     """
     gates, recur = model[f"{way}x"], model[f"{way}h"]
@@ -85,6 +88,8 @@ def run_way(model: Model, way: str, windows: np.ndarray, keep: list | None = Non
         np.subtract(c, h, out=new)
         new *= z
         new += h
+        if inside is not None:
+            new *= inside[t]
         h = new
     return out
 
@@ -99,8 +104,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, seed: int = 7, rate: float = 0.02) -> Model:
-    """Every position of a window is trained to give its document's label, and so is the window's mean."""
+def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, seed: int = 7, rate: float = 0.02, lengths: np.ndarray | None = None) -> Model:
+    """Every position of a window is trained to give its document's label, and so is the window's mean.
+
+    ``lengths`` of windows, where some are shorter than the others and filled up.
+    """
     model = new_model(languages, hidden, seed)
     rng = np.random.Generator(np.random.PCG64(seed + 1))
     first = {k: np.zeros_like(v) for k, v in model.items()}
@@ -110,10 +118,16 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden:
         pick = rng.integers(0, len(windows), min(batch, len(windows)))
         x, want = windows[pick], np.eye(len(languages), dtype=np.float32)[labels[pick]]
         kept: dict[str, list] = {"f": [], "b": []}
-        states = {w: run_way(model, w, x, kept[w]) for w in "fb"}
+        inside = None if lengths is None else (np.arange(x.shape[1])[:, None] < lengths[pick]).astype(np.float32)[:, :, None]
+        states = {w: run_way(model, w, x, kept[w], inside) for w in "fb"}
         odds = states["f"] @ model["fo"] + states["b"] @ model["bo"] + model["o"]
         length, rows = odds.shape[:2]
-        error = (0.5 * (softmax(odds) - want) + 0.5 * (softmax(odds.mean(axis=0)) - want)[None]) / (length * rows)
+        if inside is None:
+            error = (0.5 * (softmax(odds) - want) + 0.5 * (softmax(odds.mean(axis=0)) - want)[None]) / (length * rows)
+        else:
+            each = inside.sum(axis=0)
+            mean = (odds * inside).sum(axis=0) / each
+            error = inside * (0.5 * (softmax(odds) - want) + 0.5 * (softmax(mean) - want)[None]) / (each * rows)
         grad = {"o": error.sum(axis=(0, 1))}
         for w in "fb":
             grad[f"{w}o"] = states[w].reshape(-1, n).T @ error.reshape(-1, len(languages))
@@ -121,6 +135,8 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden:
             back = np.zeros((rows, n), np.float32)
             for t, h, z, r, c, bc in reversed(kept[w]):
                 d = back + error[t] @ model[f"{w}o"].T
+                if inside is not None:
+                    d *= inside[t]
                 dc = d * z * (1 - c * c)
                 dz = d * (c - h) * z * (1 - z)
                 dr = dc * bc * r * (1 - r)
@@ -164,7 +180,7 @@ def document_odds(model: Model, raw: np.ndarray, at: np.ndarray, window: int = W
 
 
 def labelled_windows(docs: DataFrame, sample: int = SAMPLE, each: int = WINDOWS_EACH, window: int = WINDOW) -> DataFrame:
-    """``lang, bytes`` of training windows; ``docs`` has ``doc_id, text, lang`` of the rows that may be learned from."""
+    """``lang, bytes`` of training windows (shorter texts whole); ``docs`` has ``doc_id, text, lang`` of the rows that may be learned from."""
     hashed = docs.where("lang is not null and text is not null and text rlike '\\\\p{L}'").select("lang", "text", F.xxhash64("doc_id", F.lit(11)).alias("key"))
     sizes = {r.lang: r.n for r in hashed.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     # A language's share of its hashes' range; rows beyond it are dropped where they are read.
@@ -180,9 +196,8 @@ def labelled_windows(docs: DataFrame, sample: int = SAMPLE, each: int = WINDOWS_
                 rng = np.random.Generator(np.random.PCG64(key % (1 << 62)))
                 for _ in range(each):
                     at = int(rng.integers(0, max(1, len(data) - window + 1)))
-                    if len(data) >= window:
-                        lang.append(name)
-                        out.append(data[at : at + window])
+                    lang.append(name)
+                    out.append(data[at : at + window])  # a shorter text whole
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(out, pa.binary())], names=["lang", "bytes"])
 
     return chosen.select("lang", "text", "key").mapInArrow(cut, "lang string, bytes binary")
@@ -193,12 +208,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> tuple[Mode
     languages = sorted({r[0] for r in rows})
     if not languages:
         return None, []
-    windows = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), -1)
+    lengths = np.array([len(r[1]) for r in rows])
+    width = int(lengths.max())
+    windows = np.frombuffer(b"".join(r[1].ljust(width, b"\0") for r in rows), np.uint8).reshape(len(rows), width)
     labels = np.array([languages.index(r[0]) for r in rows])
     # Each language has the same weight, however many of its documents were found.
     most = np.bincount(labels).max()
     even = np.concatenate([np.resize(np.flatnonzero(labels == k), most) for k in range(len(languages))])
-    return train(windows[even], labels[even], languages, steps=steps), languages
+    return train(windows[even], labels[even], languages, steps=steps, lengths=None if lengths.min() == width else lengths[even]), languages
 
 
 def predict(docs: DataFrame, model: Model | None, languages: list[str], id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """Cases in which an operator once did less than its whole job."""
 
+import numpy as np
 import pytest
 
-from omenflow.llm import extraction, fingerprints
+from omenflow.llm import extraction, fingerprints, language_id
 
 
 def likeness(spark, a, b):
@@ -33,3 +34,24 @@ def test_extraction_keeps_what_is_outside_the_body_div(spark):
         rows = spark.createDataFrame([(i, f"http://{host}.org/{i}", x) for i, x in enumerate(pages)], "page_id long, url string, html string")
         text = {r.page_id: r.text for r in extraction.extract(rows).collect()}[len(pages) - 1].split("\n\n")
         assert text[:2] == ["Title", "The lead."] and text[-1] == "The end." and len(text) == 23
+
+
+def test_language_is_learned_from_short_texts(spark):
+    said = {"aa": "lorem dolor amet", "bb": "xyzzy quux wibbly", "cc": "123 ééé ñññ 456"}
+    rows = [(i, f"{said[lang]} {i % 7}", lang) for i, lang in enumerate(["aa", "bb"] * 60)]
+    rows += [(1000 + i, said["cc"] * 40, "cc") for i in range(60)]
+    model, languages = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), steps=150)
+    assert languages == ["aa", "bb", "cc"]
+    got = language_id.predict(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model, languages, keep=["doc_id", "lang"]).collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.95
+    short = [r for r in rows if r[2] != "cc"]
+    assert language_id.fit(spark.createDataFrame(short, "doc_id long, text string, lang string"), steps=2)[1] == ["aa", "bb"]
+
+
+def test_filled_windows_have_the_states_of_their_own_length():
+    model = language_id.new_model(["a", "b"])
+    x = np.zeros((1, 9), np.uint8)
+    x[0, :5] = [3, 1, 4, 1, 5]
+    inside = (np.arange(9)[:, None, None] < 5).astype(np.float32)
+    for way in "fb":
+        assert np.allclose(language_id.run_way(model, way, x, inside=inside)[:5], language_id.run_way(model, way, x[:, :5]), atol=1e-6)

@@ -6,7 +6,7 @@ text or without a letter go in the first stage; an empty table stays empty throu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omenflow.llm import decontamination, jaccard, language_id, tokenizer
@@ -14,6 +14,13 @@ from omenflow.llm.common import stored, table
 
 #: A document whose pooled probability for its best language is below this is rejected.
 LEAST_SCORE = 0.5
+#: A row's key while a stage runs: ids may be null or repeat.
+ROW = "_row"
+
+
+def row_key() -> Column:
+    """A hash of id and text, never null; rows that are equal in both are the same document."""
+    return F.xxhash64("doc_id", "text")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,18 +31,23 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the smallest id; rows that link with nothing all stay."""
-    found = stored(jaccard.link_components(docs))
-    # Copies that also share their id count as one document.
-    leaders = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    # Leaders are most of the ids, so that they are merged, as large inputs need it anyhow.
-    return docs.join(leaders.hint("merge"), docs["doc_id"].eqNullSafe(leaders["doc_id"]), "left_semi").select(*docs.columns)
+    """Of each component of linked documents the one with the smallest id; rows that link with nothing all stay.
+
+    Null ids come last.  Rows that share an id are told apart by their texts; with equal texts they count as one document.
+    """
+    keyed = docs.withColumn(ROW, row_key())
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW)
+    found = stored(jaccard.link_components(keyed.withColumn("_key", key), "_key"))
+    leaders = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col(f"doc_id.{ROW}")).distinct()
+    # Leaders are most of the rows, so that they are merged, as large inputs need it anyhow.
+    return keyed.join(leaders.hint("merge"), ROW, "left_semi").dropDuplicates([ROW]).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    leaks = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    keyed = docs.withColumn(ROW, row_key())
+    leaks = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), ROW).select(F.col("doc_id").alias(ROW)).distinct()
+    return keyed.join(leaks, ROW, "left_anti").select(*docs.columns)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

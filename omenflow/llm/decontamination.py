@@ -10,12 +10,16 @@ candidates are verified by exact containment: the share of an item's distinct sh
 Words: A-Z lower-cased, runs of bytes other than ASCII white space; a shingle is five consecutive words (a 64-bit hash).
 
 Cases: null and empty texts, and texts of fewer than five words, have no shingle and match nothing; rows that repeat a
-``doc_id`` count as one document, repeated item ids as one item (their shingles together); very long texts are read
+``doc_id`` count as one document, repeated item ids as one item (their shingles together); rows and items with a null id
+are each on their own, told apart by hashes of their texts, and are reported with a null id; very long texts are read
 whole; an empty table on either side gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,21 +37,27 @@ def shingles(text: Column, width: int = WIDTH) -> Column:
     return F.flatten(F.transform(F.array(words), lambda ws: F.when(F.size(ws) >= width, of(ws)).otherwise(F.array().cast("array<bigint>"))))
 
 
+def _copy(id_col: str) -> Column:
+    """What tells rows with a null id apart; 0 where there is an id."""
+    return F.when(F.col(id_col).isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+
+
 def item_sketches(items: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
-    """``item_id, h, n, part`` of all shingles, and the same of the sketches.  Items are keyed by id."""
-    each = items.select("item_id", F.explode(F.array_distinct(shingles(F.col("text")))).alias("h")).distinct()
-    sets = each.groupBy("item_id").agg(F.array_sort(F.collect_list("h")).alias("hs"))  # one benchmark text each
+    """``item_id, item_copy, h, n, part`` of all shingles, and the same of the sketches.  Items are keyed by the first two."""
+    each = items.select("item_id", _copy("item_id").alias("item_copy"), F.explode(F.array_distinct(shingles(F.col("text")))).alias("h")).distinct()
+    sets = each.groupBy("item_id", "item_copy").agg(F.array_sort(F.collect_list("h")).alias("hs"))  # one benchmark text each
     n = F.size("hs").cast("long")
-    sets = sets.select("item_id", "hs", n.alias("n"), F.floor(F.log2(n.cast("double"))).cast("int").alias("part"), (n - F.floor((n * share + 99) / 100).cast("long") + 1).cast("int").alias("k"))
+    sets = sets.select("item_id", "item_copy", "hs", n.alias("n"), F.floor(F.log2(n.cast("double"))).cast("int").alias("part"), (n - F.floor((n * share + 99) / 100).cast("long") + 1).cast("int").alias("k"))
     sets = stored(sets)
-    full = sets.select("item_id", "n", "part", F.explode("hs").alias("h"))
-    sketch = sets.select("item_id", "n", "part", F.explode(F.slice("hs", F.lit(1), F.col("k"))).alias("h"))
+    full = sets.select("item_id", "item_copy", "n", "part", F.explode("hs").alias("h"))
+    sketch = sets.select("item_id", "item_copy", "n", "part", F.explode(F.slice("hs", F.lit(1), F.col("k"))).alias("h"))
     return full, sketch
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE) -> DataFrame:
     """``doc_id, item_id, n_item, n_shared, containment`` of each pair with a containment of ``share`` percent or more."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.withColumn("copy", _copy("doc_id"))
     full, sketch = item_sketches(items, share)
     # The partitions: one row for each power of two, 63 at most.
     bounds = sketch.groupBy("part").agg(F.max("h").alias("bound"), F.min("n").alias("least")).orderBy("part").collect()
@@ -57,15 +67,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     bound = F.lit(None).cast("long")
     for i, b in enumerate(bounds):
         bound = F.when(F.size("all") * 100 >= b.least * share, F.lit(max(x.bound for x in bounds[: i + 1]))).otherwise(bound)
-    kept = docs.select("doc_id", shingles(F.col("text")).alias("all")).withColumn("bound", bound).where("bound is not null")
-    values = kept.select("doc_id", F.explode(F.filter("all", lambda h: h <= F.col("bound"))).alias("h"))
-    found = values.join(sketch.select("h", "item_id"), "h").select("doc_id", "item_id").distinct()
+    kept = docs.select("doc_id", "copy", shingles(F.col("text")).alias("all")).withColumn("bound", bound).where("bound is not null")
+    values = kept.select("doc_id", "copy", F.explode(F.filter("all", lambda h: h <= F.col("bound"))).alias("h"))
+    found = values.join(sketch.select("h", "item_id", "item_copy"), "h").select("doc_id", "copy", "item_id", "item_copy").distinct()
     found = stored(found)
+    same = lambda a, b, *names: reduce(and_, (a[x].eqNullSafe(b[x]) for x in names))
     # Exact containment, in candidate documents only.
-    texts = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
-    has = texts.select("doc_id", F.explode(F.array_distinct(shingles(F.col("text")))).alias("h"))
-    met = has.join(full, "h").groupBy("doc_id", "item_id", "n").agg(F.count_distinct("h").alias("n_shared"))
-    pairs = met.join(found, ["doc_id", "item_id"], "left_semi").where(F.col("n_shared") * 100 >= F.col("n") * share)
+    candidates = found.select("doc_id", "copy").distinct()
+    texts = docs.join(candidates, same(docs, candidates, "doc_id", "copy"), "left_semi")
+    has = texts.select("doc_id", "copy", F.explode(F.array_distinct(shingles(F.col("text")))).alias("h"))
+    met = has.join(full, "h").groupBy("doc_id", "copy", "item_id", "item_copy", "n").agg(F.count_distinct("h").alias("n_shared"))
+    pairs = met.join(found, same(met, found, "doc_id", "copy", "item_id", "item_copy"), "left_semi").where(F.col("n_shared") * 100 >= F.col("n") * share)
     return pairs.select("doc_id", "item_id", F.col("n").alias("n_item"), "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))
 
 

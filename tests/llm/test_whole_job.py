@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from omenflow.llm import extraction, fingerprints, language_id
+import corpus_pipeline
+from omenflow.llm import decontamination, extraction, fingerprints, language_id
 
 
 def likeness(spark, a, b):
@@ -55,3 +56,27 @@ def test_filled_windows_have_the_states_of_their_own_length():
     inside = (np.arange(9)[:, None, None] < 5).astype(np.float32)
     for way in "fb":
         assert np.allclose(language_id.run_way(model, way, x, inside=inside)[:5], language_id.run_way(model, way, x[:, :5]), atol=1e-6)
+
+
+def text_of(seed, n=60):
+    return " ".join(f"word{seed}x{i}" for i in range(n))
+
+
+def test_null_ids_are_decontaminated(spark, tmp_path):
+    leak, other, clean = text_of(1, 20), text_of(2, 20), text_of(3)
+    items = spark.createDataFrame([(1, leak), (None, other), (None, text_of(4, 20))], "item_id long, text string")
+    rows = [(None, f"{clean} {leak}"), (None, f"a {leak}"), (None, clean), (5, f"{clean} {other}"), (6, clean), (7, leak), (7, clean)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.item_id, r.containment) for r in decontamination.contaminated(docs, items).collect()]
+    assert sorted(got, key=str) == sorted([(None, 1, 1.0), (None, 1, 1.0), (5, None, 1.0), (7, 1, 1.0)], key=str)
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = [tuple(r) for r in corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path)).collect()]
+    assert sorted(left, key=str) == sorted([(None, clean), (6, clean), (7, clean)], key=str)
+
+
+def test_copies_with_null_or_repeated_ids_go(spark):
+    a, b, c, d = map(text_of, range(10, 14))
+    rows = [(None, a), (None, a), (3, a), (1, a), (None, b), (2, c), (2, c), (2, d), (None, f"{d} more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()]
+    assert sorted(left, key=str) == sorted([(1, a), (None, b), (2, c), (2, d)], key=str)

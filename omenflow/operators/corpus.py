@@ -60,32 +60,42 @@ def chunks(docs: DataFrame, size: int = 512, overlap: int = 32) -> DataFrame:
     return at.select("doc_id", (F.col("at") / (size - overlap)).cast("int").alias("chunk"), F.size(piece).alias("words"), F.array_join(piece, " ").alias("text")).where("words > 0")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int = 16) -> DataFrame:
-    """``query_id, vec_id, cosine, rank``: the ``k`` most similar vectors of each query, itself left out.
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int | None = None, block_rows: int = 2048) -> DataFrame:
+    """``query_id, vec_id, cosine, rank``: the ``k`` most similar vectors of each query, itself left out; of equals the smallest ids.
 
-    Queries and vectors are dealt over blocks; each pair of blocks is one task's matrix product, which keeps ``k`` rows a
-    query, so that what is ranked at the end is bounded by queries times blocks times ``k``.
+    Queries and vectors are dealt over blocks of about ``block_rows`` rows (``blocks`` sets their number instead); each pair
+    of blocks is one task's matrix product, which keeps ``k`` rows a query, so that groups don't grow with the input and
+    what is ranked at the end is bounded by queries times blocks times ``k``.
     """
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    q = queries.select(F.col("vec_id").alias("id"), "embedding", F.lit(1).alias("role"), part("vec_id").alias("qb"), every.alias("vb"))
-    v = vectors.select(F.col("vec_id").alias("id"), "embedding", F.lit(0).alias("role"), every.alias("qb"), part("vec_id").alias("vb"))
+    n_q, n_v = (blocks or max(1, -(-x.count() // block_rows)) for x in (queries, vectors))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    q = queries.select(F.col("vec_id").alias("id"), "embedding", F.lit(1).alias("role"), part("vec_id", n_q).alias("qb"), every(n_v).alias("vb"))
+    v = vectors.select(F.col("vec_id").alias("id"), "embedding", F.lit(0).alias("role"), every(n_q).alias("qb"), part("vec_id", n_v).alias("vb"))
 
     def product(t: pa.Table) -> pa.Table:
+        t = t.sort_by("id")
         role = t["role"].to_numpy()
         ids = t["id"].to_numpy()
         x = np.array(t["embedding"].to_pylist(), np.float64)
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
         a, b = x[role == 1], x[role == 0]
         qi, vi = ids[role == 1], ids[role == 0]
-        out = [[], [], []]
+        out: list[list] = [[], [], []]
         if len(a) and len(b):
             sims = a @ b.T
             sims[qi[:, None] == vi[None, :]] = -2.0
-            top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-            out = [np.repeat(qi, top.shape[1]), vi[top].ravel(), np.take_along_axis(sims, top, axis=1).ravel()]
+            for i, row in enumerate(sims):
+                least = np.partition(row, -k)[-k] if len(row) > k else -2.0
+                near = np.flatnonzero((row >= least - 1e-9) & (row > -1.5))
+                # A matrix product may differ in last bits between equal vectors; these sums don't.
+                exact = (b[near] * a[i]).sum(axis=1)
+                top = np.argsort(-exact, kind="stable")[:k]
+                out[0] += [qi[i]] * len(top)
+                out[1] += vi[near[top]].tolist()
+                out[2] += exact[top].tolist()
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "cosine"])
 
-    found = q.unionByName(v).groupBy("qb", "vb").applyInArrow(product, "query_id long, vec_id long, cosine double").where("cosine > -1.5")
+    found = q.unionByName(v).groupBy("qb", "vb").applyInArrow(product, "query_id long, vec_id long, cosine double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from omenflow.llm import decontamination, extraction, fingerprints, language_id
+from omenflow.operators import corpus
 
 
 def likeness(spark, a, b):
@@ -80,3 +81,14 @@ def test_copies_with_null_or_repeated_ids_go(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     left = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()]
     assert sorted(left, key=str) == sorted([(1, a), (None, b), (2, c), (2, d)], key=str)
+
+
+def test_nearest_takes_the_smallest_ids_of_equals(spark):
+    rng = np.random.Generator(np.random.PCG64(5))
+    copy, far = rng.normal(size=16).tolist(), rng.normal(size=16).tolist()
+    order = rng.permutation(300).tolist()
+    rows = [(i, copy if i % 2 else far) for i in order]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    for block_rows in (2048, 40):
+        got = corpus.nearest(vectors, vectors.where("vec_id in (1, 100)"), k=4, block_rows=block_rows).orderBy("query_id", "rank").collect()
+        assert [(r.query_id, r.vec_id) for r in got] == [(1, 3), (1, 5), (1, 7), (1, 9), (100, 0), (100, 2), (100, 4), (100, 6)]

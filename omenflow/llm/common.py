@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import functools
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: A word is a run of bytes other than the ASCII white space below (the same rule in Java, DuckDB and Python).
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key with one in this many of all rows is dealt over salts.
+SALTED = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below the one that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, as in tests, a local folder
-    becomes the session's checkpoint folder.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and the master is local, as in tests, a
+    local folder becomes the session's checkpoint folder; on a cluster that is an error.
     """
     top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(top)
     return f"{str(top).rstrip('/')}/{uuid.uuid4().hex}"
@@ -47,6 +50,26 @@ def lower_ascii(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def url_parts(url):
+    """Host and path of a url: from the first ``://`` to ``/ ? #`` or the end, A-Z lower-cased; then to ``? #`` or the end."""
+    pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+    pick = lambda k: F.coalesce(F.regexp_extract(url, pattern, k), F.lit(""))
+    return lower_ascii(pick(1)), pick(2)
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, rows: str = "_n", how: str = "left") -> DataFrame:
+    """``left`` joined with ``right`` (unique by ``key``; ``rows``: how many rows of ``left`` it meets, dropped here).
+
+    Keys with at least one in ``SALTED`` of all rows are dealt over salts, so that a hot key isn't one task's.
+    """
+    salts = F.ceil(F.col(rows) * SALTED / right.agg(F.sum(rows)).scalar()).cast("int")
+    found = right.withColumn("_salts", salts)
+    hot = found.where("_salts > 1").select(key, "_salts")  # SALTED rows at most
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+    spread = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_salts"), F.lit(1)) - 1))).drop("_salts", rows)
+    return dealt.join(spread, [key, "_salt"], how).drop("_salt")
+
+
 def fold(doc_id):
     """crc32 of the id as text, modulo 5: the split into folds that all learning operators use."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
@@ -115,7 +138,3 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.R
         yield batch.slice(begin, end - begin)
         begin = end
     give_back()
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)

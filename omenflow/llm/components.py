@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import salted_join, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for all nodes of ``a, b`` (longs): the smallest node that links reach.
 
     A node is always joined by its key with a row of its own, never gathered with its neighbours; a hub's edges are
-    pre-aggregated to a minimum.  No edges give no rows; loops and repeated edges don't matter.
+    pre-aggregated to a minimum, and dealt over salts where they meet it.  No edges give no rows; loops and repeated edges don't matter.
     """
 
     def both(e):
@@ -21,8 +21,8 @@ def components(edges: DataFrame) -> DataFrame:
     def star(e, large: bool):
         """Large: hang each larger neighbour on the least of the neighbourhood; small: the smaller ones and the node."""
         around = both(e) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = around.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-        tied = around.join(least, "a")
+        least = around.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"), F.count("*").alias("_n"))
+        tied = salted_join(around, least, "a", how="inner")
         if large:
             return tied.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return tied.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b")

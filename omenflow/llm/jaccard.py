@@ -15,7 +15,7 @@ of its lists are put aside, the short ones are heap-merged to find documents tha
 ones are probed for these by binary search; the count is exact.  First the least class is a query; then each document
 that isn't connected with it is.  Pairs that are both connected with it need no search, as they are in one component.
 
-A bundle of over ``BLOCK`` classes is dealt over blocks; each has the least class too.  What isn't connected with it
+A bundle of over ``BLOCK`` classes, or of very long sets, is dealt over blocks; each has the least class too.  What isn't connected with it
 there is then a query against all other blocks of its bundle.  Nothing is capped or dropped.
 
 Cases: null and empty texts have no shingles and link with nothing; a text of fewer than five words has all its words
@@ -37,12 +37,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .arrays import pack, shingle_rows, unpack, utf8, words
-from .common import groups, per_group, stored, table, text_chunks
+from .common import groups, per_group, salted_join, stored, table, text_chunks
 from .components import components
 
 SHARE = 75
 WIDTH = 5
 BLOCK = 512
+#: Shingles that a block's sets have together, about.
+BLOCK_SHINGLES = 2_000_000
+#: A shingle's list that may have this many classes is not gathered in one task.
+LONG_LIST = 1 << 13
 #: Counters of the sketch: its size is fixed, so that it can go to every task whatever the corpus.
 SKETCH_BITS = 20
 SEGMENTS = 64
@@ -172,17 +176,9 @@ class Bundle:
         n_long = min(t - 1, int(t / (MU * np.log2(longest) + 1)))
         far, near = lists[:n_long], lists[n_long:]
         need = t - n_long
-        if int(self.lengths[near].sum()) <= 4096:
-            merged = heapq.merge(*(self.posting[self.starts[k] : self.starts[k + 1]].tolist() for k in near))
-            met = [(k, c) for k, g in groupby(merged) if (c := sum(1 for _ in g)) >= need and k != i]
-            found, count = np.array([k for k, _ in met], np.int64), np.array([c for _, c in met], np.int64)
-        else:  # many postings: the same merge by counting
-            total = np.zeros(len(self.sets), np.int64)
-            for k in near:
-                total[self.posting[self.starts[k] : self.starts[k + 1]]] += 1
-            total[i] = 0
-            found = np.flatnonzero(total >= max(1, need))
-            count = total[found]
+        merged = heapq.merge(*(self.posting[self.starts[k] : self.starts[k + 1]].tolist() for k in near))
+        met = [(k, c) for k, g in groupby(merged) if (c := sum(1 for _ in g)) >= need and k != i]
+        found, count = np.array([k for k, _ in met], np.int64), np.array([c for _, c in met], np.int64)
         m = self.sizes[found]
         fits = (100 * np.minimum(m, n) >= self.share * np.maximum(m, n))
         found, count = found[fits], count[fits]
@@ -222,7 +218,7 @@ def _found(a: list[int], b: list[int], apart: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([apart] * len(a), pa.int32())], names=["a", "b", "apart"])
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE, width: int = WIDTH, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE, width: int = WIDTH, block: int = BLOCK, long_list: int = LONG_LIST) -> tuple[DataFrame, DataFrame]:
     """Membership (``doc_id, n_shingles, cls``) and edges between classes (``a, b``) that span all components."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -239,31 +235,46 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
         order = counts.value
         for batch in batches:
             for b, rows in rows_of(batch, width):
-                cls, first, bits = [], [], []
+                cls, first, often, bits = [], [], [], []
                 for s in rows:
                     c = class_of(s) if len(s) else None
                     cls.append(c)
                     if c is None or c in seen:  # once a task is enough
                         first.append(None)
+                        often.append(None)
                         bits.append(None)
                         continue
                     seen.add(c)
                     bits.append(bitmap(s))
-                    rare = np.argsort(order[(s & mask).astype(np.int64)], kind="stable")
-                    first.append(s[rare[: len(s) - least_overlap(len(s), share) + 1]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in rows], pa.int64()), pa.array(cls, pa.int64()), pa.array(first, pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["doc_id", "n_shingles", "cls", "first", "bits"])
+                    met = order[(s & mask).astype(np.int64)]
+                    rare = np.argsort(met, kind="stable")[: len(s) - least_overlap(len(s), share) + 1]
+                    long = met[rare] >= long_list
+                    first.append(s[rare[~long]].view(np.int64))
+                    often.append(s[rare[long]].view(np.int64))
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (first, often)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in rows], pa.int64()), pa.array(cls, pa.int64()), *lists, pa.array(bits, pa.binary())], names=["doc_id", "n_shingles", "cls", "first", "often", "bits"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    rows = stored(docs.mapInArrow(first_shingles, f"doc_id {kind}, n_shingles long, cls long, first array<long>, bits binary"))
+    rows = stored(docs.mapInArrow(first_shingles, f"doc_id {kind}, n_shingles long, cls long, first array<long>, often array<long>, bits binary"))
 
     # Lists of at least two classes whose sizes can link, each as a run of neighbouring sizes.
-    posted = rows.where("first is not null").select(F.explode("first").alias("s"), "cls", F.col("n_shingles").cast("int").alias("n"))
-    by_size = Window.partitionBy("s").orderBy("n", "cls")
-    apart = F.coalesce(F.lag("n").over(by_size).cast("long") * 100 < F.col("n") * share, F.lit(True))
-    runs = posted.withColumn("run", F.sum(apart.cast("int")).over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
-    in_run = Window.partitionBy("s", "run")
-    listed = runs.select("cls", F.min("cls").over(in_run).alias("leader"), F.max("cls").over(in_run).alias("other"))
-    members = stored(listed.where("leader < other").select("leader", "cls").distinct())
+    def posted(column: str) -> DataFrame:
+        return rows.where(f"{column} is not null").select(F.explode(column).alias("s"), "cls", F.col("n_shingles").cast("int").alias("n"))
+
+    def runs(sizes: DataFrame, low: str, high: str) -> DataFrame:
+        """Adds ``leader`` and ``other``: the least and the largest class of a row's run."""
+        by_size = Window.partitionBy("s").orderBy("n", low)
+        apart = F.coalesce(F.lag("n").over(by_size).cast("long") * 100 < F.col("n") * share, F.lit(True))
+        run = sizes.withColumn("run", F.sum(apart.cast("int")).over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
+        in_run = Window.partitionBy("s", "run")
+        return run.withColumns({"leader": F.min(low).over(in_run), "other": F.max(high).over(in_run)}).where("leader < other")
+
+    listed = runs(posted("first"), "cls", "cls").select("leader", "cls", "n")
+    # Of a long list only the sizes are gathered, with their least and largest classes; its rows are dealt over salts.
+    long = posted("often").withColumn("key", F.struct("s", "n"))
+    sizes = runs(long.groupBy("s", "n").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.count("*").alias("_n")), "low", "high")
+    led = salted_join(long.select("key", "cls", "n"), sizes.select(F.struct("s", "n").alias("key"), "leader", "_n"), "key", how="inner")
+    members = stored(listed.unionByName(led.select("leader", "cls", "n")).distinct())
 
     def sieved(t: pa.Table) -> Iterator[pa.RecordBatch]:
         names = t["cls"].to_pylist()  # sorted
@@ -271,19 +282,21 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
         more = {k for i, k in enumerate(of) if k != i}
         keep = [i for i, k in enumerate(of) if k in more]
         if keep:
-            yield pa.RecordBatch.from_arrays([pa.array([names[of[i]] for i in keep], pa.int64()), pa.array([names[i] for i in keep], pa.int64())], names=["leader", "cls"])
+            yield pa.RecordBatch.from_arrays([pa.array([names[of[i]] for i in keep], pa.int64()), pa.array([names[i] for i in keep], pa.int64()), t["n"].combine_chunks().take(pa.array(keep))], names=["leader", "cls", "n"])
 
     # Wide bundles are left as they are: their members are searched by blocks.
-    many = stored(members.groupBy("leader").agg(F.count("*").alias("m")).where(F.col("m") > block).select("leader"))
-    bitmaps = rows.where("bits is not null").select("cls", F.col("n_shingles").cast("int").alias("n"), "bits")
+    many = stored(members.groupBy("leader").agg(F.count("*").alias("_n")))
+    flagged = salted_join(members, many.withColumn("wide", F.col("_n") > block), "leader", how="inner")
+    bitmaps = rows.where("bits is not null").select("cls", "bits")
     bitmaps = bitmaps.join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
-    small = members.join(many, "leader", "left_anti").join(bitmaps, "cls")
-    small = small.repartition("leader").sortWithinPartitions("leader", "cls").mapInArrow(lambda b: (x for t in groups(b, ["leader"]) for x in sieved(t)), "leader long, cls long")
-    members = stored(small.unionByName(members.join(many, "leader", "left_semi")).distinct())
-
-    sizes = members.groupBy("leader").agg(F.count("*").alias("m")).withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
-    wide = stored(sizes.where("blocks > 1"))
-    dealt = members.join(wide.select("leader", "blocks"), "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    small = flagged.where("not wide").select("leader", "cls", "n").join(bitmaps, "cls")
+    small = small.repartition("leader").sortWithinPartitions("leader", "cls").mapInArrow(lambda b: (x for t in groups(b, ["leader"]) for x in sieved(t)), "leader long, cls long, n int")
+    members = stored(small.unionByName(flagged.where("wide").select("leader", "cls", "n")).distinct())
+
+    blocks = F.ceil(F.greatest(F.col("_n") / block, F.col("all") / BLOCK_SHINGLES)).cast("int")
+    wide = stored(members.groupBy("leader").agg(F.count("*").alias("_n"), F.sum("n").alias("all")).select("leader", "_n", blocks.alias("blocks")))
+    dealt = salted_join(members.select("leader", "cls"), wide, "leader", how="inner")
+    wide = wide.where("blocks > 1")
     dealt = dealt.where((F.col("blocks") == 1) | (F.col("cls") != F.col("leader"))).select("leader", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"), "cls", "blocks")
     leaders = wide.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("leader").alias("cls"), "blocks")
     dealt = dealt.unionByName(leaders)
@@ -327,10 +340,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
     left = found.where("apart = 1").select(F.col("a").alias("leader"), F.col("b").alias("cls"))
     if left.limit(1).count():
         # Each of these is a query against every block of its bundle, so many of them at a time as a block has.
-        chunks = left.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("int").alias("chunks")).join(wide.select("leader", "blocks"), "leader")
-        asked = left.join(chunks, "leader").withColumn("chunk", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("chunks")).cast("int"))
+        chunks = left.groupBy("leader").agg(F.count("*").alias("_n")).withColumn("chunks", F.ceil(F.col("_n") / block).cast("int")).join(wide.select("leader", "blocks"), "leader")
+        asked = salted_join(left, chunks, "leader", how="inner").withColumn("chunk", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("chunks")).cast("int"))
         asked = asked.select("leader", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "chunk", "cls", F.lit(1).alias("role"))
-        index = dealt.where("blocks > 1").join(chunks.select("leader", "chunks"), "leader")
+        index = salted_join(dealt.where("blocks > 1"), chunks.select("leader", "chunks").join(wide.select("leader", "_n"), "leader"), "leader", how="inner")
         index = index.select("leader", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "cls", F.lit(0).alias("role"))
 
         def across(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -351,21 +364,21 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share
             if a:
                 yield _found(a, b, 0)
 
-        in_wide = members.join(wide.select("leader"), "leader", "left_semi").select("cls").distinct()
+        in_wide = dealt.where("blocks > 1").select("cls").distinct()
         more = per_group(asked.unionByName(index).join(sets_of(in_wide), "cls"), ["leader", "block", "chunk"], across, "a long, b long, apart int")
         edges = edges.unionByName(stored(more).select("a", "b"))
     return rows.select("doc_id", "n_shingles", "cls"), edges
 
 
-def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE, width: int = WIDTH, block: int = BLOCK, long_list: int = LONG_LIST) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    rows, edges = links(docs, id_col, text_col, share, width, block)
+    rows, edges = links(docs, id_col, text_col, share, width, block, long_list)
     named = components(edges)
-    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    full = classes.join(named, classes["cls"] == named["node"], "left").select("cls", "least", F.coalesce("component", "cls").alias("component"))
-    ids = full.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = full.join(ids, "component").select("cls", "component_id")
-    out = rows.join(of_class, "cls", "left")
+    classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("_n"))
+    full = stored(classes.join(named, classes["cls"] == named["node"], "left").select("cls", "least", "_n", F.coalesce("component", "cls").alias("component")))
+    ids = full.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("_m"))
+    of_class = salted_join(full.drop("least"), ids, "component", "_m", "inner").select("cls", "component_id", "_n")
+    out = salted_join(rows, of_class, "cls")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

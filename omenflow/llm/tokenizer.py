@@ -4,7 +4,9 @@ A text is cut by the tokenizer's pattern; each piece is a short word of bytes.
 and the rank of each part joined with its right neighbour are held side by side in one array, which is scanned for the
 smallest rank; that boundary is deleted and the ranks of the two neighbours are found anew, until no joint part has a
 rank.  The new words of a chunk of texts are done together, those of one length as the rows of one array; words of over
-``LONGEST`` bytes one by one.  Words that were met before are looked up (at most ``CACHED`` of them are held).
+``LONGEST`` bytes one by one, and those of over ``LINKED`` bytes, for which moving an array would cost the square of
+their length, with linked parts and a heap of ranks that gives the same parts.  Words that were met before are looked
+up (at most ``CACHED`` of them are held, none of over ``LINKED`` bytes longer than for their chunk).
 
 Cases: a null or empty text has no ids and decodes to the empty text; texts of any length are read whole, piece by
 piece; a special token's string in a text is that token, as the tokenizers library has it by default; equal rows give
@@ -14,7 +16,10 @@ equal results; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import heapq
+import importlib.util
 import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,18 +27,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import env_path, table, text_chunks
+from .common import table, text_chunks
 
 CACHED = 400_000
 LONGEST = 32
+LINKED = 512
 #: Bytes of text done together.
 CHUNK = 1 << 22
 NO_RANK = 1 << 30
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
-    """The vocabulary's file; ``OMENFLOW_TOKENIZERS`` names another folder."""
-    return f"{env_path('OMENFLOW_TOKENIZERS', '/opt/tokenizers')}/{name}"
+    """The vocabulary's file: in the folder that ``OMENFLOW_TOKENIZERS`` names, else where ``public_tokenizers`` has it."""
+    folder = os.environ.get("OMENFLOW_TOKENIZERS")
+    if not folder and importlib.util.find_spec("public_tokenizers"):
+        import public_tokenizers
+
+        return str(public_tokenizers.path(name))
+    return f"{folder or '/opt/tokenizers'}/{name}"
 
 
 def byte_letters() -> dict[str, int]:
@@ -65,6 +76,29 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return [word[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
+def merge_long_word(word: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """``merge_word`` in time that grows with ``n log n``: parts are linked, joints wait in a heap by rank, then place."""
+    n = len(word)
+    after, before = list(range(1, n + 2)), list(range(-1, n))  # a part is named by where it begins; n is the end
+    get = ranks.get
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := get(word[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    alive = bytearray(b"\1" * n)
+    while heap:
+        _, i, end = heapq.heappop(heap)
+        if not alive[i] or (k := after[i]) >= n or after[k] != end:  # one of the two parts has changed since
+            continue
+        alive[k] = 0
+        after[i] = end
+        if end < n:
+            before[end] = i
+            if (r := get(word[i : after[end]])) is not None:
+                heapq.heappush(heap, (r, i, after[end]))
+        if i and (r := get(word[before[i] : end])) is not None:
+            heapq.heappush(heap, (r, before[i], end))
+    return [word[i : after[i]] for i in range(n) if alive[i]]
+
+
 class Codec(dict):
     """Maps a piece of text to its ids as little-endian 32-bit integers; ``encode`` and ``decode`` whole texts."""
 
@@ -152,8 +186,9 @@ class Codec(dict):
             by_length.setdefault(len(raw), []).append((p, raw))
         for length, words in by_length.items():
             if not 2 <= length <= LONGEST:
+                merge = merge_word if length <= LINKED else merge_long_word
                 for p, raw in words:
-                    self[p] = b"".join(map(self.four.__getitem__, merge_word(raw, self.ranks)))
+                    self[p] = b"".join(map(self.four.__getitem__, merge(raw, self.ranks)))
                 continue
             rows = np.frombuffer(b"".join(raw for _, raw in words), np.uint8).reshape(-1, length)
             out, count = self.merge_rows(rows)
@@ -180,7 +215,10 @@ class Codec(dict):
             new = {x for parts in found for p in parts if p for x in p}
         self.learn(new)
         get = self.__getitem__
-        return [b"".join([self.special[s].to_bytes(4, "little") if p is None else b"".join(map(get, p)) for s, p in zip(parts, ps, strict=True)]) for parts, ps in zip(cut, found, strict=True)]
+        out = [b"".join([self.special[s].to_bytes(4, "little") if p is None else b"".join(map(get, p)) for s, p in zip(parts, ps, strict=True)]) for parts, ps in zip(cut, found, strict=True)]
+        for p in [p for p in new if len(p) > LINKED]:
+            del self[p]
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -245,7 +283,8 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
                     second.append(hashlib.sha256(c.decode(ids).encode("utf-8")).hexdigest())
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

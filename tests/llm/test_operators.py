@@ -100,7 +100,7 @@ def test_language_gradients_and_unknown(docs, nothing):
 def test_fingerprints_find_the_exact_difference(docs, nothing):
     rows = fingerprints.with_next(docs, ranges=4)
     pairs = {r.doc_id: r for r in fingerprints.compare_versions(rows, "next_text").collect()}
-    cut = lambda t: {x for x in re.split(fingerprints.SENTENCE.replace("\\\\", "\\") if len(t) < fingerprints.SHORT else fingerprints.LINE.replace("\\\\", "\\"), t) if x}
+    cut = lambda t: {x for x in re.split(fingerprints.SENTENCE.replace("\\\\", "\\"), t) if x}
     for i in range(len(TEXTS)):
         a, b = TEXTS[i] or "", TEXTS[i - 1 if i else len(TEXTS) - 1] or ""
         assert pairs[i].next_text == b
@@ -129,8 +129,8 @@ def shingles(t):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
 
 
-@pytest.mark.parametrize("block", [512, 2])
-def test_jaccard_join_equals_brute_force(docs, nothing, block):
+@pytest.mark.parametrize(("block", "long_list"), [(512, 1 << 13), (2, 1 << 13), (512, 0), (2, 2)])
+def test_jaccard_join_equals_brute_force(docs, nothing, block, long_list):
     sets = [shingles(t) for t in TEXTS]
     top = list(range(len(sets)))
     for _ in sets:
@@ -138,7 +138,7 @@ def test_jaccard_join_equals_brute_force(docs, nothing, block):
             for k, b in enumerate(sets):
                 if a and b and 100 * len(a & b) >= 75 * len(a | b):
                     top[i] = min(top[i], top[k])
-    got = {r.doc_id: r for r in jaccard.link_components(docs, block=block).collect()}
+    got = {r.doc_id: r for r in jaccard.link_components(docs, block=block, long_list=long_list).collect()}
     assert [got[i].component_id for i in range(len(sets))] == top
     assert [got[i].n_shingles for i in range(len(sets))] == [len(s) for s in sets]
     assert jaccard.link_components(nothing).count() == 0

@@ -3,10 +3,10 @@
 Two smoothed variable-order Markov models (Witten-Bell: each order up to ``order`` is interpolated with the next
 shorter one, down to a uniform distribution) learn the characters of ``host + path`` of the urls that rules accept and
 reject.  Another url gets the length-normalised difference of its log-likelihoods, compared with a threshold that is
-calibrated on rule-judged urls held out from the models (crc32 of the id modulo 5 is 0): the one with the best balanced
-accuracy over a histogram of ``BINS`` steps.
+calibrated on rule-judged urls held out from the models (crc32 of ``host + path`` modulo 5 is 0, so that no copy of a
+held-out url is learned): the one with the best balanced accuracy over a histogram of ``BINS`` steps.
 
-Only distinct n-grams are looked up in the model; the sums over positions are salted, since every url begins alike.
+Only distinct n-grams are looked up in the model; what a url of any length moves is in proportion to its length.
 
 Cases: a null url or one without ``://`` has an empty host and path and is allowed, as nothing speaks against it; so is
 every url where no url was rejected by a rule, and none where none was accepted; repeated rows get equal verdicts;
@@ -15,11 +15,10 @@ an empty table gives an empty result; very long urls are read whole.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, lower_ascii, stored, table
+from .common import fold, stored, table, url_parts
 
 #: (host, path, verdict); a rule fits its host and all subdomains where the path begins with its path.
 RULES = (
@@ -31,29 +30,28 @@ RULES = (
 )
 START, END = "\u0002", "\u0003"
 BINS = 2000
-SALTS = 16
-
-
-def parts(url: Column) -> tuple[Column, Column]:
-    pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-    pick = lambda k: F.coalesce(F.regexp_extract(url, pattern, k), F.lit(""))
-    return lower_ascii(pick(1)), pick(2)
+#: Most n-grams that are looked up from a broadcast table.
+HOT = 1024
 
 
 def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits (the first listed of equals) and its verdict, or nulls."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for h, p, v in sorted(rules, key=lambda r: len(r[0]) + len(r[1])):
+    for h, p, v in sorted(reversed(rules), key=lambda r: len(r[0]) + len(r[1])):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         rule, verdict = F.when(fits, h + p).otherwise(rule), F.when(fits, v).otherwise(verdict)
     return rule, verdict
 
 
 def grams(df: DataFrame, order: int, *keep: str) -> DataFrame:
-    """One row for each position of ``body``: its character after the ``order`` characters before it."""
-    padded = F.concat(F.lit(START * order), F.col("body"), F.lit(END))
-    at = df.select(*keep, padded.alias("padded"), F.explode(F.sequence(F.lit(1), F.length("body") + 1)).alias("i"))
-    return at.select(*keep, F.substring("padded", F.col("i"), F.lit(order + 1)).alias("gram"))
+    """One row for each position of ``body``: its character after the ``order`` characters before it.
+
+    The characters are an array that is bound once, so that a position costs the same in a body of any length.
+    """
+    padded = F.split(F.concat(F.lit(START * order), F.col("body"), F.lit(END)), "")
+    at = lambda cs: F.transform(F.sequence(F.lit(0), F.size(cs) - order - 1), lambda i: F.concat(*[F.get(cs, i + k) for k in range(order + 1)]))
+    cut = df.select(*keep, F.flatten(F.transform(F.array(padded), at)).alias("grams"))
+    return cut.select(*keep, F.explode("grams").alias("gram"))
 
 
 def train(labelled: DataFrame, order: int) -> DataFrame:
@@ -74,35 +72,51 @@ def train(labelled: DataFrame, order: int) -> DataFrame:
 
 
 def differences(model: DataFrame, wanted: DataFrame, order: int) -> DataFrame:
-    """``gram, diff``: log-probability of the last character under the accepting model less that under the rejecting."""
-    keys = []
-    for k in range(order + 1):
-        keys.append(F.struct(F.lit("g").alias("kind"), F.lit(k).alias("k"), F.expr(f"right(gram, {k + 1})").alias("key")))
-        keys.append(F.struct(F.lit("c").alias("kind"), F.lit(k).alias("k"), F.expr(f"left(right(gram, {k + 1}), {k})").alias("key")))
-    asked = wanted.select("gram", F.explode(F.array(*keys)).alias("x")).select("gram", "x.*")
-    got = asked.join(model, ["kind", "key"], "left")
-    cells = [F.max(F.when((F.col("kind") == kind) & (F.col("k") == k), F.col(c))).alias(f"{kind}{k}{c}") for k in range(order + 1) for kind, c in (("g", "na"), ("g", "nb"), ("c", "na"), ("c", "nb"), ("c", "ta"), ("c", "tb"))]
-    wide = got.groupBy("gram").agg(*cells)
-    alphabet = 1.0 / 1024
-    pa, pb = F.lit(alphabet), F.lit(alphabet)
-    for k in range(order + 1):
-        z = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("double")  # noqa: E731, B023
-
-        def mixed(side, lower, k=k, z=z):
-            n, t = z(f"c{k}n{side}"), z(f"c{k}t{side}")
-            return F.when(n > 0, (z(f"g{k}n{side}") + t * lower) / (n + t)).otherwise(lower)
+    """``gram, diff``: log-probability of the last character under the accepting model less that under the rejecting.
 
-        wide = wide.withColumn(f"pa{k}", mixed("a", pa)).withColumn(f"pb{k}", mixed("b", pb))
-        pa, pb = F.col(f"pa{k}"), F.col(f"pb{k}")
-    return wide.select("gram", (F.log(pa) - F.log(pb)).alias("diff"))
+    Suffixes are worked out from the shortest to the longest, each length from the one below it: distinct suffixes that
+    share a shorter one, or a context, are no more than the alphabet has characters, so that no key of a join is hot.
+    """
+    ends = {order: wanted.select(F.col("gram").alias("key"))}
+    for k in range(order - 1, -1, -1):
+        ends[k] = ends[k + 1].select(F.expr(f"right(key, {k + 1})").alias("key")).distinct()
+    zero = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("double")
+    below = None
+    for k in range(order + 1):
+        met = model.where((F.col("kind") == "g") & (F.char_length("key") == k + 1)).select("key", "na", "nb")
+        context = model.where((F.col("kind") == "c") & (F.char_length("key") == k)).select(F.col("key").alias("context"), F.col("na").alias("ca"), F.col("nb").alias("cb"), "ta", "tb")
+        rows = ends[k].join(met, "key", "left").withColumn("context", F.expr(f"left(key, {k})"))
+        if below is None:  # one context, the empty one
+            rows = rows.join(F.broadcast(context), "context", "left").withColumns({"la": F.lit(1.0 / 1024), "lb": F.lit(1.0 / 1024)})
+        else:
+            rows = rows.join(context, "context", "left").withColumn("lower", F.expr(f"right(key, {k})")).join(below, "lower")
+        mixed = {}
+        for x in "ab":
+            n, t = zero(f"c{x}"), zero(f"t{x}")
+            mixed[x] = F.when(n > 0, (zero(f"n{x}") + t * F.col(f"l{x}")) / (n + t)).otherwise(F.col(f"l{x}"))
+        probs = rows.select("key", mixed["a"].alias("la"), mixed["b"].alias("lb"))
+        below = probs.withColumnRenamed("key", "lower")
+    return probs.select(F.col("key").alias("gram"), (F.log("la") - F.log("lb")).alias("diff"))
 
 
 def ratios(bodies: DataFrame, model: DataFrame, order: int) -> DataFrame:
-    """``body, ratio`` of distinct bodies: the mean difference over their characters and the end."""
-    at = grams(bodies, order, "body").withColumn("salt", F.pmod(F.xxhash64("body"), F.lit(SALTS)).cast("int"))
-    wanted = at.select("gram").distinct()
-    found = differences(model, wanted, order).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return at.join(found, ["gram", "salt"]).groupBy("body").agg(F.avg("diff").alias("ratio"))
+    """``body, ratio`` of distinct bodies: the mean difference over their characters and the end.
+
+    A body travels as a 128-bit key.  N-grams with at least one in ``HOT`` of all positions, ``HOT`` at most, are
+    looked up from a broadcast table, so that no other one has more positions than that in a task.
+    """
+    keyed = bodies.select("body", F.xxhash64("body").alias("k1"), F.xxhash64("body", F.lit(1)).alias("k2"))
+    at = grams(keyed, order, "k1", "k2").groupBy("k1", "k2", "gram").agg(F.count("*").alias("n"))  # each body's n-grams once
+    at = stored(at)
+    wanted = stored(at.groupBy("gram").agg(F.sum("n").alias("n"), F.count("*").alias("rows")))
+    total = wanted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    found = stored(differences(model, wanted.select("gram"), order).join(wanted, "gram"))
+    hot = found.where(F.col("rows") * HOT >= total).select("gram", F.col("diff").alias("hot"))  # HOT rows at most
+    split = at.join(F.broadcast(hot), "gram", "left")
+    known = split.where("hot is not null").select("k1", "k2", "n", F.col("hot").alias("diff"))
+    rest = split.where("hot is null").drop("hot").join(found.where(F.col("rows") * HOT < total).select("gram", "diff"), "gram").select("k1", "k2", "n", "diff")
+    sums = known.unionByName(rest).groupBy("k1", "k2").agg((F.sum(F.col("n") * F.col("diff")) / F.sum("n")).alias("ratio"))
+    return keyed.join(sums, ["k1", "k2"]).select("body", "ratio")
 
 
 def threshold(scored: DataFrame) -> float:
@@ -124,12 +138,12 @@ def threshold(scored: DataFrame) -> float:
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, order: int = 5) -> DataFrame:
     """``id, host, path, rule, verdict, ratio`` of every row (``ratio`` only where no rule fits)."""
-    host, path = parts(F.col(url_col))
+    host, path = url_parts(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
-    rows = rows.select("id", "host", "path", F.concat("host", "path").alias("body"), rule.alias("rule"), verdict.alias("ruled"), (fold(F.col("id")) == 0).alias("held"))
+    rows = rows.select("id", "host", "path", F.concat("host", "path").alias("body"), rule.alias("rule"), verdict.alias("ruled"), (fold(F.concat("host", "path")) == 0).alias("held"))
     rows = stored(rows)
-    labelled = rows.where("ruled is not null").select("body", (F.col("ruled") == "allow").alias("accepted"), F.coalesce("held", F.lit(False)).alias("held"))
+    labelled = rows.where("ruled is not null").select("body", (F.col("ruled") == "allow").alias("accepted"), "held")
     classes = {bool(r.accepted) for r in labelled.select("accepted").distinct().collect()}
     out = lambda df, v, r: df.select("id", "host", "path", "rule", F.coalesce("ruled", v).alias("verdict"), r.alias("ratio"))
     if classes != {True, False}:

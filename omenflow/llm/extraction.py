@@ -22,18 +22,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, text_chunks
+from .common import salted_join, stored, table, text_chunks, url_parts
 
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|select|canvas"
+RAW = "script|style|noscript|template|textarea|title|iframe|svg|select|canvas"
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - frozenset("body html tbody td tfoot th thead tr caption li dd dt summary".split())
 LEFT_OUT = frozenset("nav footer aside form button dialog menu head label option input fieldset".split())
-#: Words in class, id or role that name a part that isn't the article.
+#: Names (whole classes, ids or roles) of parts that aren't the article.
 OTHER_PARTS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted promotion related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar topbar widget complementary contentinfo search alert".split()
 )
+#: Words that make a name of several words with those above (``site-footer``, ``comments-list``) and say nothing themselves.
+PLACES = frozenset("area bar block bottom box button buttons container form global header icons inner item items left link links list main menu mobile nav page panel post primary right row secondary section site slot top unit wrap wrapper".split())
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORDS = re.compile(r"[a-z]+")
 #: Elements that hold a text, not an article.
@@ -42,6 +44,17 @@ TEXT = frozenset("p li pre blockquote h1 h2 h3 td".split())
 MOST = 0.75
 
 
+def names_other_part(value: str, inside: bool = False) -> bool:
+    """Whether a class, id or role names a part that isn't the article, by all of its words; ``inside`` one, headers stay."""
+    for name in value.split():
+        parts = WORDS.findall(name)
+        if inside and "header" in parts:
+            continue
+        if name in OTHER_PARTS or parts and not OTHER_PARTS.isdisjoint(parts) and all(x in OTHER_PARTS or x in PLACES for x in parts):
+            return True
+    return False
+
+
 def _tag(path: str) -> str:
     return path.rsplit("/", 1)[-1].split(".", 1)[0]
 
@@ -134,7 +147,7 @@ class Page:
                     names = "".join("." + x for x in sorted({re.sub(r"\d+", "", x) for x in value.split()} - {""}))
                 if key in ("class", "id", "role"):
                     if tag not in ("body", "html", "article", "main"):
-                        out = out or not OTHER_PARTS.isdisjoint(WORDS.findall(value))
+                        out = out or names_other_part(value, inside)
                 elif key == "hidden":
                     out = True
                 elif key == "aria-hidden":
@@ -209,10 +222,6 @@ class Page:
         return self.text(path if path else None)
 
 
-def host_of(url):
-    return F.lower(F.coalesce(F.regexp_extract(url, r"^[^:]*://([^/?#]*)", 1), F.lit("")))
-
-
 def votes(pages: DataFrame) -> DataFrame:
     """``host, path, score`` of each page; the input has ``host, html``."""
 
@@ -226,17 +235,17 @@ def votes(pages: DataFrame) -> DataFrame:
 
 
 def winning_paths(cast: DataFrame) -> DataFrame:
-    """``host, paths``: those with a tenth of the host's votes at least, most first.  A page's vote counts once."""
-    counted = cast.where("path <> ''").groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("score").alias("score"))
-    total = counted.groupBy("host").agg(F.sum("n").alias("all"))
-    won = counted.join(total, "host").where(F.col("n") * 10 >= F.col("all"))
-    listed = won.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("w"))
-    return listed.select("host", F.col("w.path").alias("paths"))
+    """``host, paths, _n``: those with a tenth of the host's votes at least, most first; and the host's pages.  A page's vote counts once."""
+    counted = cast.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("score").alias("score"))
+    total = counted.groupBy("host").agg(F.sum(F.when(F.col("path") != "", F.col("n"))).alias("all"), F.sum("n").alias("_n"))
+    won = counted.where("path <> ''").join(total, "host").where(F.col("n") * 10 >= F.col("all"))
+    listed = won.groupBy("host", "_n").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "path"))).alias("w"))
+    return listed.select("host", F.col("w.path").alias("paths"), "_n")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every row."""
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), url_parts(F.col(url_col))[0].alias("host"), F.col(html_col).alias("html"))
     won = stored(winning_paths(votes(rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +255,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = dict(rows.dtypes)["page_id"]
-    return rows.join(won, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return salted_join(rows, won, "host").select("page_id", "url", "html", "paths").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
 
 
 def op10_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:

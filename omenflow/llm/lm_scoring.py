@@ -215,32 +215,40 @@ def quantised(x: np.ndarray, uniform: float) -> np.ndarray:
 def learn_weights(hist: dict[tuple, int], order: int, rounds: int = 60) -> np.ndarray:
     """Weights by bucket (order + 1 of each: uniform first) by expectation-maximisation.
 
-    ``hist``: how often each bucket and quantised estimates were met.  A bucket that wasn't met has the weights of the
-    one below it, the first those of all counts together.
+    ``hist``: how often each bucket and quantised estimates were met.  A bucket's weights are 0 for the orders whose
+    context wasn't met, as their estimates are 0 there, so that the mixture is a distribution.  A bucket with few counts
+    has the weights of the one below it, the first of an order those of all its counts together, and an order without
+    any those of the order below.  Half a count for each weight keeps all of them, the uniform one too, above 0.
     """
     size = (order - 1) * LEVELS + 1
     keys = np.array([*hist], np.int64).reshape(-1, order + 1)
     n = np.array([*hist.values()], np.float64)
     ratio = np.where(keys[:, 1:] > 0, 2.0 ** ((keys[:, 1:] - 1) / FINE - 8), 0.0)
     ratio = np.concatenate([np.ones((len(n), 1)), ratio], axis=1)
+    longest = np.where(keys[:, 0] > 0, (keys[:, 0] - 1) // LEVELS + 2, 1)  # the highest order whose context was met
 
-    def em(rows: np.ndarray) -> np.ndarray:
-        w = np.full(order + 1, 1.0 / (order + 1))
+    def em(rows: np.ndarray, top: int) -> np.ndarray:
+        may = np.arange(order + 1) <= top
+        w = may / may.sum()
         r, c = ratio[rows], n[rows]
         for _ in range(rounds):
             share = r * w
             share /= share.sum(axis=1, keepdims=True)
-            w = np.maximum(c @ share / c.sum(), 1e-9)
-            w /= w.sum()
+            w = (c @ share + 0.5 * may) / (c.sum() + 0.5 * may.sum())
         return w
 
     out = np.empty((size, order + 1))
-    last = em(np.ones(len(n), bool)) if len(n) else np.eye(order + 1)[0]
-    for level in range(size):
-        rows = keys[:, 0] == level if len(n) else np.zeros(0, bool)
-        if len(n) and n[rows].sum() >= 20:
-            last = em(rows)
-        out[level] = last
+    last = np.arange(order + 1) <= 1
+    last = last / last.sum()
+    for top in range(1, order + 1):
+        mine = longest == top
+        if len(n) and mine.any():
+            last = em(mine, top)
+        for level in range(0 if top == 1 else (top - 2) * LEVELS + 1, 1 if top == 1 else (top - 1) * LEVELS + 1):
+            rows = keys[:, 0] == level if len(n) else np.zeros(0, bool)
+            if len(n) and n[rows].sum() >= 20:
+                last = em(rows, top)
+            out[level] = last
     return out
 
 

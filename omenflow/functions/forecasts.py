@@ -93,11 +93,65 @@ def stakes(text: Column) -> Column:
 
 
 def python_lists(text: Column) -> Column:
-    """A printed dict of lists under the keys 0 to 4 as ``map<string,string>`` of joined items; unreadable text gives null."""
-    keyed = F.regexp_replace(F.regexp_replace(text, r"([{,]\s*)'?([0-4])'?\s*:", r'$1"$2":'), "'", '"')
+    """A printed dict of lists under the keys 0 to 4 as ``map<string,string>`` of joined items; unreadable text gives null.
+
+    Quotes that open or close a key or an item become double ones; apostrophes inside words stay.
+    """
+    plain = F.regexp_replace(text, '"', r'\\\\"')
+    opened = F.regexp_replace(plain, r"(?<=[{\[,:])(\s*)'", '$1"')
+    closed = F.regexp_replace(opened, r"'(?=\s*[}\],:])", '"')
+    keyed = F.regexp_replace(closed, r'([{,]\s*)"?([0-4])"?\s*:', r'$1"$2":')
     return F.transform_values(F.from_json(keyed, "map<string,array<string>>"), lambda _, v: F.array_join(v, ", "))
 
 
+def loose_lists(text: Column) -> Column:
+    """The same of dicts whose items may stand without quotes: ``{0: [a, b c], 1: []}``; what has no such lists is an empty map."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"""['"]?([0-4])['"]?\s*:\s*\[([^\]]*)\]"""), 0)
+    key = lambda x: F.regexp_extract(x, r"([0-4])", 1)
+    items = lambda x: F.filter(F.transform(F.split(F.regexp_extract(x, r"\[([^\]]*)\]", 1), ","), lambda i: F.regexp_replace(F.trim(i), r"""^['"]|['"]$""", "")), lambda i: i != "")
+    return F.map_from_entries(F.transform(found, lambda x: F.struct(key(x).alias("key"), F.array_join(items(x), ", ").alias("value"))))
+
+
+def strict_fields(df: DataFrame, text: str = "text", template: str = "template") -> DataFrame:
+    """``template_fields`` in which a sentence that doesn't match its template is an error."""
+    t = F.col(template)
+    fits = F.coalesce(*[F.when(t == n, F.col(text).rlike(p)) for n, p in TEMPLATES.items()], F.lit(False))
+    told = F.raise_error(F.concat(F.lit("no match of its template: "), F.coalesce(F.col(text), F.lit("null"))))
+    return template_fields(df.withColumn(text, F.when(fits, F.col(text)).otherwise(told)), text, template)
+
+
+def number_or(text: Column, default: int = -1) -> Column:
+    """A whole number read from text, cut at the point; the default where it can't be read."""
+    return F.coalesce(text.try_cast("double").try_cast("int"), F.lit(default))
+
+
+def read_users(df: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose printed record could be read, its fields as columns, and the rows that couldn't."""
+    read = df.withColumn("_u", quoted_json(F.col(column), schema))
+    bad = F.col("_u").isNull() | (F.array_size(F.array_compact(F.array(*(F.col(f"_u.{f.strip().split(' ')[0]}").cast("string") for f in schema.split(","))))) == 0)
+    return read.where(~bad).select(*(c for c in df.columns if c != column), "_u.*"), read.where(bad).select(*df.columns)
+
+
+def nested_events(df: DataFrame, column: str, word: str = "prediction") -> DataFrame:
+    """The records (``title`` and lists of lists of events) in which any value of any event has the word."""
+    read = df.withColumn("_e", F.from_json(column, "title STRING, event_list_extraction ARRAY<ARRAY<MAP<STRING, STRING>>>"))
+    has = lambda m: F.exists(F.map_values(m), lambda v: F.coalesce(F.lower(v).contains(word), F.lit(False)))
+    return read.where(F.exists(F.flatten("_e.event_list_extraction"), has)).select(*(c for c in df.columns if c != column), "_e.*")
+
+
+def flat_events(read: DataFrame, kind: str = "prediction") -> DataFrame:
+    """A row for each event of a kind: ``title, time, location, subject, object``."""
+    each = read.select("title", F.explode(F.flatten("event_list_extraction")).alias("e")).where(F.col("e")["Event"] == kind)
+    return each.select("title", *(F.col("e")[n].alias(n.lower()) for n in ("Time", "Location", "Subject", "Object")))
+
+
+def absolute(link: Column, base: Column) -> Column:
+    """A link on a page with this url: as it is, from the host, or beside the page."""
+    host = F.regexp_extract(base, r"^([^:/?#]+://[^/?#]*)", 1)
+    beside = F.regexp_replace(F.regexp_replace(base, r"[?#].*$", ""), r"^([^:/?#]+://[^/?#]*)?(.*/)?[^/]*$", "$2")
+    return F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(link.startswith("/"), F.concat(host, link)).otherwise(F.concat(host, F.when(beside == "", "/").otherwise(beside), link))
+
+
 def quoted_json(text: Column, schema: str) -> Column:
     """JSON printed with single quotes."""
     return F.from_json(F.regexp_replace(text, "'", '"'), schema)
@@ -108,8 +162,19 @@ def printed_vector(text: Column) -> Column:
     return F.transform(tokens(F.regexp_replace(text, r"[\[\],]", " ")), lambda x: x.try_cast("float"))
 
 
-def sigmoid(x: Column) -> Column:
-    return 1 / (1 + F.exp(-x))
+def sigmoid(x: Column, base: float | None = None) -> Column:
+    """With another base in place of e, if given."""
+    p = F.exp(x) if base is None else F.pow(F.lit(float(base)), x)
+    return p / (p + 1)
+
+
+def standardized(x: Column, mean: Column, deviation: Column) -> Column:
+    return (x - mean) / deviation
+
+
+def restored(z: Column, mean: Column, deviation: Column) -> Column:
+    """What ``standardized`` was made of."""
+    return z * deviation + mean
 
 
 def query_string(params: Column) -> Column:

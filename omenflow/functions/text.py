@@ -57,19 +57,73 @@ def has_future_modal(text: Column) -> Column:
     return F.arrays_overlap(tokens(F.lower(text)), F.array(*map(F.lit, FUTURE_MODALS)))
 
 
+#: Titles that are organisations, and the forms of temperatures.
+ORGANISATIONS = ("Weather Underground", "The Weather Channel]")
+TEMPERATURE = r"^(?:-\d+°[CF]|-\d+°[CF] to -\d+°[CF]|\d+°[CF] to \d+°[CF]|\d+°[CF])"
+
+
 def corrected_entity(label: Column, text: Column) -> Column:
-    """Entity labels put right by what the text looks like."""
+    """Entity labels put right by what the text looks like; patterns hold at its start."""
     quarter = text.rlike(r"^(?:Q\d of \d{4}|Quarter \d|\d Q\d)")
     return (
-        F.when(label.rlike("^LOC"), "GPE")
+        F.when((label == "LOC") | label.startswith("LOC_"), "GPE")
         .when(label == "FAC", "PERSON")
         .when((label == "WORK_OF_ART") & quarter, "DATE")
+        .when((label == "WORK_OF_ART") & text.isin(*ORGANISATIONS), "ORG")
         .when((label == "CARDINAL") & text.rlike(r"^\d{1,2} [a-zA-Z]+ \d{4}"), "DATE")
-        .when((label == "CARDINAL") & text.rlike(r"^-?\d+(?:\.\d+)? ?°[CF]"), "TEMPERATURE")
+        .when((label == "CARDINAL") & text.rlike(TEMPERATURE), "TEMPERATURE")
         .otherwise(label)
     )
 
 
+def pieces(text: Column) -> Column:
+    """Between single spaces, empty ones too."""
+    return F.split(text, " ", -1)
+
+
+def lines(text: Column) -> Column:
+    """Trimmed lines that aren't blank."""
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def without_tags(text: Column) -> Column:
+    """Tags become a space, white space one space, ends trimmed."""
+    return F.trim(F.regexp_replace(F.regexp_replace(text, r"<[^<>]*>", " "), r"[ \t\n\x0B\f\r]+", " "))
+
+
+def version_of(name: Column) -> Column:
+    """The number of ``name-vN.ext``, ``name-N.ext`` or ``name_vN``; null if there is none."""
+    return F.regexp_extract(name, r"(?:-v?|_v)(\d+)(?:\.[^.]*)?$", 1).try_cast("int")
+
+
+def dated(name: Column) -> Column:
+    return F.coalesce(name.rlike(r"\d{4}-\d{2}-\d{2}"), F.lit(False))
+
+
+def spans(text: Column, marks: Column) -> Column:
+    """The pieces of a text between ``start`` and ``end`` (from 0, end not with it) of ``marks``, with their labels."""
+    return F.transform(marks, lambda m: F.struct(m["label"].alias("label"), F.substring(text, m["start"] + 1, m["end"] - m["start"]).alias("piece")))
+
+
+def paired_tokens(a: Column, b: Column) -> Column:
+    """``[CLS] a.. [SEP] b.. [SEP]``."""
+    sep = F.array(F.lit("[SEP]"))
+    return F.concat(F.array(F.lit("[CLS]")), tokens(a), sep, tokens(b), sep)
+
+
+def letter_places(text: Column, alphabet: str = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ .,;'") -> Column:
+    """Each letter's place in an alphabet, -1 if it has none: the columns of a one-hot matrix."""
+    return F.transform(F.split(text, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
+
+
+def composed(template: str, **parts: Column) -> Column:
+    """A prompt's template with each ``{name}`` replaced by a column."""
+    out = F.lit(template)
+    for name, value in parts.items():
+        out = F.replace(out, F.lit("{" + name + "}"), value)
+    return out
+
+
 def response_fields(text: Column, schema: str = "label INT, reasoning STRING") -> Column:
     """The JSON object inside a free-form answer, or null."""
     found = F.regexp_extract(text, r"(?s)(\{.*\})", 1)

@@ -79,6 +79,19 @@ def report(cells: DataFrame) -> DataFrame:
     return sums.select("model", "class", share(h, s).alias("precision"), share(h, t).alias("recall"), share(2 * h, s + t).alias("f1"), "support")
 
 
+def report_averages(reported: DataFrame) -> DataFrame:
+    """``model, row, precision, recall, f1, support``: each model's plain (macro) and support-weighted averages."""
+    names = ("precision", "recall", "f1")
+    n = F.sum("support")
+    macro = reported.groupBy("model").agg(F.lit("macro avg").alias("row"), *(F.avg(c).alias(c) for c in names), n.alias("support"))
+    return macro.unionByName(reported.groupBy("model").agg(F.lit("weighted avg").alias("row"), *(share(F.sum(F.col(c) * F.col("support")), n).alias(c) for c in names), n.alias("support")))
+
+
+def ranked_pairs(kappas: DataFrame) -> DataFrame:
+    """Adds ``rank``, by falling kappa.  A row for each pair of raters, so that one task ranks them."""
+    return kappas.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("kappa"), "model_1", "model_2")))
+
+
 def auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     """One row: the chance that a positive scores above a negative, equals counting half.
 

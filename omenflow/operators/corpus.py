@@ -38,18 +38,68 @@ def tfidf(docs: DataFrame, max_features: int) -> DataFrame:
     return raw.join(length, "doc_id").select("doc_id", "term", (F.col("w") / F.col("len")).alias("weight"))
 
 
+def _idf(docs: DataFrame, epsilon: float) -> tuple[DataFrame, DataFrame]:
+    """``term, idf`` and one row of ``n, avg_size``; a negative idf becomes a share of the mean idf of all terms.
+
+    Only document frequencies are counted, each term once a document, and summed before they are moved.
+    """
+    t = docs.select(tokens(F.lower("text")).alias("t"))
+    stats = t.agg(F.count("*").alias("n"), F.avg(F.size("t")).alias("avg_size"))  # one row
+    df = t.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    raw = df.select("term", (F.log(stats.select("n").scalar() - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
+    mean = raw.agg(F.avg("raw")).scalar()
+    return raw.select("term", F.when(F.col("raw") < 0, epsilon * mean).otherwise(F.col("raw")).alias("idf")), stats
+
+
 def bm25(docs: DataFrame, query: list[str], k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
-    """``doc_id, score`` of documents with a query term; a negative idf becomes a share of the mean idf of all terms."""
+    """``doc_id, score`` of documents with a query term.  Frequencies of the query's terms only are counted, in each document's own row."""
+    idf, stats = _idf(docs, epsilon)
+    wanted = idf.where(F.col("term").isin(query))  # a row for each term of the query
+    rows = docs.select("doc_id", tokens(F.lower("text")).alias("t")).select("doc_id", F.size("t").alias("size"), F.filter("t", lambda x: x.isin(*query)).alias("t")).where(F.size("t") > 0)
+    each = F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.size(F.filter("t", lambda x: x == w)).alias("tf")))
+    met = rows.select("doc_id", "size", F.inline(each)).join(F.broadcast(wanted), "term")
+    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / stats.select("avg_size").scalar()))
+    return met.groupBy("doc_id").agg(F.sum(part).alias("score"))
+
+
+def bm25_search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
+    """``query_id, doc_id, score``: the ``k`` best documents of each query (``query_id, text``); a repeated query term counts again.
+
+    Scores that agree to nine decimals are equal, as sums depend on their order; of equals the smallest ids come first.
+    """
+    idf, stats = _idf(docs, epsilon)
+    asked = queries.select("query_id", F.explode(tokens(F.lower("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qn"))
+    each = docs.select("doc_id", F.explode(tokens(F.lower("text"))).alias("term"))
+    tf = each.join(asked.select("term").distinct(), "term", "left_semi").groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    tf = tf.join(docs.select("doc_id", F.size(tokens(F.lower("text"))).alias("size")), "doc_id")
+    part = F.col("qn") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / stats.select("avg_size").scalar()))
+    scores = tf.join(idf, "term").join(asked, "term").groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "doc_id"))
+    return scores.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
+
+
+def smoothed_idf(docs: DataFrame) -> DataFrame:
+    """``doc_id, term, score``: tf (share of the document's tokens) times ln(documents / (occurrences in all + 1))."""
     tf = term_counts(docs)
     sizes = docs.select("doc_id", F.size(tokens(F.lower("text"))).alias("size"))
-    stats = sizes.agg(F.count("*").alias("n"), F.avg("size").alias("avg_size"))  # one row
-    df = tf.groupBy("term").agg(F.count("*").alias("df")).join(stats)
-    idf = df.select("term", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("idf"))
-    mean = idf.agg(F.avg("idf").alias("mean_idf"))
-    wanted = idf.where(F.col("term").isin(query)).join(mean).select("term", F.when(F.col("idf") < 0, epsilon * F.col("mean_idf")).otherwise(F.col("idf")).alias("idf"))
-    met = tf.join(F.broadcast(wanted), "term").join(sizes, "doc_id").join(stats)
-    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / F.col("avg_size")))
-    return met.groupBy("doc_id").agg(F.sum(part).alias("score"))
+    all_ = tf.groupBy("term").agg(F.sum("tf").alias("all"))
+    n = docs.agg(F.count("*")).scalar()
+    return tf.join(all_, "term").join(sizes, "doc_id").select("doc_id", "term", (F.col("tf") / F.col("size") * F.log(n / (F.col("all") + 1))).alias("score"))
+
+
+def keyword_score(docs: DataFrame, query: list[str], weights: dict[str, float], absent: float = 1e6) -> DataFrame:
+    """``doc_id, score``: over the query's tokens, repeats too, tf times idf times weight.
+
+    A token's idf is 0 in a document that has it and ln(``absent``) otherwise, less its weight (1 where none is given).
+    """
+    t = docs.select("doc_id", tokens(F.lower("text")).alias("t"))
+    count = lambda w: F.size(F.filter("t", lambda x: x == w))
+    parts = []
+    for w in query:
+        n = count(w)
+        weight = float(weights.get(w, 1.0))
+        parts.append(F.coalesce(F.try_divide(n, F.size("t")), F.lit(0.0)) * (F.when(n > 0, 0.0).otherwise(F.log(F.lit(absent))) - weight) * weight)
+    return t.select("doc_id", sum(parts, F.lit(0.0)).alias("score"))
 
 
 def chunks(docs: DataFrame, size: int = 512, overlap: int = 32) -> DataFrame:

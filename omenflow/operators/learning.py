@@ -1,4 +1,4 @@
-"""Classifiers, clusters, topics and projections by ``pyspark.ml``: one table of predictions for any number of models."""
+"""Classifiers, clusters, topics and projections by ``pyspark.ml``; one table has the results of any number of models."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA, GaussianMixture, KMeans
-from pyspark.ml.feature import PCA, CountVectorizer
+from pyspark.ml.feature import PCA, CountVectorizer, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -103,9 +103,16 @@ def projected(rows: DataFrame, k: int = 2) -> DataFrame:
     return made.withColumn("projected", vector_to_array("_p")).drop("_p")
 
 
-def topics(docs: DataFrame, text: str, k: int = 2, passes: int = 15, vocabulary: int = 1 << 14, seed: int = 42) -> DataFrame:
-    """Adds ``topics``, each document's share of each topic."""
+def topics(docs: DataFrame, text: str, k: int = 2, passes: int = 15, vocabulary: int | None = None, seed: int = 42) -> DataFrame:
+    """Adds ``topics``, each document's share of each topic.
+
+    Each term has a place of its own; with ``vocabulary`` terms are hashed to so many places, so that none is dropped.
+    """
     bags = docs.withColumn("_t", tokens(F.lower(text)))
-    counted = CountVectorizer(inputCol="_t", outputCol="features", vocabSize=vocabulary).fit(bags).transform(bags)
+    if vocabulary is None:
+        n = max(1, bags.select(F.explode("_t").alias("t")).agg(F.count_distinct("t")).first()[0])
+        counted = CountVectorizer(inputCol="_t", outputCol="features", vocabSize=n).fit(bags).transform(bags)
+    else:
+        counted = HashingTF(inputCol="_t", outputCol="features", numFeatures=vocabulary).transform(bags)
     made = LDA(k=k, maxIter=passes, seed=seed, topicDistributionCol="_d").fit(counted).transform(counted)
     return made.withColumn("topics", vector_to_array("_d")).drop("_t", "_d", "features")

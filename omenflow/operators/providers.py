@@ -60,3 +60,60 @@ def generated(keys: DataFrame, prompt: str, provider: Provider, label: int, **li
     lines = answered(keys, prompt, provider).withColumn("base_sentence", F.explode(F.split("answer", "\n")))
     kept = lines.withColumn("base_sentence", F.trim("base_sentence")).where("base_sentence <> ''").drop("answer", prompt)
     return kept.withColumns({"sentence_label": F.lit(label)} | {k: F.lit(v) for k, v in lineage.items()})
+
+
+def echo_writer(prompts: list[str]) -> list[str]:
+    """A writer that needs no network: three lines that repeat the prompt's last line."""
+    return ["\n\n".join(f"T{k}: {p.rsplit(chr(10), 1)[-1]}" for k in (1, 2, 3)) for p in prompts]
+
+
+#: Providers by name; others may be added.
+PROVIDERS: dict[str, Provider] = {"keywords": keyword_judge, "echo": echo_writer}
+
+
+def provider(name: str) -> Provider:
+    if name not in PROVIDERS:
+        raise ValueError(f"unknown provider {name!r}; known: {', '.join(PROVIDERS)}")
+    return PROVIDERS[name]
+
+
+def patient(ask: Provider, attempts: int = 5, wait: float = 10.0, final: tuple[type[Exception], ...] = (ValueError,)) -> Provider:
+    """A provider that is asked again after a failure, up to a number of attempts; ``final`` errors aren't tried again."""
+    import time
+
+    def run(prompts: list[str]) -> list[str]:
+        for k in range(attempts):
+            try:
+                return ask(prompts)
+            except final:
+                raise
+            except Exception:
+                if k + 1 == attempts:
+                    raise
+                time.sleep(wait)
+        return []
+
+    return run
+
+
+def batches(spark, domains: list[str], names: list[str], n: int, template: str, label: int) -> DataFrame:
+    """Sentences of ``n`` batches of each domain and provider, with their lineage, from prompts made by a template.
+
+    ``batch_id, domain, model_name, base_sentence, sentence_label``; the runs are rows, so that Spark deals them out.
+    """
+    ask = {name: provider(name) for name in names}
+    runs = spark.range(n).select((F.col("id").cast("int") + 1).alias("batch_id"), F.explode(F.array(*map(F.lit, domains))).alias("domain"))
+    parts = None
+    for name, fn in ask.items():
+        asked = runs.withColumns({"model_name": F.lit(name), "prompt": tx.composed(template, domain=F.col("domain"), batch=F.col("batch_id").cast("string"))})
+        made = generated(asked, "prompt", fn, label)
+        parts = made if parts is None else parts.unionByName(made)
+    return parts
+
+
+def extracted(df: DataFrame, id_col: str, answer: str, names: tuple[str, ...] = ("no_property", "source", "target", "date", "outcome")) -> DataFrame:
+    """``id`` and a column for each property, read from an answer's lists under 0 to 4; unreadable or absent ones are empty."""
+    from ..functions import forecasts as fc
+
+    read = df.select(id_col, fc.python_lists(F.col(answer)).alias("_m"))
+    return read.select(id_col, *(F.coalesce(F.col("_m")[str(k)], F.lit("")).alias(n) for k, n in enumerate(names)))

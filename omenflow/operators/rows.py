@@ -49,7 +49,7 @@ def balanced(df: DataFrame, id_col: str, label: str, method: str, seed: int = 42
     goal = counts.agg((F.max if method == "oversample" else F.min)("_n").alias("_goal"))
     sized = counts.join(goal)
     copies = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_goal") / F.col("_n")).cast("int") - 1))
-    each = df.join(F.broadcast(sized), label).withColumn("_copy", copies)  # one row a class
+    each = df.join(sized, label).withColumn("_copy", copies)
     # Whole copies stay; of the last one, what is needed is split off.
     rest = F.col("_goal") - F.col("_n") * F.floor(F.col("_goal") / F.col("_n"))
     whole = each.where(F.col("_copy") < F.floor(F.col("_goal") / F.col("_n")))

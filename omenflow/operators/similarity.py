@@ -96,7 +96,7 @@ def varied(found: DataFrame, k: int = 5, weight: float = 0.5) -> DataFrame:
 def hybrid(lexical: DataFrame, dense: DataFrame, k: int = 10) -> DataFrame:
     """The union of two ranked lists ``query_id, doc_id, score``: each document once, with its larger score, ``k`` a query."""
     both = lexical.unionByName(dense).groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "doc_id"))
     return both.withColumn("rank", rank).where(F.col("rank") <= k)
 
 

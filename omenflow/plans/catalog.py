@@ -239,7 +239,7 @@ def blocked_name_pairs(spark, d):
 def standard_scale(spark, d):
     e = load(spark, d, "events")
     stats = e.groupBy("event_type").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))
-    return e.join(F.broadcast(stats), "event_type").select("event_id", F.round((F.col("value") - F.col("m")) / F.col("s"), 6).alias("z"))  # one row a type
+    return e.join(stats, "event_type").select("event_id", F.round((F.col("value") - F.col("m")) / F.col("s"), 6).alias("z"))
 
 
 @query(r"SELECT shape, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[a-z]', 'x', 'g'), '[A-Z]', 'X', 'g'), '[0-9]', 'd', 'g'), '(x{4})x+|(X{4})X+|(d{4})d+', '\1\2\3', 'g') AS shape FROM (SELECT unnest(" + TOKENS.format("coalesce(text, '')") + ") AS t FROM documents)) GROUP BY shape")
@@ -268,7 +268,7 @@ def log_lines(spark, d):
 
 
 def _all() -> None:
-    from . import more  # noqa: F401  registers its queries here
+    from . import corpora, more, shaping  # noqa: F401  register their queries here
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

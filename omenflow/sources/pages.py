@@ -58,3 +58,22 @@ def experiments(spark: SparkSession, folder: str) -> DataFrame:
     named = rows.withColumns({"experiment": part(r"/([^/]*\d{4}-\d{2}-\d{2}[^/]*)/seed\d+"), "seed": part(r"/seed(\d+)").try_cast("int"), "version": F.coalesce(part(r"/seed\d+_v(\d+)/").try_cast("int"), F.lit(0))}).where("experiment <> ''")
     last = F.max("version").over(Window.partitionBy("experiment", "seed"))
     return named.withColumn("_last", last).where("version = _last").drop("_last")
+
+
+def item_records(pages: DataFrame, html: str = "html", id_col: str = "page_id") -> DataFrame:
+    """``id, item, duration, dates, stakes, text``: a page's numbered list items, each number once (where it comes first).
+
+    Numbers are those before a full stop; dates are ranges of five-digit years, as such lists have them.
+    """
+    each = pages.select(id_col, F.posexplode(list_items(F.col(html))).alias("pos", "text")).withColumn("item", F.regexp_extract("text", r"\b(\d{1,4})\.(?:\D|$)", 1)).where("item <> ''")
+    first = each.groupBy(id_col, F.col("item").cast("int").alias("item")).agg(F.min(F.struct("pos", "text")).alias("x"))
+    text = F.col("x.text")
+    span = r"([?\d]+(?:\s+years)?)\s+(\d{5}-\d{5}|\d{5}-\?{3})"
+    return first.select(id_col, "item", F.regexp_extract(text, span, 1).alias("duration"), F.regexp_extract(text, span, 2).alias("dates"), F.regexp_extract(text, r"\$[\d,]+(?:\s+\$[\d,]+)?", 0).alias("stakes"), text.alias("text"))
+
+
+def labelled_columns(pages: DataFrame, classes: list[str], html: str = "html", id_col: str = "page_id") -> DataFrame:
+    """Rows of a page's spans by class, one column a class; the first row has the headers and goes."""
+    lists = [F.transform(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(rf'(?s)<span class="{c}">(.*?)</span>'), 1), plain).alias(c) for c in classes]
+    zipped = pages.select(id_col, *lists).select(id_col, F.posexplode(F.arrays_zip(*classes)).alias("pos", "x"))
+    return zipped.where("pos > 0").select(id_col, "pos", "x.*")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,46 @@ def marked_up_text(spark: SparkSession, path) -> DataFrame:
 def batches(spark: SparkSession, folder: str, kind: str, first: int, last: int) -> DataFrame:
     """The batches ``folder/kind/batch=n`` from first to last, by partition pruning; missing ones are passed over."""
     return spark.read.parquet(f"{folder}/{kind}").where(F.col("batch").between(first, last))
+
+
+def latest(names: DataFrame, prefix: str, column: str = "name") -> DataFrame:
+    """``name, version`` of the largest version of ``prefix``; no row where there is none."""
+    from ..functions.text import version_of
+
+    found = names.where(F.col(column).startswith(prefix)).select(F.col(column).alias("name"), version_of(F.col(column)).alias("version")).where("version is not null")
+    return found.orderBy(F.desc("version"), "name").limit(1)
+
+
+def decoded_lines(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
+    """``file, line, value``: lines of files with bytes that can't be read, which are left out."""
+
+    @F.pandas_udf("string")
+    def lossy(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield part.map(lambda b: bytes(b).decode(encoding, errors="ignore"))
+
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), lossy("content").alias("text"))
+    return files.select("file", F.posexplode(F.split("text", "\r?\n")).alias("line", "value"))
+
+
+def plain_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines that aren't blank, trimmed."""
+    return spark.read.text(path).select(F.trim("value").alias("value")).where("value <> ''")
+
+
+def names_by_category(spark: SparkSession, path) -> DataFrame:
+    """``category, name``: the lines of ``<category>.txt`` files, in ASCII letters."""
+    from ..functions.forecasts import ascii_letters
+
+    category = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.[^.]*$", 1)
+    return spark.read.text(path).select(category.alias("category"), ascii_letters(F.trim("value")).alias("name")).where("name <> ''")
+
+
+def synthetic(spark: SparkSession, folder: str, kind: str, batch: int, return_as: str = "frame"):
+    """One batch of a kind, as a table or as its path."""
+    path = f"{folder}/{kind}/batch={batch}"
+    if return_as == "path":
+        return path
+    if return_as != "frame":
+        raise ValueError(f"unknown return_as {return_as!r}")
+    return spark.read.parquet(path)

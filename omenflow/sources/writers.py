@@ -60,3 +60,47 @@ def append_pending(todo: DataFrame, folder: str, id_col: str, work, schema: str)
 def sidecar(spark: SparkSession, folder: str, **values) -> None:
     """A run's parameters and counts as one row of JSON, written once."""
     spark.createDataFrame([tuple(map(str, values.values()))], list(values)).coalesce(1).write.mode("ignore").json(folder)
+
+
+def next_dated(names: DataFrame, prefix: str, date: str) -> DataFrame:
+    """One more than the largest version of ``<prefix>v<N>_<date>``; 1 if there is none of that date."""
+    found = F.regexp_extract("name", rf"^\Q{prefix}\Ev(\d+)_\Q{date}\E$", 1).try_cast("int")
+    return names.agg((F.coalesce(F.max(found), F.lit(0)) + 1).alias("version"))
+
+
+def free_name(names: DataFrame, base: str) -> str:
+    """``base``, or ``base_vN`` with the first N that isn't taken."""
+    number = F.when(F.col("name") == base, 0).otherwise(F.regexp_extract("name", rf"^\Q{base}\E_v(\d+)$", 1).try_cast("int"))
+    taken = names.select(number.alias("n")).where("n is not null").distinct()
+    first = taken.where("n > 0").union(taken.sparkSession.range(1).select(F.lit(0).alias("n")))
+    if not taken.where("n = 0").limit(1).count():
+        return base
+    after = first.select((F.col("n") + 1).alias("n")).join(first, "n", "left_anti").agg(F.min("n")).first()[0]
+    return f"{base}_v{after}"
+
+
+def write_run(df: DataFrame, experiment: str, seed: int, on_collision: str = "error", kind: str = "parquet") -> str:
+    """A run below ``experiment/seed<N>``: an error, written over, or kept beside the first (``append``) where it is there already."""
+    modes = {"error": "errorifexists", "overwrite": "overwrite", "append": "append", "cancel": "ignore"}
+    if on_collision not in modes:
+        raise ValueError(f"unknown on_collision {on_collision!r}")
+    path = f"{experiment}/seed{seed}"
+    df.write.mode(modes[on_collision]).format(kind).save(path)
+    return path
+
+
+def log_batches(df: DataFrame, folder: str, label: str = "sentence_label", batch: str = "batch_id") -> None:
+    """Rows by kind (label 1: prediction, 0: observation) and batch, added to what is there."""
+    kind = F.when(F.col(label) == 1, "prediction").otherwise("observation")
+    df.withColumns({"kind": kind, "batch": F.col(batch)}).write.mode("append").partitionBy("kind", "batch").parquet(folder)
+
+
+def without_header(df: DataFrame, path: str, sep: str = "\t") -> None:
+    """Delimited text without a header, such as a vocabulary."""
+    df.write.mode("overwrite").option("sep", sep).option("header", False).csv(path)
+
+
+def latex_rows(df: DataFrame) -> DataFrame:
+    """A LaTeX table's rows as text; columns in their order."""
+    cells = [F.coalesce(F.regexp_replace(F.col(c).cast("string"), r"([&%$#_{}])", r"\\$1"), F.lit("")) for c in df.columns]
+    return df.select(F.concat(F.concat_ws(" & ", *cells), F.lit(r" \\")).alias("value"))

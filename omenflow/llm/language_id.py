@@ -71,8 +71,8 @@ def run_way(model: Model, way: str, windows: np.ndarray, keep: list | None = Non
     gates, recur = model[f"{way}x"], model[f"{way}h"]
     n = recur.shape[0]
     rows, length = windows.shape
-    out = np.empty((length, rows, n), np.float32)
-    h = np.zeros((rows, n), np.float32)
+    out = np.empty((length, rows, n), recur.dtype)
+    h = np.zeros((rows, n), recur.dtype)
     for t in range(length) if way == "f" else range(length - 1, -1, -1):
         a = gates[windows[:, t]]
         b = h @ recur
@@ -104,6 +104,47 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def gradients(model: Model, x: np.ndarray, want: np.ndarray, inside: np.ndarray | None = None) -> tuple[float, Model]:
+    """The loss of some windows and its gradient, by backpropagation through time.
+
+    Half of the loss is the mean cross-entropy of a window's positions, half that of its mean log-odds.
+    """
+    n = model["fh"].shape[0]
+    kept: dict[str, list] = {"f": [], "b": []}
+    states = {w: run_way(model, w, x, kept[w], inside) for w in "fb"}
+    odds = states["f"] @ model["fo"] + states["b"] @ model["bo"] + model["o"]
+    length, rows, k = odds.shape
+    each = np.full((rows, 1), length, odds.dtype) if inside is None else inside.sum(axis=0)
+    mean = (odds if inside is None else odds * inside).sum(axis=0) / each
+    p, q = softmax(odds), softmax(mean)
+    error = (0.5 * (p - want) + 0.5 * (q - want)[None]) / (each * rows)
+    tiny = np.finfo(odds.dtype).tiny
+    losses = -np.log(np.maximum((p * want).sum(axis=-1), tiny))
+    if inside is not None:
+        error *= inside
+        losses = losses * inside[:, :, 0]
+    loss = float((0.5 * losses.sum(axis=0) / each[:, 0] - 0.5 * np.log(np.maximum((q * want).sum(axis=-1), tiny))).mean())
+    grad = {"o": error.sum(axis=(0, 1))}
+    for w in "fb":
+        grad[f"{w}o"] = states[w].reshape(-1, n).T @ error.reshape(-1, k)
+        gx, gh = np.zeros_like(model[f"{w}x"]), np.zeros_like(model[f"{w}h"])
+        back = np.zeros((rows, n), odds.dtype)
+        for t, h, z, r, c, bc in reversed(kept[w]):
+            d = back + error[t] @ model[f"{w}o"].T
+            if inside is not None:
+                d *= inside[t]
+            dc = d * z * (1 - c * c)
+            dz = d * (c - h) * z * (1 - z)
+            dr = dc * bc * r * (1 - r)
+            da = np.concatenate([dz, dr, dc], axis=1)
+            db = np.concatenate([dz, dr, dc * r], axis=1)
+            np.add.at(gx, x[:, t], da)
+            gh += h.T @ db
+            back = d * (1 - z) + db @ model[f"{w}h"].T
+        grad[f"{w}x"], grad[f"{w}h"] = gx, gh
+    return loss, grad
+
+
 def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, seed: int = 7, rate: float = 0.02, lengths: np.ndarray | None = None) -> Model:
     """Every position of a window is trained to give its document's label, and so is the window's mean.
 
@@ -113,39 +154,11 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden:
     rng = np.random.Generator(np.random.PCG64(seed + 1))
     first = {k: np.zeros_like(v) for k, v in model.items()}
     second = {k: np.zeros_like(v) for k, v in model.items()}
-    n = hidden
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(windows), min(batch, len(windows)))
         x, want = windows[pick], np.eye(len(languages), dtype=np.float32)[labels[pick]]
-        kept: dict[str, list] = {"f": [], "b": []}
         inside = None if lengths is None else (np.arange(x.shape[1])[:, None] < lengths[pick]).astype(np.float32)[:, :, None]
-        states = {w: run_way(model, w, x, kept[w], inside) for w in "fb"}
-        odds = states["f"] @ model["fo"] + states["b"] @ model["bo"] + model["o"]
-        length, rows = odds.shape[:2]
-        if inside is None:
-            error = (0.5 * (softmax(odds) - want) + 0.5 * (softmax(odds.mean(axis=0)) - want)[None]) / (length * rows)
-        else:
-            each = inside.sum(axis=0)
-            mean = (odds * inside).sum(axis=0) / each
-            error = inside * (0.5 * (softmax(odds) - want) + 0.5 * (softmax(mean) - want)[None]) / (each * rows)
-        grad = {"o": error.sum(axis=(0, 1))}
-        for w in "fb":
-            grad[f"{w}o"] = states[w].reshape(-1, n).T @ error.reshape(-1, len(languages))
-            gx, gh = np.zeros_like(model[f"{w}x"]), np.zeros_like(model[f"{w}h"])
-            back = np.zeros((rows, n), np.float32)
-            for t, h, z, r, c, bc in reversed(kept[w]):
-                d = back + error[t] @ model[f"{w}o"].T
-                if inside is not None:
-                    d *= inside[t]
-                dc = d * z * (1 - c * c)
-                dz = d * (c - h) * z * (1 - z)
-                dr = dc * bc * r * (1 - r)
-                da = np.concatenate([dz, dr, dc], axis=1)
-                db = np.concatenate([dz, dr, dc * r], axis=1)
-                np.add.at(gx, x[:, t], da)
-                gh += h.T @ db
-                back = d * (1 - z) + db @ model[f"{w}h"].T
-            grad[f"{w}x"], grad[f"{w}h"] = gx, gh
+        _, grad = gradients(model, x, want, inside)
         norm = float(np.sqrt(sum((g.astype(np.float64) ** 2).sum() for g in grad.values())))
         now = rate * min(1.0, 2 * (1 - step / (steps + 1)))
         for k, g in grad.items():

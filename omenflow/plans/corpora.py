@@ -103,11 +103,11 @@ def stake_amounts(spark, d):
     return load(spark, d, "customer").select("c_custkey", fc.stakes(text).alias("stake"))
 
 
-@query("SELECT o_orderkey, CASE WHEN year(o_orderdate) >= 2000 THEN [strftime(o_orderdate, '%Y/%m/%d'), year(o_orderdate)::VARCHAR || ' Q3'] ELSE []::VARCHAR[] END AS dates FROM orders")
+@query("SELECT o_orderkey, CASE WHEN year(o_orderdate) >= 2000 THEN strftime(o_orderdate, '%Y/%m/%d') || '|' || year(o_orderdate)::VARCHAR || ' Q3' ELSE '' END AS dates FROM orders")
 def dates_in_text(spark, d):
     """Dates in sentences by rules."""
     text = F.concat(F.lit("From "), F.date_format("o_orderdate", "yyyy/MM/dd"), F.lit(" to "), F.date_format("o_orderdate", "yyyy"), F.lit(" Q3 or later"))
-    return load(spark, d, "orders").select("o_orderkey", fc.dates_in(text).alias("dates"))
+    return load(spark, d, "orders").select("o_orderkey", F.array_join(fc.dates_in(text), "|").alias("dates"))
 
 
 @query("SELECT n_nationkey, 'Task: judge' || chr(10) || 'Sentence: ' || n_name || chr(10) || 'Answer with 0 or 1.' AS prompt FROM nation")
@@ -204,10 +204,11 @@ def run_date(spark, d):
     return spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd").alias("today"))
 
 
-@query("SELECT n_nationkey, [n_nationkey::FLOAT, 0.5::FLOAT, -1::FLOAT] AS vector FROM nation")
+@query("SELECT n_nationkey, n_nationkey::FLOAT AS x, -1::FLOAT AS z, 3 AS n FROM nation")
 def printed_vectors(spark, d):
     """Vectors read from print."""
-    return load(spark, d, "nation").select("n_nationkey", fc.printed_vector(F.concat(F.lit("["), F.col("n_nationkey").cast("string"), F.lit(" 0.5  -1.0]"))).alias("vector"))
+    v = fc.printed_vector(F.concat(F.lit("["), F.col("n_nationkey").cast("string"), F.lit(" 0.5  -1.0]")))
+    return load(spark, d, "nation").select("n_nationkey", F.get(v, F.lit(0)).alias("x"), F.get(v, F.lit(2)).alias("z"), F.size(v).alias("n"))
 
 
 @query("SELECT event_id, round(1 / (1 + exp(-value / 100)), 6) AS exact, round(pow(2.718, value / 100) / (pow(2.718, value / 100) + 1), 6) AS rough FROM events")
@@ -239,13 +240,13 @@ def content_ids(spark, d):
     return similarity.stores(load(spark, d, "documents").select("doc_id", "text"), "text").select(F.col("meta")["doc_id"].cast("long").alias("doc_id"), "id")
 
 
-@query("SELECT n_nationkey, ['WHO: ' || n_name, 'VERB: will'] AS marked FROM nation")
+@query("SELECT n_nationkey, 'WHO: ' || n_name || '; VERB: will' AS marked FROM nation")
 def marked_spans(spark, d):
     """Marked pieces of a text."""
     n = F.length("n_name")
     mark = lambda a, b, label: F.struct(a.alias("start"), b.alias("end"), F.lit(label).alias("label"))
     marks = F.array(mark(F.lit(0), n, "WHO"), mark(n + 1, n + 5, "VERB"))
-    return load(spark, d, "nation").select("n_nationkey", F.transform(tx.spans(F.concat("n_name", F.lit(" will rise")), marks), lambda x: F.concat(x["label"], F.lit(": "), x["piece"])).alias("marked"))
+    return load(spark, d, "nation").select("n_nationkey", F.array_join(F.transform(tx.spans(F.concat("n_name", F.lit(" will rise")), marks), lambda x: F.concat(x["label"], F.lit(": "), x["piece"])), "; ").alias("marked"))
 
 
 # Linguistics and features
@@ -277,29 +278,29 @@ def keyword_scores(spark, d):
     return rounded(corpus.keyword_score(load(spark, d, "documents"), ["the", "und", "the"], {"the": 3.0}), "score")
 
 
-@query(f"SELECT doc_id, list_transform(range(0, 4), lambda i: round(coalesce(list_avg(list_transform({LOWER}, lambda w: (ord(w) % (i + 2))::DOUBLE)), 0), 6)) AS vector FROM documents")
+@query("SELECT doc_id, " + ", ".join(f"round(coalesce(list_avg(list_transform({LOWER}, lambda w: (ord(w) % {i + 2})::DOUBLE)), 0), 6) AS v{i}" for i in range(4)) + " FROM documents")
 def mean_word_vectors(spark, d):
     """The mean of a text's word vectors, zeros if it has none."""
     docs = load(spark, d, "documents")
     words = docs.select(F.explode(tx.tokens(F.lower("text"))).alias("word")).distinct()
-    code = F.expr("if(ascii(word) < 128, ascii(word), ascii(word))")
-    table = words.withColumn("vector", F.array(*((code % (i + 2)).cast("float") for i in range(4))))
+    table = words.withColumn("vector", F.array(*((F.ascii("word") % (i + 2)).cast("float") for i in range(4))))
     out = matching.mean_of_words(docs, "doc_id", tx.tokens(F.lower("text")), table, 4)
-    return out.withColumn("vector", F.transform("vector", lambda x: F.round(x, 6)))
+    return out.select("doc_id", *(F.round(F.get("vector", F.lit(i)), 6).alias(f"v{i}") for i in range(4)))
 
 
-@query(f"SELECT doc_id, {TOKENS.format('text')} AS words FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT doc_id, array_to_string({TOKENS.format('text')}, ' ') AS words FROM documents WHERE text IS NOT NULL")
 def split_words(spark, d):
     """Sentences as words."""
-    return load(spark, d, "documents").where("text is not null").select("doc_id", tx.tokens(F.col("text")).alias("words"))
+    return load(spark, d, "documents").where("text is not null").select("doc_id", F.array_join(tx.tokens(F.col("text")), " ").alias("words"))
 
 
-@query("SELECT doc_id, list_concat([n_chars::DOUBLE], embedding::DOUBLE[]) AS features FROM documents JOIN embeddings ON doc_id = vec_id")
+@query("SELECT doc_id, n_chars::DOUBLE AS first, embedding[1]::DOUBLE AS second, len(embedding)::INT + 1 AS n FROM documents JOIN embeddings ON doc_id = vec_id")
 def joined_features(spark, d):
     """Features side by side in one vector."""
     v = load(spark, d, "embeddings").withColumnRenamed("vec_id", "doc_id")
     both = load(spark, d, "documents").join(v, "doc_id")
-    return both.select("doc_id", F.concat(F.array(F.col("n_chars").cast("double")), F.col("embedding").cast("array<double>")).alias("features"))
+    x = F.concat(F.array(F.col("n_chars").cast("double")), F.col("embedding").cast("array<double>"))
+    return both.select("doc_id", F.get(x, F.lit(0)).alias("first"), F.get(x, F.lit(1)).alias("second"), F.size(x).alias("n"))
 
 
 @query(f"SELECT lang, source, count(*) AS n FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL GROUP BY ALL")
@@ -365,13 +366,13 @@ def hybrid_search(spark, d):
     return matching.reranked(found.withColumnRenamed("score", "first"), F.col("first") - 0.001 * F.col("n_chars"), 5).select("query_id", "doc_id", "rank")
 
 
-@query(SEARCH + "SELECT query_id, list(doc_id ORDER BY r) AS matches FROM l WHERE r <= 3 GROUP BY query_id")
+@query(SEARCH + "SELECT query_id, string_agg(doc_id::VARCHAR, ' ' ORDER BY r) AS matches FROM l WHERE r <= 3 GROUP BY query_id")
 def match_table(spark, d):
     """What was found for each query, as lists."""
     from pyspark.sql.window import Window
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "doc_id"))
-    return matching.with_observations(lexical(spark, d, 3).withColumn("rank", rank), "query_id", "rank", "doc_id")
+    return matching.with_observations(lexical(spark, d, 3).withColumn("rank", rank), "query_id", "rank", "doc_id").withColumn("matches", F.array_join(F.transform("matches", lambda x: x.cast("string")), " "))
 
 
 @query("SELECT item_id, 'Use only these pieces:' || chr(10) || ' - ' || text || chr(10) || 'Is it true?' AS prompt FROM benchmark")
@@ -495,7 +496,8 @@ def entailed_pairs(spark, d):
     return providers.answered(pairs, "prediction", lambda prompts: ["NEUTRAL"] * len(prompts), "entailment")
 
 
-@query("SELECT n_nationkey, [length(n_name)::FLOAT, 1::FLOAT] AS embedding FROM nation")
+@query("SELECT n_nationkey, length(n_name)::FLOAT AS x, 1::FLOAT AS y FROM nation")
 def provided_vectors(spark, d):
     """Vectors from an encoder that the caller names."""
-    return similarity.embedded(load(spark, d, "nation").select("n_nationkey", "n_name"), "n_name", lambda texts: [[len(t), 1] for t in texts]).drop("n_name")
+    made = similarity.embedded(load(spark, d, "nation").select("n_nationkey", "n_name"), "n_name", lambda texts: [[len(t), 1] for t in texts])
+    return made.select("n_nationkey", F.get("embedding", F.lit(0)).alias("x"), F.get("embedding", F.lit(1)).alias("y"))

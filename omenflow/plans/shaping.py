@@ -118,10 +118,10 @@ def unstacked_ratings(spark, d):
     return frames.unstacked(long, "doc_id", "rater", "value", ["quality", "toxic"])
 
 
-@query("SELECT source, list_sort(list(DISTINCT lang)) AS values FROM documents WHERE lang IS NOT NULL GROUP BY source")
+@query("SELECT source, array_to_string(list_sort(list(DISTINCT lang)), ' ') AS values FROM documents WHERE lang IS NOT NULL GROUP BY source")
 def listed_values(spark, d):
     """A column's values as lists."""
-    return frames.listed(load(spark, d, "documents").where("lang is not null"), "lang", ["source"])
+    return frames.listed(load(spark, d, "documents").where("lang is not null"), "lang", ["source"]).withColumn("values", F.array_join("values", " "))
 
 
 @query("SELECT doc_id, toxic, quality, (doc_id % 2)::INT AS y_hat FROM labels")
@@ -324,11 +324,11 @@ def row_batches(spark, d):
     return frames.batched(load(spark, d, "orders").select("o_orderkey"), "o_orderkey")
 
 
-@query("WITH t AS (SELECT conv_id, turn, role, coalesce(sum((role = 'assistant')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sentence FROM conversations) SELECT conv_id, sentence::BIGINT AS sentence, list(role || turn ORDER BY turn) AS words FROM t WHERE role <> 'assistant' GROUP BY conv_id, sentence")
+@query("WITH t AS (SELECT conv_id, turn, role, coalesce(sum((role = 'assistant')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sentence FROM conversations) SELECT conv_id, sentence::BIGINT AS sentence, string_agg(role || turn, ' ' ORDER BY turn) AS words FROM t WHERE role <> 'assistant' GROUP BY conv_id, sentence")
 def sentences_again(spark, d):
     """Words put together again between rows that end a sentence."""
     c = load(spark, d, "conversations").withColumn("word", F.concat("role", F.col("turn").cast("string")))
-    return frames.sentences_again(c, "conv_id", "turn", "word", F.col("role") == "assistant")
+    return frames.sentences_again(c, "conv_id", "turn", "word", F.col("role") == "assistant").withColumn("words", F.array_join("words", " "))
 
 
 @query("SELECT bool_and(d.doc_id IS NOT DISTINCT FROM l.doc_id) AS ids, bool_and(l.quality IS NOT DISTINCT FROM l.toxic) AS labels FROM labels l JOIN documents d USING (doc_id)")
@@ -408,8 +408,8 @@ def exact_values(spark, d):
     return load(spark, d, "orders").where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
 
 
-@query("SELECT n_nationkey, list_concat(['[CLS]'], list_concat(string_split(n_name, ' '), list_concat(['[SEP]'], list_concat(string_split(r_name, ' '), ['[SEP]'])))) AS tokens FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT n_nationkey, '[CLS] ' || n_name || ' [SEP] ' || r_name || ' [SEP]' AS tokens FROM nation JOIN region ON n_regionkey = r_regionkey")
 def token_pairs(spark, d):
     """Two texts' tokens as one sequence."""
     both = load(spark, d, "nation").join(load(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return both.select("n_nationkey", tx.paired_tokens(F.col("n_name"), F.col("r_name")).alias("tokens"))
+    return both.select("n_nationkey", F.array_join(tx.paired_tokens(F.col("n_name"), F.col("r_name")), " ").alias("tokens"))

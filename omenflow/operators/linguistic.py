@@ -26,6 +26,24 @@ ENTITIES = (
 )
 
 
+#: Forms of the commonest irregular verbs.
+IRREGULAR = {"am": "be", "is": "be", "are": "be", "was": "be", "were": "be", "been": "be", "has": "have", "had": "have", "does": "do", "did": "do", "done": "do", "went": "go", "gone": "go", "said": "say", "rose": "rise", "risen": "rise", "fell": "fall", "fallen": "fall"}
+
+
+def rule_lemma(word: str) -> str:
+    """A word without its ending, by a few rules of English that need no dictionary."""
+    w = word.lower()
+    if w in IRREGULAR:
+        return IRREGULAR[w]
+    if len(w) > 4 and w.endswith("ies"):
+        return w[:-3] + "y"
+    if len(w) > 4 and w.endswith(("sses", "shes", "ches", "xes")):
+        return w[:-2]
+    if len(w) > 3 and w.endswith("s") and not w.endswith(("ss", "us", "is")):
+        return w[:-1]
+    return w
+
+
 def rule_tokens(texts: list[str]) -> list[list[tuple]]:
     def kind(w: str, first: bool) -> tuple[str, str]:
         if w.lower() in tx.FUTURE_MODALS and w.lower() != "going":
@@ -36,7 +54,7 @@ def rule_tokens(texts: list[str]) -> list[list[tuple]]:
             return "PUNCT", w
         return ("PROPN", "NNP") if w[0].isupper() and not first else ("X", "XX")
 
-    return [[(w, w.lower(), *kind(w, i == 0)) for i, w in enumerate(WORDS.findall(t))] for t in texts]
+    return [[(w, rule_lemma(w), *kind(w, i == 0)) for i, w in enumerate(WORDS.findall(t))] for t in texts]
 
 
 def rule_entities(texts: list[str]) -> list[list[tuple]]:

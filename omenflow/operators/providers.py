@@ -111,6 +111,12 @@ def batches(spark, domains: list[str], names: list[str], n: int, template: str,
     return parts
 
 
+def rephrased(df: DataFrame, query: str, ask: Provider, column: str = "rephrased") -> DataFrame:
+    """Adds the first line that isn't blank of what a provider makes of a query; the query itself where there is none."""
+    out = answered(df, query, ask, "_a").withColumn(column, F.coalesce(F.get(tx.lines(F.col("_a")), F.lit(0)), F.col(query)))
+    return out.drop("_a")
+
+
 def extracted(df: DataFrame, id_col: str, answer: str, names: tuple[str, ...] = ("no_property", "source", "target", "date", "outcome")) -> DataFrame:
     """``id`` and a column for each property, read from an answer's lists under 0 to 4; unreadable or absent ones are empty."""
     from ..functions import forecasts as fc

@@ -268,7 +268,7 @@ def log_lines(spark, d):
 
 
 def _all() -> None:
-    from . import corpora, more, shaping  # noqa: F401  register their queries here
+    from . import corpora, more, shaping, stored  # noqa: F401  register their queries here
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

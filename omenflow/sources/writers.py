@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the one that driver and executors share (``spark.checkpoint.dir``); a local one only on a local master."""
+    top = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        top = tempfile.mkdtemp(prefix="spark-")
+    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def append_batch(df: DataFrame, folder: str, kind: str, batch: int) -> None:
     """Write (or write again) one batch of a kind."""
     if kind not in ("prediction", "observation"):

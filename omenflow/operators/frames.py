@@ -73,8 +73,8 @@ def beside(front: DataFrame, front_order: str, df: DataFrame, order: str) -> Dat
     return out.select("pos", *front.columns, *(c for c in df.columns if c not in front.columns))
 
 
-def with_predictions(df: DataFrame, order: str, found: DataFrame, found_order: str, model: str) -> DataFrame:
-    """The last rows of ``df``, as many as there are predictions (``y_hat``), with these as ``<model> Prediction``."""
+def with_labels(df: DataFrame, order: str, found: DataFrame, found_order: str, model: str) -> DataFrame:
+    """The last rows of ``df``, as many as there are labels of a model (``y_hat``), with these as ``<model> Prediction``."""
     n, m = df.agg(F.count("*")), found.agg(F.count("*"))
     late = positioned(df, order).withColumn("_k", F.col("pos") - (n.scalar() - m.scalar())).where("_k >= 0")
     said = positioned(found, found_order).select(F.col("pos").alias("_k"), F.col("y_hat").alias(f"{model} Prediction"))

@@ -153,10 +153,10 @@ def first_dimensions(spark, d):
 
 
 @query(f"WITH a AS (SELECT o_orderkey, pos FROM {PLACED}), n AS (SELECT count(*) AS n FROM a), b AS (SELECT quality AS h, row_number() OVER (ORDER BY doc_id) - 1 AS k, count(*) OVER () AS m FROM labels) SELECT o_orderkey, h AS \"Model Prediction\" FROM a, n JOIN b ON true WHERE pos - (n - m) = k")
-def predictions_beside(spark, d):
-    """Predictions at the last rows of a table."""
+def labels_beside(spark, d):
+    """A model's labels at the last rows of a table."""
     found = load(spark, d, "labels").select("doc_id", F.col("quality").alias("y_hat"))
-    return frames.with_predictions(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", found, "doc_id", "Model")
+    return frames.with_labels(load(spark, d, "orders").select("o_orderkey"), "o_orderkey", found, "doc_id", "Model")
 
 
 @query("SELECT r_name, n_name, (n_regionkey = r_regionkey)::INT AS label FROM region, nation")

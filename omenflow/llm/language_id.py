@@ -127,7 +127,7 @@ def gradients(model: Model, x: np.ndarray, want: np.ndarray, inside: np.ndarray
     grad = {"o": error.sum(axis=(0, 1))}
     for w in "fb":
         grad[f"{w}o"] = states[w].reshape(-1, n).T @ error.reshape(-1, k)
-        gx, gh = np.zeros_like(model[f"{w}x"]), np.zeros_like(model[f"{w}h"])
+        gh, shares = np.zeros_like(model[f"{w}h"]), np.empty((length, rows, 3 * n), odds.dtype)
         back = np.zeros((rows, n), odds.dtype)
         for t, h, z, r, c, bc in reversed(kept[w]):
             d = back + error[t] @ model[f"{w}o"].T
@@ -136,12 +136,15 @@ def gradients(model: Model, x: np.ndarray, want: np.ndarray, inside: np.ndarray
             dc = d * z * (1 - c * c)
             dz = d * (c - h) * z * (1 - z)
             dr = dc * bc * r * (1 - r)
-            da = np.concatenate([dz, dr, dc], axis=1)
+            da = shares[t]
+            da[:, :n], da[:, n : 2 * n], da[:, 2 * n :] = dz, dr, dc
             db = np.concatenate([dz, dr, dc * r], axis=1)
-            np.add.at(gx, x[:, t], da)
             gh += h.T @ db
             back = d * (1 - z) + db @ model[f"{w}h"].T
-        grad[f"{w}x"], grad[f"{w}h"] = gx, gh
+        # Each byte's shares are summed over all places at once.
+        at = x.T.ravel()
+        sums = [np.bincount(at, column, len(model[f"{w}x"])) for column in np.ascontiguousarray(shares.reshape(-1, 3 * n).T)]
+        grad[f"{w}x"], grad[f"{w}h"] = np.stack(sums, axis=1).astype(odds.dtype), gh
     return loss, grad
 
 

@@ -112,14 +112,20 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
     give_back()
 
 
-def per_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def spread(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """Rows with equal keys together, in as many partitions as the session has for shuffles, or more where the data need them."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys) if parts > least else df.repartition(*keys)
+
+
+def per_group(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str, parts: int = 0) -> DataFrame:
     """``fn`` on each group of rows, many small groups to a task: one Arrow stream a partition instead of one a group."""
 
     def run(batches):
         for t in groups(batches, keys):
             yield from fn(t)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return spread(df, parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrays import STEP, mix, pack, planes, unpack, unplanes, utf8, words
-from .common import fold, groups, per_group, stored, table, text_chunks
+from .common import fold, groups, per_group, spread, stored, table, text_chunks
 
 ORDER = 2
 #: The fold that is scored without being learned from, and the training fold whose counts are held out for the weights.
@@ -36,6 +36,8 @@ UNSEEN, HELD = 1, 2
 BLOCK_TOKENS = 700_000
 #: Requests that one bucket has on average, and the least number of buckets.
 BUCKET_KEYS, LEAST_BUCKETS = 1_000_000, 256
+#: Buckets or blocks that a task has at most, on average.
+GROUPS_A_TASK = 4
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 #: Histogram of the logarithms of estimates over the uniform one: steps for a factor of two, and the largest logarithm.
 FINE, TOP = 4, 40
@@ -162,7 +164,7 @@ def answers(stored_blocks: DataFrame, order: int, buckets: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(cols, names=["block", "fold", "n", "bucket", "total", "own", "known"])
 
     wanted = stored_blocks.select("block", "fold", "lengths", "vocab", "tokens").mapInArrow(ask, asked)
-    return per_group(wanted, ["n", "bucket"], answer, "block string, fold int, n int, bucket int, total binary, own binary, known long")
+    return per_group(wanted, ["n", "bucket"], answer, "block string, fold int, n int, bucket int, total binary, own binary, known long", order * buckets // GROUPS_A_TASK)
 
 
 def met(stored_blocks: DataFrame, answered: DataFrame) -> DataFrame:
@@ -275,7 +277,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 
     names = ["level", *(f"q{n}" for n in range(1, order + 1)), "count"]
     schema = ", ".join(f"{x} int" for x in names[:-1]) + ", count long"
-    found = by_block(met(made.where(F.col("fold") == HELD), answered.where(F.col("fold") == HELD)), histogram, schema)
+    n_blocks = made.count()
+    found = by_block(met(made.where(F.col("fold") == HELD), answered.where(F.col("fold") == HELD)), histogram, schema, n_blocks // (5 * GROUPS_A_TASK))
     hist = {tuple(r[:-1]): r[-1] for r in found.groupBy(*names[:-1]).agg(F.sum("count").alias("count")).collect()}  # bounded by levels and steps
     weights = learn_weights(hist, order)
 
@@ -297,17 +300,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    return by_block(met(made, answered), results, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return by_block(met(made, answered), results, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", n_blocks // GROUPS_A_TASK)
 
 
-def by_block(rows: DataFrame, fn, schema: str) -> DataFrame:
+def by_block(rows: DataFrame, fn, schema: str, parts: int = 0) -> DataFrame:
     """``fn`` on all rows of each block, its own row first and the answers by bucket; one Arrow stream a partition."""
 
     def run(batches):
         for t in groups(batches, ["block"]):
             yield from fn(t)
 
-    return rows.repartition("block").sortWithinPartitions("block", "n", "bucket").mapInArrow(run, schema)
+    return spread(rows, parts, "block").sortWithinPartitions("block", "n", "bucket").mapInArrow(run, schema)
 
 
 def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:

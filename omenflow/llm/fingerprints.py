@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table
+from .common import spread, table
 
 #: Cells of a part of the first sketch and of a larger one's tables (in bits), and digests of two versions that a table is meant for.
 FIRST, WIDE = 4, 5
@@ -41,6 +41,8 @@ RETRIES = 4
 ROUNDS = 8
 #: Ranges of ids: the coarse ones, rows that a range is to have, and about how many ranges there are at most.
 RANGES, RANGE_ROWS, MOST_RANGES = 1024, 2500, 1 << 18
+#: Rows that a task has at most, on average.
+TASK_ROWS = 20_000
 #: White space after the end of a sentence, which keeps its full stop, and around line breaks.
 SENTENCE = r"\\s(?<=[.!?]\\s)\\s*|\\s*\\n\\s*"
 #: A digest has 36 bits of the paragraph's hash and 20 bits that check these.  The 8 bits above are for a count: 1 and -1 in
@@ -189,6 +191,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     carried = ["doc_id", "key", "h", "text", *also]
     dealt = dealt.select(*carried, F.explode(F.when(F.col("guest_of").isNull(), F.array(own)).otherwise(F.array(own, other))).alias("at"))
     dealt = dealt.select(*carried, "at.*")
+    dealt = spread(dealt, sizes.n // TASK_ROWS, "range")
     order = Window.partitionBy("range").orderBy("guest", F.desc("key"), F.desc("h"))
     after = {f"next_{c}": F.lead(c).over(order) for c in ("text", *also)}
     return dealt.withColumns(after).where("not guest").select("doc_id", "text", *also, *(F.coalesce(f"next_{c}", c).alias(f"next_{c}") for c in ("text", *also)))

@@ -36,7 +36,7 @@ CELLS, SAMPLE = 1024, 1 << 14
 #: Rows of a block, at least and at most; between them a 512th of all rows.
 BLOCK_ROWS = (1024, 1 << 18)
 #: Rows of a leaf of anchors and of candidates.
-LEAVES = (32, 256)
+LEAVES = (16, 256)
 #: Anchors that are searched at once.
 ANCHORS = 4096
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -46,8 +46,8 @@ NO_ID = MOST
 class Tree:
     """A tree over vectors: rows in ``order``, and for each node its rows, children, centre, radius, lengths and labels.
 
-    Nodes with several labels are split by label first, then along the direction from their centre to the farthest row;
-    equal rows are split by id.
+    Nodes with several labels are split by label first, then by which of two far rows is nearer (in halves where that
+    would leave less than a sixteenth on one side); equal rows are split by id.
     """
 
     def __init__(self, x: np.ndarray, labels: np.ndarray, ids: np.ndarray, leaf: int):
@@ -92,9 +92,13 @@ class Tree:
                 cut = a + int(np.searchsorted(labels[a:b], edge))
                 cut = cut if cut > a else a + int(np.searchsorted(labels[a:b], edge, side="right"))
             elif self.radius[k] > 0:
-                along = (x[a:b] - self.centre[k]) @ (x[a + int(away.argmax())] - self.centre[k])
+                far = x[a + int(away.argmax())]
+                other = x[a + int(np.einsum("ij,ij->i", x[a:b] - far, x[a:b] - far).argmax())]
+                along = (x[a:b] - (far + other) / 2) @ (far - other)
                 permute(a, b, np.argsort(along, kind="stable"))
-                cut = (a + b) // 2
+                cut = a + int((along < 0).sum())
+                if min(cut - a, b - cut) * 16 < b - a:
+                    cut = (a + b) // 2
             else:
                 permute(a, b, np.argsort(ids[a:b], kind="stable"))
                 cut = (a + b) // 2

@@ -82,13 +82,16 @@ class Layouts:
     """Mappings by fingerprint."""
 
     def __init__(self, mappings: tuple[Mapping, ...] = MAPPINGS):
-        self.named = frozenset().union(*(m.paths() for m in mappings))
-        self.by_print = {fingerprint(m.paths()): m for m in mappings}
-        if len(self.by_print) < len(mappings):
+        # A layout of rows is looked for last: its columns, an id say, may stand beside records of another one.
+        kinds = ([m for m in mappings if not m.rows], [m for m in mappings if m.rows])
+        self.groups = [(frozenset().union(*(m.paths() for m in kind)), {fingerprint(m.paths()): m for m in kind}) for kind in kinds]
+        if sum(len(by_print) for _, by_print in self.groups) < len(mappings):
             raise ValueError("two mappings have the same field paths")
 
     def find(self, paths) -> Mapping | None:
-        return self.by_print.get(fingerprint(self.named & frozenset(paths)))
+        paths = frozenset(paths)
+        prints = [by_print.get(fingerprint(named & paths)) for named, by_print in self.groups]
+        return prints[0] or prints[1]
 
 
 def schema_paths(kind: T.DataType, at: str = "") -> Iterator[str]:

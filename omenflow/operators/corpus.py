@@ -11,20 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import tokens
+from .skew import over_cores, with_values
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """``doc_id, term, tf`` of lower-cased white-space tokens."""
+    docs = over_cores(docs.select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", F.explode(tokens(F.lower("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
 
 
 def bigrams(docs: DataFrame) -> DataFrame:
     """``first, second, n, p``: pairs of neighbouring tokens and the share among pairs with the same first token."""
     t = tokens(F.lower("text"))
-    pairs = docs.select(F.explode(F.arrays_zip(F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))).alias("first"), F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))).alias("second"))).alias("x"))
-    counted = pairs.groupBy(F.col("x.first").alias("first"), F.col("x.second").alias("second")).agg(F.count("*").alias("n"))
-    total = counted.groupBy("first").agg(F.sum("n").alias("all"))
-    return counted.join(total, "first").select("first", "second", "n", (F.col("n") / F.col("all")).alias("p"))
+    rest = F.greatest(F.size("t") - 1, F.lit(0))
+    pairs = over_cores(docs.select("text"), "text").select(t.alias("t")).select(F.inline(F.arrays_zip(F.slice("t", 1, rest).alias("first"), F.slice("t", 2, rest).alias("second"))))
+    counted = pairs.groupBy("first", "second").agg(F.count("*").alias("n"))
+    total = counted.groupBy("first").agg(F.sum("n").alias("all"), F.count("*").alias("_rows"))
+    return with_values(counted, total, "first", "_rows").select("first", "second", "n", (F.col("n") / F.col("all")).alias("p"))
 
 
 def tfidf(docs: DataFrame, max_features: int) -> DataFrame:
@@ -38,24 +41,27 @@ def tfidf(docs: DataFrame, max_features: int) -> DataFrame:
     return raw.join(length, "doc_id").select("doc_id", "term", (F.col("w") / F.col("len")).alias("weight"))
 
 
-def _idf(docs: DataFrame, epsilon: float) -> tuple[DataFrame, DataFrame]:
+def _idf(docs: DataFrame, epsilon: float, asked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``term, idf`` and one row of ``n, avg_size``; a negative idf becomes a share of the mean idf of all terms.
 
-    Only document frequencies are counted, each term once a document, and summed before they are moved.
+    Only document frequencies are counted, each term once a document, and summed before they are moved.  The mean is over
+    all terms, but only those ``asked`` for are given, if any are named.
     """
-    t = docs.select(tokens(F.lower("text")).alias("t"))
+    t = over_cores(docs.select("doc_id", "text"), "doc_id").select(tokens(F.lower("text")).alias("t"))
     stats = t.agg(F.count("*").alias("n"), F.avg(F.size("t")).alias("avg_size"))  # one row
     df = t.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     raw = df.select("term", (F.log(stats.select("n").scalar() - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))
     mean = raw.agg(F.avg("raw")).scalar()
-    return raw.select("term", F.when(F.col("raw") < 0, epsilon * mean).otherwise(F.col("raw")).alias("idf")), stats
+    wanted = raw if asked is None else raw.join(asked.select("term").distinct(), "term", "left_semi")
+    return wanted.select("term", F.when(F.col("raw") < 0, epsilon * mean).otherwise(F.col("raw")).alias("idf")), stats
 
 
 def bm25(docs: DataFrame, query: list[str], k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
     """``doc_id, score`` of documents with a query term.  Frequencies of the query's terms only are counted, in each document's own row."""
     idf, stats = _idf(docs, epsilon)
     wanted = idf.where(F.col("term").isin(query))  # a row for each term of the query
-    rows = docs.select("doc_id", tokens(F.lower("text")).alias("t")).select("doc_id", F.size("t").alias("size"), F.filter("t", lambda x: x.isin(*query)).alias("t")).where(F.size("t") > 0)
+    rows = over_cores(docs.select("doc_id", "text"), "doc_id").select("doc_id", tokens(F.lower("text")).alias("t"))
+    rows = rows.select("doc_id", F.size("t").alias("size"), F.filter("t", lambda x: x.isin(*query)).alias("t")).where(F.size("t") > 0)
     each = F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.size(F.filter("t", lambda x: x == w)).alias("tf")))
     met = rows.select("doc_id", "size", F.inline(each)).join(F.broadcast(wanted), "term")
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / stats.select("avg_size").scalar()))
@@ -65,26 +71,32 @@ def bm25(docs: DataFrame, query: list[str], k1: float = 1.5, b: float = 0.75, ep
 def bm25_search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> DataFrame:
     """``query_id, doc_id, score``: the ``k`` best documents of each query (``query_id, text``); a repeated query term counts again.
 
-    Scores that agree to nine decimals are equal, as sums depend on their order; of equals the smallest ids come first.
+    All documents are read and those with a query's term scored: for one set of queries.  For more, ``lexical.LexicalIndex``
+    reads texts once.  The asked terms with their idf are joined first, so that of the vocabulary no more is moved.  Scores
+    that agree to nine decimals are equal, as sums depend on their order; of equals the smallest ids come first.
     """
-    idf, stats = _idf(docs, epsilon)
     asked = queries.select("query_id", F.explode(tokens(F.lower("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qn"))
-    each = docs.select("doc_id", F.explode(tokens(F.lower("text"))).alias("term"))
-    tf = each.join(asked.select("term").distinct(), "term", "left_semi").groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
-    tf = tf.join(docs.select("doc_id", F.size(tokens(F.lower("text"))).alias("size")), "doc_id")
-    part = F.col("qn") * F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / stats.select("avg_size").scalar()))
-    scores = tf.join(idf, "term").join(asked, "term").groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
+    idf, stats = _idf(docs, epsilon, asked)
+    weights = asked.join(idf, "term").select("query_id", "term", (F.col("qn") * F.col("idf")).alias("w"))
+    t = over_cores(docs.select("doc_id", "text"), "doc_id").select("doc_id", tokens(F.lower("text")).alias("t"))
+    each = t.select("doc_id", F.size("t").alias("size"), F.explode("t").alias("term"))
+    tf = each.join(asked.select("term").distinct(), "term", "left_semi").groupBy("doc_id", "size", "term").agg(F.count("*").alias("tf"))
+    impact = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / stats.select("avg_size").scalar()))
+    scores = tf.select("doc_id", "term", impact.alias("impact")).join(weights, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("impact")).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "doc_id"))
     return scores.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
 
 def smoothed_idf(docs: DataFrame) -> DataFrame:
-    """``doc_id, term, score``: tf (share of the document's tokens) times ln(documents / (occurrences in all + 1))."""
-    tf = term_counts(docs)
-    sizes = docs.select("doc_id", F.size(tokens(F.lower("text"))).alias("size"))
-    all_ = tf.groupBy("term").agg(F.sum("tf").alias("all"))
+    """``doc_id, term, score``: tf (share of the document's tokens) times ln(documents / (occurrences in all + 1)).
+
+    A document's size comes along from where it was split; the totals of the commonest terms are joined over salts.
+    """
+    t = over_cores(docs.select("doc_id", "text"), "doc_id").select("doc_id", tokens(F.lower("text")).alias("t"))
+    tf = t.select("doc_id", F.size("t").alias("size"), F.explode("t").alias("term")).groupBy("doc_id", "size", "term").agg(F.count("*").alias("tf"))
+    all_ = tf.groupBy("term").agg(F.sum("tf").alias("all"), F.count("*").alias("_rows"))
     n = docs.agg(F.count("*")).scalar()
-    return tf.join(all_, "term").join(sizes, "doc_id").select("doc_id", "term", (F.col("tf") / F.col("size") * F.log(n / (F.col("all") + 1))).alias("score"))
+    return with_values(tf, all_, "term", "_rows").select("doc_id", "term", (F.col("tf") / F.col("size") * F.log(n / (F.col("all") + 1))).alias("score"))
 
 
 def keyword_score(docs: DataFrame, query: list[str], weights: dict[str, float], absent: float = 1e6) -> DataFrame:
@@ -113,10 +125,15 @@ def chunks(docs: DataFrame, size: int = 512, overlap: int = 32) -> DataFrame:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int | None = None, block_rows: int = 2048) -> DataFrame:
     """``query_id, vec_id, cosine, rank``: the ``k`` most similar vectors of each query, itself left out; of equals the smallest ids.
 
+    Rows whose vector is null or has null or non-finite components take no part; ids are of any type that sorts, and not null.
+
     Queries and vectors are dealt over blocks of about ``block_rows`` rows (``blocks`` sets their number instead); each pair
     of blocks is one task's matrix product, which keeps ``k`` rows a query, so that groups don't grow with the input and
     what is ranked at the end is bounded by queries times blocks times ``k``.
     """
+    whole = F.coalesce((F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf"))) & F.col("vec_id").isNotNull(), F.lit(False))
+    vectors, queries = vectors.where(whole), queries.where(whole)
+    kind = vectors.schema["vec_id"].dataType.simpleString()
     n_q, n_v = (blocks or max(1, -(-x.count() // block_rows)) for x in (queries, vectors))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
@@ -126,7 +143,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int | No
     def product(t: pa.Table) -> pa.Table:
         t = t.sort_by("id")
         role = t["role"].to_numpy()
-        ids = t["id"].to_numpy()
+        ids = np.array(t["id"].to_pylist(), None if pa.types.is_integer(t["id"].type) else object)
         x = np.array(t["embedding"].to_pylist(), np.float64)
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
         a, b = x[role == 1], x[role == 0]
@@ -144,8 +161,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int | No
                 out[0] += [qi[i]] * len(top)
                 out[1] += vi[near[top]].tolist()
                 out[2] += exact[top].tolist()
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "cosine"])
+        return pa.table([pa.array(out[0], t["id"].type), pa.array(out[1], t["id"].type), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "cosine"])
 
-    found = q.unionByName(v).groupBy("qb", "vb").applyInArrow(product, "query_id long, vec_id long, cosine double")
+    found = q.unionByName(v).groupBy("qb", "vb").applyInArrow(product, f"query_id {kind}, vec_id {kind}, cosine double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)

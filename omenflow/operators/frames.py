@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .rows import positioned
+from .skew import same
 
 #: Which rows each named dataset has, by the author type (0 people, 1 models).
 DATASETS = {"all": None, "human": 0, "synthetic": 1}
@@ -128,8 +129,8 @@ def columns_equal(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame
 
 
 def with_group_size(df: DataFrame, group: str, column: str) -> DataFrame:
-    """Adds the number of rows of a row's group; counts are made first, so that no group meets in one task."""
-    return df.join(df.groupBy(group).agg(F.count("*").alias(column)), group)
+    """Adds the number of rows of a row's group, null being one too; counts are made first, so that no group meets in one task."""
+    return same(df, df.groupBy(group).agg(F.count("*").alias(column)), group)
 
 
 def summary_rows(df: DataFrame, group: str, columns: list[str]) -> DataFrame:

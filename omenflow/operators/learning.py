@@ -14,19 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from .learners import MixedLinear, SecondOrderBoosting
 
 ON = {"featuresCol": "features", "labelCol": "label"}
-#: Estimators by name.  Regressions learn -1 and 1 and predict by the sign; the perceptron and hinge-loss descent are a
-#: support vector machine without and with regularisation, and extreme gradient boosting is the gradient-boosted trees.
+#: Estimators by name.  Regressions learn -1 and 1 and predict by the sign.
 MODELS = {
     "logistic_regression": lambda seed: LogisticRegression(maxIter=1000, **ON),
     "decision_tree": lambda seed: DecisionTreeClassifier(seed=seed, **ON),
     "random_forest": lambda seed: RandomForestClassifier(seed=seed, **ON),
     "gradient_boosting": lambda seed: GBTClassifier(seed=seed, **ON),
-    "x_gradient_boosting": lambda seed: GBTClassifier(seed=seed, stepSize=0.3, maxDepth=6, **ON),
+    "x_gradient_boosting": lambda seed: SecondOrderBoosting(**ON),
     "support_vector_machine": lambda seed: LinearSVC(regParam=0.01, **ON),
-    "perceptron": lambda seed: LinearSVC(regParam=0.0, **ON),
-    "sgd": lambda seed: LinearSVC(regParam=0.0001, **ON),
+    "perceptron": lambda seed: MixedLinear(kind="perceptron", **ON),
+    "sgd": lambda seed: MixedLinear(kind="hinge", **ON),
     "ridge": lambda seed: LinearRegression(regParam=1.0, elasticNetParam=0.0, featuresCol="features", labelCol="sign"),
     "linear_regression": lambda seed: LinearRegression(featuresCol="features", labelCol="sign"),
     "elastic_net": lambda seed: LinearRegression(regParam=0.01, elasticNetParam=0.5, featuresCol="features", labelCol="sign"),

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.writers import scratch
 from . import corpus, similarity
+from .skew import with_values
 
 
 def product(few: DataFrame, many: DataFrame, most: int = 10_000) -> DataFrame:
@@ -105,8 +107,9 @@ def mean_of_words(docs: DataFrame, id_col: str, words: Column, table: DataFrame,
     """
     each = docs.select(id_col, F.explode(words).alias("word")).where(~F.col("word").isin(*stop) if stop else F.lit(True))
     counted = each.groupBy(id_col, "word").agg(F.count("*").alias("n"))
+    known = counted.groupBy("word").agg(F.count("*").alias("_rows")).join(table, "word")
     sums = [F.sum(F.col("n") * F.get(F.col("vector"), F.lit(i)).cast("double")) / F.sum("n") for i in range(width)]
-    means = counted.join(table, "word").groupBy(id_col).agg(F.array(*sums).alias("vector"))
+    means = with_values(counted, known, "word", "_rows").groupBy(id_col).agg(F.array(*sums).alias("vector"))
     return docs.select(id_col).distinct().join(means, id_col, "left").withColumn("vector", F.coalesce("vector", F.array(*[F.lit(0.0)] * width)))
 
 
@@ -114,20 +117,26 @@ def linked_groups(pairs: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataF
     """``node, cluster``: single-link clusters, the connected components of ``a, b``; the cluster is its least node.
 
     Labels spread by the least neighbour and, doubling their reach, by the label's own label.  Each round is written to
-    the shared checkpoint folder, where the session has one.
+    the folder that driver and executors share; a hub's edges and a large component's nodes are dealt over salts.
     """
-    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    labels = nodes.select(F.col("node"), F.col("node").alias("cluster"))
-    spark = nodes.sparkSession
-    safe = bool(spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
+    both = _written(both)
+    degree = both.groupBy("b").agg(F.count("*").alias("_rows"))
+    labels = _written(nodes.select("node").distinct().withColumn("cluster", F.col("node")))
     for _ in range(rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), F.col("cluster").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
-        step = labels.join(near, labels["node"] == near["a"], "left").select("node", "cluster", F.least("cluster", F.coalesce("c", "cluster")).alias("new"))
-        jump = labels.select(F.col("node").alias("new"), F.col("cluster").alias("further"))
-        step = step.join(jump, "new").select("node", "cluster", F.least("new", "further").alias("new"))
-        step = step.checkpoint() if safe else step
-        changed = step.where("new <> cluster").limit(1).count()
+        reached = degree.join(labels.select(F.col("node").alias("b"), F.col("cluster").alias("c")), "b")
+        near = with_values(both, reached, "b", "_rows").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("c"))
+        step = _written(labels.join(near, "node", "left").select("node", "cluster", F.least("cluster", F.coalesce("c", "cluster")).alias("new")))
+        members = step.groupBy("new").agg(F.count("*").alias("_rows"))
+        jump = members.join(labels.select(F.col("node").alias("new"), F.col("cluster").alias("further")), "new")
+        step = _written(with_values(step, jump, "new", "_rows").select("node", "cluster", F.least("new", "further").alias("new")))
         labels = step.select("node", F.col("new").alias("cluster"))
-        if not changed:
+        if step.where("new <> cluster").isEmpty():
             return labels
     raise RuntimeError(f"labels still change after {rounds} rounds")
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.writers import scratch
+from .skew import same
+
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """``label, n, pct``; only counts meet in one place."""
@@ -29,27 +32,30 @@ def split(df: DataFrame, id_col: str, stratum: str, test_share: float = 0.2, see
     """Adds ``part`` (train or test), stratified: an exact share of each stratum's rows in hash order.
 
     A stratum's rows are cut by the first 16 bits of their hash first; only the slice in which the border falls is
-    ranked, so that no stratum is sorted in one task.
+    ranked, so that no stratum is sorted in one task.  Rows without a stratum are one of their own.
     """
     slot = F.conv(F.substring("_key", 1, 4), 16, 10).cast("int")
     rows = df.withColumn("_key", order_key(id_col, seed)).withColumn("_slot", slot)
     counts = rows.groupBy(stratum, "_slot").agg(F.count("*").alias("_n"))
     running = Window.partitionBy(stratum).orderBy("_slot")  # 65,536 rows a stratum at most
     border = counts.select(stratum, "_slot", (F.sum("_n").over(running) - F.col("_n")).alias("_before"), F.floor(F.sum("_n").over(Window.partitionBy(stratum)) * test_share + 0.5).alias("_test"))
-    placed = rows.join(border, [stratum, "_slot"])
+    placed = same(rows, border, stratum, "_slot")
     rank = F.row_number().over(Window.partitionBy(stratum, "_slot").orderBy("_key", id_col))
     return placed.withColumn("part", F.when(F.col("_before") + rank <= F.col("_test"), "test").otherwise("train")).drop("_key", "_slot", "_before", "_test")
 
 
 def balanced(df: DataFrame, id_col: str, label: str, method: str, seed: int = 42) -> DataFrame:
-    """Over- or under-sampling to the largest or smallest class: whole copies, then the rows first in hash order."""
+    """Over- or under-sampling to the largest or smallest class: whole copies, then the rows first in hash order.
+
+    Rows without a label are a class.
+    """
     if method not in ("oversample", "undersample"):
         raise ValueError(f"unknown method {method!r}")
     counts = df.groupBy(label).agg(F.count("*").alias("_n"))
     goal = counts.agg((F.max if method == "oversample" else F.min)("_n").alias("_goal"))
     sized = counts.join(goal)
     copies = F.explode(F.sequence(F.lit(0), F.ceil(F.col("_goal") / F.col("_n")).cast("int") - 1))
-    each = df.join(sized, label).withColumn("_copy", copies)
+    each = same(df, sized, label).withColumn("_copy", copies)
     # Whole copies stay; of the last one, what is needed is split off.
     rest = F.col("_goal") - F.col("_n") * F.floor(F.col("_goal") / F.col("_n"))
     whole = each.where(F.col("_copy") < F.floor(F.col("_goal") / F.col("_n")))
@@ -59,7 +65,7 @@ def balanced(df: DataFrame, id_col: str, label: str, method: str, seed: int = 42
     per = part.groupBy(label, "_slot").agg(F.count("*").alias("_c"))
     before = per.select(label, "_slot", (F.sum("_c").over(Window.partitionBy(label).orderBy("_slot")) - F.col("_c")).alias("_before"))
     rank = F.row_number().over(Window.partitionBy(label, "_slot").orderBy("_key", id_col))
-    kept = part.join(before, [label, "_slot"]).withColumn("_rank", rank).where(F.col("_before") + F.col("_rank") <= F.col("_rest"))
+    kept = same(part, before, label, "_slot").withColumn("_rank", rank).where(F.col("_before") + F.col("_rank") <= F.col("_rest"))
     return whole.select(df.columns).unionByName(kept.select(df.columns))
 
 
@@ -76,10 +82,10 @@ def islands(df: DataFrame, group: str, order: list[str], closes) -> DataFrame:
 
 
 def transitions(df: DataFrame, group: str, order: str, state: str) -> DataFrame:
-    """``state, next_state, n, p`` of neighbouring rows in each group."""
-    after = df.select(F.col(state).alias("state"), F.lead(state).over(Window.partitionBy(group).orderBy(order)).alias("next_state")).where("next_state is not null")
-    counted = after.groupBy("state", "next_state").agg(F.count("*").alias("n"))
-    return counted.join(counted.groupBy("state").agg(F.sum("n").alias("all")), "state").select("state", "next_state", "n", (F.col("n") / F.col("all")).alias("p"))
+    """``state, next_state, n, p`` of neighbouring rows in each group; null is a state like others."""
+    after = df.select(F.col(state).alias("state"), F.lead(F.struct(F.col(state).alias("s"))).over(Window.partitionBy(group).orderBy(order)).alias("next")).where("next is not null")
+    counted = after.groupBy("state", F.col("next.s").alias("next_state")).agg(F.count("*").alias("n"))
+    return counted.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("state")))  # a row for each pair of states
 
 
 def lookback(df: DataFrame, group: str, order: list[str], value: str, n: int) -> DataFrame:
@@ -115,15 +121,25 @@ def slices(df: DataFrame, value: str, parts: int = 64):
 
 
 def positioned(df: DataFrame, order: str) -> DataFrame:
-    """Adds ``pos`` from 0 by ascending ``order`` (a number that is not null; rows with equal ones come in any order).
+    """Adds ``pos`` from 0 by ascending ``order`` of any type that sorts; nulls come last, equal ones in the order of the input.
 
-    Ranges of ``order`` are ranked apart, then shifted by the sizes of those before.
+    Rows are dealt over as many ranges as the session has shuffle partitions, or the input splits if those are more; equal
+    values, however many, over several.  The sorted ranges are written once, so that positions inside and sizes
+    of the ranges before are of one and the same sort.
     """
-    ranged = df.withColumn("_part", slices(df, order))
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    keys = [F.asc_nulls_last(order), F.asc("_tie")]
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # A number's upper bits are its range, the lower 33 the place inside.
+    ranged = ranged.drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+    path = scratch(spark)
+    ranged.write.parquet(path)
+    part = F.shiftright("_at", 33)
+    placed = spark.read.schema(ranged.schema).parquet(path).withColumns({"_part": part, "_k": F.col("_at") - F.shiftleft(part, 33)})
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     base = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))  # one row a range
-    placed = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    return placed.join(F.broadcast(base), "_part").withColumn("pos", F.col("_base") + F.col("_k") - 1).drop("_part", "_base", "_k")
+    return placed.join(F.broadcast(base), "_part").withColumn("pos", F.col("_base") + F.col("_k")).drop("_part", "_base", "_k", "_at")
 
 
 def zipped(left: DataFrame, left_order: str, right: DataFrame, right_order: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .skew import same
+
 FLOOR = 1e-6
 
 
@@ -21,8 +23,8 @@ def vocabulary(words: DataFrame, word: str = "word", least: int = 3) -> DataFram
 def emissions(tagged: DataFrame, tag: str = "tag", word: str = "word") -> DataFrame:
     """``tag, word, n, p``."""
     counted = tagged.groupBy(F.col(tag).alias("tag"), F.col(word).alias("word")).agg(F.count("*").alias("n"))
-    total = counted.groupBy("tag").agg(F.sum("n").alias("all"))
-    return counted.join(total, "tag").select("tag", "word", "n", (F.col("n") / F.col("all")).alias("p"))
+    total = counted.groupBy("tag").agg(F.sum("n").alias("all"))  # a row a tag
+    return same(counted, total, "tag").select("tag", "word", "n", (F.col("n") / F.col("all")).alias("p"))
 
 
 def decode(words: DataFrame, transitions: dict, emitted: dict, states: list[str], greedy: bool = False, floor: float = FLOOR) -> DataFrame:

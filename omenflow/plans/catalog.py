@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import agreement, corpus, rows
+from ..operators.skew import same
 from ..sources import writers
 from ..streaming import events
 
@@ -239,7 +240,7 @@ def blocked_name_pairs(spark, d):
 def standard_scale(spark, d):
     e = load(spark, d, "events")
     stats = e.groupBy("event_type").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))
-    return e.join(stats, "event_type").select("event_id", F.round((F.col("value") - F.col("m")) / F.col("s"), 6).alias("z"))
+    return same(e, stats, "event_type").select("event_id", F.round((F.col("value") - F.col("m")) / F.col("s"), 6).alias("z"))
 
 
 @query(r"SELECT shape, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[a-z]', 'x', 'g'), '[A-Z]', 'X', 'g'), '[0-9]', 'd', 'g'), '(x{4})x+|(X{4})X+|(d{4})d+', '\1\2\3', 'g') AS shape FROM (SELECT unnest(" + TOKENS.format("coalesce(text, '')") + ") AS t FROM documents)) GROUP BY shape")

@@ -19,6 +19,22 @@ TEMPLATES = {
     4: r"According to a \[(.*?)\] from \[(.*?)\], on \[(.*?)\], the \[(.*?)\] \[(.*?)\] \[(.*?)\] beyond \[(.*?)\] in the timeframe of \[(.*?)\].",
     5: r"In \[(.*?)\], the \[(.*?)\] in \[(.*?)\] \[(.*?)\] \[(.*?)\] by \[(.*?)\], as (.*?) by \[(.*?)\] on \[(.*?)\].",
 }
+#: The strict bracket templates, in which any words may stand for the act of forecasting.
+STRICT_TEMPLATES = {
+    1: r"On \[(.*?)\], \[(.*?)\] (.*?) that the \[(.*?)\] at \[(.*?)\] \[(.*?)\] \[(.*?)\] by \[(.*?)\] in \[(.*?)\].",
+    2: r"In \[(.*?)\], \[(.*?)\] from \[(.*?)\], (.*?) that the \[(.*?)\] \[(.*?)\] \[(.*?)\] from \[(.*?)\] to \[(.*?)\] in \[(.*?)\].",
+    3: r"\[(.*?)\] (.*?) on \[(.*?)\] that the \[(.*?)\] in \[(.*?)\] \[(.*?)\] \[(.*?)\] by \[(.*?)\] in \[(.*?)\].",
+    4: r"According to a \[(.*?)\] from \[(.*?)\], on \[(.*?)\], the \[(.*?)\] \[(.*?)\] \[(.*?)\] beyond \[(.*?)\] in the timeframe of \[(.*?)\].",
+    5: r"In \[(.*?)\], the \[(.*?)\] in \[(.*?)\] \[(.*?)\] \[(.*?)\] by \[(.*?)\], as (.*?) by \[(.*?)\] on \[(.*?)\].",
+}
+#: What each group of a strict template is; the act (``verb``) and a range's lower end (``low``) are read but aren't properties.
+STRICT_FIELDS = {
+    1: ("p_t", "p_p", "verb", "p_a", "p_o", "p_s", "p_m", "p_v", "p_f"),
+    2: ("p_t", "p_p", "p_o", "verb", "p_a", "p_s", "p_m", "low", "p_v", "p_f"),
+    3: ("p_p", "verb", "p_t", "p_a", "p_o", "p_s", "p_m", "p_v", "p_f"),
+    4: ("p_p", "p_o", "p_t", "p_a", "p_s", "p_m", "p_v", "p_f"),
+    5: ("p_f", "p_a", "p_o", "p_s", "p_m", "p_v", "verb", "p_p", "p_t"),
+}
 #: Groups of each template, and the fields of the first seven; the last group is ``p_f``.
 GROUPS = {1: 8, 2: 8, 3: 9, 4: 8, 5: 9}
 FIELDS = ("p_t", "p_p", "p_a", "p_o", "p_s", "p_m", "p_v")
@@ -47,9 +63,9 @@ def with_template(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def template_fields(df: DataFrame, text: str = "text", template: str = "template") -> DataFrame:
-    """Adds ``p_t .. p_f`` and a null ``p_l``; rows that don't match their template go, and an unknown template is an error."""
+    """Adds ``p_t .. p_f`` and a null ``p_l``; rows without a template or that don't match theirs go, and an unknown one is an error."""
     t = F.col(template)
-    known = F.when(t.isin(*TEMPLATES), t).otherwise(F.raise_error(F.concat(F.lit("unknown template "), F.coalesce(t.cast("string"), F.lit("null")))))
+    known = F.when(t.isNull() | t.isin(*TEMPLATES), t).otherwise(F.raise_error(F.concat(F.lit("unknown template "), t.cast("string"))))
     pick = lambda of: F.coalesce(*[F.when(known == n, of(n)) for n in TEMPLATES])
     hit = df.where(pick(lambda n: F.col(text).rlike(TEMPLATES[n])))
     fields = {name: pick(lambda n, i=i: F.regexp_extract(text, TEMPLATES[n], i)) for i, name in enumerate(FIELDS, 1)}
@@ -88,8 +104,12 @@ def dates_in(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"(20\d{2}[/-]\d{2}[/-]\d{2}|20\d{2} Q[1-4]|Q[1-4] (?:of )?20\d{2}|\d{1,2} [A-Z][a-z]+ 20\d{2})"), 1)
 
 
+#: Fixed value: one amount, or two after each other.
+STAKES = r"\$[\d,]+(?:\s+\$[\d,]+)?"
+
+
 def stakes(text: Column) -> Column:
-    return F.regexp_extract(text, r"\$[\d,]+(?:\s+\$[\d,]+)?", 0)
+    return F.regexp_extract(text, STAKES, 0)
 
 
 def python_lists(text: Column) -> Column:
@@ -113,11 +133,21 @@ def loose_lists(text: Column) -> Column:
 
 
 def strict_fields(df: DataFrame, text: str = "text", template: str = "template") -> DataFrame:
-    """``template_fields`` in which a sentence that doesn't match its template is an error."""
-    t = F.col(template)
-    fits = F.coalesce(*[F.when(t == n, F.col(text).rlike(p)) for n, p in TEMPLATES.items()], F.lit(False))
-    told = F.raise_error(F.concat(F.lit("no match of its template: "), F.coalesce(F.col(text), F.lit("null"))))
-    return template_fields(df.withColumn(text, F.when(fits, F.col(text)).otherwise(told)), text, template)
+    """Adds ``p_t .. p_f`` and a null ``p_l`` by the strict templates, each group under its own meaning.
+
+    A sentence that doesn't begin as its template, null too, is an error, and so is an unknown template.
+    """
+    t, at = F.col(template), F.col(text)
+    fits = F.coalesce(*[F.when(t == n, at.rlike(f"^(?:{p})")) for n, p in STRICT_TEMPLATES.items()], F.lit(False))
+    told = F.raise_error(F.concat(F.lit("no match of its template: "), F.coalesce(at, F.lit("null"))))
+    checked = df.withColumn(text, F.when(fits, at).otherwise(told))
+    pick = lambda name: F.coalesce(*[F.when(t == n, F.regexp_extract(text, p, STRICT_FIELDS[n].index(name) + 1)) for n, p in STRICT_TEMPLATES.items() if name in STRICT_FIELDS[n]])
+    return checked.withColumns({name: pick(name) for name in (*FIELDS, "p_f")} | {"p_l": F.lit(None).cast("string")})
+
+
+def run_day(moment: Column | None = None) -> Column:
+    """A day as runs are named by it: that of the moment, or today's."""
+    return F.date_format(F.current_timestamp() if moment is None else moment, "yyyy-MM-dd")
 
 
 def number_or(text: Column, default: int = -1) -> Column:

@@ -57,20 +57,22 @@ def has_future_modal(text: Column) -> Column:
     return F.arrays_overlap(tokens(F.lower(text)), F.array(*map(F.lit, FUTURE_MODALS)))
 
 
-#: Titles that are organisations, and the forms of temperatures.
+#: Titles that are organisations, and the forms of temperatures, quarters and days.
 ORGANISATIONS = ("Weather Underground", "The Weather Channel]")
 TEMPERATURE = r"^(?:-\d+°[CF]|-\d+°[CF] to -\d+°[CF]|\d+°[CF] to \d+°[CF]|\d+°[CF])"
+QUARTER = r"^(?:Q\d of \d{4}|Quarter \d|\d Q\d)"
+DAY = r"^\d{1,2} [a-zA-Z]+ \d{4}"
 
 
 def corrected_entity(label: Column, text: Column) -> Column:
     """Entity labels put right by what the text looks like; patterns hold at its start."""
-    quarter = text.rlike(r"^(?:Q\d of \d{4}|Quarter \d|\d Q\d)")
+    quarter = text.rlike(QUARTER)
     return (
         F.when((label == "LOC") | label.startswith("LOC_"), "GPE")
         .when(label == "FAC", "PERSON")
         .when((label == "WORK_OF_ART") & quarter, "DATE")
         .when((label == "WORK_OF_ART") & text.isin(*ORGANISATIONS), "ORG")
-        .when((label == "CARDINAL") & text.rlike(r"^\d{1,2} [a-zA-Z]+ \d{4}"), "DATE")
+        .when((label == "CARDINAL") & text.rlike(DAY), "DATE")
         .when((label == "CARDINAL") & text.rlike(TEMPERATURE), "TEMPERATURE")
         .otherwise(label)
     )

@@ -10,7 +10,7 @@ from pyspark.ml.clustering import LDA, GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, CountVectorizer, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
@@ -70,7 +70,13 @@ def save_all(fitted: dict[str, PipelineModel], folder: str) -> None:
         m.write().overwrite().save(f"{folder}/{name}")
 
 
-def load_all(folder: str, names: list[str]) -> dict[str, PipelineModel]:
+def load_all(folder: str, names: list[str] | None = None) -> dict[str, PipelineModel]:
+    """The named models of a folder; all that are there, by name, if none are named."""
+    if names is None:
+        spark = SparkSession.active()
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(folder)
+        place = F.regexp_extract("path", r"/([^/]+)/metadata/part-", 1)
+        names = sorted(r.n for r in files.where(place.isin(*MODELS)).select(place.alias("n")).distinct().collect())
     return {n: PipelineModel.load(f"{folder}/{n}") for n in names}
 
 

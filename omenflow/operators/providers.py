@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +25,12 @@ def keyword_judge(prompts: list[str]) -> list[str]:
     return [json.dumps({"label": int(bool(x)), "reasoning": ", ".join(x) or "no modal"}) for x in found]
 
 
+def line_judge(prompts: list[str]) -> list[str]:
+    """How a prompt's last line stands to the one before: it repeats it, it has a denial, or neither."""
+    ends = [(["", ""] + p.split("\n"))[-2:] for p in prompts]
+    return ["ENTAILMENT" if a in b else "CONTRADICTION" if "won't" in b else "NEUTRAL" for a, b in ends]
+
+
 def prompted(text, task: str):
     return F.concat(F.lit(task + "\n"), F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
 
@@ -96,19 +103,19 @@ def patient(ask: Provider, attempts: int = 5, wait: float = 10.0, final: tuple[t
     return run
 
 
-def batches(spark, domains: list[str], names: list[str], n: int, template: str, label: int) -> DataFrame:
-    """Sentences of ``n`` batches of each domain and provider, with their lineage, from prompts made by a template.
+def batches(runs: DataFrame, providers: dict[str, Provider] | list[str], template: str, label: int) -> DataFrame:
+    """Sentences of each run (``batch_id, domain``) from each provider, with their lineage, from prompts made by a template.
 
-    ``batch_id, domain, model_name, base_sentence, sentence_label``; the runs are rows, so that Spark deals them out.
+    ``batch_id, domain, model_name, base_sentence, sentence_label``; runs are rows, so that Spark deals them out.  Providers are
+    named ones or functions by name; runs that repeat are made once.
     """
-    ask = {name: provider(name) for name in names}
-    runs = spark.range(n).select((F.col("id").cast("int") + 1).alias("batch_id"), F.explode(F.array(*map(F.lit, domains))).alias("domain"))
-    parts = None
+    ask = providers if isinstance(providers, dict) else {name: provider(name) for name in providers}
+    each = runs.select("batch_id", "domain").distinct()
+    parts = []
     for name, fn in ask.items():
-        asked = runs.withColumns({"model_name": F.lit(name), "prompt": tx.composed(template, domain=F.col("domain"), batch=F.col("batch_id").cast("string"))})
-        made = generated(asked, "prompt", fn, label)
-        parts = made if parts is None else parts.unionByName(made)
-    return parts
+        asked = each.withColumns({"model_name": F.lit(name), "prompt": tx.composed(template, domain=F.col("domain"), batch=F.col("batch_id").cast("string"))})
+        parts.append(generated(asked, "prompt", fn, label))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def rephrased(df: DataFrame, query: str, ask: Provider, column: str = "rephrased") -> DataFrame:

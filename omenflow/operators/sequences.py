@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .skew import same
+from .skew import same, with_values
 
 FLOOR = 1e-6
 
@@ -27,34 +25,47 @@ def emissions(tagged: DataFrame, tag: str = "tag", word: str = "word") -> DataFr
     return same(counted, total, "tag").select("tag", "word", "n", (F.col("n") / F.col("all")).alias("p"))
 
 
-def decode(words: DataFrame, transitions: dict, emitted: dict, states: list[str], greedy: bool = False, floor: float = FLOOR) -> DataFrame:
+def decode(words: DataFrame, transitions: DataFrame, emitted: DataFrame, greedy: bool = False, floor: float = FLOOR) -> DataFrame:
     """``sequence, pos, word, tag`` of ``sequence, pos, word``: the best path (Viterbi), or the best step by step.
 
-    ``transitions[(from, to)]`` and ``emitted[(tag, word)]`` are a model's probabilities; unknown ones are ``floor``.  A
-    sequence is a sentence, so that it fits one task.
+    ``transitions`` (``state, next_state, p``) and ``emitted`` (``tag, word, p``) are a model's probabilities; missing ones
+    are ``floor``, and of equal paths that with the first states by name is taken.  Nothing of the model is collected: a
+    word's log probabilities by tag are joined to its places, and the matrix of transitions is one row, of the
+    square of a tag set.  A sequence is a sentence, whose words are one row while it is decoded.
     """
-    move = np.log([[transitions.get((a, b), floor) for b in states] for a in states])
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos")
-        says = np.log([[emitted.get((s, w), floor) for s in states] for w in rows["word"]])
-        best, back = says[0], []
-        path = [int(best.argmax())]
-        for step in says[1:]:
-            if greedy:
-                path.append(int((move[path[-1]] + step).argmax()))
-                continue
-            ways = best[:, None] + move
-            back.append(ways.argmax(axis=0))
-            best = ways.max(axis=0) + step
-        if not greedy:
-            path = [int(best.argmax())]
-            for came in reversed(back):
-                path.append(int(came[path[-1]]))
-            path.reverse()
-        return rows.assign(tag=[states[i] for i in path])[["sequence", "pos", "word", "tag"]]
-
-    return words.select("sequence", "pos", "word").groupBy("sequence").applyInPandas(run, "sequence long, pos long, word string, tag string")
+    known = emitted.where("tag is not null")
+    tags = known.select(F.col("tag").alias("s")).distinct()
+    names = tags.agg(F.array_sort(F.collect_list("s")).alias("names"))
+    each = tags.select(F.col("s").alias("a")).join(F.broadcast(tags.select(F.col("s").alias("b"))))  # the square of a tag set
+    step = each.join(transitions.select(F.col("state").alias("a"), F.col("next_state").alias("b"), "p"), ["a", "b"], "left")
+    logged = F.log(F.coalesce("p", F.lit(floor)))
+    into = step.groupBy("b").agg(F.transform(F.array_sort(F.collect_list(F.struct("a", logged.alias("l")))), lambda x: x["l"]).alias("row"))
+    matrix = into.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "row"))), lambda x: x["row"]).alias("moves"))
+    model = F.broadcast(names.join(matrix))  # one row
+    said = known.select("word", "tag", F.log("p").alias("l")).groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("tag", "l"))).alias("_l"))  # a tag set at most
+    hot = words.groupBy("word").agg(F.count("*").alias("_rows"))
+    placed = with_values(words.select("sequence", "pos", "word"), hot.join(said, "word", "left"), "word", "_rows", "left")
+    rows = placed.groupBy("sequence").agg(F.array_sort(F.collect_list(F.struct("pos", "word", F.map_entries("_l").alias("_l")))).alias("w")).join(model)
+    least = F.log(F.lit(floor))
+    says = lambda x: F.transform("names", lambda n: F.coalesce(F.try_element_at(F.map_from_entries(x["_l"]), n), least))
+    scores = rows.select("sequence", "names", "moves", F.transform("w", lambda x: F.struct(x["pos"].alias("pos"), x["word"].alias("word"))).alias("w"), F.transform("w", says).alias("e"))
+    first = lambda xs: F.array_position(xs, F.array_max(xs)).cast("int")
+    if greedy:
+        step_ = lambda path, e: F.concat(path, F.array(first(F.when(F.size(path) == 0, e).otherwise(F.zip_with(F.transform("moves", lambda row: F.get(row, F.element_at(path, -1) - 1)), e, lambda a, b: a + b)))))
+        path = F.aggregate("e", F.array().cast("array<int>"), lambda p, e: F.when(F.size(p) == 0, F.array(first(e))).otherwise(step_(p, e)))
+    else:
+        # The state: each tag's best sum so far, and the ways back, a list of the tags before for each place.
+        start = F.struct(F.get("e", F.lit(0)).alias("best"), F.array().cast("array<array<int>>").alias("back"))
+        ways = lambda best: F.transform("moves", lambda row: F.zip_with(best, row, lambda a, b: a + b))
+
+        def forward(s, e):
+            reached = ways(s["best"])
+            return F.struct(F.zip_with(F.transform(reached, F.array_max), e, lambda a, b: a + b).alias("best"), F.concat(s["back"], F.array(F.transform(reached, first))).alias("back"))
+
+        scores = scores.withColumn("_v", F.aggregate(F.slice("e", F.lit(2), F.size("e")), start, forward))
+        path = F.reverse(F.aggregate(F.reverse("_v.back"), F.array(first(F.col("_v.best"))), lambda p, back: F.concat(p, F.array(F.get(back, F.element_at(p, -1) - 1)))))
+    told = scores.select("sequence", F.col("names"), F.inline(F.arrays_zip(F.col("w").alias("w"), path.alias("t"))))
+    return told.select("sequence", "w.pos", "w.word", F.get("names", F.col("t") - 1).alias("tag"))
 
 
 def path_probability(paths: DataFrame, transitions: DataFrame) -> DataFrame:

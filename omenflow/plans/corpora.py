@@ -77,17 +77,23 @@ def bare_brackets(spark, d):
     return load(spark, d, "nation").select("n_nationkey", fc.without_brackets(F.concat(F.lit("["), "n_name", F.lit("]"))).alias("bare"))
 
 
-ENTITY_CASES = (
-    ("LOC", "Alps", "GPE"), ("LOC_1", "Alps", "GPE"), ("LOCATION", "Alps", "LOCATION"), ("FAC", "Ann", "PERSON"),
-    ("WORK_OF_ART", "Q3 of 2027", "DATE"), ("WORK_OF_ART", "Quarter 3", "DATE"), ("WORK_OF_ART", "3 Q4", "DATE"), ("WORK_OF_ART", "Weather Underground", "ORG"), ("WORK_OF_ART", "Ulysses", "WORK_OF_ART"),
-    ("CARDINAL", "15 November 2021", "DATE"), ("CARDINAL", "20°C", "TEMPERATURE"), ("CARDINAL", "-5°F", "TEMPERATURE"), ("CARDINAL", "20 °C", "CARDINAL"), ("CARDINAL", "seven", "CARDINAL"), ("ORG", "20°C", "ORG"),
-)
+#: Entity labels and terms of each kind, made of a row's own values: ``i`` is its id, ``n`` its length, ``w`` its first word.
+ENTITY_LABELS = ("LOC", "LOC_1", "LOCATION", "FAC", "WORK_OF_ART", "CARDINAL", "ORG")
+ENTITY_TERMS = "w, concat('Q', n % 4 + 1, ' of ', 2000 + n % 30), concat('Quarter ', n % 4 + 1), concat(n % 40, '°C'), concat('-', n % 9 + 1, '°F'), concat(n % 28 + 1, ' November ', 1990 + n % 40), 'Weather Underground', concat(n % 12, ' °C')"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in ENTITY_CASES) + ") t(label, term, corrected)")
+@query(r"""WITH e AS (SELECT doc_id, doc_id AS i, n_chars AS n, regexp_extract(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w FROM documents),
+t AS (SELECT doc_id, ([""" + ", ".join(f"'{x}'" for x in ENTITY_LABELS) + """])[i % 7 + 1] AS label, ([""" + ENTITY_TERMS + r"""])[i // 7 % 8 + 1] AS term FROM e)
+SELECT doc_id, label, term, CASE WHEN label = 'LOC' OR starts_with(label, 'LOC_') THEN 'GPE' WHEN label = 'FAC' THEN 'PERSON'
+WHEN label = 'WORK_OF_ART' AND regexp_matches(term, '^(Q[0-9] of [0-9]{4}|Quarter [0-9]|[0-9] Q[0-9])') THEN 'DATE' WHEN label = 'WORK_OF_ART' AND term = 'Weather Underground' THEN 'ORG'
+WHEN label = 'CARDINAL' AND regexp_matches(term, '^[0-9]{1,2} [a-zA-Z]+ [0-9]{4}') THEN 'DATE' WHEN label = 'CARDINAL' AND regexp_matches(term, '^-?[0-9]+°[CF]') THEN 'TEMPERATURE' ELSE label END AS corrected FROM t""")
 def corrected_entities(spark, d):
-    """Entity labels put right, rule by rule (F16)."""
-    return cases(spark, "label string, term string", *(x[:2] for x in ENTITY_CASES)).withColumn("corrected", tx.corrected_entity(F.col("label"), F.col("term")))
+    """Entity labels put right by rules, over entities cut from documents (F16)."""
+    word = F.regexp_extract(F.coalesce("text", F.lit("")), rf"[^ \t\n\x0B\f\r]+", 0)
+    e = load(spark, d, "documents").select("doc_id", F.col("doc_id").alias("i"), F.col("n_chars").alias("n"), word.alias("w"))
+    label = F.get(F.array(*map(F.lit, ENTITY_LABELS)), (F.col("i") % 7).cast("int"))
+    term = F.get(F.expr(f"array({ENTITY_TERMS})"), (F.floor(F.col("i") / 7) % 8).cast("int"))
+    return e.select("doc_id", label.alias("label"), term.alias("term")).withColumn("corrected", tx.corrected_entity(F.col("label"), F.col("term")))
 
 
 @query("SELECT doc_id, regexp_replace(strip_accents(text), '[^A-Za-z .,;'']', '', 'g') AS letters FROM documents")
@@ -185,10 +191,14 @@ def flat_events(spark, d):
     return fc.flat_events(fc.nested_events(event_records(spark, d), "record"))
 
 
-@query("SELECT * FROM (VALUES ('12', 12), ('12.7', 12), ('x', -1), ('', -1), (NULL, -1)) t(raw, number)")
+@query("""WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN regexp_extract(text, '[0-9]{1,7}([.][0-9]+)?') WHEN 1 THEN (n_chars // 7) || '.' || n_chars % 10 WHEN 2 THEN lang ELSE n_chars || ' ' END AS raw FROM documents)
+SELECT doc_id, raw, coalesce(trunc(try_cast(raw AS DOUBLE))::INT, -1) AS number FROM t""")
 def coerced_numbers(spark, d):
-    """Numbers read from text, -1 where they can't be."""
-    return cases(spark, "raw string", ("12",), ("12.7",), ("x",), ("",), (None,)).withColumn("number", fc.number_or(F.col("raw")))
+    """Numbers read from what documents have, -1 where they can't be."""
+    found = F.regexp_extract("text", r"[0-9]{1,7}(?:[.][0-9]+)?", 0)
+    n, i = F.col("n_chars"), F.col("doc_id") % 4
+    raw = F.when(i == 0, found).when(i == 1, F.concat(F.floor(n / 7).cast("string"), F.lit("."), (n % 10).cast("string"))).when(i == 2, F.col("lang")).otherwise(F.concat(n.cast("string"), F.lit(" ")))
+    return load(spark, d, "documents").select("doc_id", raw.alias("raw")).withColumn("number", fc.number_or(F.col("raw")))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderdate END AS parsed FROM orders")
@@ -198,10 +208,11 @@ def parsed_timestamps(spark, d):
     return load(spark, d, "orders").select("o_orderkey", F.try_to_timestamp(raw).alias("parsed"))
 
 
-@query("SELECT strftime(current_date, '%Y-%m-%d') AS today")
+@query("SELECT event_type, strftime(max(ts), '%Y-%m-%d') AS run_day, count(*) FILTER (ts >= date_trunc('day', ts)) AS n FROM events GROUP BY event_type")
 def run_date(spark, d):
-    """The day of a run."""
-    return spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd").alias("today"))
+    """The day of each kind's last run, as runs are named."""
+    e = load(spark, d, "events")
+    return e.groupBy("event_type").agg(fc.run_day(F.max("ts")).alias("run_day"), F.count_if(F.col("ts") >= F.date_trunc("day", "ts")).alias("n"))
 
 
 @query("SELECT n_nationkey, n_nationkey::FLOAT AS x, -1::FLOAT AS z, 3 AS n FROM nation")
@@ -434,12 +445,10 @@ def linked_groups(spark, d):
 
 
 def hmm(spark, d) -> tuple:
-    """Words (a turn's number modulo 5), and the model of roles: transitions, emissions, states."""
+    """Words (a turn's number modulo 5), and the model of roles: transitions and emissions."""
     c = load(spark, d, "conversations").select("conv_id", "turn", "role", (F.col("turn") % 5).cast("string").alias("word"))
-    moves = {(r.state, r.next_state): r.p for r in rows.transitions(c, "conv_id", "turn", "role").collect()}  # a row for each pair of states
-    says = {(r.tag, r.word): r.p for r in sequences.emissions(c, "role", "word").collect()}
     words = c.select(F.col("conv_id").alias("sequence"), F.col("turn").alias("pos"), "word")
-    return words, moves, says, sorted({t for t, _ in says})
+    return words, rows.transitions(c, "conv_id", "turn", "role"), sequences.emissions(c, "role", "word")
 
 
 @query("""WITH RECURSIVE c AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, turn, role, (turn % 5)::VARCHAR AS word FROM conversations),
@@ -452,11 +461,21 @@ g AS (SELECT conv_id, k, turn, c.word, tag FROM c JOIN first USING (word) WHERE
 SELECT conv_id AS sequence, turn AS pos, word, tag FROM g""")
 def greedy_decoding(spark, d):
     """Tags found step by step (C17)."""
-    words, moves, says, states = hmm(spark, d)
-    return sequences.decode(words, moves, says, states, greedy=True)
+    return sequences.decode(*hmm(spark, d), greedy=True)
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, turn, role, (turn % 5)::VARCHAR AS word FROM conversations),
+em AS (SELECT role AS s, word, count(*) / sum(count(*)) OVER (PARTITION BY role) AS p FROM c GROUP BY role, word),
+tr AS (SELECT a, b, n / sum(n) OVER (PARTITION BY a) AS p FROM (SELECT a, b, count(*) AS n FROM (SELECT role AS a, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM c) WHERE b IS NOT NULL GROUP BY a, b)),
+st AS (SELECT DISTINCT role AS s FROM c), w AS (SELECT DISTINCT word FROM c),
+says AS (SELECT w.word, list(ln(coalesce(em.p, 1e-6)) ORDER BY st.s) AS e FROM w CROSS JOIN st LEFT JOIN em ON em.s = st.s AND em.word = w.word GROUP BY w.word),
+moves AS (SELECT list(r ORDER BY b) AS m, (SELECT list(s ORDER BY s) FROM st) AS names FROM (SELECT y.s AS b, list(ln(coalesce(tr.p, 1e-6)) ORDER BY x.s) AS r FROM st x CROSS JOIN st y LEFT JOIN tr ON tr.a = x.s AND tr.b = y.s GROUP BY y.s)),
+v AS (SELECT conv_id, k, e AS best, list_transform(range(1, len(e) + 1), lambda s: [s]) AS paths FROM c JOIN says USING (word) WHERE k = 1
+UNION ALL SELECT c.conv_id, c.k, list_transform(range(1, len(e) + 1), lambda s: list_max(list_transform(range(1, len(e) + 1), lambda a: best[a] + m[s][a])) + e[s]),
+list_transform(range(1, len(e) + 1), lambda s: list_append(paths[list_position(list_transform(range(1, len(e) + 1), lambda a: best[a] + m[s][a]), list_max(list_transform(range(1, len(e) + 1), lambda a: best[a] + m[s][a])))], s))
+FROM v JOIN c ON c.conv_id = v.conv_id AND c.k = v.k + 1 JOIN says ON says.word = c.word, moves),
+l AS (SELECT conv_id, paths[list_position(best, list_max(best))] AS path FROM v QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) = 1)
+SELECT c.conv_id AS sequence, turn AS pos, word, names[path[k]] AS tag FROM l JOIN c USING (conv_id), moves""")
 def best_paths(spark, d):
     """Tags of the best path."""
     return sequences.decode(*hmm(spark, d))
@@ -476,10 +495,13 @@ def validated_models(spark, d):
     return learning.cross_validated(rows_, "ridge", "vec_id").agg(F.avg("accuracy").alias("mean"), F.stddev_samp("accuracy").alias("std"))
 
 
-@query("SELECT b::INT AS batch_id, m AS domain, 'echo' AS model_name, 'T' || t || ': Write of ' || m || ', batch ' || b AS base_sentence, 1 AS sentence_label FROM range(1, 4) x(b), (VALUES ('finance'), ('weather')) y(m), range(1, 4) z(t)")
+@query("""WITH r AS (SELECT DISTINCT c_nationkey % 5 + 1 AS b, c_mktsegment AS m FROM customer) SELECT b::INT AS batch_id, m AS domain, model_name, sentence AS base_sentence, 1 AS sentence_label
+FROM r, LATERAL (SELECT 'echo' AS model_name, 'T' || t || ': Write of ' || m || ', batch ' || b AS sentence FROM (VALUES (1), (2), (3)) z(t) UNION ALL SELECT 'loud', upper('Write of ' || m || ', batch ' || b))""")
 def generated_batches(spark, d):
-    """Sentences of several batches, domains and providers."""
-    return providers.batches(spark, ["finance", "weather"], ["echo"], 3, "Write of {domain}, batch {batch}", 1)
+    """Sentences of several batches, domains and providers, keyed by a table's rows."""
+    runs = load(spark, d, "customer").select((F.col("c_nationkey") % 5 + 1).alias("batch_id"), F.col("c_mktsegment").alias("domain"))
+    ask = {"echo": providers.provider("echo"), "loud": lambda prompts: [p.upper() for p in prompts]}
+    return providers.batches(runs, ask, "Write of {domain}, batch {batch}", 1)
 
 
 @query(JUDGED + "SELECT subject AS doc_id, CASE WHEN max(n) > 1 THEN (list(value ORDER BY n DESC, last DESC))[1]::VARCHAR ELSE 'None as all are different labels' END AS vote FROM (SELECT subject, value, count(*) AS n, max(rater) AS last FROM r GROUP BY ALL) GROUP BY subject")
@@ -489,11 +511,16 @@ def voted_labels(spark, d):
     return providers.voted(long, "doc_id")
 
 
-@query("SELECT n_nationkey, 'a prediction of ' || n_name AS prediction, 'NEUTRAL' AS entailment FROM nation")
+ENTAILED = "CASE WHEN n_regionkey = 0 THEN '' WHEN n_nationkey % 3 = 0 THEN 'It won''t rise.' WHEN n_nationkey % 3 = 1 THEN n_name || ' will rise.' ELSE 'Somebody said so.' END"
+
+
+@query(f"WITH t AS (SELECT n_nationkey, n_name || ' will rise.' AS prediction, {ENTAILED} AS observation FROM nation) SELECT n_nationkey, prediction, observation, CASE WHEN contains(observation, prediction) THEN 'ENTAILMENT' WHEN contains(observation, 'won''t') THEN 'CONTRADICTION' ELSE 'NEUTRAL' END AS entailment FROM t")
 def entailed_pairs(spark, d):
-    """Pairs labelled by a provider that gives one of three answers."""
-    pairs = load(spark, d, "nation").select("n_nationkey", F.concat(F.lit("a prediction of "), "n_name").alias("prediction"))
-    return providers.answered(pairs, "prediction", lambda prompts: ["NEUTRAL"] * len(prompts), "entailment")
+    """Pairs of predictions and observations labelled by a provider that gives one of three answers."""
+    seen = F.when(F.col("n_regionkey") == 0, "").when(F.col("n_nationkey") % 3 == 0, "It won't rise.").when(F.col("n_nationkey") % 3 == 1, F.concat("n_name", F.lit(" will rise."))).otherwise("Somebody said so.")
+    pairs = load(spark, d, "nation").select("n_nationkey", F.concat("n_name", F.lit(" will rise.")).alias("prediction"), seen.alias("observation"))
+    asked = pairs.withColumn("_p", tx.composed("Does the second line follow?\n{a}\n{b}", a=F.col("prediction"), b=F.col("observation")))
+    return providers.answered(asked, "_p", providers.line_judge, "entailment").drop("_p")
 
 
 @query("SELECT n_nationkey, length(n_name)::FLOAT AS x, 1::FLOAT AS y FROM nation")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import forecasts as fc
 from ..functions import text as tx
-from ..operators import agreement, corpus, learning, linguistic, providers, rows, sequences, similarity
+from ..operators import agreement, corpus, learning, linguistic, providers, rows, sequences, similarity, topics
 from ..sources import pages as pg
 from .catalog import JUDGED, LOWER, RATERS, judged, load, query, rounded
 
@@ -89,14 +89,59 @@ def node_degrees(spark, d):
     return sequences.degrees(load(spark, d, "documents"), "lang", "source")
 
 
-TEMPLATED = "On [2024-10-15], [%s] predicts that the [revenue] at [region %s] [will] [rise] by [5%%] in [Q3 2027]."
+#: One sentence of each template; ``{p}`` is who, ``{o}`` where, ``{v}`` how much.
+TEMPLATED = (
+    "T1: On [2024-10-15], [{p}] predicts that the [revenue] at [{o}] [will] [rise] by [{v}] in [Q3 2027].",
+    "T2: In [2024], [{p}] from [{o}], forecasts that the [revenue] [will] [fall] from [{v}] in [2027].",
+    "T3: [{p}] says on [2024] that the [price] in [{o}] [may] [rise] by [{v}] in [2028].",
+    "T4: According to a [{p}] from [{o}], on [May 2024], the [rate] [should] [go] beyond [{v}] in the timeframe of [June].",
+    "T5: In [2026], the [rain] in [{o}] [will] [fall] by [{v}], as said by [{p}] on [Monday].",
+    "T2: no sentence of its template by {p}",
+    "{p} has no template",
+)
+#: Of each template, what the fields have: the pattern's groups in their order.
+READ = (
+    ("2024-10-15", "{p}", "revenue", "{o}", "will", "rise", "{v}", "Q3 2027"), ("2024", "{p}", "{o}", "revenue", "will", "fall", "{v}", "2027"), ("{p}", "says", "2024", "price", "{o}", "may", "rise", "2028"),
+    ("{p}", "{o}", "May 2024", "rate", "should", "go", "{v}", "June"), ("2026", "rain", "{o}", "will", "fall", "{v}", "said", "Monday"),
+)
+PARTS = "SELECT c_custkey, c_custkey % 7 AS k, c_name AS p, 'nation ' || c_nationkey AS o, (c_custkey % 90 + 1) || '%' AS v FROM customer"
 
 
-@query("SELECT n_nationkey, 1 AS template, '2024-10-15' AS p_t, n_name AS p_p, 'revenue' AS p_a, 'region ' || n_regionkey AS p_o, 'will' AS p_s, 'rise' AS p_m, '5%' AS p_v, 'Q3 2027' AS p_f FROM nation")
+def templated(spark, d, texts: tuple[str, ...]) -> DataFrame:
+    """``c_custkey, text``: a customer's sentence, of one template each."""
+    c = load(spark, d, "customer")
+    fill = {"p": F.col("c_name"), "o": F.concat(F.lit("nation "), F.col("c_nationkey").cast("string")), "v": F.concat((F.col("c_custkey") % 90 + 1).cast("string"), F.lit("%"))}
+    text = F.get(F.array(*(tx.composed(t, **fill) for t in texts)), (F.col("c_custkey") % len(texts)).cast("int"))
+    return c.select("c_custkey", text.alias("text"))
+
+
+def in_sql(text: str) -> str:
+    for name in "pov":
+        text = text.replace("{" + name + "}", f"' || {name} || '")
+    return f"'{text}'"
+
+
+@query(f"WITH c AS ({PARTS}) " + " UNION ALL ".join(f"SELECT c_custkey, {k + 1} AS template, " + ", ".join(f"{in_sql(v)} AS {n}" for v, n in zip(values, (*fc.FIELDS, "p_f"), strict=True)) + f" FROM c WHERE k = {k}" for k, values in enumerate(READ)))
 def template_extraction(spark, d):
-    """Sentences made of nations by a template, read back."""
-    made = load(spark, d, "nation").select("n_nationkey", F.concat(F.lit("T1: "), F.format_string(TEMPLATED, "n_name", F.col("n_regionkey").cast("string"))).alias("text"))
-    return fc.template_fields(fc.with_template(made)).select("n_nationkey", "template", *fc.FIELDS, "p_f")
+    """Sentences of all templates and of none, made of customers and read back; those that don't fit go."""
+    return fc.template_fields(fc.with_template(templated(spark, d, TEMPLATED))).select("c_custkey", "template", *fc.FIELDS, "p_f")
+
+
+#: One sentence of each strict template, and its properties by name.
+STRICT = (
+    ("T1: On [2024-10-15], [{p}] is quite sure that the [revenue] at [{o}] [will] [rise] by [{v}] in [Q3 2027].", {"p_t": "2024-10-15", "p_a": "revenue", "p_s": "will", "p_m": "rise", "p_f": "Q3 2027"}),
+    ("T2: In [2024], [{p}] from [{o}], says that the [price] [may] [move] from [1%] to [{v}] in [2028].", {"p_t": "2024", "p_a": "price", "p_s": "may", "p_m": "move", "p_f": "2028"}),
+    ("T3: [{p}] hopes on [May] that the [rain] in [{o}] [should] [stop] by [{v}] in [June].", {"p_t": "May", "p_a": "rain", "p_s": "should", "p_m": "stop", "p_f": "June"}),
+    ("T4: According to a [{p}] from [{o}], on [Monday], the [rate] [will] [go] beyond [{v}] in the timeframe of [July].", {"p_t": "Monday", "p_a": "rate", "p_s": "will", "p_m": "go", "p_f": "July"}),
+    ("T5: In [2026], the [snow] in [{o}] [will] [fall] by [{v}], as told by [{p}] on [Friday].", {"p_t": "Friday", "p_a": "snow", "p_s": "will", "p_m": "fall", "p_f": "2026"}),
+)
+
+
+@query(f"WITH c AS ({PARTS.replace('% 7', '% 5')}) " + " UNION ALL ".join(f"SELECT c_custkey, {k + 1} AS template, " + ", ".join(f"'{x}' AS {n}" for n, x in named.items()) + f", p AS p_p, o AS p_o, v AS p_v FROM c WHERE k = {k}" for k, (_, named) in enumerate(STRICT)))
+def strict_extraction(spark, d):
+    """Sentences of the strict templates, each group under its own meaning."""
+    found = fc.strict_fields(fc.with_template(templated(spark, d, tuple(t for t, _ in STRICT))))
+    return found.select("c_custkey", "template", *fc.FIELDS, "p_f")
 
 
 @query("SELECT doc_id, (lang IS NOT NULL)::INT AS lang, (source IS NOT NULL)::INT AS source, (text IS NOT NULL)::INT AS text, (lang IS NOT NULL)::INT + (source IS NOT NULL)::INT + (text IS NOT NULL)::INT AS total_properties FROM documents")
@@ -127,9 +172,10 @@ def page_links(spark, d):
     return pg.links(load(spark, d, "pages"))
 
 
-@query("SELECT y::INT AS year, 'http://example.org/' || y || '/list' AS url FROM range(2001, 2011) t(y)")
+@query("SELECT DISTINCT year(o_orderdate)::INT AS year, 'http://example.org/' || year(o_orderdate) || '/list' AS url FROM orders")
 def yearly_urls(spark, d):
-    return pg.yearly(spark, "http://example.org/{}/list", 2001, 2010)
+    """A page's url for each year that a table has."""
+    return pg.yearly(load(spark, d, "orders").select(F.year("o_orderdate").alias("year")), "http://example.org/{}/list")
 
 
 @query(JUDGED + """, p AS (UNPIVOT (SELECT quality AS y, long_text, even_id, clean FROM j) ON long_text, even_id, clean INTO NAME model VALUE h), k AS (SELECT model, c, sum((y = c AND h = c)::INT)::DOUBLE AS hit, sum((h = c)::INT)::DOUBLE AS said, sum((y = c)::INT) AS support FROM p, (VALUES (0), (1)) v(c) GROUP BY ALL)
@@ -163,9 +209,9 @@ def _vectors(spark, d) -> DataFrame:
 
 @query()
 def classifiers(spark, d):
-    """Five models on the parity of the vectors' labels: learned on four fifths, and their metrics on the rest."""
-    names = ["logistic_regression", "decision_tree", "support_vector_machine", "ridge", "elastic_net"]
-    dealt = _vectors(spark, d).withColumn("part", F.crc32(F.col("vec_id").cast("string").cast("binary")) % 5)
+    """All kinds of models on the parity of the vectors' labels: learned on four fifths, and their metrics on the rest."""
+    names = ["logistic_regression", "decision_tree", "random_forest", "x_gradient_boosting", "support_vector_machine", "perceptron", "sgd", "ridge", "elastic_net"]
+    dealt = _vectors(spark, d).withColumn("part", F.crc32(F.col("vec_id").cast("string").cast("binary")) % 5).persist()
     found = learning.predict_all(dealt.where("part = 0"), learning.train_all(dealt.where("part <> 0"), names), ["vec_id", "y"])
     return agreement.binary_metrics(agreement.confusion(found, "y", names))
 
@@ -192,7 +238,9 @@ def principal_components(spark, d):
 
 @query()
 def document_topics(spark, d):
-    return learning.topics(load(spark, d, "benchmark"), "text").select("item_id", "topics")
+    """Each document's share of two topics, learned from all documents with every term."""
+    counts = topics.bags(load(spark, d, "documents"))
+    return topics.Topics.fit(counts, 2, 10).shares(counts)
 
 
 @query("SELECT doc_id, lang, source, quality FROM documents JOIN labels USING (doc_id)")

@@ -8,6 +8,7 @@ from ..functions import text as tx
 from ..operators import corpus, frames, linguistic, matching, providers, sequences, similarity
 from ..sources import pages as pg
 from ..sources import readers, writers
+from ..streaming import arrivals
 from .catalog import LOWER, TOKENS, load, query
 
 
@@ -36,6 +37,26 @@ def json_array(spark, d):
     return readers.json_records(spark, path, "r_regionkey INT, r_name STRING", lines=False)
 
 
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def json_elements(spark, d):
+    """Arrays of records, in as many files as the table has parts, cut at their records."""
+    path = f"{writers.scratch(spark)}/c"
+    c = load(spark, d, "customer").select(F.col("c_custkey") % 4, F.struct("c_custkey", "c_name", "c_mktsegment").alias("r"))
+    c.groupBy(F.col(c.columns[0]).alias("k")).agg(F.to_json(F.collect_list("r")).alias("x")).select("x").write.text(path)
+    return readers.json_elements(spark, path, "c_custkey BIGINT, c_name STRING, c_mktsegment STRING", '{"c_custkey":')
+
+
+@query("SELECT o_orderkey, o_totalprice, (o_orderkey % 3)::BIGINT AS batch FROM orders")
+def arrived_batches(spark, d):
+    """Files that arrive in three parts, taken in by a stream that is started again after each."""
+    folder, schema = writers.scratch(spark), "o_orderkey BIGINT, o_totalprice DOUBLE"
+    o = load(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    for k in range(3):
+        o.where(F.col("o_orderkey") % 3 == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        arrivals.take_in(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/checkpoint")
+    return arrivals.taken(spark, f"{folder}/out", schema)
+
+
 @query("SELECT n_name AS term, CASE WHEN n_nationkey % 2 = 0 THEN 'B-p_s' ELSE 'O' END AS tag, n_nationkey // 5 AS sentence FROM nation")
 def tagged_file(spark, d):
     """Tagged words of a file in which blank lines end sentences (S3)."""
@@ -43,7 +64,7 @@ def tagged_file(spark, d):
     n = F.col("n_nationkey")
     line = F.concat_ws("\t", n.cast("string"), "n_name", F.when(n % 2 == 0, "B-p_s").otherwise("O"))
     lines = load(spark, d, "nation").select(n.alias("k"), F.when(n % 5 == 4, F.concat(line, F.lit("\n"))).otherwise(line).alias("x"))
-    lines.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "x"))), lambda r: r["x"]), "\n").alias("value")).coalesce(1).write.text(path)
+    lines.coalesce(1).sortWithinPartitions("k").select("x").write.text(path)  # one file, 25 rows
     return readers.tagged_tokens(spark, path).select("term", "tag", F.col("sentence").cast("int").alias("sentence"))
 
 

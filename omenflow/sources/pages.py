@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.forecasts import stakes
+
+#: An item's number, and durations before ranges of years, as such lists write them.
+NUMBERED = r"\b(\d{1,4})\.(?:\D|$)"
+SPAN = r"([?\d]+(?:\s+years)?)\s+(\d{5}-\d{5}|\d{5}-\?{3})"
+
 
 def plain(markup: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(markup, r"<[^>]*>", ""), r"[ \t\n\r]+", " "))
@@ -31,9 +37,10 @@ def newest(df: DataFrame, name: str, pattern: str, n: int) -> DataFrame:
     return df.where(F.col(name).rlike(f"(?i){pattern}")).select(name).distinct().orderBy(F.desc(name)).limit(n)
 
 
-def yearly(spark: SparkSession, template: str, first: int, last: int) -> DataFrame:
-    """``year, url``; the template has ``{}`` where the year goes."""
-    return spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"), F.replace(F.lit(template), F.lit("{}"), F.col("id").cast("string")).alias("url"))
+def yearly(years: DataFrame, template: str, column: str = "year") -> DataFrame:
+    """``year, url`` of each distinct year; the template has ``{}`` where it goes.  A null year has none."""
+    each = years.select(F.col(column).cast("int").alias("year")).where("year is not null").distinct()
+    return each.select("year", F.replace(F.lit(template), F.lit("{}"), F.col("year").cast("string")).alias("url"))
 
 
 def hits(answers: DataFrame, body: str, schema: str, site: str) -> DataFrame:
@@ -50,10 +57,11 @@ def transcript_sentences(segments: DataFrame, video: str, start: str, text: str)
 
 
 def experiments(spark: SparkSession, folder: str) -> DataFrame:
-    """``metrics_summary.csv`` below ``<experiment with a date>/seedN[_vK]``: the last version of each seed's files."""
+    """``metrics_summary.csv``, a file or a folder that Spark wrote, below ``<experiment with a date>/seedN[_vK]``: the last version of each seed's files."""
     from pyspark.sql.window import Window
 
-    rows = spark.read.option("header", True).option("inferSchema", True).option("recursiveFileLookup", True).option("pathGlobFilter", "metrics_summary.csv").csv(folder)
+    rows = spark.read.option("header", True).option("inferSchema", True).option("recursiveFileLookup", True).option("pathGlobFilter", "{metrics_summary.csv,part-*.csv}").csv(folder)
+    rows = rows.where(F.col("_metadata.file_path").rlike(r"/metrics_summary\.csv(?:/part-[^/]*)?$"))
     part = lambda p: F.regexp_extract(F.col("_metadata.file_path"), p, 1)
     named = rows.withColumns({"experiment": part(r"/([^/]*\d{4}-\d{2}-\d{2}[^/]*)/seed\d+"), "seed": part(r"/seed(\d+)").try_cast("int"), "version": F.coalesce(part(r"/seed\d+_v(\d+)/").try_cast("int"), F.lit(0))}).where("experiment <> ''")
     last = F.max("version").over(Window.partitionBy("experiment", "seed"))
@@ -65,11 +73,10 @@ def item_records(pages: DataFrame, html: str = "html", id_col: str = "page_id")
 
     Numbers are those before a full stop; dates are ranges of five-digit years, as such lists have them.
     """
-    each = pages.select(id_col, F.posexplode(list_items(F.col(html))).alias("pos", "text")).withColumn("item", F.regexp_extract("text", r"\b(\d{1,4})\.(?:\D|$)", 1)).where("item <> ''")
+    each = pages.select(id_col, F.posexplode(list_items(F.col(html))).alias("pos", "text")).withColumn("item", F.regexp_extract("text", NUMBERED, 1)).where("item <> ''")
     first = each.groupBy(id_col, F.col("item").cast("int").alias("item")).agg(F.min(F.struct("pos", "text")).alias("x"))
     text = F.col("x.text")
-    span = r"([?\d]+(?:\s+years)?)\s+(\d{5}-\d{5}|\d{5}-\?{3})"
-    return first.select(id_col, "item", F.regexp_extract(text, span, 1).alias("duration"), F.regexp_extract(text, span, 2).alias("dates"), F.regexp_extract(text, r"\$[\d,]+(?:\s+\$[\d,]+)?", 0).alias("stakes"), text.alias("text"))
+    return first.select(id_col, "item", F.regexp_extract(text, SPAN, 1).alias("duration"), F.regexp_extract(text, SPAN, 2).alias("dates"), stakes(text).alias("stakes"), text.alias("text"))
 
 
 def labelled_columns(pages: DataFrame, classes: list[str], html: str = "html", id_col: str = "page_id") -> DataFrame:

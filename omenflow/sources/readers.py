@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def delimited(spark: SparkSession, path, schema: str | None = None, sep: str = "\t", encoding: str = "UTF-8", header: bool = True, skip_bad: bool = False) -> DataFrame:
@@ -20,18 +21,42 @@ def json_records(spark: SparkSession, path, schema: str | None = None, lines: bo
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def tagged_tokens(spark: SparkSession, path) -> DataFrame:
-    """BIO files (``index, term, tag``), in which blank lines end sentences: ``file, line, sentence, term, tag``.
+def numbered_lines(spark: SparkSession, path, blank: Column | None = None) -> DataFrame:
+    """``file, line, block, value``: each file's lines from 0, however many tasks read it; ``block`` counts the ``blank`` ones before.
 
-    A file is one row while it is numbered; tag files are small, and there may be many.
+    Spark cuts large files at lines.  A line's place in its cut and the sizes of the cuts before give its number, so that no
+    file is ever in one row or sorted; only its cuts are, of which there is one in 128 MB.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line", "text"))
-    fields = F.split("text", "\t")
-    rows = whole.select("file", "line", F.trim(F.get(fields, F.lit(1))).alias("term"), F.trim(F.get(fields, F.lit(2))).alias("tag"))
-    from ..operators.rows import islands
+    blank = F.trim("value") == "" if blank is None else blank
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_cut"), blank.cast("int").alias("_blank"))
+    rows = rows.withColumn("_id", F.monotonically_increasing_id())
+    cut = Window.partitionBy("file").orderBy("_cut")
+    sizes = rows.groupBy("file", "_cut").agg(F.count("*").alias("_n"), F.sum("_blank").alias("_b"), F.min("_id").alias("_first"))
+    before = sizes.select("file", "_cut", "_first", (F.sum("_n").over(cut) - F.col("_n")).alias("_lines"), (F.sum("_b").over(cut) - F.col("_b")).alias("_blanks"))
+    placed = rows.join(before, ["file", "_cut"])
+    running = F.sum("_blank").over(Window.partitionBy("file", "_cut").orderBy("_id").rowsBetween(Window.unboundedPreceding, 0))
+    return placed.select("file", (F.col("_lines") + F.col("_id") - F.col("_first")).alias("line"), (F.col("_blanks") + running).alias("block"), "value")
+
+
+def tagged_tokens(spark: SparkSession, path) -> DataFrame:
+    """BIO files (``index, term, tag``), in which blank lines or terms end sentences: ``file, line, sentence, term, tag``."""
+    term = F.coalesce(F.trim(F.get(F.split("value", "\t"), F.lit(1))), F.lit(""))
+    rows = numbered_lines(spark, path, term == "")
+    fields = F.split("value", "\t")
+    out = rows.select("file", "line", F.trim(F.get(fields, F.lit(1))).alias("term"), F.trim(F.get(fields, F.lit(2))).alias("tag"), F.col("block").alias("sentence"))
+    return out.where(F.coalesce("term", F.lit("")) != "")
 
-    blank = F.coalesce(F.col("term"), F.lit("")) == ""
-    return islands(rows, "file", ["line"], blank).withColumnRenamed("block", "sentence")
+
+def json_elements(spark: SparkSession, path, schema: str, opens: str) -> DataFrame:
+    """Records of files that are arrays, each read by many tasks: they are cut where ``opens`` stands.
+
+    ``opens`` is how each record begins, its brace, first key and colon as the files write them, and stands nowhere else.
+    What can't be read between two of them is an error.
+    """
+    pieces = spark.read.option("lineSep", opens).text(path).where(~F.col("value").rlike(r"^\s*\[?\s*\]?\s*$"))
+    record = F.concat(F.lit(opens), F.regexp_replace("value", r"[\s,\]]+\z", ""))
+    read = F.from_json(record, schema, {"mode": "FAILFAST"})
+    return pieces.select(read.alias("r")).select("r.*")
 
 
 def marked_up_text(spark: SparkSession, path) -> DataFrame:

@@ -53,7 +53,8 @@ def test_viterbi_beats_greedy(spark):
     words = spark.createDataFrame([(1, 0, "x"), (1, 1, "y")], "sequence long, pos long, word string")
     move = {("a", "a"): 0.1, ("a", "b"): 0.1, ("b", "b"): 0.9}
     says = {("a", "x"): 0.6, ("b", "x"): 0.4, ("a", "y"): 0.5, ("b", "y"): 0.5}
-    tags = lambda greedy: [r.tag for r in sequences.decode(words, move, says, ["a", "b"], greedy).orderBy("pos").collect()]
+    model = spark.createDataFrame([(*k, p) for k, p in move.items()], "state string, next_state string, p double"), spark.createDataFrame([(*k, p) for k, p in says.items()], "tag string, word string, p double")
+    tags = lambda greedy: [r.tag for r in sequences.decode(words, *model, greedy).orderBy("pos").collect()]
     assert tags(True) == ["a", "a"] and tags(False) == ["b", "b"]
 
 

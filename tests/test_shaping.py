@@ -74,7 +74,8 @@ def test_best_path_equals_brute_force(spark):
     says = {(s, w): float(rng.random()) for s in states for w in "xyz"}
     words = ["xyzzy", "zzyx", "x"]
     rows = [(i, k, w) for i, ws in enumerate(words) for k, w in enumerate(ws)]
-    got = sequences.decode(spark.createDataFrame(rows, "sequence long, pos long, word string"), moves, says, states).orderBy("sequence", "pos").collect()
+    model = spark.createDataFrame([(*k, p) for k, p in moves.items()], "state string, next_state string, p double"), spark.createDataFrame([(*k, p) for k, p in says.items()], "tag string, word string, p double")
+    got = sequences.decode(spark.createDataFrame(rows, "sequence long, pos long, word string"), *model).orderBy("sequence", "pos").collect()
     for i, ws in enumerate(words):
         def p(path, ws=ws):
             return np.prod([says[s, w] for s, w in zip(path, ws, strict=True)]) * np.prod([moves[a, b] for a, b in zip(path, path[1:], strict=False)])
@@ -110,7 +111,7 @@ def test_records_read_from_print(spark):
 def test_strict_templates(spark):
     said = {
         1: "On [2024-10-15], [Ann] predicts that the [revenue] at [Acme] [will] [rise] by [5%] in [Q3 2027].",
-        2: "In [2024], [Ann] from [Acme], forecasts that the [revenue] [will] [rise] from [5%] in [2027].",
+        2: "In [2024], [Ann] from [Acme], may well say that the [revenue] [will] [rise] from [3%] to [5%] in [2027].",
         3: "[Ann] says on [2024] that the [revenue] in [Acme] [will] [rise] by [5%] in [2027].",
         4: "According to a [analyst] from [Acme], on [2024], the [revenue] [will] [rise] beyond [5%] in the timeframe of [2027].",
         5: "In [2027], the [revenue] in [Acme] [will] [rise] by [5%], as said by [Ann] on [2024].",
@@ -118,7 +119,10 @@ def test_strict_templates(spark):
     rows = [(n, t) for n, t in said.items()]
     df = spark.createDataFrame(rows, "template int, text string")
     got = {r.template: r for r in fc.strict_fields(df).collect()}
-    assert len(got) == 5 and got[1].p_t == "2024-10-15" and got[1].p_f == "Q3 2027" and got[5].p_f == "2024" and got[4].p_f == "2027" and got[3].p_p == "says"
+    first = {"p_t": "2024-10-15", "p_f": "Q3 2027"}
+    for n, r in got.items():
+        want = {"p_t": "2024", "p_p": "analyst" if n == 4 else "Ann", "p_a": "revenue", "p_o": "Acme", "p_s": "will", "p_m": "rise", "p_v": "5%", "p_f": "2027", "p_l": None} | (first if n == 1 else {})
+        assert {k: r[k] for k in want} == want, n
     with pytest.raises(Exception, match="no match"):
         fc.strict_fields(spark.createDataFrame([(1, "else")], "template int, text string")).collect()
 

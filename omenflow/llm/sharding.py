@@ -55,7 +55,8 @@ def shard(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col:
         F.col(id_col).alias("id"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("grp"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
     )
-    rows = stored(rows)  # texts are read once; from here on rows are narrow
+    # Texts are read once; from here on rows are narrow, and have a number of their own, as ids may repeat or be null.
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()))
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("t"), F.count("*").alias("r")).first()
     piece = [max(1.0, x * share / n_shards) for x in total]
     n_bundles = n_shards * per_shard
@@ -65,10 +66,10 @@ def shard(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col:
     pieces = F.greatest(F.lit(1), F.least(F.ceil(most(piece)).cast("int"), F.col("r").cast("int")))
     own = sums.where(most(unit) >= 1).select("grp", pieces.alias("pieces"))  # 3 * n_bundles rows at most
     dealt = rows.join(F.broadcast(own), "grp", "left")
-    salt = F.pmod(F.xxhash64("id", "size"), F.col("pieces"))
+    salt = F.pmod(F.xxhash64("row"), F.col("pieces"))
     bundle = F.when(F.col("pieces").isNull(), F.pmod(F.xxhash64("grp"), F.lit(n_bundles)).cast("string")).otherwise(F.concat_ws("/", F.col("grp").cast("string"), salt.cast("string")))
     subs = max(1, -(-int(total.r) // (n_bundles * PART_ROWS)))
-    sub = F.pmod(F.xxhash64("id", "text_crc32", F.lit(7)), F.lit(subs)).cast("int")
+    sub = F.pmod(F.xxhash64("row", F.lit(7)), F.lit(subs)).cast("int")
     dealt = dealt.select("id", "size", "text_crc32", "tokens", bundle.alias("bundle"), sub.alias("sub"))
     bundles = sorted((r.bundle, int(r.b), int(r.t), int(r.n)) for r in dealt.groupBy("bundle").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("n")).collect())
     where = pack(np.array([x[1:] for x in bundles], np.float64).reshape(-1, 3), n_shards)

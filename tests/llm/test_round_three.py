@@ -239,3 +239,107 @@ def test_jacobi_keeps_small_deviations():
 def test_deviations_beyond_doubles_and_longs():
     x = np.array([[1 << 20, 3], [1 << 40, 5]], np.int64)
     assert whitening.deviations(x, 3, [7, 1]) == [(3 * (1 << 20) - 7) ** 2 + 64, None]
+
+
+# Extraction
+
+
+def text_of(*parts, host="a.org", pages=3):
+    from omenflow.llm import extraction
+
+    return extraction.Page("<html><body>" + "".join(parts) + "</body></html>").extract([])
+
+
+ARTICLE = "".join(f"<p>Paragraph {i} of the body of this article.</p>" for i in range(10))
+
+
+@pytest.mark.parametrize("name", sorted(["script", "style", "noscript", "template", "textarea", "iframe", "svg", "select", "canvas"]))
+def test_raw_elements_take_nothing_with_them(name):
+    for raw in (f"<{name} class='i'/>", f"<{name} x='>'>inside</{name}>", f"<{name}/><{name}></{name}>", f"<{name}>in</{name.upper()} >"):
+        assert text_of(f"<article><p>First</p>{raw}<p>Second</p></article>") == "First\n\nSecond", raw
+    unclosed = text_of(f"<article><p>First</p><{name}><p>Second</p></article>")
+    assert unclosed == "First\n\nSecond"
+
+
+def test_nested_and_unbalanced_icons():
+    assert text_of("<article><p>A</p><svg><svg><g/></svg><text>no</text></svg><p>B</p></article>") == "A\n\nB"
+    assert text_of("<article><p>A</p><svg><p>B</p><svg><path/></svg><p>C</p></article>").endswith("C")
+
+
+def test_paragraphs_beside_the_article_stay():
+    got = text_of(f"<article><h1>Title</h1>{ARTICLE}</article><div class='more'><p>It goes on here.</p></div><div><a href='/x'>Other pages</a></div>")
+    assert got.startswith("Title\n\nParagraph 0") and "It goes on here." in got
+
+
+@pytest.mark.parametrize("name", "comment-thread user-comments commentlist wp-block-comments ad-placement advert-mpu adsbygoogle cookie-message siteFooter related-articles social-media commentList userComments".split())
+def test_other_parts_inside_the_article_go(name):
+    assert "Buy" not in text_of(f"<article>{ARTICLE}<div class='{name}'><p>Buy or say this.</p></div></article>")
+
+
+def test_articles_that_are_comments_go_and_topics_stay():
+    got = text_of(f"<article>{ARTICLE}<article class='comment'><p>I disagree.</p></article><div class='search'><p>Real text</p></div></article>")
+    assert "disagree" not in got and got.endswith("Real text")
+
+
+@pytest.mark.parametrize("piece", ["<a x=\"'", "<a x=\">\"", "<a \"'>", "<!", "<b", "<", "<b><p></p>", "<i></b>", "<svg>", "<iframe>", "<script>", "<svg></svg", "<!-- ", "<a x='", "<p><b>", "<li><i>"])
+def test_hostile_pages_take_linear_time(piece):
+    import time
+
+    from omenflow.llm import extraction
+
+    took = []
+    for size in (125_000, 500_000):
+        began = time.process_time()
+        extraction.Page(piece * (size // len(piece)))
+        took.append(time.process_time() - began)
+    assert took[1] < max(8 * took[0], 0.5) and took[1] < 6
+
+
+def test_re_extraction_equals_brute_force(spark):
+    """A page is read from the first of its host's paths, most votes first, that has all of its content; else from its own."""
+    from omenflow.llm import extraction
+
+    shapes = [f"<main><div class='b{{}}'>{ARTICLE}</div></main>", f"<article><h1>T</h1><div class='b'>{ARTICLE}</div></article>", f"<div class='x'>{ARTICLE}<p>End</p></div>", "", "<p>short</p>"]
+    rows = [(i, f"http://h{i % 3}.org/{i}", f"<html><body><nav><a href='/'>Home</a></nav>{shapes[(i * i) % 5].format(i)}<footer>F</footer></body></html>") for i in range(60)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    by_host = {}
+    for i, _, source in rows:
+        path, _ = extraction.Page(source).vote()
+        if path:
+            by_host.setdefault(i % 3, {}).setdefault(path, []).append(i)
+    for i, _, source in rows:
+        cast = by_host.get(i % 3, {})
+        all_ = sum(map(len, cast.values()))
+        paths = sorted((p for p in cast if len(cast[p]) * 10 >= all_), key=lambda p: (-len(cast[p]), p))
+        page = extraction.Page(source)
+        places = page.content()[0]
+        fits = [p for p in paths if p in page.path and page.holds(p, places) and page.text(p)]
+        own = page.vote()[0]
+        assert got[i] == (page.text(fits[0]) if fits else page.text(own or None))
+
+
+# Shards
+
+
+@pytest.mark.parametrize("copy_id", [7, None])
+def test_copies_with_one_id_or_none_are_cut(spark, copy_id):
+    from omenflow.llm import sharding
+
+    rows = [(copy_id, "the same text again and again") for _ in range(600)] + [(1000 + i, f"text number {i} of its own") for i in range(600)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5).collect()
+    sizes = [sum(r["size"] for r in got if r.shard == k) for k in range(5)]
+    assert len(got) == 1200 and max(sizes) - min(sizes) < 0.03 * sum(sizes) / 5
+    for k in range(5):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+
+
+def test_the_whole_job_of_sharding(spark):
+    from omenflow.llm import sharding
+
+    r = np.random.Generator(np.random.PCG64(3))
+    rows = [(i, " ".join(["w"] * int(r.integers(0, 300)))) for i in range(700)] + [(i, None) for i in range(5)] + [(None, "")]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 7).collect()
+    assert sorted(((x.id is None, x.id or 0, x["size"]) for x in got)) == sorted((i is None, i or 0, len((t or "").encode()) + 16) for i, t in rows)
+    sizes = [sum(x["size"] for x in got if x.shard == k) for k in range(7)]
+    assert max(sizes) - min(sizes) < 0.03 * sum(sizes) / 7
+    assert all(sorted(x.slot for x in got if x.shard == k) == list(range(sum(x.shard == k for x in got))) for k in range(7))

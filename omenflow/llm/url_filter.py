@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, stored, table, url_parts
+from .common import fold, salted_join, stored, table, url_parts
 
 #: (host, path, verdict); a rule fits its host and all subdomains where the path begins with its path.
 RULES = (
@@ -152,7 +152,10 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     bodies = rows.where("(ruled is null or held) and body <> ''").select("body").distinct()
     scores = stored(ratios(bodies, model, order))
     cut = threshold(labelled.where("held").join(scores, "body"))
-    open_rows = rows.where("ruled is null").join(scores, "body", "left")
+    # Urls without a body have no score and meet nothing; those that repeat are dealt over salts.
+    scored = rows.where("ruled is null and body <> ''")
+    sizes = scored.groupBy("body").agg(F.count("*").alias("_n"))
+    open_rows = salted_join(scored, scores.join(sizes, "body"), "body").unionByName(rows.where("ruled is null and body = ''").withColumn("ratio", F.lit(None).cast("double")))
     return out(open_rows, F.when(F.col("ratio") < cut, "block").otherwise("allow"), F.col("ratio")).unionByName(out(rows.where("ruled is not null"), F.lit("allow"), F.lit(None).cast("double")))
 
 

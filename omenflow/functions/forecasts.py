@@ -115,9 +115,9 @@ def stakes(text: Column) -> Column:
 def python_lists(text: Column) -> Column:
     """A printed dict of lists under the keys 0 to 4 as ``map<string,string>`` of joined items; unreadable text gives null.
 
-    Quotes that open or close a key or an item become double ones; apostrophes inside words stay.
+    Quotes that open or close a key or an item become double ones, or are it already; apostrophes and quotes inside words stay.
     """
-    plain = F.regexp_replace(text, '"', r'\\\\"')
+    plain = F.regexp_replace(text, r'(?<![{\[,:]\s{0,9})"(?!\s*[}\],:])', r'\\\\"')
     opened = F.regexp_replace(plain, r"(?<=[{\[,:])(\s*)'", '$1"')
     closed = F.regexp_replace(opened, r"'(?=\s*[}\],:])", '"')
     keyed = F.regexp_replace(closed, r'([{,]\s*)"?([0-4])"?\s*:', r'$1"$2":')

@@ -30,14 +30,23 @@ ENTITIES = (
 IRREGULAR = {"am": "be", "is": "be", "are": "be", "was": "be", "were": "be", "been": "be", "has": "have", "had": "have", "does": "do", "did": "do", "done": "do", "went": "go", "gone": "go", "said": "say", "rose": "rise", "risen": "rise", "fell": "fall", "fallen": "fall"}
 
 
+#: Words that end as a plural does and are none.
+SINGULAR = frozenset("news series species means always perhaps besides gas lens".split())
+#: Words after which a modal's form is a noun, and those before a month's name.
+NOUN_AFTER = frozenset("the a an his her its our their my your this that each every no".split())
+NAME_AFTER = frozenset("in since until by of last next early late this during".split())
+
+
 def rule_lemma(word: str) -> str:
     """A word without its ending, by a few rules of English that need no dictionary."""
     w = word.lower()
     if w in IRREGULAR:
         return IRREGULAR[w]
+    if w in SINGULAR:
+        return w
     if len(w) > 4 and w.endswith("ies"):
         return w[:-3] + "y"
-    if len(w) > 4 and w.endswith(("sses", "shes", "ches", "xes")):
+    if len(w) > 4 and w.endswith(("sses", "shes", "ches", "xes", "uses")):
         return w[:-2]
     if len(w) > 3 and w.endswith("s") and not w.endswith(("ss", "us", "is")):
         return w[:-1]
@@ -45,16 +54,27 @@ def rule_lemma(word: str) -> str:
 
 
 def rule_tokens(texts: list[str]) -> list[list[tuple]]:
-    def kind(w: str, first: bool) -> tuple[str, str]:
-        if w.lower() in tx.FUTURE_MODALS and w.lower() != "going":
+    """Tags by form and the word before: a modal's form is a noun behind an article, and a name (May) behind a preposition."""
+
+    def kind(w: str, before: str) -> tuple[str, str]:
+        low = w.lower()
+        if low in tx.FUTURE_MODALS and low != "going":
+            if before in NOUN_AFTER:
+                return "NOUN", "NN"
+            if w == "May" and before in NAME_AFTER:
+                return "PROPN", "NNP"
             return "AUX", "MD"
         if w[0].isdigit():
             return "NUM", "CD"
         if not w[0].isalnum():
             return "PUNCT", w
-        return ("PROPN", "NNP") if w[0].isupper() and not first else ("X", "XX")
+        return ("PROPN", "NNP") if w[0].isupper() and before not in ("", ".", "!", "?") else ("X", "XX")
 
-    return [[(w, rule_lemma(w), *kind(w, i == 0)) for i, w in enumerate(WORDS.findall(t))] for t in texts]
+    out = []
+    for t in texts:
+        words = WORDS.findall(t)
+        out.append([(w, rule_lemma(w), *kind(w, words[i - 1].lower() if i else "")) for i, w in enumerate(words)])
+    return out
 
 
 def rule_entities(texts: list[str]) -> list[list[tuple]]:

@@ -17,11 +17,17 @@ def cases(spark, schema: str, *values):
     return spark.createDataFrame(list(values), schema)
 
 
-@query("SELECT n_nationkey, 'I am sure ' || n_name || ' cannot wait, do not' AS expanded FROM nation")
+#: Contractions by row, and what they become; the last stays as it is.
+SHORT = ("can't", "don't", "won't", "I'm", "it's", "they'll", "weren't", "we've", "y'all")
+LONG = ("cannot", "do not", "will not", "I am", "it is", "they will", "were not", "we have", "y'all")
+
+
+@query("SELECT c_custkey, c_name || ' ' || ([" + ", ".join("'" + x.replace("'", "''") + "'" for x in LONG) + "])[c_custkey % 9 + 1] || ' rise (' || c_mktsegment || ') can''t. ' || ([" + ", ".join("'" + x.replace("'", "''") + "'" for x in LONG) + "])[c_nationkey % 9 + 1] AS expanded FROM customer")
 def expanded_contractions(spark, d):
-    """Contractions written out, token by token."""
-    text = F.concat(F.lit("I'm   sure "), "n_name", F.lit(" can't  wait, don't"))
-    return load(spark, d, "nation").select("n_nationkey", tx.expand(text, fc.CONTRACTIONS).alias("expanded"))
+    """Contractions written out, token by token: not those with a full stop behind."""
+    pick = lambda k: F.get(F.array(*map(F.lit, SHORT)), (F.col(k) % 9).cast("int"))
+    text = F.concat("c_name", F.lit("   "), pick("c_custkey"), F.lit(" rise  ("), "c_mktsegment", F.lit(") can't. "), pick("c_nationkey"))
+    return load(spark, d, "customer").select("c_custkey", tx.expand(text, fc.CONTRACTIONS).alias("expanded"))
 
 
 @query(rf"SELECT doc_id, regexp_replace(text, '[^a-zA-Z \t\n\x0B\f\r]', ' ', 'g') AS letters FROM documents")
@@ -56,13 +62,15 @@ def file_versions(spark, d):
     return load(spark, d, "nation").select("n_nationkey", tx.version_of(name).alias("version"), tx.dated(name).alias("dated"))
 
 
-@query("SELECT 'metrics' AS prefix, 24 AS version")
+NAMED = "concat(c_mktsegment, CASE c_custkey % 4 WHEN 0 THEN concat('-v', c_custkey, '.csv') WHEN 1 THEN concat('-', c_custkey, '.json') WHEN 2 THEN concat('_v', c_custkey) ELSE concat('-old', c_custkey, '.csv') END)"
+
+
+@query(f"SELECT {NAMED} AS name, c_custkey::INT AS version FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 4 < 3 ORDER BY c_custkey DESC LIMIT 1")
 def latest_version(spark, d):
     """The file with the largest version."""
     from ..sources import readers
 
-    names = load(spark, d, "nation").select(F.concat(F.lit("metrics-v"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("name"))
-    return readers.latest(names, "metrics").select(F.lit("metrics").alias("prefix"), "version")
+    return readers.latest(load(spark, d, "customer").select(F.expr(NAMED).alias("name")), "BUILDING")
 
 
 @query("SELECT doc_id, CASE WHEN length(text) > 30 THEN substr(text, 1, 30) || '...' ELSE text END AS short FROM documents")
@@ -71,10 +79,13 @@ def shortened_texts(spark, d):
     return load(spark, d, "documents").select("doc_id", fc.shortened(F.col("text")).alias("short"))
 
 
-@query("SELECT n_nationkey, n_name AS bare FROM nation")
+BRACKETED = "CASE c_custkey % 4 WHEN 0 THEN concat('[', c_name, ']') WHEN 1 THEN concat(c_name, ' [', c_mktsegment, '] [') WHEN 2 THEN c_name ELSE concat(']]', c_mktsegment, '[[]') END"
+
+
+@query(f"SELECT c_custkey, replace(replace({BRACKETED}, '[', ''), ']', '') AS bare FROM customer")
 def bare_brackets(spark, d):
     """Brackets taken off."""
-    return load(spark, d, "nation").select("n_nationkey", fc.without_brackets(F.concat(F.lit("["), "n_name", F.lit("]"))).alias("bare"))
+    return load(spark, d, "customer").select("c_custkey", fc.without_brackets(F.expr(BRACKETED)).alias("bare"))
 
 
 #: Entity labels and terms of each kind, made of a row's own values: ``i`` is its id, ``n`` its length, ``w`` its first word.
@@ -102,11 +113,13 @@ def ascii_texts(spark, d):
     return load(spark, d, "documents").select("doc_id", fc.ascii_letters("text").alias("letters"))
 
 
-@query("SELECT c_custkey, '$' || c_custkey || ',000 $5' AS stake FROM customer")
+BETS = "CASE c_custkey % 6 WHEN 0 THEN concat('they bet $', c_custkey, ',000 $5 on it') WHEN 1 THEN concat('$', c_custkey, ' or ', '$7') WHEN 2 THEN 'no stake' WHEN 3 THEN concat('$ ', c_custkey) WHEN 4 THEN concat('for $', c_acctbal) ELSE concat(c_name, ' $1,000,000   $', c_custkey, ' $3') END"
+
+
+@query(rf"SELECT c_custkey, regexp_extract({BETS}, '\$[0-9,]+(\s+\$[0-9,]+)?') AS stake FROM customer")
 def stake_amounts(spark, d):
     """Amounts read from text."""
-    text = F.concat(F.lit("they bet $"), F.col("c_custkey").cast("string"), F.lit(",000 $5 on it"))
-    return load(spark, d, "customer").select("c_custkey", fc.stakes(text).alias("stake"))
+    return load(spark, d, "customer").select("c_custkey", fc.stakes(F.expr(BETS)).alias("stake"))
 
 
 @query("SELECT o_orderkey, CASE WHEN year(o_orderdate) >= 2000 THEN strftime(o_orderdate, '%Y/%m/%d') || '|' || year(o_orderdate)::VARCHAR || ' Q3' ELSE '' END AS dates FROM orders")
@@ -128,12 +141,14 @@ def name_codes(spark, d):
     return load(spark, d, "nation").select("n_nationkey", F.soundex("n_name").alias("code"))
 
 
-@query("SELECT n_nationkey, 'http://a.org/list/' || n_name AS beside, 'http://a.org/' || n_name AS rooted, 'http://b.org/' AS whole, 'a=1&n=' || n_name AS params FROM nation")
+@query(r"""WITH l AS (SELECT DISTINCT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS l FROM pages), b AS (SELECT *, regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) AS host, regexp_replace(url, '[?#].*$', '') AS plain FROM l),
+p AS (SELECT *, regexp_extract(plain[len(host) + 1:], '^(.*/)', 1) AS dir FROM b) SELECT page_id, l AS link, CASE WHEN regexp_matches(l, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN l WHEN starts_with(l, '/') THEN host || l ELSE host || (CASE WHEN dir = '' THEN '/' ELSE dir END) || l END AS whole,
+'n=' || len(l) || '&page=' || page_id AS params FROM p""")
 def absolute_links(spark, d):
-    """Links of a page and parameters of a url."""
-    base = F.lit("http://a.org/list/page?x=1")
-    pairs = F.create_map(F.lit("n"), F.col("n_name"), F.lit("a"), F.lit("1"))
-    return load(spark, d, "nation").select("n_nationkey", fc.absolute(F.col("n_name"), base).alias("beside"), fc.absolute(F.concat(F.lit("/"), "n_name"), base).alias("rooted"), fc.absolute(F.lit("http://b.org/"), base).alias("whole"), fc.query_string(pairs).alias("params"))
+    """Links of pages made whole, and parameters of a url."""
+    found = load(spark, d, "pages").select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)).alias("link")).distinct()
+    pairs = F.create_map(F.lit("page"), F.col("page_id").cast("string"), F.lit("n"), F.length("link").cast("string"))
+    return found.select("page_id", "link", fc.absolute(F.col("link"), F.col("url")).alias("whole"), fc.query_string(pairs).alias("params"))
 
 
 @query("SELECT doc_id, contains(lower(coalesce(text, '')), 'the') AS has FROM documents")
@@ -142,18 +157,25 @@ def keyword_containment(spark, d):
     return load(spark, d, "documents").select("doc_id", fc.contains_pattern(F.col("text"), "the").alias("has"))
 
 
-@query("SELECT n_nationkey, n_name AS no_property, 'it''s here, b' AS source, '' AS target, '' AS date, '' AS outcome FROM nation WHERE n_nationkey % 5 <> 0 UNION ALL SELECT n_nationkey, '', '', '', '', '' FROM nation WHERE n_nationkey % 5 = 0")
+@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN c_name WHEN 2 THEN c_name || ', ' || c_mktsegment ELSE '' END AS no_property, CASE c_custkey % 5 WHEN 1 THEN 'it''s here, b' WHEN 3 THEN c_mktsegment ELSE '' END AS source,
+CASE c_custkey % 5 WHEN 3 THEN c_name ELSE '' END AS target, CASE c_custkey % 5 WHEN 4 THEN c_nationkey::VARCHAR ELSE '' END AS date, CASE c_custkey % 5 WHEN 4 THEN c_name || ', ' || c_name ELSE '' END AS outcome FROM customer""")
 def extracted_properties(spark, d):
-    """Properties from answers that print a dict of lists."""
-    answer = F.when(F.col("n_nationkey") % 5 == 0, "no dict").otherwise(F.concat(F.lit("{0: ['"), "n_name", F.lit("'], 1: ['it's here', 'b'], '2': []}")))
-    return providers.extracted(load(spark, d, "nation").withColumn("answer", answer), "n_nationkey", "answer")
+    """Properties from answers that print a dict of lists, or don't."""
+    k, name, segment, nation = F.col("c_custkey") % 5, F.col("c_name"), F.col("c_mktsegment"), F.col("c_nationkey").cast("string")
+    said = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    answer = F.when(k == 0, said("no dict of ", name)).when(k == 1, said("{0: ['", name, "'], 1: ['it's here', 'b'], '2': []}")).when(k == 2, said("{'0': ['", name, "', '", segment, "']}"))
+    answer = answer.when(k == 3, said('{"1": ["', segment, '"], "2": ["', name, '"]}')).otherwise(said("{3: ['", nation, "'], 4: ['", name, "', '", name, "']}"))
+    return providers.extracted(load(spark, d, "customer").withColumn("answer", answer), "c_custkey", "answer")
 
 
-@query("SELECT n_nationkey, n_name || ', b c' AS first, '' AS second FROM nation")
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name || ', b c' WHEN 1 THEN c_mktsegment WHEN 2 THEN '' END AS first, CASE c_custkey % 4 WHEN 1 THEN c_name || ', ' || c_nationkey WHEN 0 THEN '' END AS second FROM customer")
 def loose_properties(spark, d):
     """The same where items stand without quotes."""
-    m = fc.loose_lists(F.concat(F.lit("{0: ["), "n_name", F.lit(", b c], '1': []}")))
-    return load(spark, d, "nation").select("n_nationkey", m["0"].alias("first"), m["1"].alias("second"))
+    k = F.col("c_custkey") % 4
+    said = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    text = F.when(k == 0, said("{0: [", F.col("c_name"), ", b c], '1': []}")).when(k == 1, said('{"1": [', F.col("c_name"), ' , "', F.col("c_nationkey").cast("string"), "\"], 0:['", F.col("c_mktsegment"), "']}")).when(k == 2, "{0: [ , ]}").otherwise(F.col("c_name"))
+    m = fc.loose_lists(text)
+    return load(spark, d, "customer").select("c_custkey", m["0"].alias("first"), m["1"].alias("second"))
 
 
 def users(spark, d):
@@ -251,13 +273,14 @@ def content_ids(spark, d):
     return similarity.stores(load(spark, d, "documents").select("doc_id", "text"), "text").select(F.col("meta")["doc_id"].cast("long").alias("doc_id"), "id")
 
 
-@query("SELECT n_nationkey, 'WHO: ' || n_name || '; VERB: will' AS marked FROM nation")
+@query("SELECT c_custkey, 'WHO: ' || c_name || '; NUMBER: ' || c_name[10:] || '; WHAT: ' || c_mktsegment AS marked FROM customer")
 def marked_spans(spark, d):
     """Marked pieces of a text."""
-    n = F.length("n_name")
+    n, m = F.length("c_name"), F.length("c_mktsegment")
     mark = lambda a, b, label: F.struct(a.alias("start"), b.alias("end"), F.lit(label).alias("label"))
-    marks = F.array(mark(F.lit(0), n, "WHO"), mark(n + 1, n + 5, "VERB"))
-    return load(spark, d, "nation").select("n_nationkey", F.array_join(F.transform(tx.spans(F.concat("n_name", F.lit(" will rise")), marks), lambda x: F.concat(x["label"], F.lit(": "), x["piece"])), "; ").alias("marked"))
+    marks = F.array(mark(m + 1, m + 1 + n, "WHO"), mark(m + 10, m + 1 + n, "NUMBER"), mark(F.lit(0), m, "WHAT"))
+    pieces = tx.spans(F.concat("c_mktsegment", F.lit(" "), "c_name", F.lit(" will rise")), marks)
+    return load(spark, d, "customer").select("c_custkey", F.array_join(F.transform(pieces, lambda x: F.concat(x["label"], F.lit(": "), x["piece"])), "; ").alias("marked"))
 
 
 # Linguistics and features
@@ -328,19 +351,29 @@ def validated_count(spark, d):
     return frames.same_length(docs, sequences.tense(tokens, "doc_id")).withColumnRenamed("rows", "sentences")
 
 
-@query("SELECT n_nationkey, (n_nationkey % 3 = 0)::INT AS future FROM nation")
+#: A customer's sentence, and whether it forecasts.
+SAID = ("{n} will rise", "{n} rose", "the can of {n} is full", "{n} can move", "in May {n} fell", "it may move {n}", "his will was with {n}", "{n} should not go", "MUST {n} fall?")
+FORECASTS = (1, 0, 0, 1, 0, 1, 0, 1, 1)
+
+
+@query("SELECT c_custkey, ([" + ", ".join(map(str, FORECASTS)) + "])[c_custkey % 9 + 1]::INT AS future FROM customer")
 def modal_tense(spark, d):
     """Sentences with a future modal, found by tokens' parts of speech and tags."""
-    verb = F.when(F.col("n_nationkey") % 3 == 0, "will rise").otherwise("rose")
-    text = load(spark, d, "nation").select("n_nationkey", F.concat_ws(" ", "n_name", verb).alias("text"))
-    return sequences.tense(linguistic.tokens(text, "n_nationkey", "text"), "n_nationkey")
+    text = F.get(F.array(*(tx.composed(t, n=F.col("c_name")) for t in SAID)), (F.col("c_custkey") % len(SAID)).cast("int"))
+    return sequences.tense(linguistic.tokens(load(spark, d, "customer").select("c_custkey", text.alias("text")), "c_custkey", "text"), "c_custkey")
 
 
-@query("SELECT n_nationkey, 'DATE' AS label, '2027' AS term FROM nation UNION ALL SELECT n_nationkey, 'PERCENT', n_nationkey || '%' FROM nation UNION ALL SELECT n_nationkey, 'MONEY', '$5 million' FROM nation")
+@query("""SELECT c_custkey, 'DATE' AS label, CASE WHEN c_custkey % 3 = 0 THEN 'Q' || (c_custkey % 4 + 1) || ' 20' || (10 + c_nationkey) ELSE '20' || (10 + c_nationkey) END AS term FROM customer
+UNION ALL SELECT c_custkey, 'PERCENT', c_custkey || '%' FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'CARDINAL', c_custkey::VARCHAR FROM customer WHERE c_custkey % 2 = 1
+UNION ALL SELECT c_custkey, 'MONEY', '$' || c_nationkey || CASE WHEN c_custkey % 5 = 0 THEN ' million' ELSE '' END FROM customer""")
 def found_entities(spark, d):
     """Entities with their places by rules (L2, L3)."""
-    text = F.concat(F.lit("profits fall by "), F.col("n_nationkey").cast("string"), F.lit("% to $5 million in 2027"))
-    return linguistic.entities(load(spark, d, "nation").select("n_nationkey", text.alias("text")), "n_nationkey", "text").select("n_nationkey", "label", "term")
+    k, nation = F.col("c_custkey"), F.col("c_nationkey")
+    share = F.concat(k.cast("string"), F.when(k % 2 == 0, "%").otherwise(" points"))
+    money = F.concat(F.lit("$"), nation.cast("string"), F.when(k % 5 == 0, " million").otherwise(" or so"))
+    year = F.concat(F.when(k % 3 == 0, F.concat(F.lit("Q"), (k % 4 + 1).cast("string"), F.lit(" 20"))).otherwise("20"), (10 + nation).cast("string"))
+    text = F.concat(F.lit("profits fall by "), share, F.lit(" to "), money, F.lit(" in "), year)
+    return linguistic.entities(load(spark, d, "customer").select("c_custkey", text.alias("text")), "c_custkey", "text").select("c_custkey", "label", "term")
 
 
 # Retrieval, pairs, groups
@@ -523,8 +556,9 @@ def entailed_pairs(spark, d):
     return providers.answered(asked, "_p", providers.line_judge, "entailment").drop("_p")
 
 
-@query("SELECT n_nationkey, length(n_name)::FLOAT AS x, 1::FLOAT AS y FROM nation")
+@query("SELECT doc_id, length(text)::FLOAT AS x, (length(text) - length(replace(text, ' ', '')))::FLOAT AS y FROM documents WHERE text IS NOT NULL")
 def provided_vectors(spark, d):
     """Vectors from an encoder that the caller names."""
-    made = similarity.embedded(load(spark, d, "nation").select("n_nationkey", "n_name"), "n_name", lambda texts: [[len(t), 1] for t in texts])
-    return made.select("n_nationkey", F.get("embedding", F.lit(0)).alias("x"), F.get("embedding", F.lit(1)).alias("y"))
+    docs = load(spark, d, "documents").where("text is not null").select("doc_id", "text")
+    made = similarity.embedded(docs, "text", lambda texts: [[len(t), t.count(" ")] for t in texts])
+    return made.select("doc_id", F.get("embedding", F.lit(0)).alias("x"), F.get("embedding", F.lit(1)).alias("y"))

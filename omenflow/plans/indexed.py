@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import agreement, clustering, frames, learning, lexical, near_names, rows, tagging, vector_index
+from ..operators import agreement, clustering, frames, learning, lexical, near_names, recurrent, rows, tagging, vector_index
 from ..sources import pages, readers, writers
-from .catalog import JUDGED, RATERS, SQL, TOKENS, judged, load, query, rounded
+from .catalog import JUDGED, RATERS, SQL, TOKENS, judged, load, query
 from .corpora import SEARCH
 
 
@@ -86,8 +86,17 @@ def tag_spans(spark, d):
     return tagging.spans(t.select("doc_id", "words", tags.alias("tags")), "doc_id")
 
 
+@query()
+def recurrent_labels(spark, d):
+    """Qualities of held-out documents by a recurrent network that learned from the others (C19): pairs of both, counted."""
+    known = load(spark, d, "labels").select("doc_id", "quality").join(load(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = recurrent.RecurrentClassifier.fit(known.where(~held), "text", "quality", epochs=3)
+    return model.predict(known.where(held), "text").groupBy("quality", "predicted").agg(F.count("*").alias("n"))
+
+
 @query(JUDGED + """, p AS (UNPIVOT (SELECT doc_id % 3 AS seed, quality AS y, long_text, even_id, clean FROM j) ON long_text, even_id, clean INTO NAME model VALUE h),
-a AS (SELECT seed, model, round(avg((y = h)::INT), 6) AS accuracy FROM p GROUP BY ALL) SELECT model, round(avg(accuracy), 5) AS mean, round(stddev_samp(accuracy), 5) AS std, count(*) AS n FROM a GROUP BY model""")
+a AS (SELECT seed, model, round(avg((y = h)::INT), 6) AS accuracy FROM p GROUP BY ALL) SELECT model, round(avg(accuracy), 4) AS mean, round(stddev_samp(accuracy), 4) AS std, count(*) AS n FROM a GROUP BY model""")
 def experiment_tree(spark, d):
     """Results of runs by seed, some of them run twice, written as a tree of files and read as one table."""
     folder = f"{writers.scratch(spark)}/2024-08-21-runs"
@@ -100,7 +109,7 @@ def experiment_tree(spark, d):
             said = one if version or seed != 1 else one.withColumn("accuracy", F.lit(0.0))
             said.write.option("header", True).csv(f"{folder}/seed{seed}{version}/metrics_summary.csv")
     read = pages.experiments(spark, folder)
-    return rounded(read.groupBy("model").agg(F.avg("accuracy").alias("mean"), F.stddev_samp("accuracy").alias("std"), F.count("*").alias("n")), "mean", "std").select("model", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"), "n")
+    return read.groupBy("model").agg(F.round(F.avg("accuracy"), 4).alias("mean"), F.round(F.stddev_samp("accuracy"), 4).alias("std"), F.count("*").alias("n"))
 
 
 @query("SELECT count(*)::VARCHAR AS documents, count(DISTINCT lang)::VARCHAR AS languages, sum(n_chars)::VARCHAR AS letters, min(doc_id)::VARCHAR AS first FROM documents")

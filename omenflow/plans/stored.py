@@ -98,11 +98,14 @@ def resumed_job(spark, d):
     return spark.read.parquet(folder)
 
 
-@query("SELECT 25 AS next, 8 AS dated, 'run_v1' AS free")
+@query("SELECT (max(c_custkey) FILTER (c_custkey % 3 <> 1) + 1)::INT AS next, (max(c_nationkey) + 1)::INT AS dated, 'run_v' || (CASE WHEN count(*) FILTER (c_nationkey = 0) = 0 THEN '1' ELSE '2' END) AS free FROM customer")
 def next_names(spark, d):
     """The next version, the next of a date, and a free name (K2-K4)."""
-    k = F.col("n_nationkey").cast("string")
-    names = load(spark, d, "nation").select(F.explode(F.array(F.concat(F.lit("metrics-v"), k, F.lit(".csv")), F.concat(F.lit("v"), (F.col("n_nationkey") % 8).cast("string"), F.lit("_2024-01-01")), F.lit("run"))).alias("name"))
+    k, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    version = F.concat(F.lit("metrics-"), F.when(F.col("c_custkey") % 3 == 0, "v").when(F.col("c_custkey") % 3 == 1, "old").otherwise(""), k, F.lit(".csv"))
+    # ``run`` is taken by all, ``run_v1`` where there is a nation 0.
+    taken = F.when(F.col("c_nationkey") == 0, "run_v1").otherwise("run")
+    names = load(spark, d, "customer").select(F.explode(F.array(version, F.concat(F.lit("v"), nation, F.lit("_2024-01-01")), taken)).alias("name"))
     both = writers.next_version(names, "metrics").withColumnRenamed("version", "next")
     return both.withColumns({"dated": writers.next_dated(names, "", "2024-01-01").scalar(), "free": F.lit(writers.free_name(names, "run"))})
 
@@ -149,24 +152,33 @@ def newest_names(spark, d):
     return pg.newest(load(spark, d, "pages"), "url", "EXAMPLE", 7)
 
 
-@query("SELECT n_nationkey, 12 AS item, '02000-02050' AS dates, '$1,000 $5' AS stakes FROM nation")
+@query("""SELECT c_custkey, 12 AS item, CASE WHEN c_custkey % 3 = 0 THEN '02000-02050' WHEN c_custkey % 3 = 1 THEN '0' || (2000 + c_nationkey) || '-???' ELSE '' END AS dates, CASE WHEN c_custkey % 2 = 0 THEN '$' || c_custkey || ',000 $5' ELSE '' END AS stakes FROM customer
+UNION ALL SELECT c_custkey, (c_nationkey + 100)::INT, '', '$7' FROM customer WHERE c_custkey % 4 = 0""")
 def scraped_items(spark, d):
     """Numbered list items, each number once."""
-    html = F.concat(F.lit("<ul><li>12. "), "n_name", F.lit(" 50 years 02000-02050 $1,000 $5</li><li>12. again</li><li>none</li></ul>"))
-    return pg.item_records(load(spark, d, "nation").select("n_nationkey", html.alias("html")), id_col="n_nationkey").select("n_nationkey", "item", "dates", "stakes")
+    k, nation = F.col("c_custkey"), F.col("c_nationkey")
+    dates = F.when(k % 3 == 0, "50 years 02000-02050").when(k % 3 == 1, F.concat(F.lit("? 0"), (2000 + nation).cast("string"), F.lit("-???"))).otherwise("soon")
+    stakes = F.when(k % 2 == 0, F.concat(F.lit("$"), k.cast("string"), F.lit(",000 $5"))).otherwise("nothing")
+    second = F.when(k % 4 == 0, F.concat(F.lit("<li>"), (nation + 100).cast("string"), F.lit(". for $7</li>"))).otherwise("")
+    html = F.concat(F.lit("<ul><li>12. "), "c_name", F.lit(" "), dates, F.lit(" "), stakes, F.lit("</li><li>12. again</li>"), second, F.lit("<li>none</li></ul>"))
+    return pg.item_records(load(spark, d, "customer").select("c_custkey", html.alias("html")), id_col="c_custkey").select("c_custkey", "item", "dates", "stakes")
 
 
-@query("SELECT n_nationkey, 1 AS pos, n_name AS a, 'x' AS b FROM nation")
+@query("WITH r AS (SELECT c_custkey, c_name, c_mktsegment, unnest(range(1, (c_custkey % 4)::INT + 1))::INT AS pos FROM customer) SELECT c_custkey, pos, c_name || pos AS a, CASE WHEN pos < 3 THEN c_mktsegment END AS b FROM r")
 def labelled_columns(spark, d):
-    """Columns from spans by class, without the row of headers."""
-    html = F.concat(F.lit('<span class="a">A</span><span class="b">B</span><span class="a">'), "n_name", F.lit('</span><span class="b">x</span>'))
-    return pg.labelled_columns(load(spark, d, "nation").select("n_nationkey", html.alias("html")), ["a", "b"], id_col="n_nationkey")
+    """Columns from spans by class, without the row of headers; some have fewer."""
+    span = lambda c, x: F.concat(F.lit(f'<span class="{c}">'), x, F.lit("</span>"))
+    each = F.transform(F.expr("slice(array(1, 2, 3), 1, cast(c_custkey % 4 as int))"), lambda i: F.concat(span("a", F.concat("c_name", i.cast("string"))), F.when(i < 3, span("b", F.col("c_mktsegment"))).otherwise("")))
+    html = F.concat(span("a", F.lit("A")), span("b", F.lit("B")), F.array_join(each, ""))
+    return pg.labelled_columns(load(spark, d, "customer").select("c_custkey", html.alias("html")), ["a", "b"], id_col="c_custkey")
 
 
-@query("SELECT n_nationkey, 'T1: ' || n_name AS rephrased FROM nation")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN name ELSE upper(name) END AS rephrased FROM (SELECT c_custkey, c_mktsegment || ' ' || c_custkey AS name FROM customer)")
 def rephrased_queries(spark, d):
-    """A query as a provider puts it."""
-    return providers.rephrased(load(spark, d, "nation").select("n_nationkey", "n_name"), "n_name", providers.echo_writer).select("n_nationkey", "rephrased")
+    """A query as a provider puts it, or as it is where the provider has nothing to say."""
+    asked = load(spark, d, "customer").select("c_custkey", F.concat_ws(" ", "c_mktsegment", F.col("c_custkey").cast("string")).alias("q"))
+    loud = lambda prompts: [" \n\n" if int(p.split()[1]) % 3 == 0 else f"\n  {p.upper()} \nmore" for p in prompts]
+    return providers.rephrased(asked, "q", loud).select("c_custkey", "rephrased")
 
 
 @query("SELECT vec_id, (pos - 1)::INT AS place, embedding[pos] AS x FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings)")
@@ -175,20 +187,27 @@ def array_rows(spark, d):
     return load(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("place", "x"))
 
 
-@query("SELECT n_nationkey, 'the price of ' || lower(n_name) || ' be rising by 5 city' AS lemmas FROM nation")
+WORDS = ("prices", "cities", "news", "buses", "glasses", "was", "has", "rose", "status", "analysis", "boxes", "is")
+LEMMAS = ("price", "city", "news", "bus", "glass", "be", "have", "rise", "status", "analysis", "box", "be")
+
+
+@query("WITH w AS (SELECT c_custkey, [" + ", ".join(f"'{x}'" for x in LEMMAS) + "] AS l, lower(c_mktsegment) AS s FROM customer) SELECT c_custkey, 'the ' || l[c_custkey % 12 + 1] || ' of ' || s || ' ' || l[c_custkey // 12 % 12 + 1] || ' .' AS lemmas FROM w")
 def lemmatized_texts(spark, d):
     """Texts as lemmas by rules."""
-    text = F.concat(F.lit("The prices of "), "n_name", F.lit(" were rising by 5 cities"))
-    return linguistic.lemmatized(load(spark, d, "nation").select("n_nationkey", text.alias("text")), "n_nationkey", "text")
+    k = F.col("c_custkey")
+    pick = lambda i: F.get(F.array(*map(F.lit, WORDS)), (i % 12).cast("int"))
+    text = F.concat(F.lit("The "), pick(k), F.lit(" of "), F.lower("c_mktsegment"), F.lit(" "), pick(F.floor(k / 12)), F.lit("."))
+    return linguistic.lemmatized(load(spark, d, "customer").select("c_custkey", text.alias("text")), "c_custkey", "text")
 
 
-@query("SELECT n_nationkey, 1 AS aux, 1 AS num, 1 AS punct FROM nation")
+@query("SELECT c_custkey, (c_custkey % 3 = 0)::INT + (c_custkey % 5 = 0)::INT AS aux, 1 + (c_custkey % 2)::INT AS num, 1 + (c_custkey % 4)::INT AS punct FROM customer")
 def tag_counts(spark, d):
     """How often each part of speech is in a text (L1, L4)."""
-    text = F.concat("n_name", F.lit(" will rise by 5 !"))
-    t = linguistic.tokens(load(spark, d, "nation").select("n_nationkey", text.alias("text")), "n_nationkey", "text")
-    out = frames.matrix(t.groupBy("n_nationkey", "pos").agg(F.count("*").cast("int").alias("n")), "n_nationkey", "pos", "n", ["AUX", "NUM", "PUNCT"], F.max)
-    return out.select("n_nationkey", F.col("AUX").alias("aux"), F.col("NUM").alias("num"), F.col("PUNCT").alias("punct"))
+    k = F.col("c_custkey")
+    text = F.concat(F.lit("prices "), F.when(k % 3 == 0, "will ").otherwise(""), F.when(k % 5 == 0, "may ").otherwise(""), F.lit("rise by "), k.cast("string"), F.when(k % 2 == 1, " to 7").otherwise(""), F.repeat(F.lit(" !"), (k % 4 + 1).cast("int")))
+    t = linguistic.tokens(load(spark, d, "customer").select("c_custkey", text.alias("text")), "c_custkey", "text")
+    out = frames.matrix(t.groupBy("c_custkey", "pos").agg(F.count("*").cast("int").alias("n")), "c_custkey", "pos", "n", ["AUX", "NUM", "PUNCT"], F.max)
+    return out.select("c_custkey", F.col("AUX").alias("aux"), F.col("NUM").alias("num"), F.col("PUNCT").alias("punct"))
 
 
 @query(r"SELECT shape, count(*) AS n FROM (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[a-z]', 'x', 'g'), '[A-Z]', 'X', 'g'), '[0-9]', 'd', 'g'), '(x{4})x+|(X{4})X+|(d{4})d+', '\1\2\3', 'g') AS shape FROM (SELECT unnest(" + TOKENS.format("s") + ") AS t FROM (SELECT unnest(list_filter(list_transform(string_split(text, '.'), lambda x: trim(x, ' ')), lambda x: x <> '')) AS s FROM documents))) GROUP BY shape")
@@ -207,9 +226,10 @@ def feature_scores(spark, d):
     return out.na.fill({"the": 0, "les": 0, "label": -1})
 
 
-@query("SELECT item_id, text, round(score, 5) AS score FROM (SELECT item_id, text, list_cosine_similarity(embedding::DOUBLE[], embedding::DOUBLE[]) AS score FROM benchmark JOIN embeddings ON item_id = vec_id)")
+@query("SELECT item_id, text, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS score FROM benchmark JOIN embeddings a ON a.vec_id = item_id JOIN embeddings b ON b.vec_id = item_id + 1")
 def result_pairs(spark, d):
     """Found texts with their scores as typed pairs."""
-    both = load(spark, d, "benchmark").join(load(spark, d, "embeddings"), F.col("item_id") == F.col("vec_id"))
-    pair = F.struct("text", similarity.cosine(F.col("embedding"), F.col("embedding")).alias("score")).alias("x")
-    return both.select("item_id", pair).select("item_id", "x.text", F.round("x.score", 5).alias("score"))
+    v = load(spark, d, "embeddings")
+    a, b = v.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("a")), v.select((F.col("vec_id") - 1).alias("item_id"), F.col("embedding").alias("b"))
+    pair = F.struct("text", similarity.cosine(F.col("a"), F.col("b")).alias("score")).alias("x")
+    return load(spark, d, "benchmark").join(a, "item_id").join(b, "item_id").select("item_id", pair).select("item_id", "x.text", F.round("x.score", 5).alias("score"))

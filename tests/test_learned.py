@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from omenflow.operators import clustering, learners, learning, linguistic, tagging, topics
+from omenflow.operators import clustering, learners, learning, linguistic, recurrent, tagging, topics
 
 SENTENCES = (
     ("the {n} {v} the {n}", "DT NN VB DT NN"), ("they can {b} the {n}", "PR MD VB DT NN"), ("the can is {a}", "DT NN VB JJ"), ("a {a} can {v} it", "DT JJ NN VB PR"),
@@ -224,3 +224,43 @@ def test_each_name_is_an_estimator_of_its_own(spark):
     assert got.agg(F.avg((F.col("perceptron") == F.col("y")).cast("double"))).first()[0] > 0.9
     none = learners.MixedLinear().fit(df.where("id < 0"))
     assert none.getOrDefault("weights") == [0.0]
+
+
+# Recurrent
+
+
+def test_gradients_through_time_equal_differences():
+    net = recurrent.Network(3, hidden=5, seed=3)
+    x, length = recurrent.padded([b"abcde", b"xy", b"", b"\xff\x00q"])
+    y = np.array([0, 2, 1, 1])
+    _, g = net.gradient(x, length, y)
+    r = np.random.Generator(np.random.PCG64(1))
+    live = np.flatnonzero(g)
+    for k in r.permutation(live)[:60]:
+        was, both = net.flat[k], []
+        for step in (1e-5, -1e-5):
+            net.flat[k] = was + step
+            both.append(net.gradient(x, length, y)[0])
+        net.flat[k] = was
+        assert g[k] == pytest.approx((both[0] - both[1]) / 2e-5, rel=1e-4, abs=1e-8)
+
+
+def test_windows_have_the_whole_text():
+    for text in ("", "a", "é" * 100, "x" * 64, "y" * 65):
+        cut = recurrent.windows(text)
+        assert b"".join(cut) == text.encode() and max(map(len, cut)) <= recurrent.WIDTH
+
+
+def test_a_recurrent_classifier_learns_held_out_names(spark, tmp_path):
+    r = np.random.Generator(np.random.PCG64(2))
+    ends = {"it": ["ini", "elli", "otti"], "ru": ["ov", "sky", "enko"], "jp": ["moto", "kawa", "yama"]}
+    name = lambda lang: "".join(r.choice(list("bdfglmnprst"), 1).tolist() + r.choice(list("aeiou"), 1).tolist()) * int(r.integers(1, 3)) + str(r.choice(ends[lang]))
+    rows = [(i, name(lang), lang) for i, lang in enumerate(list(ends) * 150)]
+    df = spark.createDataFrame([*rows, (999, "x", None)], "id long, name string, lang string")
+    model = recurrent.RecurrentClassifier.fit(df.where("id % 5 > 0"), "name", "lang", epochs=10, hidden=16, parts=2)
+    model.save(spark, str(tmp_path))
+    again = recurrent.RecurrentClassifier.load(spark, str(tmp_path))
+    got = again.predict(df.where("id % 5 = 0 and lang is not null"), "name").collect()
+    assert np.mean([g.predicted == g.lang for g in got]) > 0.9 and all(0 < g.score <= 1 for g in got)
+    odd = spark.createDataFrame([(None,), ("",), ("z" * 5000,)], "name string")
+    assert again.predict(odd, "name").count() == 3

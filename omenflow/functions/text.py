@@ -135,3 +135,70 @@ def response_fields(text: Column, schema: str = "label INT, reasoning STRING") -
 def template_number(text: Column) -> Column:
     """Of a line that begins with ``T0:`` to ``T6:``; else null."""
     return F.regexp_extract(text, r"^\s*T([0-6]):(?!\S)", 1).try_cast("int")
+
+
+_PERSONS = {
+    "i": "Case=Nom|Number=Sing|Person=1|PronType=Prs",
+    "me": "Case=Acc|Number=Sing|Person=1|PronType=Prs",
+    "you": "Person=2|PronType=Prs",
+    "he": "Case=Nom|Gender=Masc|Number=Sing|Person=3|PronType=Prs",
+    "him": "Case=Acc|Gender=Masc|Number=Sing|Person=3|PronType=Prs",
+    "she": "Case=Nom|Gender=Fem|Number=Sing|Person=3|PronType=Prs",
+    "it": "Gender=Neut|Number=Sing|Person=3|PronType=Prs",
+    "we": "Case=Nom|Number=Plur|Person=1|PronType=Prs",
+    "us": "Case=Acc|Number=Plur|Person=1|PronType=Prs",
+    "they": "Case=Nom|Number=Plur|Person=3|PronType=Prs",
+    "them": "Case=Acc|Number=Plur|Person=3|PronType=Prs",
+}
+#: The features of words whose form doesn't show them.
+MORPHS = _PERSONS | {
+    "the": "Definite=Def|PronType=Art",
+    "a": "Definite=Ind|PronType=Art",
+    "an": "Definite=Ind|PronType=Art",
+    "this": "Number=Sing|PronType=Dem",
+    "that": "Number=Sing|PronType=Dem",
+    "these": "Number=Plur|PronType=Dem",
+    "those": "Number=Plur|PronType=Dem",
+    "and": "ConjType=Cmp",
+    "or": "ConjType=Cmp",
+    "but": "ConjType=Cmp",
+    "not": "Polarity=Neg",
+    "be": "VerbForm=Inf",
+    "am": "Mood=Ind|Number=Sing|Person=1|Tense=Pres|VerbForm=Fin",
+    "is": "Mood=Ind|Number=Sing|Person=3|Tense=Pres|VerbForm=Fin",
+    "are": "Mood=Ind|Tense=Pres|VerbForm=Fin",
+    "was": "Mood=Ind|Number=Sing|Person=3|Tense=Past|VerbForm=Fin",
+    "were": "Mood=Ind|Number=Plur|Tense=Past|VerbForm=Fin",
+    "has": "Mood=Ind|Number=Sing|Person=3|Tense=Pres|VerbForm=Fin",
+    "had": "Mood=Ind|Tense=Past|VerbForm=Fin",
+} | dict.fromkeys(("will", "shall", "would", "could", "should", "may", "might", "must", "can"), "VerbForm=Fin")
+#: Features by form, tried in this order; patterns match a whole lower-case word.
+FORMS = (
+    (r"[0-9]+(?:[.,][0-9]+)*", "NumType=Card"),
+    (r"[.!?]", "PunctType=Peri"),
+    (r",", "PunctType=Comm"),
+    (r"[^a-z]+", ""),
+    (r".*[a-z]{3}ing", "Aspect=Prog|Tense=Pres|VerbForm=Part"),
+    (r".*[a-z]{2}ed", "Tense=Past|VerbForm=Fin"),
+    (r".*[a-z]{2}ly", ""),
+    (r".*[a-z]{3}est", "Degree=Sup"),
+    (r".*[a-z](?:[^su]|ie|ee)s", "Number=Plur"),
+    (r".*[a-z]{3}", "Number=Sing"),
+)
+
+
+def terms(text: Column) -> Column:
+    """Words and single signs in text order."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}\s])"), 1)
+
+
+def morphology(term: Column) -> Column:
+    """A word's features as ``Name=Value|...`` in the order of names, empty where none shows; rules of English.
+
+    Words of the closed classes are looked up, all others go by their form.  ``operators/tagging.py`` learns such features
+    from tagged tables instead, as tags like any others.
+    """
+    low = F.lower(term)
+    closed = F.create_map(*[F.lit(x) for kv in MORPHS.items() for x in kv])
+    by_form = F.coalesce(*[F.when(low.rlike(rf"\A(?:{p})\z"), v) for p, v in FORMS], F.lit(""))
+    return F.when(low.isNull(), None).otherwise(F.coalesce(closed[low], by_form))

@@ -97,6 +97,11 @@ def clusters(rows: DataFrame, k: int, seed: int = 0, mixture: bool = False) -> D
     return made.drop("probability") if mixture else made
 
 
+def slices(clustered: DataFrame, names: list) -> dict[object, DataFrame]:
+    """Each named cluster's rows; null names those without a cluster.  ``reduce(DataFrame.unionByName, ...)`` puts them together again."""
+    return {n: clustered.where(F.col("cluster").eqNullSafe(F.lit(n))) for n in names}
+
+
 def centroids(clustered: DataFrame, vector: str) -> DataFrame:
     """``cluster, n, centroid``: means by place."""
     placed = clustered.select("cluster", F.posexplode(vector).alias("place", "x")).groupBy("cluster", "place").agg(F.avg("x").alias("x"), F.count("*").alias("n"))

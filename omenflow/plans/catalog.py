@@ -269,7 +269,7 @@ def log_lines(spark, d):
 
 
 def _all() -> None:
-    from . import corpora, indexed, more, shaping, stored  # noqa: F401  register their queries here
+    from . import corpora, indexed, more, parsed, shaping, stored  # noqa: F401  register their queries here
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

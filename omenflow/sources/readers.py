@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+LOG = logging.getLogger(__name__)
+
 
 def delimited(spark: SparkSession, path, schema: str | None = None, sep: str = "\t", encoding: str = "UTF-8", header: bool = True, skip_bad: bool = False) -> DataFrame:
     """Delimited text, compressed or not; bad lines fail, or are skipped."""
@@ -16,6 +20,28 @@ def delimited(spark: SparkSession, path, schema: str | None = None, sep: str = "
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
+def tolerant(spark: SparkSession, path, schema: str, sep: str = ",", encoding: str = "UTF-8", header: bool = True) -> DataFrame:
+    """Delimited text, compressed or not (zstd too), of which lines with too many fields are left out.
+
+    Fields that a line lacks are null, and so are those that aren't of their column's type; such lines stay.
+    """
+    reader = spark.read.option("sep", sep).option("encoding", encoding).option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line")
+    rows = reader.schema(f"{schema}, _more STRING, _line STRING").csv(path)
+    # A line of the right length is short by the field added here, so that Spark keeps it whole in ``_line``.
+    return rows.where(F.col("_more").isNull() & F.col("_line").isNotNull()).drop("_more", "_line")
+
+
+def batch_or_none(spark: SparkSession, path, schema: str) -> DataFrame | None:
+    """A batch's table, without rows where its files have none; where there is no such path, a line in the log and None."""
+    try:
+        return spark.read.schema(schema).option("header", True).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        LOG.warning("no batch at %s", path)
+        return None
+
+
 def json_records(spark: SparkSession, path, schema: str | None = None, lines: bool = True) -> DataFrame:
     reader = spark.read.option("multiLine", not lines)
     return (reader.schema(schema) if schema else reader).json(path)

@@ -44,9 +44,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item of five words or more: shorter ones, such as a common word, are in clean documents too."""
     keyed = docs.withColumn(ROW, row_key())
-    leaks = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), ROW).select(F.col("doc_id").alias(ROW)).distinct()
+    leaks = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), ROW, short=False).select(F.col("doc_id").alias(ROW)).distinct()
     return keyed.join(leaks, ROW, "left_anti").select(*docs.columns)
 
 

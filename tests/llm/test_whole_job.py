@@ -92,3 +92,41 @@ def test_nearest_takes_the_smallest_ids_of_equals(spark):
     for block_rows in (2048, 40):
         got = corpus.nearest(vectors, vectors.where("vec_id in (1, 100)"), k=4, block_rows=block_rows).orderBy("query_id", "rank").collect()
         assert [(r.query_id, r.vec_id) for r in got] == [(1, 3), (1, 5), (1, 7), (1, 9), (100, 0), (100, 2), (100, 4), (100, 6)]
+
+
+def test_short_items_are_found_by_all_their_words(spark):
+    texts = {1: "So Hello\tWORLD again", 2: "hello", 3: "hello big world", 4: None, 5: "", 6: "one two three four five six seven", 7: "two three four", 8: "x hello world"}
+    told = {1: "hello world", 2: "Two three  four", 3: "one two three four five six", 4: "hello", 5: "", 6: None, 7: "four", 8: "not there"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame(list(told.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()}
+    split = lambda t: (t or "").lower().split()
+    runs = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    want = set()
+    for d, a in texts.items():
+        for i, b in told.items():
+            w = split(b)
+            if w:
+                n = min(5, len(w))
+                asked = runs(w, n)
+                if len(asked & runs(split(a), n)) * 100 >= 75 * len(asked):
+                    want.add((d, i))
+    assert got == want and (1, 1) in want and (8, 1) in want and (3, 1) not in want and (7, 2) in want
+    left = {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items, short=False).collect()}
+    assert left == {(6, 3)}
+
+
+def test_short_items_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    words = docs.where("text is not null").orderBy("doc_id").limit(40).collect()
+    short = [(1000 + i, " ".join(r.text.split()[i % 3 : i % 3 + 1 + i % 4]).upper()) for i, r in enumerate(words)]
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").union(spark.createDataFrame(short, "item_id long, text string"))
+    items.coalesce(1).write.parquet(f"{tmp_path}/b")
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{tmp_path}/b/*.parquet'")
+    want = sorted(map(tuple, con.execute(f"SELECT doc_id, item_id, n_item, n_shared FROM ({decontamination.OP9_SQL})").fetchall()))
+    got = decontamination.contaminated(docs, spark.read.parquet(f"{tmp_path}/b")).select("doc_id", "item_id", "n_item", "n_shared")
+    assert sorted(map(tuple, got.collect())) == want and any(i >= 1000 for _, i, *_ in want)

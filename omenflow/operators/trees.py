@@ -1,51 +1,77 @@
 """Trees over the tokens of sentences: the reach of subtrees, subtrees as single tokens, and graphs of what is said.
 
-Any analyser gives the heads.  All work is joins and windows by sentence, so that no task holds more than sentences.
+Any analyser gives the heads.  All work is by sentence, so that no task holds more than sentences.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..sources.writers import scratch
 
+def reaches(sentence: np.ndarray, pos: np.ndarray, head: np.ndarray, headed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last position below each token of many sentences at once; ``headed``: which tokens have a head.
 
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    What is known of a token's nearest levels doubles with each round, so that rounds grow with the logarithm of the depth.
+    """
+    known, rank = np.unique(pos, return_inverse=True)
+    keys, node = np.unique(sentence * len(known) + rank, return_inverse=True)
+    # Of tokens that share a position the smallest head counts.
+    least = np.full(len(keys), np.iinfo(np.int64).max)
+    np.minimum.at(least, node[headed], head[headed])
+    at = known[keys % len(known)]
+    place = np.minimum(np.searchsorted(known, least), len(known) - 1)
+    asked = keys - keys % len(known) + place
+    found = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    up = np.where((known[place] == least) & (keys[found] == asked) & (least != at), found, -1)
+    first, last = at.copy(), at.copy()
+    longest = int(np.bincount(keys // len(known)).max())
+    for _ in range(longest.bit_length() + 1):
+        below = up >= 0
+        if not below.any():
+            break
+        to, low, high = up[below], first[below], last[below]
+        np.minimum.at(first, to, low)
+        np.maximum.at(last, to, high)
+        up = np.where(below, up[up], -1)
+    if (up >= 0).any():
+        raise ValueError("the heads of a sentence go round in a circle")
+    return first[node], last[node]
+
+
+def _reaches(pos: pa.Array, head: pa.Array) -> pa.Array:
+    sizes = np.diff(pos.offsets.to_numpy())
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
+    p, h = pos.flatten(), head.flatten()
+    there, headed = np.asarray(p.is_valid()), np.asarray(h.is_valid())
+    place, up = p.fill_null(0).to_numpy(zero_copy_only=False), h.fill_null(0).to_numpy(zero_copy_only=False)
+    out = [np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)]
+    if there.any():
+        for o, x in zip(out, reaches(sentence[there], place[there], up[there], headed[there]), strict=True):
+            o[there] = x
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(o, mask=~there)) for o in out], ["first", "last"])
 
 
 def subtree_edges(tokens: DataFrame, group: list[str], pos: str = "pos", head: str = "head") -> DataFrame:
     """Adds ``first_pos`` and ``last_pos``: the outermost positions of all tokens below each token, itself included.
 
-    ``group`` names a sentence; ``head`` is the position of a token's head.  A token whose head is null, its own position
-    or no position of the sentence is a root.  What is known of a token's nearest levels doubles with each round, so that
-    rounds grow with the logarithm of the deepest tree.  Heads that go round in a circle are an error.
+    ``group`` names a sentence, which is one row while it is worked on; ``head`` is the position of a token's head.  A token
+    whose head is null, its own position or no position of the sentence is a root.  Tokens are moved once.
 
     Cases: null sentences are one sentence; tokens without a position take no part and get nulls; of tokens that share
-    a position the smallest head counts; an empty table gives an empty result.
+    a position the smallest head counts; heads that go round in a circle are an error; an empty table gives an empty result.
     """
-    key = F.struct(*group)
-    known = tokens.where(F.col(pos).isNotNull()).groupBy(key.alias("_g"), F.col(pos).alias("_p")).agg(F.min(head).alias("_up"))
-    places = known.select("_g", F.col("_p").alias("_up"), F.lit(True).alias("_there"))
-    known = known.join(places, ["_g", "_up"], "left").withColumn("_up", F.when(F.col("_there") & (F.col("_up") != F.col("_p")), F.col("_up")))
-    state = _written(known.select("_g", "_p", "_up", F.col("_p").alias("_lo"), F.col("_p").alias("_hi")))
-    longest = state.groupBy("_g").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    for _ in range(longest.bit_length() + 1):
-        if state.where("_up is not null").isEmpty():
-            break
-        below = state.where("_up is not null").groupBy("_g", F.col("_up").alias("_p")).agg(F.min("_lo").alias("_l"), F.max("_hi").alias("_h"))
-        above = state.select("_g", F.col("_p").alias("_up"), F.col("_up").alias("_further"))
-        step = state.join(below, ["_g", "_p"], "left").join(above, ["_g", "_up"], "left")
-        state = _written(step.select("_g", "_p", F.col("_further").alias("_up"), F.least("_lo", "_l").alias("_lo"), F.greatest("_hi", "_h").alias("_hi")))
-    else:
-        if not state.where("_up is not null").isEmpty():
-            raise ValueError("the heads of a sentence go round in a circle")
-    found = state.select("_g", "_p", F.col("_lo").alias("first_pos"), F.col("_hi").alias("last_pos"))
-    return tokens.withColumns({"_g": key, "_p": F.col(pos)}).join(found, ["_g", "_p"], "left").drop("_g", "_p")
+    row = F.struct(F.col(pos).cast("long").alias("_p"), F.col(head).cast("long").alias("_h"), F.struct(*tokens.columns).alias("_row"))
+    sentences = tokens.groupBy(F.struct(*group).alias("_g")).agg(F.collect_list(row).alias("_t"))
+    told = F.arrow_udf(_reaches, "first array<bigint>, last array<bigint>")
+    reached = sentences.select("_t", told(F.col("_t._p"), F.col("_t._h")).alias("_r"))
+    each = reached.select(F.inline(F.arrays_zip(F.col("_t._row").alias("row"), F.col("_r.first").alias("first_pos"), F.col("_r.last").alias("last_pos"))))
+    kind = tokens.schema[pos].dataType
+    return each.select("row.*", F.col("first_pos").cast(kind).alias("first_pos"), F.col("last_pos").cast(kind).alias("last_pos"))
 
 
 def merged_subtrees(tokens: DataFrame, group: list[str], chosen: Column, pos: str = "pos", head: str = "head", term: str = "term") -> DataFrame:

@@ -56,6 +56,36 @@ def _reaches(pos: pa.Array, head: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(o, mask=~there)) for o in out], ["first", "last"])
 
 
+def sentence_edges(sentences: DataFrame, heads: str = "heads") -> DataFrame:
+    """Adds ``first_pos`` and ``last_pos``, arrays like ``heads``: for each token what ``subtree_edges`` tells.
+
+    A row is a sentence, and ``heads`` has each token's head as a position from 0, so that no row is moved.  A null array is
+    an empty one.
+    """
+    held = F.coalesce(F.col(heads).cast("array<bigint>"), F.array().cast("array<bigint>"))
+    told = F.arrow_udf(_reaches, "first array<bigint>, last array<bigint>")
+    reached = sentences.withColumn("_r", told(F.transform(held, lambda _, i: i.cast("bigint")), held))
+    return reached.withColumns({f"{n}_pos": F.col(f"_r.{n}").cast("array<int>") for n in ("first", "last")}).drop("_r")
+
+
+def heads_by_length(words: Column, bounds: tuple[int, ...] = (8, 12)) -> Column:
+    """Heads that stand in for a parser's: words are classed by letters, and a head is the next word of a higher class."""
+
+    def run(lengths: pa.Array) -> pa.Array:
+        sizes = np.diff(lengths.offsets.to_numpy())
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        kind = np.searchsorted(bounds, lengths.flatten().to_numpy(zero_copy_only=False), side="right")
+        n = len(kind)
+        head = np.full(n, n)
+        for c in range(len(bounds)):
+            after = np.minimum.accumulate(np.where(kind > c, np.arange(n), n)[::-1])[::-1]
+            head = np.where(kind == c, np.append(after[1:], n), head)
+        begin, end = np.repeat(offsets[:-1], sizes), np.repeat(offsets[1:], sizes)
+        return pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array((head - begin).astype(np.int32), mask=head >= end))
+
+    return F.arrow_udf(run, "array<int>")(F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.coalesce(F.length(w), F.lit(0))))
+
+
 def subtree_edges(tokens: DataFrame, group: list[str], pos: str = "pos", head: str = "head") -> DataFrame:
     """Adds ``first_pos`` and ``last_pos``: the outermost positions of all tokens below each token, itself included.
 

@@ -43,20 +43,17 @@ NEXT = "min(pos) FILTER (class {}) OVER (PARTITION BY doc_id, k ORDER BY pos ROW
 PREVIOUS = "coalesce(max(pos) FILTER (class {}) OVER (PARTITION BY doc_id, k ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, 0)"
 
 
-def headed(spark, d) -> DataFrame:
-    """``doc_id, k, pos, term, class, head``: the words of sentences with heads that stand in for a parser's."""
-    words = sentences(spark, d).select("doc_id", "k", F.posexplode(tx.tokens(F.col("s"))).alias("pos", "term"))
-    words = words.withColumn("class", (F.length("term") >= 8).cast("int") + (F.length("term") >= 12).cast("int"))
-    back = "(PARTITION BY doc_id, k ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    nearest = lambda least: F.expr(f"last(if(class >= {least}, pos, null), true) OVER {back}")
-    words = words.withColumns({"_1": nearest(1), "_2": nearest(2)})
-    return words.withColumn("head", F.when(F.col("class") == 0, F.col("_1")).when(F.col("class") == 1, F.col("_2"))).drop("_1", "_2")
+def reached(spark, d) -> DataFrame:
+    """``doc_id, k, terms, heads, first_pos, last_pos``: sentences with the reach of each word's subtree; no row is moved."""
+    words = sentences(spark, d).select("doc_id", "k", tx.tokens(F.col("s")).alias("terms"))
+    return trees.sentence_edges(words.withColumn("heads", trees.heads_by_length(F.col("terms"))))
 
 
 @query(WORDED.rstrip(", ") + f" SELECT doc_id, k, pos, CASE class WHEN 0 THEN pos WHEN 1 THEN {PREVIOUS.format('>= 1')} ELSE {PREVIOUS.format('>= 2')} END::INT AS first_pos, pos AS last_pos FROM z")
 def subtree_edges(spark, d):
     """The first and last word of each word's subtree."""
-    return trees.subtree_edges(headed(spark, d), ["doc_id", "k"]).select("doc_id", "k", "pos", "first_pos", "last_pos")
+    places = F.transform("first_pos", lambda _, i: i)
+    return reached(spark, d).select("doc_id", "k", F.inline(F.arrays_zip(places.alias("pos"), F.col("first_pos"), F.col("last_pos"))))
 
 
 @query(WORDED + f"""u AS (SELECT *, CASE WHEN class = 2 THEN pos ELSE {NEXT.format('>= 2')} END AS top, CASE class WHEN 0 THEN {NEXT.format('>= 1')} WHEN 1 THEN {NEXT.format('>= 2')} END AS head FROM z),
@@ -65,8 +62,9 @@ m AS (SELECT doc_id, k, place, string_agg(term, ' ' ORDER BY pos) AS term, count
 SELECT m.doc_id, m.k, m.place::INT AS place, m.term, m.n, p.place::INT AS head FROM m LEFT JOIN p ON p.doc_id = m.doc_id AND p.k = m.k AND p.pos = m.head""")
 def merged_subtrees(spark, d):
     """Sentences in which the subtrees of the longest words are single tokens."""
-    reached = trees.subtree_edges(headed(spark, d), ["doc_id", "k"])
-    return trees.merged_subtrees(reached, ["doc_id", "k"], F.col("class") == 2).select("doc_id", "k", F.col("place").cast("int").alias("place"), "term", "n", F.col("head").cast("int").alias("head"))
+    places = F.transform("terms", lambda _, i: i)
+    words = reached(spark, d).select("doc_id", "k", F.inline(F.arrays_zip(places.alias("pos"), F.col("terms").alias("term"), F.col("heads").alias("head"), F.col("first_pos"), F.col("last_pos"))))
+    return trees.merged_subtrees(words, ["doc_id", "k"], F.length("term") >= 12).select("doc_id", "k", F.col("place").cast("int").alias("place"), "term", "n", F.col("head").cast("int").alias("head"))
 
 
 @query(WORDED + """g AS (SELECT *, CASE WHEN regexp_matches(term, '^[A-Z]') THEN 'PROPN' WHEN regexp_matches(term, 's$') THEN 'VERB' WHEN length(term) > 3 THEN 'NOUN' END AS tag FROM z),

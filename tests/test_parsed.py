@@ -74,6 +74,18 @@ def test_subtrees_by_brute_force(spark):
     assert [(r.s, r.place, r.term, r.n, r.head) for r in one] == want
 
 
+def test_sentences_with_heads_by_length(spark):
+    rng = random.Random(7)
+    said = {s: ["x" * rng.choice([1, 4, 8, 9, 12, 15]) for _ in range(n)] for s, n in enumerate([0, 1, 2, 5, 30, 200])} | {9: None}
+    rows = spark.createDataFrame(list(said.items()), "s int, words array<string>").repartition(2)
+    got = trees.sentence_edges(rows.withColumn("heads", trees.heads_by_length(F.col("words"))))
+    for r in got.collect():
+        kinds = [(len(w) >= 8) + (len(w) >= 12) for w in said[r.s] or []]
+        want = [next((j for j in range(i + 1, len(kinds)) if kinds[j] > c), None) for i, c in enumerate(kinds)]
+        assert r.heads == want and list(zip(r.first_pos, r.last_pos, strict=True)) == reach(want)
+    assert trees.sentence_edges(spark.createDataFrame([(1, None)], "s int, heads array<int>")).first().first_pos == []
+
+
 def test_subtrees_at_the_edges(spark):
     rows = [(None, 0, 1, "a", False), (None, 1, None, "b", False), (1, None, 0, "c", True), (1, 4, 4, "d", True), (2, 0, 9, "e", None)]
     got = trees.subtree_edges(spark.createDataFrame(rows, TREE), ["s"])

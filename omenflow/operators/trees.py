@@ -68,6 +68,48 @@ def sentence_edges(sentences: DataFrame, heads: str = "heads") -> DataFrame:
     return reached.withColumns({f"{n}_pos": F.col(f"_r.{n}").cast("array<int>") for n in ("first", "last")}).drop("_r")
 
 
+def _units(heads: pa.Array, first: pa.Array, last: pa.Array, chosen: pa.Array) -> pa.Array:
+    sizes = np.diff(heads.offsets.to_numpy())
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    n = offsets[-1]
+    begin, size, at = np.repeat(offsets[:-1], sizes), np.repeat(sizes, sizes), np.arange(n)
+    flat = heads.flatten()
+    head = flat.fill_null(-1).to_numpy(zero_copy_only=False)
+    linked = (head >= 0) & (head < size) & (head + begin != at)
+    span = chosen.flatten().fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+    # Neighbours that a chosen subtree covers are in one token.
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, first.flatten().to_numpy(zero_copy_only=False)[span] + begin[span], 1)
+    np.add.at(steps, last.flatten().to_numpy(zero_copy_only=False)[span] + begin[span], -1)
+    opens = np.ones(n, bool)
+    opens[1:] = np.cumsum(steps)[: max(n - 1, 0)] <= 0
+    unit = np.cumsum(opens) - 1
+    starts = np.flatnonzero(opens)
+    to = np.where(linked, unit[np.where(linked, head + begin, 0)], -1) if n else at
+    outer = np.flatnonzero(~linked | (to != unit))
+    lead = np.full(len(starts), n)
+    np.minimum.at(lead, unit[outer], outer)
+    per = np.concatenate([[0], np.cumsum(opens)])[offsets]
+    lists = per.astype(np.int32)
+    base = np.repeat(per[:-1], np.diff(per))
+    cols = [starts - begin[starts], np.diff(np.append(starts, n)), to[lead] - base]
+    arrays = [pa.array(c.astype(np.int32), mask=m) for c, m in zip(cols, (None, None, ~linked[lead]), strict=True)]
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(lists, x) for x in arrays], ["begin", "n", "head"])
+
+
+def merged_in_sentences(sentences: DataFrame, chosen: Column, terms: str = "terms", heads: str = "heads") -> DataFrame:
+    """What ``merged_subtrees`` gives, as arrays of rows that are sentences: adds ``merged``, ``place, term, n, head`` of each token.
+
+    ``sentences`` with ``first_pos`` and ``last_pos`` of ``sentence_edges``; ``chosen`` is an array of booleans.  No row is moved.
+    """
+    told = F.arrow_udf(_units, "begin array<int>, n array<int>, head array<int>")
+    found = sentences.withColumn("_u", told(F.col(heads).cast("array<bigint>"), "first_pos", "last_pos", chosen))
+    text = lambda u: F.array_join(F.slice(F.col(terms), u["begin"] + 1, u["n"]), " ")
+    units = F.arrays_zip(F.col("_u.begin").alias("begin"), F.col("_u.n").alias("n"), F.col("_u.head").alias("head"))
+    row = lambda u, i: F.struct(i.alias("place"), text(u).alias("term"), u["n"].cast("bigint").alias("n"), u["head"].alias("head"))
+    return found.withColumn("merged", F.transform(units, row)).drop("_u")
+
+
 def heads_by_length(words: Column, bounds: tuple[int, ...] = (8, 12)) -> Column:
     """Heads that stand in for a parser's: words are classed by letters, and a head is the next word of a higher class."""
 

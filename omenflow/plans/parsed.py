@@ -62,9 +62,8 @@ m AS (SELECT doc_id, k, place, string_agg(term, ' ' ORDER BY pos) AS term, count
 SELECT m.doc_id, m.k, m.place::INT AS place, m.term, m.n, p.place::INT AS head FROM m LEFT JOIN p ON p.doc_id = m.doc_id AND p.k = m.k AND p.pos = m.head""")
 def merged_subtrees(spark, d):
     """Sentences in which the subtrees of the longest words are single tokens."""
-    places = F.transform("terms", lambda _, i: i)
-    words = reached(spark, d).select("doc_id", "k", F.inline(F.arrays_zip(places.alias("pos"), F.col("terms").alias("term"), F.col("heads").alias("head"), F.col("first_pos"), F.col("last_pos"))))
-    return trees.merged_subtrees(words, ["doc_id", "k"], F.length("term") >= 12).select("doc_id", "k", F.col("place").cast("int").alias("place"), "term", "n", F.col("head").cast("int").alias("head"))
+    made = trees.merged_in_sentences(reached(spark, d), F.transform("terms", lambda w: F.length(w) >= 12))
+    return made.select("doc_id", "k", F.inline("merged"))
 
 
 @query(WORDED + """g AS (SELECT *, CASE WHEN regexp_matches(term, '^[A-Z]') THEN 'PROPN' WHEN regexp_matches(term, 's$') THEN 'VERB' WHEN length(term) > 3 THEN 'NOUN' END AS tag FROM z),

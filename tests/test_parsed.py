@@ -86,6 +86,15 @@ def test_sentences_with_heads_by_length(spark):
     assert trees.sentence_edges(spark.createDataFrame([(1, None)], "s int, heads array<int>")).first().first_pos == []
 
 
+def test_merged_sentences_by_brute_force(spark):
+    rng = random.Random(3)
+    rows = []
+    for s, n in enumerate([1, 2, *(rng.randint(2, 14) for _ in range(80)), 0]):
+        rows.append((s, [f"w{i}" for i in range(n)], random_forest(rng, n), [rng.random() < 0.2 for _ in range(n)]))
+    got = trees.merged_in_sentences(trees.sentence_edges(spark.createDataFrame(rows, "s int, terms array<string>, heads array<int>, c array<boolean>")), F.col("c"))
+    assert {r.s: [tuple(m) for m in r.merged] for r in got.collect()} == {s: merged(h, t, c) for s, t, h, c in rows}
+
+
 def test_subtrees_at_the_edges(spark):
     rows = [(None, 0, 1, "a", False), (None, 1, None, "b", False), (1, None, 0, "c", True), (1, 4, 4, "d", True), (2, 0, 9, "e", None)]
     got = trees.subtree_edges(spark.createDataFrame(rows, TREE), ["s"])

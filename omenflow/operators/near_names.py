@@ -23,11 +23,12 @@ def near_names(df: DataFrame, name: str, most: int = 2) -> DataFrame:
     Two strings are that near only if some string is left of both after that many deletions each; the hashes of what is left
     are joined, so that no block of names is compared pair by pair.  A name's rows, however many, are one entry.
     Candidates' lengths and distances are looked at before they are moved again.  Null names take no part.
+    The index has many rows a name, which Spark's estimate of its size doesn't know, so that it is merged and never sent whole.
     """
     names = df.select(F.col(name).alias("n")).where("n is not null").distinct()
     index = names.select("n", F.explode(F.transform(deletions(F.col("n"), most), lambda x: F.xxhash64(x))).alias("h"))
     a, b = index.select(F.col("n").alias("name_1"), "h"), index.select(F.col("n").alias("name_2"), "h")
     near = F.abs(F.char_length("name_1") - F.char_length("name_2")) <= most
-    pairs = a.join(b, "h").where((F.col("name_1") < F.col("name_2")) & near)
+    pairs = a.join(b.hint("merge"), "h").where((F.col("name_1") < F.col("name_2")) & near)
     found = pairs.withColumn("distance", F.levenshtein("name_1", "name_2", most)).where("distance >= 0")
     return found.select("name_1", "name_2", "distance").distinct()

@@ -164,3 +164,10 @@ def test_nearest_takes_the_smallest_ids_of_equals(spark):
     for block_rows in (2048, 40):
         got = corpus.nearest(df, df.where("vec_id in (1, 100)"), k=4, block_rows=block_rows).orderBy("query_id", "rank").collect()
         assert [(x.query_id, x.vec_id) for x in got] == [(1, 3), (1, 5), (1, 7), (1, 9), (100, 0), (100, 2), (100, 4), (100, 6)]
+
+
+@pytest.mark.parametrize("most", [1, 2])
+def test_the_index_of_near_names_is_never_sent_whole(spark, most):
+    found = near_names.near_names(spark.range(50).selectExpr("concat('name', id) n"), "n", most)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -242,11 +242,18 @@ class Tagger:
 def spans(tagged: DataFrame, key: str, words: str = "words", tags: str = "tags") -> DataFrame:
     """``key, label, begin, end, term``: entities of ``B-x, I-x, O`` tags, by places of their words; ``end`` is exclusive.
 
-    An I- that doesn't go on with its label begins an entity; rows whose tags are null have none.
+    An I- that doesn't go on with its label begins an entity; rows whose tags are null have none.  The work is linear in
+    a row's words, and words aren't repeated by entity.
     """
     label = lambda t: F.regexp_extract(t, r"^[BI]-(.*)$", 1)
-    opens = F.transform(tags, lambda t, i: (t.startswith("B-") | (t.startswith("I-") & ((i == 0) | (label(t) != label(F.coalesce(F.get(tags, i - 1), F.lit(""))))))))
-    every = tagged.select(key, F.col(words).alias("_w"), F.col(tags).alias("_t"), F.posexplode(opens).alias("begin", "_open")).where("_open")
-    goes_on = F.filter(F.sequence(F.col("begin") + 1, F.size("_t")), lambda i: (F.coalesce(F.get("_t", i), F.lit("O")) != F.concat(F.lit("I-"), label(F.get("_t", F.col("begin"))))))
-    ended = every.withColumn("end", F.get(goes_on, F.lit(0)))
-    return ended.select(key, label(F.get("_t", F.col("begin"))).alias("label"), "begin", "end", F.array_join(F.slice("_w", F.col("begin") + 1, F.col("end") - F.col("begin")), " ").alias("term"))
+    before = lambda i: F.get("_t", i - 1)
+    opens = lambda i: F.coalesce(F.get("_t", i).startswith("B-") | (F.get("_t", i).startswith("I-") & ((i == 0) | (label(F.get("_t", i)) != label(F.coalesce(before(i), F.lit("")))))), F.lit(False))
+    # Where a token doesn't go on with the label before it, and at both ends; an entity reaches from its begin to the next of these.
+    ends = lambda i: (i == 0) | ~F.coalesce(F.get("_t", i).startswith("I-"), F.lit(False)) | F.coalesce(F.get("_t", i) != F.concat(F.lit("I-"), label(before(i))), F.lit(True))
+    rows = tagged.select(key, F.col(words).alias("_w"), F.col(tags).alias("_t"))
+    marked = rows.select("*", F.filter(F.sequence(F.lit(0), F.size("_t")), ends).alias("_m"))
+    pairs = F.zip_with("_m", F.slice("_m", 2, F.greatest(F.size("_m") - 1, F.lit(1))), lambda a, b: F.struct(a.alias("begin"), b.alias("end")))
+    held = marked.select(key, "_w", "_t", F.filter(pairs, lambda p: opens(p["begin"])).alias("_p"))
+    term = lambda p: F.array_join(F.slice("_w", p["begin"] + 1, p["end"] - p["begin"]), " ")
+    entity = lambda p: F.struct(label(F.get("_t", p["begin"])).alias("label"), p["begin"].alias("begin"), p["end"].alias("end"), term(p).alias("term"))
+    return held.select(key, F.inline(F.transform("_p", entity)))

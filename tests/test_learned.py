@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import time
 
 import numpy as np
 import pytest
@@ -264,3 +265,18 @@ def test_a_recurrent_classifier_learns_held_out_names(spark, tmp_path):
     assert np.mean([g.predicted == g.lang for g in got]) > 0.9 and all(0 < g.score <= 1 for g in got)
     odd = spark.createDataFrame([(None,), ("",), ("z" * 5000,)], "name string")
     assert again.predict(odd, "name").count() == 3
+
+
+def test_spans_of_a_long_row_are_found_in_one_pass(spark):
+    """A text with many entities: work that grows with its square would take minutes here."""
+    n = 30_000
+    rows = spark.range(1).selectExpr("id", f"transform(sequence(1, {n}), i -> concat('w', i)) words", f"transform(sequence(1, {n}), i -> case i % 3 when 0 then 'O' when 1 then 'B-x' else 'I-x' end) tags")
+    began = time.time()
+    got = tagging.spans(rows, "id").selectExpr("count(*) n", "min(end - begin) least", "max(end - begin) most", "max_by(term, begin) last").first()
+    assert tuple(got) == (n // 3, 2, 2, f"w{n - 2} w{n - 1}") and time.time() - began < 30
+
+
+def test_spans_with_null_and_empty_labels(spark):
+    rows = [(1, "a b c d e".split(), ["I-", "B-x", None, "I-x", "I-x"])]
+    got = tagging.spans(spark.createDataFrame(rows, "id long, words array<string>, tags array<string>"), "id").orderBy("begin").collect()
+    assert [tuple(r) for r in got] == [(1, "", 0, 1, "a"), (1, "x", 1, 2, "b"), (1, "x", 3, 5, "d e")]

@@ -33,8 +33,8 @@ SHAPE = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[a-z]',
 @query(f"WITH {CUT} w AS (SELECT unnest(regexp_extract_all(s, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\s]')) AS t FROM c) SELECT shape, morph, count(*) AS n FROM (SELECT {SHAPE} AS shape, coalesce(({CLOSED})[lower(t)], CASE {OPEN} ELSE '' END) AS morph FROM w) GROUP BY ALL")
 def sentence_morphology(spark, d):
     """Shapes and features of the words of sentences."""
-    t = sentences(spark, d).select(F.explode(tx.terms(F.col("s"))).alias("t"))
-    return t.groupBy(tx.shape(F.col("t")).alias("shape"), tx.morphology(F.col("t")).alias("morph")).agg(F.count("*").alias("n"))
+    t = sentences(spark, d).select(F.explode(tx.terms(F.col("s"))).alias("t")).groupBy("t").agg(F.count("*").alias("n"))  # each form's rules once
+    return t.groupBy(tx.shape(F.col("t")).alias("shape"), tx.morphology(F.col("t")).alias("morph")).agg(F.sum("n").alias("n"))
 
 
 #: A word's head is the next longer word of the classes under 8, under 12 and of 12 letters or more.

@@ -151,3 +151,13 @@ def test_slices_of_clusters(spark):
     cut = learning.slices(rows, [0, 1, None])
     assert {n: sorted(r.x for r in df.collect()) for n, df in cut.items()} == {0: ["a", "b"], 1: ["c"], None: ["d"]}
     assert sorted(r.x for r in reduce(DataFrame.unionByName, cut.values()).collect()) == ["a", "b", "c", "d"]
+
+
+def test_a_form_is_classed_once_however_often_it_occurs(spark, tmp_path):
+    from omenflow.plans import parsed
+
+    spark.createDataFrame([(1, "The dog barked. The dog barked"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = parsed.sentence_morphology(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate(keys=[t#" in plan
+    assert sorted(map(tuple, found.collect())) == [("Xxx", "Definite=Def|PronType=Art", 2), ("xxx", "Number=Sing", 2), ("xxxx", "Tense=Past|VerbForm=Fin", 2)]

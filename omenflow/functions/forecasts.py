@@ -1,13 +1,14 @@
-"""Reading forecast sentences: templates, properties, answers of models, names.  All but two are built-in expressions."""
+"""Reading forecast sentences: templates, properties, answers of models, names.  All but one are built-in expressions."""
 
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType
 
 from .text import template_number, tokens
 
@@ -212,11 +213,18 @@ def query_string(params: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(F.map_entries(params)), lambda e: F.concat(e["key"], F.lit("="), F.url_encode(e["value"]))), "&")
 
 
-@F.pandas_udf(StringType())
-def ascii_letters(s: pd.Series) -> pd.Series:
-    """Letters without their accents; all but ASCII letters, space and ``.,;'`` vanish."""
+@lru_cache(1)
+def _bases() -> tuple[str, str]:
+    """All characters that have a base among the kept ones in canonical decomposition, and those bases."""
     keep = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ .,;'")
-    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if c in keep))
+    found = [(c, b) for c in map(chr, range(0x80, 0x110000)) for b in ["".join(x for x in unicodedata.normalize("NFD", c) if x in keep)] if b]
+    assert all(len(b) == 1 for _, b in found)
+    return "".join(c for c, _ in found), "".join(b for _, b in found)
+
+
+def ascii_letters(s: Column | str) -> Column:
+    """Letters without their accents; all but ASCII letters, space and ``.,;'`` vanish.  Built-in functions only."""
+    return F.regexp_replace(F.translate(F.col(s) if isinstance(s, str) else s, *_bases()), r"[^A-Za-z .,;']", "")
 
 
 def _jaro_winkler(a: str, b: str) -> float:

@@ -185,3 +185,15 @@ def test_a_number_of_points_is_no_year(spark):
 
     df = spark.createDataFrame([(1, "fall by 2001 points to $3 or so in 2012"), (2, "in 2003"), (3, "2004 basis points")], "id long, t string")
     assert [(r.id, r.label, r.term) for r in lg.entities(df, "id", "t").orderBy("id", "n").collect()] == [(1, "CARDINAL", "2001"), (1, "MONEY", "$3"), (1, "DATE", "2012"), (2, "DATE", "2003"), (3, "CARDINAL", "2004")]
+
+
+def test_accents_go_without_python(spark):
+    import unicodedata
+
+    from omenflow.functions import forecasts as f
+
+    keep = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ .,;'")
+    texts = ["Åse, Émile; ça và!", "ẞ ß ﬁ Ǆ", "é K ; \U0001d400", None, "".join(map(chr, range(0x21, 0x2fff)))]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", f.ascii_letters("t").alias("x"))
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.x for r in found.orderBy("i").collect()] == [None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if c in keep) for t in texts]

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,6 +14,34 @@ from ..functions.text import tokens
 from .skew import over_cores, with_values
 
 
+#: Terms of queries that are sent to all tasks at most; more are joined on a key.
+SENT = 200_000
+
+
+def _repeats(docs: DataFrame, id_col: str) -> bool:
+    return not docs.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def word_counts(docs: DataFrame, id_col: str, words: Column) -> DataFrame:
+    """``id, size, term, tf``: a row for each distinct word of a row's ``words``; ``size`` is how many it has.
+
+    A row's words are sorted and counted inside the row, so that nothing is moved.  Only where an id repeats are its rows'
+    counts summed by id, size and term.
+    """
+    if _repeats(docs, id_col):
+        each = docs.select(id_col, words.alias("_w")).select(id_col, F.size("_w").alias("size"), F.explode("_w").alias("term"))
+        return each.groupBy(id_col, "size", "term").agg(F.count("*").alias("tf"))
+    rows = docs.select(id_col, F.sort_array(words).alias("_w"))
+    edge = lambda i: (i == 0) | (i == F.size("_w")) | ~F.get("_w", i).eqNullSafe(F.get("_w", i - 1))
+    rows = rows.select(id_col, "_w", F.filter(F.sequence(F.lit(0), F.size("_w")), edge).alias("_e"))
+    runs = F.zip_with("_e", F.slice("_e", 2, F.greatest(F.size("_e") - 1, F.lit(1))), lambda a, b: F.struct(F.get("_w", a).alias("term"), (b - a).cast("long").alias("tf")))
+    return rows.select(id_col, F.size("_w").alias("size"), F.inline(F.filter(runs, lambda x: x["tf"].isNotNull())))
+
+
+def _sized_counts(docs: DataFrame) -> DataFrame:
+    return word_counts(over_cores(docs.select("doc_id", "text"), "doc_id"), "doc_id", tokens(F.lower("text")))
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """``doc_id, term, tf`` of lower-cased white-space tokens."""
     docs = over_cores(docs.select("doc_id", "text"), "doc_id")
@@ -21,24 +49,31 @@ def term_counts(docs: DataFrame) -> DataFrame:
 
 
 def bigrams(docs: DataFrame) -> DataFrame:
-    """``first, second, n, p``: pairs of neighbouring tokens and the share among pairs with the same first token."""
+    """``first, second, n, p``: pairs of neighbouring tokens and the share among pairs with the same first token.
+
+    How many pairs a token begins is counted from the tokens, so that the pairs are counted once.
+    """
     t = tokens(F.lower("text"))
     rest = F.greatest(F.size("t") - 1, F.lit(0))
-    pairs = over_cores(docs.select("text"), "text").select(t.alias("t")).select(F.inline(F.arrays_zip(F.slice("t", 1, rest).alias("first"), F.slice("t", 2, rest).alias("second"))))
+    rows = over_cores(docs.select("text"), "text").select(t.alias("t"))
+    pairs = rows.select(F.inline(F.arrays_zip(F.slice("t", 1, rest).alias("first"), F.slice("t", 2, rest).alias("second"))))
     counted = pairs.groupBy("first", "second").agg(F.count("*").alias("n"))
-    total = counted.groupBy("first").agg(F.sum("n").alias("all"), F.count("*").alias("_rows"))
-    return with_values(counted, total, "first", "_rows").select("first", "second", "n", (F.col("n") / F.col("all")).alias("p"))
+    total = rows.select(F.explode(F.slice("t", 1, rest)).alias("first")).groupBy("first").agg(F.count("*").alias("all"))
+    return with_values(counted, total.withColumn("_rows", F.col("all")), "first", "_rows").select("first", "second", "n", (F.col("n") / F.col("all")).alias("p"))
 
 
 def tfidf(docs: DataFrame, max_features: int) -> DataFrame:
-    """Rows of ``doc_id, term, weight``: idf = ln((1 + n) / (1 + df)) + 1 over the most frequent terms, rows of length 1."""
-    tf = term_counts(docs)
+    """Rows of ``doc_id, term, weight``: idf = ln((1 + n) / (1 + df)) + 1 over the most frequent terms, rows of length 1.
+
+    Of the counts only those of the kept terms are moved, once.
+    """
+    tf = term_counts(docs) if _repeats(docs, "doc_id") else _sized_counts(docs).drop("size")
     vocabulary = tf.groupBy("term").agg(F.sum("tf").alias("all"), F.count("*").alias("df")).orderBy(F.desc("all"), "term").limit(max_features)
     n = docs.agg(F.count("*").alias("docs"))  # one row
     idf = vocabulary.join(n).select("term", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf"))
     raw = tf.join(F.broadcast(idf), "term").select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("w"))  # max_features rows
-    length = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return raw.join(length, "doc_id").select("doc_id", "term", (F.col("w") / F.col("len")).alias("weight"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return raw.withColumn("len", length).select("doc_id", "term", (F.col("w") / F.col("len")).alias("weight"))
 
 
 def _idf(docs: DataFrame, epsilon: float, asked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -78,11 +113,15 @@ def bm25_search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.
     asked = queries.select("query_id", F.explode(tokens(F.lower("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qn"))
     idf, stats = _idf(docs, epsilon, asked)
     weights = asked.join(idf, "term").select("query_id", "term", (F.col("qn") * F.col("idf")).alias("w"))
-    t = over_cores(docs.select("doc_id", "text"), "doc_id").select("doc_id", tokens(F.lower("text")).alias("t"))
-    each = t.select("doc_id", F.size("t").alias("size"), F.explode("t").alias("term"))
-    tf = each.join(asked.select("term").distinct(), "term", "left_semi").groupBy("doc_id", "size", "term").agg(F.count("*").alias("tf"))
+    # Weights and terms of a stated set of queries are sent; a document's scores are then summed where its counts are.
+    few = asked.limit(SENT + 1).count() <= SENT
+    sent = F.broadcast if few else (lambda x: x)
+    tf = _sized_counts(docs).join(sent(asked.select("term").distinct()), "term", "left_semi")
     impact = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / stats.select("avg_size").scalar()))
-    scores = tf.select("doc_id", "term", impact.alias("impact")).join(weights, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("impact")).alias("score"))
+    impacts = tf.select("doc_id", "term", impact.alias("impact"))
+    if few:
+        impacts = impacts.repartition("doc_id")
+    scores = impacts.join(sent(weights), "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("w") * F.col("impact")).alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "doc_id"))
     return scores.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
 
@@ -90,10 +129,9 @@ def bm25_search(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.
 def smoothed_idf(docs: DataFrame) -> DataFrame:
     """``doc_id, term, score``: tf (share of the document's tokens) times ln(documents / (occurrences in all + 1)).
 
-    A document's size comes along from where it was split; the totals of the commonest terms are joined over salts.
+    A document's words are counted inside its row; the totals of the commonest terms are joined over salts.
     """
-    t = over_cores(docs.select("doc_id", "text"), "doc_id").select("doc_id", tokens(F.lower("text")).alias("t"))
-    tf = t.select("doc_id", F.size("t").alias("size"), F.explode("t").alias("term")).groupBy("doc_id", "size", "term").agg(F.count("*").alias("tf"))
+    tf = _sized_counts(docs)
     all_ = tf.groupBy("term").agg(F.sum("tf").alias("all"), F.count("*").alias("_rows"))
     n = docs.agg(F.count("*")).scalar()
     return with_values(tf, all_, "term", "_rows").select("doc_id", "term", (F.col("tf") / F.col("size") * F.log(n / (F.col("all") + 1))).alias("score"))

@@ -1,6 +1,7 @@
 """The lexical and the vector index, and near names, against full scans."""
 
 import math
+import re
 from collections import Counter
 
 import numpy as np
@@ -171,3 +172,45 @@ def test_the_index_of_near_names_is_never_sent_whole(spark, most):
     found = near_names.near_names(spark.range(50).selectExpr("concat('name', id) n"), "n", most)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_words_are_counted_inside_rows(spark, again):
+    rows = [(1, "b a b"), (2, None), (3, ""), (4, "c c c"), *([(4, "c d e")] if again else [])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = corpus.word_counts(df, "doc_id", F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != ""))
+    want = [(1, 3, "a", 1), (1, 3, "b", 2)] + ([(4, 3, "c", 4), (4, 3, "d", 1), (4, 3, "e", 1)] if again else [(4, 3, "c", 3)])
+    assert sorted(map(tuple, found.collect())) == want
+    assert again or "Exchange" not in plan_of(found)
+
+
+def test_what_lexical_searches_move(spark, library):
+    """Scores are summed where a document's counts are, so that pairs of queries and documents are never dealt anew."""
+    docs, asked, df, queries = library
+    plan = plan_of(corpus.bm25_search(df, queries, 10))
+    assert "hashpartitioning(query_id, doc_id" not in re.sub(r"#\w+", "", plan) and "hashpartitioning(doc_id, size" not in re.sub(r"#\w+", "", plan)
+
+
+def test_counts_move_once(spark, library):
+    df = library[2]
+    assert "hashpartitioning(doc_id, term" not in re.sub(r"#\w+", "", plan_of(corpus.tfidf(df, 20)))
+    assert "hashpartitioning(doc_id, size" not in re.sub(r"#\w+", "", plan_of(corpus.smoothed_idf(df)))
+    assert re.sub(r"#\w+", "", plan_of(corpus.bigrams(df))).count("hashpartitioning(first, second") == 1
+
+
+def test_mean_of_words_counts_inside_rows(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, "zz"), (3, None)], "doc_id long, text string")
+    table = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 3.0])], "word string, vector array<float>")
+    found = matching.mean_of_words(df, "doc_id", F.split("text", " "), table, 2)
+    assert "hashpartitioning(doc_id, word" not in re.sub(r"#\w+", "", plan_of(found))
+    assert sorted((r.doc_id, [round(x, 6) for x in r.vector]) for r in found.collect()) == [(1, [0.666667, 1.0]), (2, [0.0, 0.0]), (3, [0.0, 0.0])]
+
+
+def test_pairs_that_share_a_key_are_made_on_all_cores(spark, tmp_path):
+    spark.range(40).selectExpr("id a", "id % 2 k").coalesce(1).write.parquet(f"{tmp_path}/a")
+    found = matching.sharing(spark.read.parquet(f"{tmp_path}/a"), spark.range(10).selectExpr("id b", "id % 2 k"), "k").select("a", "b")
+    assert found.count() == 200 and found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

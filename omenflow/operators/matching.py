@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..sources.writers import scratch
 from . import corpus, similarity
-from .skew import with_values
+from .skew import over_cores, with_values
 
 
 def product(few: DataFrame, many: DataFrame, most: int = 10_000) -> DataFrame:
@@ -105,8 +105,8 @@ def mean_of_words(docs: DataFrame, id_col: str, words: Column, table: DataFrame,
 
     Sums are made by place, so that a long text is no single list of vectors.
     """
-    each = docs.select(id_col, F.explode(words).alias("word")).where(~F.col("word").isin(*stop) if stop else F.lit(True))
-    counted = each.groupBy(id_col, "word").agg(F.count("*").alias("n"))
+    counted = corpus.word_counts(over_cores(docs, id_col), id_col, words).select(id_col, F.col("term").alias("word"), F.col("tf").alias("n"))
+    counted = counted.where(~F.col("word").isin(*stop)) if stop else counted
     known = counted.groupBy("word").agg(F.count("*").alias("_rows")).join(table, "word")
     sums = [F.sum(F.col("n") * F.get(F.col("vector"), F.lit(i)).cast("double")) / F.sum("n") for i in range(width)]
     means = with_values(counted, known, "word", "_rows").groupBy(id_col).agg(F.array(*sums).alias("vector"))

@@ -29,8 +29,8 @@ def product(few: DataFrame, many: DataFrame, most: int = 10_000) -> DataFrame:
 
 
 def sharing(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
-    """Pairs of rows with equal keys."""
-    return left.join(right, list(keys))
+    """Pairs of rows with equal keys: all of them, as many as the product of a key's rows, so that a small input is dealt over all cores first."""
+    return over_cores(left, *left.columns).join(right, list(keys))
 
 
 def looked_up(df: DataFrame, table: DataFrame, keys: list[str], value: str, default) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from ..sources.writers import scratch
 
 BUCKETS = 1 << 18
+#: Words that are tagged at once, about.
+TOGETHER = 1 << 14
 EPOCHS = 5
 #: Sequences a model is learned from at most (expected; a sample by the hash of their words).
 SEQUENCES = 1 << 20
@@ -70,6 +72,41 @@ def viterbi(scores: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndar
     return path
 
 
+def features_of_many(words: list[str], first: np.ndarray, last: np.ndarray, buckets: int) -> np.ndarray:
+    """``features`` of many sequences one after the other; ``first`` and ``last``: which words begin and end one.
+
+    What a word gives is looked up once for all its places.
+    """
+    known = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    at = np.fromiter((known[w] for w in words), np.int64, len(words))
+    before = np.where(first, len(known), np.roll(at, 1))
+    after = np.where(last, len(known), np.roll(at, -1))
+    own = np.stack([_own(w, buckets) for w in known])
+    left = np.stack([_near(w, "-", buckets) for w in [*known, "\x02"]])
+    right = np.stack([_near(w, "+", buckets) for w in [*known, "\x03"]])
+    return np.concatenate([own[at], left[before], right[after]], axis=1)
+
+
+def viterbi_of_many(scores: np.ndarray, sizes: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """``viterbi`` of many sequences, whose ``scores`` follow each other, place by place for all of them."""
+    order = np.argsort(-sizes, kind="stable")
+    begin, size = (np.cumsum(sizes) - sizes)[order], sizes[order]
+    # How many sequences have a place; the longest come first.
+    alive = [int(np.searchsorted(-size, -i, side="left")) for i in range(int(size[0]))]
+    best, back = scores[begin] + start, np.zeros(scores.shape, np.int64)
+    for i in range(1, len(alive)):
+        n = alive[i]
+        ways = best[:n, :, None] + moves
+        back[begin[:n] + i] = ways.argmax(axis=1)
+        best[:n] = ways.max(axis=1) + scores[begin[:n] + i]
+    path = np.zeros(len(scores), np.int64)
+    path[begin + size - 1] = best.argmax(axis=1)
+    for i in range(len(alive) - 1, 0, -1):
+        here = begin[: alive[i]] + i
+        path[here - 1] = back[here, path[here]]
+    return path
+
+
 class Weights:
     """``emit`` (buckets x tags), ``move`` (from x to; the last row is the start)."""
 
@@ -192,6 +229,27 @@ class Tagger:
             return []
         return [self.tags[i] for i in self.weights.path(features(words, len(self.weights.emit)))]
 
+    def of_many(self, sequences: list[list[str]]) -> list[list[str]]:
+        """``of`` each sequence; about ``TOGETHER`` words at once."""
+        out: list[list[str]] = [[] for _ in sequences]
+        held: list[int] = []
+        words = 0
+        for i, ws in enumerate(sequences):
+            if ws and self.tags:
+                held.append(i)
+                words += len(ws)
+            if held and (words >= TOGETHER or i + 1 == len(sequences)):
+                sizes = np.array([len(sequences[k]) for k in held])
+                ends = np.cumsum(sizes)
+                first, last = np.zeros(ends[-1], bool), np.zeros(ends[-1], bool)
+                first[ends - sizes], last[ends - 1] = True, True
+                at = features_of_many([w for k in held for w in sequences[k]], first, last, len(self.weights.emit))
+                path = viterbi_of_many(self.weights.emit[at].sum(axis=1), sizes, self.weights.move[:-1], self.weights.move[-1]).tolist()
+                for k, a, b in zip(held, (ends - sizes).tolist(), ends.tolist(), strict=True):
+                    out[k] = [self.tags[t] for t in path[a:b]]
+                held, words = [], 0
+        return out
+
     def tag(self, sequences: DataFrame, words: str = "words") -> DataFrame:
         """Adds ``tags`` to rows with an array of words; null words count as empty ones, null arrays stay null."""
         spark = sequences.sparkSession
@@ -200,7 +258,9 @@ class Tagger:
         def run(batches):
             tagger = sent.value
             for b in batches:
-                told = [None if ws is None else tagger.of([w or "" for w in ws]) for ws in b.column(b.schema.get_field_index(words)).to_pylist()]
+                given = b.column(b.schema.get_field_index(words)).to_pylist()
+                found = tagger.of_many([[w or "" for w in ws or []] for ws in given])
+                told = [None if ws is None else t for ws, t in zip(given, found, strict=True)]
                 yield b.append_column("tags", pa.array(told, pa.list_(pa.string())))
 
         from pyspark.sql.types import ArrayType, StringType, StructType

@@ -280,3 +280,13 @@ def test_spans_with_null_and_empty_labels(spark):
     rows = [(1, "a b c d e".split(), ["I-", "B-x", None, "I-x", "I-x"])]
     got = tagging.spans(spark.createDataFrame(rows, "id long, words array<string>, tags array<string>"), "id").orderBy("begin").collect()
     assert [tuple(r) for r in got] == [(1, "", 0, 1, "a"), (1, "x", 1, 2, "b"), (1, "x", 3, 5, "d e")]
+
+
+def test_tags_of_many_sequences_equal_those_of_each(monkeypatch):
+    r = np.random.Generator(np.random.PCG64(5))
+    monkeypatch.setattr(tagging, "TOGETHER", 50)
+    w = tagging.Weights(64, 3)
+    w.emit[:], w.move[:] = r.normal(size=w.emit.shape), r.normal(size=w.move.shape)
+    tagger = tagging.Tagger(["a", "b", "c"], w)
+    many = [[f"W{k}" for k in r.integers(0, 30, int(n))] for n in r.integers(0, 12, 200)]
+    assert tagger.of_many(many) == [tagger.of(x) for x in many] and tagger.of_many([]) == [] and tagger.of_many([[], []]) == [[], []]

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -56,19 +57,31 @@ def _reaches(pos: pa.Array, head: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(o, mask=~there)) for o in out], ["first", "last"])
 
 
+def _edges(heads: pa.Array) -> pa.Array:
+    sizes = np.diff(heads.offsets.to_numpy())
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
+    flat = heads.flatten()
+    out = [np.zeros(0, np.int64)] * 2
+    if len(flat):
+        place = np.arange(len(flat)) - offsets[sentence]
+        out = reaches(sentence, place, flat.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), np.asarray(flat.is_valid()))
+    lists = offsets.astype(np.int32)
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(lists, pa.array(o.astype(np.int32))) for o in out], ["first", "last"])
+
+
 def sentence_edges(sentences: DataFrame, heads: str = "heads") -> DataFrame:
     """Adds ``first_pos`` and ``last_pos``, arrays like ``heads``: for each token what ``subtree_edges`` tells.
 
     A row is a sentence, and ``heads`` has each token's head as a position from 0, so that no row is moved.  A null array is
     an empty one.
     """
-    held = F.coalesce(F.col(heads).cast("array<bigint>"), F.array().cast("array<bigint>"))
-    told = F.arrow_udf(_reaches, "first array<bigint>, last array<bigint>")
-    reached = sentences.withColumn("_r", told(F.transform(held, lambda _, i: i.cast("bigint")), held))
-    return reached.withColumns({f"{n}_pos": F.col(f"_r.{n}").cast("array<int>") for n in ("first", "last")}).drop("_r")
+    held = F.coalesce(F.col(heads), F.array().cast(sentences.schema[heads].dataType))
+    reached = sentences.withColumn("_r", F.arrow_udf(_edges, "first array<int>, last array<int>")(held))
+    return reached.withColumns({f"{n}_pos": F.col(f"_r.{n}") for n in ("first", "last")}).drop("_r")
 
 
-def _units(heads: pa.Array, first: pa.Array, last: pa.Array, chosen: pa.Array) -> pa.Array:
+def _units(terms: pa.Array, heads: pa.Array, first: pa.Array, last: pa.Array, chosen: pa.Array) -> pa.Array:
     sizes = np.diff(heads.offsets.to_numpy())
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     n = offsets[-1]
@@ -90,11 +103,16 @@ def _units(heads: pa.Array, first: pa.Array, last: pa.Array, chosen: pa.Array) -
     lead = np.full(len(starts), n)
     np.minimum.at(lead, unit[outer], outer)
     per = np.concatenate([[0], np.cumsum(opens)])[offsets]
-    lists = per.astype(np.int32)
     base = np.repeat(per[:-1], np.diff(per))
-    cols = [starts - begin[starts], np.diff(np.append(starts, n)), to[lead] - base]
-    arrays = [pa.array(c.astype(np.int32), mask=m) for c, m in zip(cols, (None, None, ~linked[lead]), strict=True)]
-    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(lists, x) for x in arrays], ["begin", "n", "head"])
+    words = terms.flatten()
+    held = np.diff(terms.offsets.to_numpy())
+    if not np.array_equal(held, sizes):  # a sentence without heads, or with more of them than terms
+        from_ = np.repeat(np.concatenate([[0], np.cumsum(held)])[:-1], sizes) + at - begin
+        words = words.take(pa.array(from_, mask=at - begin >= np.repeat(held, sizes)))
+    there = np.concatenate([[0], np.cumsum(np.asarray(words.is_valid()))])
+    text = pc.binary_join(pa.ListArray.from_arrays(there[np.append(starts, n)].astype(np.int32), words.drop_null()), " ")
+    cols = [pa.array((np.arange(len(starts)) - base).astype(np.int32)), text, pa.array(np.diff(np.append(starts, n))), pa.array((to[lead] - base).astype(np.int32), mask=~linked[lead])]
+    return pa.ListArray.from_arrays(per.astype(np.int32), pa.StructArray.from_arrays(cols, ["place", "term", "n", "head"]))
 
 
 def merged_in_sentences(sentences: DataFrame, chosen: Column, terms: str = "terms", heads: str = "heads") -> DataFrame:
@@ -102,12 +120,8 @@ def merged_in_sentences(sentences: DataFrame, chosen: Column, terms: str = "term
 
     ``sentences`` with ``first_pos`` and ``last_pos`` of ``sentence_edges``; ``chosen`` is an array of booleans.  No row is moved.
     """
-    told = F.arrow_udf(_units, "begin array<int>, n array<int>, head array<int>")
-    found = sentences.withColumn("_u", told(F.col(heads).cast("array<bigint>"), "first_pos", "last_pos", chosen))
-    text = lambda u: F.array_join(F.slice(F.col(terms), u["begin"] + 1, u["n"]), " ")
-    units = F.arrays_zip(F.col("_u.begin").alias("begin"), F.col("_u.n").alias("n"), F.col("_u.head").alias("head"))
-    row = lambda u, i: F.struct(i.alias("place"), text(u).alias("term"), u["n"].cast("bigint").alias("n"), u["head"].alias("head"))
-    return found.withColumn("merged", F.transform(units, row)).drop("_u")
+    told = F.arrow_udf(_units, "array<struct<place int, term string, n bigint, head int>>")
+    return sentences.withColumn("merged", told(terms, heads, "first_pos", "last_pos", chosen))
 
 
 def heads_by_length(words: Column, bounds: tuple[int, ...] = (8, 12)) -> Column:

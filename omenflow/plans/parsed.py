@@ -63,7 +63,8 @@ SELECT m.doc_id, m.k, m.place::INT AS place, m.term, m.n, p.place::INT AS head F
 def merged_subtrees(spark, d):
     """Sentences in which the subtrees of the longest words are single tokens."""
     made = trees.merged_in_sentences(reached(spark, d), F.transform("terms", lambda w: F.length(w) >= 12))
-    return made.select("doc_id", "k", F.inline("merged"))
+    # As an expression: of a bare column Spark first asks whether it is empty, and works all of it out once more for that.
+    return made.select("doc_id", "k", F.inline(F.coalesce("merged", F.array())))
 
 
 @query(WORDED + """g AS (SELECT *, CASE WHEN regexp_matches(term, '^[A-Z]') THEN 'PROPN' WHEN regexp_matches(term, 's$') THEN 'VERB' WHEN length(term) > 3 THEN 'NOUN' END AS tag FROM z),

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from omenflow.functions import text as tx
 from omenflow.operators import learning, trees
 from omenflow.sources import readers
@@ -74,6 +75,11 @@ def test_subtrees_by_brute_force(spark):
     assert [(r.s, r.place, r.term, r.n, r.head) for r in one] == want
 
 
+def test_merged_subtrees_work_a_sentence_out_once(spark):
+    plan = queries()["merged_subtrees"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 3 and plan.count("split(s#") == 1
+
+
 def test_sentences_with_heads_by_length(spark):
     rng = random.Random(7)
     said = {s: ["x" * rng.choice([1, 4, 8, 9, 12, 15]) for _ in range(n)] for s, n in enumerate([0, 1, 2, 5, 30, 200])} | {9: None}

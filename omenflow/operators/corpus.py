@@ -14,6 +14,8 @@ from ..functions.text import tokens
 from .skew import over_cores, with_values
 
 
+#: Cosines of two blocks that are held at once.
+STRIP = 1 << 22
 #: Terms of queries that are sent to all tasks at most; more are joined on a key.
 SENT = 200_000
 
@@ -160,14 +162,14 @@ def chunks(docs: DataFrame, size: int = 512, overlap: int = 32) -> DataFrame:
     return at.select("doc_id", (F.col("at") / (size - overlap)).cast("int").alias("chunk"), F.size(piece).alias("words"), F.array_join(piece, " ").alias("text")).where("words > 0")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int | None = None, block_rows: int = 2048) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int | None = None, block_rows: int = 2048, least: float = -1.5) -> DataFrame:
     """``query_id, vec_id, cosine, rank``: the ``k`` most similar vectors of each query, itself left out; of equals the smallest ids.
 
     Rows whose vector is null or has null or non-finite components take no part; ids are of any type that sorts, and not null.
 
     Queries and vectors are dealt over blocks of about ``block_rows`` rows (``blocks`` sets their number instead); each pair
     of blocks is one task's matrix product, which keeps ``k`` rows a query, so that groups don't grow with the input and
-    what is ranked at the end is bounded by queries times blocks times ``k``.
+    what is ranked at the end is bounded by queries times blocks times ``k``.  Only rows with a cosine of ``least`` or more are told.
     """
     whole = F.coalesce((F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf"))) & F.col("vec_id").isNotNull(), F.lit(False))
     vectors, queries = vectors.where(whole), queries.where(whole)
@@ -182,23 +184,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, blocks: int | No
         t = t.sort_by("id")
         role = t["role"].to_numpy()
         ids = np.array(t["id"].to_pylist(), None if pa.types.is_integer(t["id"].type) else object)
-        x = np.array(t["embedding"].to_pylist(), np.float64)
+        whole = t["embedding"].combine_chunks()
+        x = whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(whole), -1 if len(whole) else 0)
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
         a, b = x[role == 1], x[role == 0]
         qi, vi = ids[role == 1], ids[role == 0]
         out: list[list] = [[], [], []]
         if len(a) and len(b):
-            sims = a @ b.T
-            sims[qi[:, None] == vi[None, :]] = -2.0
-            for i, row in enumerate(sims):
-                least = np.partition(row, -k)[-k] if len(row) > k else -2.0
-                near = np.flatnonzero((row >= least - 1e-9) & (row > -1.5))
-                # A matrix product may differ in last bits between equal vectors; these sums don't.
-                exact = (b[near] * a[i]).sum(axis=1)
-                top = np.argsort(-exact, kind="stable")[:k]
-                out[0] += [qi[i]] * len(top)
-                out[1] += vi[near[top]].tolist()
-                out[2] += exact[top].tolist()
+            strip = max(1, STRIP // len(b))
+            for s in range(0, len(a), strip):
+                sims = a[s : s + strip] @ b.T
+                sims[qi[s : s + strip, None] == vi[None, :]] = -2.0
+                for i in np.flatnonzero(sims.max(axis=1) >= least - 1e-9):
+                    row = sims[i]
+                    floor = np.partition(row, -k)[-k] if len(row) > k else -2.0
+                    near = np.flatnonzero((row >= max(floor, least) - 1e-9) & (row > -1.5))
+                    # A matrix product may differ in last bits between equal vectors; these sums don't.
+                    exact = (b[near] * a[s + i]).sum(axis=1)
+                    top = np.argsort(-exact, kind="stable")[:k]
+                    top = top[exact[top] >= least]
+                    out[0] += [qi[s + i]] * len(top)
+                    out[1] += vi[near[top]].tolist()
+                    out[2] += exact[top].tolist()
         return pa.table([pa.array(out[0], t["id"].type), pa.array(out[1], t["id"].type), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "cosine"])
 
     found = q.unionByName(v).groupBy("qb", "vb").applyInArrow(product, f"query_id {kind}, vec_id {kind}, cosine double")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..sources.writers import scratch
+from ..sources.writers import forgotten, written
 from . import corpus, similarity
 from .skew import over_cores, with_values
 
@@ -120,23 +120,20 @@ def linked_groups(pairs: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataF
     the folder that driver and executors share; a hub's edges and a large component's nodes are dealt over salts.
     """
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both = _written(both)
+    both = written(both)
     degree = both.groupBy("b").agg(F.count("*").alias("_rows"))
-    labels = _written(nodes.select("node").distinct().withColumn("cluster", F.col("node")))
+    labels = written(nodes.select("node").distinct().withColumn("cluster", F.col("node")))
     for _ in range(rounds):
         reached = degree.join(labels.select(F.col("node").alias("b"), F.col("cluster").alias("c")), "b")
         near = with_values(both, reached, "b", "_rows").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("c"))
-        step = _written(labels.join(near, "node", "left").select("node", "cluster", F.least("cluster", F.coalesce("c", "cluster")).alias("new")))
+        step = written(labels.join(near, "node", "left").select("node", "cluster", F.least("cluster", F.coalesce("c", "cluster")).alias("new")))
         members = step.groupBy("new").agg(F.count("*").alias("_rows"))
-        jump = members.join(labels.select(F.col("node").alias("new"), F.col("cluster").alias("further")), "new")
-        step = _written(with_values(step, jump, "new", "_rows").select("node", "cluster", F.least("new", "further").alias("new")))
+        last, jump = labels, members.join(labels.select(F.col("node").alias("new"), F.col("cluster").alias("further")), "new")
+        near_labels = step
+        step = written(with_values(step, jump, "new", "_rows").select("node", "cluster", F.least("new", "further").alias("new")))
+        forgotten(near_labels)
+        forgotten(last)
         labels = step.select("node", F.col("new").alias("cluster"))
         if step.where("new <> cluster").isEmpty():
             return labels
     raise RuntimeError(f"labels still change after {rounds} rounds")
-
-
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,6 +20,28 @@ def scratch(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written to a scratch folder and read from there; what was shuffled for it is deleted once it is written."""
+    spark = df.sparkSession
+    path = path or scratch(spark)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forgotten(df: DataFrame) -> None:
+    """Delete the folder of a table that ``written`` gave, which nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def append_batch(df: DataFrame, folder: str, kind: str, batch: int) -> None:
     """Write (or write again) one batch of a kind."""
     if kind not in ("prediction", "observation"):

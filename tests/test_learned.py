@@ -290,3 +290,35 @@ def test_tags_of_many_sequences_equal_those_of_each(monkeypatch):
     tagger = tagging.Tagger(["a", "b", "c"], w)
     many = [[f"W{k}" for k in r.integers(0, 30, int(n))] for n in r.integers(0, 12, 200)]
     assert tagger.of_many(many) == [tagger.of(x) for x in many] and tagger.of_many([]) == [] and tagger.of_many([[], []]) == [[], []]
+
+
+def test_what_a_round_shuffled_and_wrote_is_deleted(spark):
+    import os
+
+    r = np.random.Generator(np.random.PCG64(8))
+    x = r.normal(size=(16, 2))
+    near = spark.createDataFrame([(i, j, float(np.linalg.norm(x[i] - x[j]))) for i in range(16) for j in range(i)], "a long, b long, d double")
+    top = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    merges = clustering.complete_link(near)
+    left = [p for p in set(os.listdir(top)) - before]
+    # The merges of each round, an empty round and its edges; not the edges of all rounds.
+    rounds = len({f.rpartition("/")[0] for f in merges.inputFiles()})
+    assert rounds > 2 and len(left) <= rounds + 2
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+@pytest.mark.parametrize("strip", [1, 50, 1 << 22])
+def test_near_rows_above_a_bound_equal_brute_force(spark, monkeypatch, strip):
+    from omenflow.operators import corpus
+
+    monkeypatch.setattr(corpus, "STRIP", strip)
+    r = np.random.Generator(np.random.PCG64(5))
+    x = r.normal(size=(90, 4)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    sims = u @ u.T
+    np.fill_diagonal(sims, -2)
+    want = {(i, int(j)) for i in range(90) for j in np.argsort(-sims[i], kind="stable")[:6] if sims[i, j] >= 0.8}
+    got = corpus.nearest(df, df, 6, block_rows=20, least=0.8)
+    assert {(r.query_id, r.vec_id) for r in got.collect()} == want and len(want) > 50

@@ -1,26 +1,29 @@
-"""Topics over documents, with counts sharded by term and by document and updated by joins.
+"""Topics over documents, with counts sharded by term and by blocks of documents.
 
-Nothing of the model but its ``k`` topic totals is ever in one place: a round joins each document's terms with the term's
-and the document's counts by topic, shares each occurrence out, and sums what came out by term and by document.  Every
-term is kept.  (The rounds are those of expectation-maximisation for latent Dirichlet allocation with priors ``alpha`` and ``beta``.)
+Nothing of the model but its ``k`` topic totals is ever in one place.  Documents are dealt to blocks once and stay there, as
+numbers of the block's terms; a round sends a block each of its terms' shares once, shares each occurrence out inside the block,
+and sums what came out by term.  Every term is kept.  (The rounds are those of expectation-maximisation for latent Dirichlet
+allocation with priors ``alpha`` and ``beta``.)
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import tokens
-from ..sources.writers import scratch
-from .skew import over_cores, with_values
+from ..sources.writers import forgotten, scratch, written
+from .skew import over_cores
 
-
-def _written(df: DataFrame, path: str | None = None) -> DataFrame:
-    path = path or scratch(df.sparkSession)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Occurrences of terms in a block, about.
+BLOCK = 1 << 21
 
 
 def bags(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -33,6 +36,96 @@ def _sum(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
+def _column(t: pa.Table, name: str) -> np.ndarray:
+    return t[name].to_numpy()
+
+
+class Blocks:
+    """Documents dealt to blocks: ``held`` has ``block, place, doc_id, places, tf``, a row a document, numbered inside its block.
+
+    A block's row with ``place`` -1 has its ``terms``; ``places`` are numbers of them.  The columns ``x0, x1, ..`` are sums of the
+    first shares of ``k`` topics by document or by term, drawn by hashes of both.
+    """
+
+    def __init__(self, held: DataFrame, k: int, seed: int):
+        self.held, self.k, self.seed = held, k, seed
+
+    @classmethod
+    def of(cls, counts: DataFrame, k: int = 0, seed: int = 42) -> Blocks:
+        """From ``doc_id, term, tf``; a null term is none."""
+        return cls._dealt(counts.select("doc_id", F.array("term").alias("terms"), F.col("tf").cast("double").alias("tf")), counts.count(), k, seed)
+
+    @classmethod
+    def of_texts(cls, docs: DataFrame, k: int = 0, seed: int = 42, text: str = "text", id_col: str = "doc_id") -> Blocks:
+        """The same as from ``bags``, but that texts are moved instead of counts."""
+        rows = over_cores(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("t")), "doc_id").select("doc_id", tokens(F.lower("t")).alias("terms"), F.lit(1.0).alias("tf"))
+        return cls._dealt(rows, rows.agg(F.sum(F.size("terms"))).first()[0] or 0, k, seed)
+
+    @classmethod
+    def _dealt(cls, rows: DataFrame, n: int, k: int, seed: int) -> Blocks:
+        spark = rows.sparkSession
+        blocks = max(1, -(-n // BLOCK), min(spark.sparkContext.defaultParallelism, n // (BLOCK // 32)))
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
+        # As an expression: of a bare column Spark asks first whether it is empty, and splits texts once more for that.
+        each = dealt.select("block", "doc_id", F.explode(F.slice("terms", F.lit(1), F.size("terms"))).alias("term"), "tf").where("term is not null")
+        draw = [(F.pmod(F.xxhash64("doc_id", "term", F.lit(seed * 1000 + i)), F.lit(1 << 20)) + 1) / (1 << 20) for i in range(k)]
+        drawn = each.withColumns({f"_d{i}": d for i, d in enumerate(draw)})
+        shared = drawn.select("block", "doc_id", "term", "tf", *((F.col("tf") * F.col(f"_d{i}") / _sum([F.col(f"_d{j}") for j in range(k)])).alias(f"x{i}") for i in range(k)))
+
+        def pack(t: pa.Table) -> pa.Table:
+            docs, words = (t[c].combine_chunks().dictionary_encode("encode") for c in ("doc_id", "term"))
+            ids, terms = docs.dictionary, words.dictionary
+            d, w = docs.indices.to_numpy().astype(np.int64), words.indices.to_numpy().astype(np.int64)
+            key, at = np.unique(d * len(terms) + w, return_inverse=True)
+            tf = np.bincount(at, weights=_column(t, "tf"))
+            edges = np.searchsorted(key // len(terms), np.arange(len(ids) + 1))
+            lists = lambda first, flat, offsets: pa.ListArray.from_arrays(np.concatenate([[0], offsets + len(first)]).astype(np.int32), pa.concat_arrays([first, flat]))
+            one = np.arange(len(ids) + 1)
+            cols = {"block": pa.array(np.full(len(ids) + 1, t["block"][0].as_py(), np.int32)), "place": pa.array((one - 1).astype(np.int32)), "doc_id": pa.concat_arrays([pa.nulls(1, ids.type), ids])}
+            cols["terms"] = lists(terms, terms.slice(0, 0), np.zeros(len(ids) + 1, np.int64))
+            cols["places"] = lists(pa.array(np.arange(len(terms), dtype=np.int32)), pa.array((key % len(terms)).astype(np.int32)), edges)
+            cols["tf"] = lists(pa.array(np.zeros(0)), pa.array(tf), edges)
+            for i in range(k):
+                x = _column(t, f"x{i}")
+                cols[f"x{i}"] = lists(pa.array(np.bincount(w, weights=x, minlength=len(terms))), pa.array(np.bincount(d, weights=x, minlength=len(ids))), one)
+            return pa.table(cols)
+
+        schema = f"block int, place int, doc_id {rows.schema['doc_id'].dataType.simpleString()}, terms array<string>, places array<int>, tf array<double>" + "".join(f", x{i} array<double>" for i in range(k))
+        packed = written(shared.groupBy("block").applyInArrow(pack, schema))
+        # In buckets, so that rounds read blocks where they are.
+        name = f"topics_{uuid.uuid4().hex}"
+        packed.repartition(blocks, "block").write.bucketBy(blocks, "block").option("path", scratch(spark)).saveAsTable(name)
+        forgotten(packed)
+        held = spark.table(name)
+        spark.sql(f"DROP TABLE {name}")  # its name; the files stay
+        return cls(held, k, seed)
+
+    def terms(self, *more: str) -> DataFrame:
+        """``block, place, term``, a row for each term of each block."""
+        zipped = F.arrays_zip(F.col("places").alias("place"), F.col("terms").alias("term"), *(F.col(c).alias(c) for c in more))
+        return self.held.where("place = -1").select("block", F.inline(zipped))
+
+
+def _numbers(sent: pa.Table, names: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """What was sent of each place, and which places were sent anything."""
+    out, there = np.zeros((n, len(names))), np.zeros(n, bool)
+    if len(sent):
+        at = _column(sent, "place")
+        there[at] = True
+        for i, c in enumerate(names):
+            out[at, i] = _column(sent, c)
+    return out, there
+
+
+def _block(held: pa.Table) -> tuple[pa.Array, pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """Terms of a block, its documents in order, and document, place and count of each entry."""
+    held = held.sort_by("place")
+    docs = held.slice(1)
+    lists = docs["places"].combine_chunks()
+    doc = np.repeat(np.arange(len(docs)), lists.value_lengths().to_numpy())
+    return held["terms"].slice(0, 1).combine_chunks().flatten(), docs, doc, lists.flatten().to_numpy(), docs["tf"].combine_chunks().flatten().to_numpy()
+
+
 class Topics:
     """``terms`` (``term``, and for each topic its share ``p0, p1, ..`` of that topic) and the number of topics."""
 
@@ -41,50 +134,76 @@ class Topics:
         self.names = [f"p{i}" for i in range(k)]
 
     @classmethod
-    def fit(cls, counts: DataFrame, k: int = 2, passes: int = 15, alpha: float = 0.1, beta: float = 0.01, seed: int = 42) -> Topics:
-        """Learn from ``doc_id, term, tf``.  The first shares of a document's terms are drawn by hashes of both."""
+    def fit(cls, counts: DataFrame | Blocks, k: int = 2, passes: int = 15, alpha: float = 0.1, beta: float = 0.01, seed: int = 42) -> Topics:
+        """Learn from ``doc_id, term, tf``, or from ``Blocks`` of as many topics.  The first shares of a document's terms are drawn by hashes of both."""
+        own = not isinstance(counts, Blocks)
+        blocks = Blocks.of(counts, k, seed) if own else counts
+        if (blocks.k, blocks.seed) != (k, seed):
+            raise ValueError("the blocks were made for other topics")
         x = [f"x{i}" for i in range(k)]
-        counts = _written(counts.select("doc_id", "term", F.col("tf").cast("double").alias("tf")))
-        rows = counts.groupBy("term").agg(F.count("*").alias("_rows"))
-        vocabulary = rows.count()
-        draw = [(F.pmod(F.xxhash64("doc_id", "term", F.lit(seed * 1000 + i)), F.lit(1 << 20)) + 1) / (1 << 20) for i in range(k)]
-        drawn = counts.withColumns({f"_d{i}": d for i, d in enumerate(draw)})
-        shared = drawn.withColumns({x[i]: F.col("tf") * F.col(f"_d{i}") / _sum([F.col(f"_d{j}") for j in range(k)]) for i in range(k)})
         sums = [F.sum(c).alias(c) for c in x]
-        shared = shared.select("doc_id", "term", *x)
-        for left in reversed(range(passes + 1)):
-            terms = _written(shared.groupBy("term").agg(*sums))
-            totals = terms.agg(*sums).first()
-            each = [F.col(c) + beta for c in x]
-            # A topic's share of a term; totals are k numbers.
-            shares = terms.select("term", *((e / F.lit((totals[c] or 0.0) + beta * vocabulary)).alias(f"p{i}") for i, (c, e) in enumerate(zip(x, each, strict=True))))
-            if not left:
-                break
-            shares = rows.join(shares, "term")
-            of_docs = shared.groupBy("doc_id").agg(*sums).select("doc_id", *((F.col(c) + alpha).alias(f"t{i}") for i, c in enumerate(x)))
-            met = with_values(counts, shares, "term", "_rows").join(of_docs, "doc_id")
-            w = [F.col(f"p{i}") * F.col(f"t{i}") for i in range(k)]
-            shared = met.withColumn("_s", F.col("tf") / _sum(w)).select("doc_id", "term", *((F.col("_s") * w[i]).alias(x[i]) for i in range(k)))
-            shared = _written(shared)
-        return cls(_written(shares), k, alpha)
-
-    def _round(self, met: DataFrame, of_docs: DataFrame) -> DataFrame:
-        w = [F.col(p) * F.col(f"t{i}") for i, p in enumerate(self.names)]
-        shared = met.join(of_docs, "doc_id").withColumn("_s", F.col("tf") / _sum(w))
-        sums = [(F.sum(F.col("_s") * w[i]) + self.alpha).alias(f"t{i}") for i in range(self.k)]
-        return shared.groupBy("doc_id").agg(*sums)
-
-    def shares(self, counts: DataFrame, passes: int = 5) -> DataFrame:
-        """``doc_id, topics``: each document's share of each topic, with the terms' shares as they are; unknown terms don't count."""
-        rows = counts.groupBy("term").agg(F.count("*").alias("_rows"))
-        met = _written(with_values(counts.select("doc_id", "term", "tf"), rows.join(self.terms, "term"), "term", "_rows"))
-        of_docs = met.select("doc_id").distinct().select("doc_id", *(F.lit(1.0).alias(f"t{i}") for i in range(self.k)))
+        of_docs = blocks.held.where("place >= 0").select("block", F.lit(True).alias("doc"), "place", F.lit(None).cast("string").alias("term"), *(F.get(F.col(c), F.lit(0)).alias(c) for c in x))
+        of_terms = blocks.terms(*x).select("block", F.lit(False).alias("doc"), "place", "term", *x)
+        state = written(of_docs.unionByName(of_terms))
+        vocabulary = state.where("not doc").select("term").distinct().count()
+
+        def share(held: pa.Table, sent: pa.Table) -> pa.Table:
+            terms, docs, doc, place, tf = _block(held)
+            p, t = (_numbers(sent.filter(sent["doc"] if d else pc.invert(sent["doc"])), x, n)[0] for d, n in ((False, len(terms)), (True, len(docs))))
+            w = p[place] * t[doc]
+            w *= (tf / w.sum(axis=1))[:, None]
+            at = np.concatenate([np.arange(len(docs)), np.arange(len(terms))]).astype(np.int32)
+            cols = [np.concatenate([np.bincount(doc, weights=w[:, i], minlength=len(docs)), np.bincount(place, weights=w[:, i], minlength=len(terms))]) for i in range(k)]
+            block = np.full(len(at), held["block"][0].as_py(), np.int32)
+            return pa.table([block, np.arange(len(at)) < len(docs), at, pa.concat_arrays([pa.nulls(len(docs), terms.type), terms]), *cols], names=["block", "doc", "place", "term", *x])
+
+        held = blocks.held.select("block", "place", "terms", "places", "tf")
         for _ in range(passes):
-            of_docs = _written(self._round(met, of_docs))
-        t = [F.col(f"t{i}") for i in range(self.k)]
-        known = of_docs.select("doc_id", F.array(*(x / _sum(t) for x in t)).alias("topics"))
-        even = F.array(*[F.lit(1.0 / self.k)] * self.k)
-        return counts.select("doc_id").distinct().join(known, "doc_id", "left").withColumn("topics", F.coalesce("topics", even))
+            shares = cls._shares(state.where("not doc"), x, beta, vocabulary, lambda c: F.sum(c).over(Window.partitionBy("term")))
+            sent = shares.select("block", "doc", "place", *x).unionByName(state.where("doc").select("block", "doc", "place", *((F.col(c) + alpha).alias(c) for c in x)))
+            last = state
+            state = written(held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(share, state.schema))
+            forgotten(last)
+        terms = cls._shares(state.where("not doc").groupBy("term").agg(*sums), x, beta, vocabulary, F.col)
+        model = cls(written(terms.select("term", *(F.col(c).alias(f"p{i}") for i, c in enumerate(x)))), k, alpha)
+        forgotten(state)
+        if own:
+            forgotten(blocks.held)
+        return model
+
+    @staticmethod
+    def _shares(rows: DataFrame, x: list[str], beta: float, vocabulary: int, whole) -> DataFrame:
+        """A topic's share of a term, from sums by term (``whole`` of a column); totals are ``k`` numbers."""
+        totals = rows.agg(*(F.sum(c).alias(c) for c in x)).first()
+        return rows.withColumns({c: (whole(c) + beta) / F.lit((totals[c] or 0.0) + beta * vocabulary) for c in x})
+
+    def shares(self, counts: DataFrame | Blocks, passes: int = 5) -> DataFrame:
+        """``doc_id, topics``: each document's share of each topic, with the terms' shares as they are; unknown terms don't count."""
+        own = not isinstance(counts, Blocks)
+        blocks = Blocks.of(counts) if own else counts
+        names, k, alpha = self.names, self.k, self.alpha
+        sent = blocks.terms().join(self.terms, "term").select((F.col("block") + 0).alias("block"), "place", *names)
+        kind = blocks.held.schema["doc_id"].dataType.simpleString()
+
+        def rounds(held: pa.Table, sent: pa.Table) -> pa.Table:
+            terms, docs, doc, place, tf = _block(held)
+            p, known = _numbers(sent, names, len(terms))
+            met = known[place]
+            doc, p, tf = doc[met], p[place[met]], tf[met]
+            t = np.ones((len(docs), k))
+            for _ in range(passes):
+                w = p * t[doc]
+                w *= (tf / w.sum(axis=1))[:, None]
+                t = np.stack([np.bincount(doc, weights=w[:, i], minlength=len(docs)) for i in range(k)], axis=1) + alpha
+            told = t / t.sum(axis=1, keepdims=True)
+            topics = pa.ListArray.from_arrays(np.arange(0, told.size + 1, k).astype(np.int32), pa.array(told.ravel()))
+            return pa.table([docs["doc_id"].combine_chunks(), topics], names=["doc_id", "topics"])
+
+        held = blocks.held.select("block", "place", "doc_id", "terms", "places", "tf")
+        found = written(held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(rounds, f"doc_id {kind}, topics array<double>"))
+        if own:
+            forgotten(blocks.held)
+        return found
 
     def perplexity(self, counts: DataFrame) -> float:
         """Of documents the model wasn't learned from: topics by one half of a document's terms, the score by the other."""
@@ -106,8 +225,6 @@ class Topics:
 
     def words(self, n: int = 10) -> DataFrame:
         """``topic, rank, term``: the terms with the largest share of each topic."""
-        from pyspark.sql.window import Window
-
         long = self.terms.select("term", F.posexplode(F.array(*self.names)).alias("topic", "p"))
         rank = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("p"), "term"))
         return long.withColumn("rank", rank).where(F.col("rank") <= n).select("topic", "rank", "term")

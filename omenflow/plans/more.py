@@ -239,8 +239,8 @@ def principal_components(spark, d):
 @query()
 def document_topics(spark, d):
     """Each document's share of two topics, learned from all documents with every term."""
-    counts = topics.bags(load(spark, d, "documents"))
-    return topics.Topics.fit(counts, 2, 10).shares(counts)
+    blocks = topics.Blocks.of_texts(load(spark, d, "documents"), 2)
+    return topics.Topics.fit(blocks, 2, 10).shares(blocks)
 
 
 @query("SELECT doc_id, lang, source, quality FROM documents JOIN labels USING (doc_id)")

@@ -322,3 +322,18 @@ def test_near_rows_above_a_bound_equal_brute_force(spark, monkeypatch, strip):
     want = {(i, int(j)) for i in range(90) for j in np.argsort(-sims[i], kind="stable")[:6] if sims[i, j] >= 0.8}
     got = corpus.nearest(df, df, 6, block_rows=20, least=0.8)
     assert {(r.query_id, r.vec_id) for r in got.collect()} == want and len(want) > 50
+
+
+def test_documents_stay_in_their_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topics, "BLOCK", 400)
+    docs = spark.createDataFrame([*two_themes(60, 1), (7, "a1 a1 zz"), (900, None), (901, "")], "doc_id long, text string")
+    dealt, whole = topics.Blocks.of_texts(docs, 2), topics.bags(docs)
+    assert dealt.held.select("block").distinct().count() > 3
+    # A block's documents are read where they are: no exchange below the rounds' side of them.
+    plan = dealt.held.groupBy("block").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    got, want = topics.Topics.fit(dealt, 2, 3), topics.Topics.fit(whole, 2, 3)
+    for a, b in ((got.terms, want.terms), (got.shares(dealt), want.shares(whole))):
+        a, b = ({r[0]: np.ravel(r[1:] if len(r) > 2 else r[1]) for r in x.collect()} for x in (a, b))
+        assert set(a) == set(b) and all(a[i] == pytest.approx(b[i]) for i in a)
+    assert set(b) == set(range(60))

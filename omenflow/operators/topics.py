@@ -43,31 +43,33 @@ def _column(t: pa.Table, name: str) -> np.ndarray:
 class Blocks:
     """Documents dealt to blocks: ``held`` has ``block, place, doc_id, places, tf``, a row a document, numbered inside its block.
 
-    A block's row with ``place`` -1 has its ``terms``; ``places`` are numbers of them.  The columns ``x0, x1, ..`` are sums of the
-    first shares of ``k`` topics by document or by term, drawn by hashes of both.
+    A block's row with ``place`` -1 has its ``terms``; ``places`` are numbers of them.  ``first`` has ``x0, x1, ..``, sums of the
+    first shares of ``k`` topics by document (``doc``) or by term of the block, drawn by hashes of both.
     """
 
-    def __init__(self, held: DataFrame, k: int, seed: int):
-        self.held, self.k, self.seed = held, k, seed
+    def __init__(self, held: DataFrame, first: DataFrame | None, k: int, seed: int):
+        self.held, self.first, self.k, self.seed = held, first, k, seed
 
     @classmethod
     def of(cls, counts: DataFrame, k: int = 0, seed: int = 42) -> Blocks:
         """From ``doc_id, term, tf``; a null term is none."""
-        return cls._dealt(counts.select("doc_id", F.array("term").alias("terms"), F.col("tf").cast("double").alias("tf")), counts.count(), k, seed)
+        rows = counts.select("doc_id", "term", F.col("tf").cast("double").alias("tf"))
+        return cls._dealt(rows, lambda dealt: dealt, counts.count(), k, seed)
 
     @classmethod
     def of_texts(cls, docs: DataFrame, k: int = 0, seed: int = 42, text: str = "text", id_col: str = "doc_id") -> Blocks:
         """The same as from ``bags``, but that texts are moved instead of counts."""
-        rows = over_cores(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("t")), "doc_id").select("doc_id", tokens(F.lower("t")).alias("terms"), F.lit(1.0).alias("tf"))
-        return cls._dealt(rows, rows.agg(F.sum(F.size("terms"))).first()[0] or 0, k, seed)
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.lower(text).alias("t"))
+        # As an expression: of a bare column Spark asks first whether it is empty, and splits texts once more for that.
+        each = lambda dealt: dealt.select("block", "doc_id", F.explode(tokens(F.col("t"))).alias("term"), F.lit(1.0).alias("tf"))
+        return cls._dealt(rows, each, over_cores(rows, "doc_id").agg(F.sum(F.size(tokens(F.col("t"))))).first()[0] or 0, k, seed)
 
     @classmethod
-    def _dealt(cls, rows: DataFrame, n: int, k: int, seed: int) -> Blocks:
+    def _dealt(cls, rows: DataFrame, entries, n: int, k: int, seed: int) -> Blocks:
         spark = rows.sparkSession
         blocks = max(1, -(-n // BLOCK), min(spark.sparkContext.defaultParallelism, n // (BLOCK // 32)))
         dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-        # As an expression: of a bare column Spark asks first whether it is empty, and splits texts once more for that.
-        each = dealt.select("block", "doc_id", F.explode(F.slice("terms", F.lit(1), F.size("terms"))).alias("term"), "tf").where("term is not null")
+        each = entries(dealt).where("term is not null")
         draw = [(F.pmod(F.xxhash64("doc_id", "term", F.lit(seed * 1000 + i)), F.lit(1 << 20)) + 1) / (1 << 20) for i in range(k)]
         drawn = each.withColumns({f"_d{i}": d for i, d in enumerate(draw)})
         shared = drawn.select("block", "doc_id", "term", "tf", *((F.col("tf") * F.col(f"_d{i}") / _sum([F.col(f"_d{j}") for j in range(k)])).alias(f"x{i}") for i in range(k)))
@@ -92,17 +94,24 @@ class Blocks:
 
         schema = f"block int, place int, doc_id {rows.schema['doc_id'].dataType.simpleString()}, terms array<string>, places array<int>, tf array<double>" + "".join(f", x{i} array<double>" for i in range(k))
         packed = written(shared.groupBy("block").applyInArrow(pack, schema))
+        state = None
+        if k:
+            x = [f"x{i}" for i in range(k)]
+            of_docs = packed.where("place >= 0").select("block", F.lit(True).alias("doc"), "place", F.lit(None).cast("string").alias("term"), *(F.get(F.col(c), F.lit(0)).alias(c) for c in x))
+            zipped = F.arrays_zip(F.col("places").alias("place"), F.col("terms").alias("term"), *(F.col(c).alias(c) for c in x))
+            of_terms = packed.where("place = -1").select("block", F.lit(False).alias("doc"), F.inline(zipped))
+            state = written(of_docs.unionByName(of_terms))
         # In buckets, so that rounds read blocks where they are.
-        name = f"topics_{uuid.uuid4().hex}"
-        packed.repartition(blocks, "block").write.bucketBy(blocks, "block").option("path", scratch(spark)).saveAsTable(name)
+        name, path = f"topics_{uuid.uuid4().hex}", scratch(spark)
+        written(packed.select("block", "place", "doc_id", "terms", "places", "tf").repartition(blocks, "block"), path, lambda w: w.bucketBy(blocks, "block").saveAsTable(name, path=path))
         forgotten(packed)
         held = spark.table(name)
         spark.sql(f"DROP TABLE {name}")  # its name; the files stay
-        return cls(held, k, seed)
+        return cls(held, state, k, seed)
 
-    def terms(self, *more: str) -> DataFrame:
+    def terms(self) -> DataFrame:
         """``block, place, term``, a row for each term of each block."""
-        zipped = F.arrays_zip(F.col("places").alias("place"), F.col("terms").alias("term"), *(F.col(c).alias(c) for c in more))
+        zipped = F.arrays_zip(F.col("places").alias("place"), F.col("terms").alias("term"))
         return self.held.where("place = -1").select("block", F.inline(zipped))
 
 
@@ -135,16 +144,14 @@ class Topics:
 
     @classmethod
     def fit(cls, counts: DataFrame | Blocks, k: int = 2, passes: int = 15, alpha: float = 0.1, beta: float = 0.01, seed: int = 42) -> Topics:
-        """Learn from ``doc_id, term, tf``, or from ``Blocks`` of as many topics.  The first shares of a document's terms are drawn by hashes of both."""
+        """Learn from ``doc_id, term, tf``, or from ``Blocks`` of as many topics, whose first shares are used up.  The first shares of a document's terms are drawn by hashes of both."""
         own = not isinstance(counts, Blocks)
         blocks = Blocks.of(counts, k, seed) if own else counts
-        if (blocks.k, blocks.seed) != (k, seed):
-            raise ValueError("the blocks were made for other topics")
+        if (blocks.k, blocks.seed) != (k, seed) or blocks.first is None:
+            raise ValueError("the blocks were made for other topics, or their first shares are used up")
         x = [f"x{i}" for i in range(k)]
         sums = [F.sum(c).alias(c) for c in x]
-        of_docs = blocks.held.where("place >= 0").select("block", F.lit(True).alias("doc"), "place", F.lit(None).cast("string").alias("term"), *(F.get(F.col(c), F.lit(0)).alias(c) for c in x))
-        of_terms = blocks.terms(*x).select("block", F.lit(False).alias("doc"), "place", "term", *x)
-        state = written(of_docs.unionByName(of_terms))
+        state, blocks.first = blocks.first, None
         vocabulary = state.where("not doc").select("term").distinct().count()
 
         def share(held: pa.Table, sent: pa.Table) -> pa.Table:
@@ -160,10 +167,11 @@ class Topics:
         held = blocks.held.select("block", "place", "terms", "places", "tf")
         for _ in range(passes):
             shares = cls._shares(state.where("not doc"), x, beta, vocabulary, lambda c: F.sum(c).over(Window.partitionBy("term")))
-            sent = shares.select("block", "doc", "place", *x).unionByName(state.where("doc").select("block", "doc", "place", *((F.col(c) + alpha).alias(c) for c in x)))
-            last = state
+            of_docs = state.where("doc").select("block", "doc", "place", *((F.col(c) + alpha).alias(c) for c in x))
+            sent = written(shares.select("block", "doc", "place", *x).unionByName(of_docs))
+            forgotten(state)
             state = written(held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(share, state.schema))
-            forgotten(last)
+            forgotten(sent)
         terms = cls._shares(state.where("not doc").groupBy("term").agg(*sums), x, beta, vocabulary, F.col)
         model = cls(written(terms.select("term", *(F.col(c).alias(f"p{i}") for i, c in enumerate(x)))), k, alpha)
         forgotten(state)

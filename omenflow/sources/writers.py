@@ -20,15 +20,15 @@ def scratch(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str | None = None) -> DataFrame:
-    """``df`` written to a scratch folder and read from there; what was shuffled for it is deleted once it is written."""
+def written(df: DataFrame, path: str | None = None, write=None) -> DataFrame:
+    """``df`` written to a scratch folder (``write``: how, from its writer) and read from there; what was shuffled for it is deleted then."""
     spark = df.sparkSession
     path = path or scratch(spark)
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name)
     spark.conf.set(name, "true")
     try:
-        df.write.mode("overwrite").parquet(path)
+        write(df.write) if write else df.write.mode("overwrite").parquet(path)
     finally:
         spark.conf.set(name, before)
     return spark.read.schema(df.schema).parquet(path)

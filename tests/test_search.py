@@ -174,6 +174,20 @@ def test_the_index_of_near_names_is_never_sent_whole(spark, most):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_the_index_of_near_names_takes_tasks_by_its_rows(spark, monkeypatch):
+    """What all names begin with has no rows in the index, and a task's share of the others doesn't grow with the names."""
+    monkeypatch.setattr(near_names, "TASK_ROWS", 500)
+    found = near_names.near_names(spark.range(200).selectExpr("concat('a name of no use ', lpad(id, 4, '0')) n"), "n")
+    assert found.rdd.getNumPartitions() == -(-200 * (2 * (1 + 3 + 3) + 3) // 500)  # 0 is what the last parts begin with, too
+    names = [f"a name of no use {i:04d}" for i in range(200)]
+    assert sorted(map(tuple, found.collect())) == sorted((x, y, distance(x[-4:], y[-4:])) for x in names for y in names if x < y and distance(x[-4:], y[-4:]) <= 2)
+
+
+def test_masks(spark):
+    row = spark.range(1).select(near_names.masks(F.lit("éab"), 2).alias("x"), near_names.masks(F.lit("a"), 2).alias("y"), near_names.masks(F.lit(""), 1).alias("z")).first()
+    assert [(m.left, m.gone) for m in row.x] == [("\0\0b", "éa"), ("\0a\0", "éb"), ("é\0\0", "ab")] and row.y == row.z == []
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

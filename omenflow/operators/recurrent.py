@@ -18,6 +18,8 @@ from ..sources.writers import scratch
 
 WIDTH = 64
 BATCH = 32
+#: Windows that are predicted at once, of as many texts as they come from; texts whose windows are held at once.
+TOLD = 256
 
 
 class Network:
@@ -42,11 +44,15 @@ class Network:
 
     def forward(self, x: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """States (steps + 1 x rows x hidden; a row keeps its state after its end) and log probabilities."""
-        p = self.at
+        p, shortest = self.at, int(length.min(initial=x.shape[1]))
         states = np.zeros((x.shape[1] + 1, len(x), p["over"].shape[0]))
+        met = np.take(p["into"] + p["bias"], x.T, axis=0)
         for t in range(x.shape[1]):
-            now = np.tanh(p["into"][x[:, t]] + states[t] @ p["over"] + p["bias"])
-            states[t + 1] = np.where((t < length)[:, None], now, states[t])
+            now = np.dot(states[t], p["over"], out=states[t + 1])
+            now += met[t]
+            np.tanh(now, out=now)
+            if t >= shortest:
+                now[t >= length] = states[t][t >= length]
         z = states[-1] @ p["out"] + p["last"]
         z = z - z.max(axis=1, keepdims=True)
         return states, z - np.log(np.exp(z).sum(axis=1, keepdims=True))
@@ -55,20 +61,31 @@ class Network:
         """Mean loss of the rows and its gradient."""
         states, logs = self.forward(x, length)
         flat = np.zeros_like(self.flat)
-        g, p, n = self.views(flat), self.at, len(x)
+        g, n = self.views(flat), len(x)
+        out, back_over = (np.ascontiguousarray(self.at[k].T) for k in ("out", "over"))
         d = np.exp(logs)
         d[np.arange(n), y] -= 1
         d /= n
         g["out"][...] = states[-1].T @ d
         g["last"][...] = d.sum(axis=0)
-        back = d @ p["out"].T
+        # The loop has what one step needs of the next; sums over rows and steps are made once.
+        back, shortest = d @ out, int(length.min(initial=x.shape[1]))
+        raw = np.multiply(states[1:], states[1:])
+        np.subtract(1, raw, out=raw)
         for t in range(x.shape[1] - 1, -1, -1):
-            live = (t < length)[:, None]
-            raw = np.where(live, back * (1 - states[t + 1] ** 2), 0.0)
-            np.add.at(g["into"], x[:, t], raw)
-            g["over"] += states[t].T @ raw
-            g["bias"] += raw.sum(axis=0)
-            back = np.where(live, raw @ p["over"].T, back)
+            raw[t] *= back
+            if t < shortest:
+                back = np.dot(raw[t], back_over)
+            else:
+                raw[t][t >= length] = 0.0
+                back = np.where((t < length)[:, None], np.dot(raw[t], back_over), back)
+        rows = raw.reshape(-1, raw.shape[2])
+        g["over"][...] = states[:-1].reshape(rows.shape).T @ rows
+        g["bias"][...] = rows.sum(axis=0)
+        order = np.argsort(x.T.astype(np.uint8), axis=None, kind="stable")
+        of = x.T.ravel()[order]
+        begins = np.flatnonzero(np.diff(of.astype(np.int64), prepend=-1))
+        g["into"][of[begins]] = np.add.reduceat(rows[order], begins, axis=0)
         return float(-logs[np.arange(n), y].mean()), flat
 
 
@@ -81,10 +98,10 @@ def windows(text: str, width: int = WIDTH) -> list[bytes]:
 
 
 def padded(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    length = np.array([len(p) for p in parts])
-    x = np.zeros((len(parts), max(1, int(length.max(initial=0)))), np.int64)
-    for i, p in enumerate(parts):
-        x[i, : len(p)] = np.frombuffer(p, np.uint8)
+    """Windows as rows of bytes, and their lengths."""
+    length = np.array([len(p) for p in parts], np.int64)
+    x = np.zeros((len(parts), max(1, int(length.max(initial=0)))), np.uint8)
+    x[np.arange(x.shape[1]) < length[:, None]] = np.frombuffer(b"".join(parts), np.uint8)
     return x, length
 
 
@@ -94,9 +111,10 @@ def one_epoch(flat: np.ndarray, classes: int, hidden: int, parts: list[bytes], l
     seen = np.full_like(net.flat, 1e-8)
     order = np.random.Generator(np.random.PCG64(seed)).permutation(len(parts))
     y = np.array(labels)
+    x, length = padded(parts)
     for i in range(0, len(order), BATCH):
         pick = order[i : i + BATCH]
-        _, g = net.gradient(*padded([parts[k] for k in pick]), y[pick])
+        _, g = net.gradient(x[pick, : max(1, length[pick].max())], length[pick], y[pick])
         norm = np.linalg.norm(g)
         g *= min(1.0, 5.0 / max(norm, 1e-12))
         seen += g * g
@@ -149,11 +167,14 @@ class RecurrentClassifier:
         def run(batches):
             classes, flat, hidden = sent.value
             net = Network(len(classes), hidden, flat=flat)
-            for b in batches:
-                labels, scores = [], []
-                for t in b.column(b.schema.get_field_index(text)).to_pylist():
-                    cut = windows(t or "")
-                    logs = sum(net.forward(*padded(cut[i : i + 256]))[1].sum(axis=0) for i in range(0, len(cut), 256)) / len(cut)
+            for b in (whole.slice(i, TOLD) for whole in batches for i in range(0, max(1, whole.num_rows), TOLD)):
+                labels, scores, sums = [], [], np.zeros((b.num_rows, len(classes)))
+                cuts = [windows(t or "") for t in b.column(b.schema.get_field_index(text)).to_pylist()]
+                all_, of = [w for cut in cuts for w in cut], np.repeat(np.arange(len(cuts)), [len(cut) for cut in cuts])
+                for i in range(0, len(all_), TOLD):
+                    np.add.at(sums, of[i : i + TOLD], net.forward(*padded(all_[i : i + TOLD]))[1])
+                for cut, logs in zip(cuts, sums, strict=True):
+                    logs = logs / len(cut)
                     p = np.exp(logs - logs.max())
                     labels.append(classes[int(p.argmax())])
                     scores.append(float(p.max() / p.sum()))

@@ -5,6 +5,7 @@ import json
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
@@ -267,6 +268,36 @@ def test_a_recurrent_classifier_learns_held_out_names(spark, tmp_path):
     assert again.predict(odd, "name").count() == 3
 
 
+def test_a_step_adds_up_what_its_loop_left(monkeypatch):
+    """Rows of a byte are summed once a step of learning, not once a byte; windows are made rows of bytes once an epoch."""
+    calls, padded = [], recurrent.padded
+    monkeypatch.setattr(recurrent, "padded", lambda parts: calls.append(len(parts)) or padded(parts))
+    parts = [bytes([65 + i % 7, 200 - i, *range(i % 5)]) for i in range(100)]
+    flat = recurrent.one_epoch(recurrent.Network(3, hidden=8).flat, 3, 8, parts, [i % 3 for i in range(100)], 0.05, 1)
+    assert calls == [100] and flat.dtype == np.float64
+    net, x, length = recurrent.Network(3, hidden=8, seed=4), *padded(parts)
+    g = net.views(net.gradient(x, length, np.arange(100) % 3)[1])
+    assert set(np.flatnonzero(np.abs(g["into"]).sum(axis=1))) == {c for part in parts for c in part}
+    assert g["into"].sum(axis=0) == pytest.approx(g["bias"], abs=1e-12)
+
+
+def test_short_texts_are_told_together(spark, monkeypatch):
+    """Windows of many texts are one call of the network, and each text's label is that of its own windows."""
+    calls, net = [], recurrent.Network(2, hidden=4, seed=2)
+    forward = recurrent.Network.forward
+    monkeypatch.setattr(recurrent.Network, "forward", lambda self, x, length: calls.append(len(x)) or forward(self, x, length))
+    texts = [f"t{i} " * (i % 90) for i in range(300)]
+    sent = type("Sent", (), {"value": (["a", "b"], net.flat, 4)})
+    rows = type("Rows", (), {"schema": spark.createDataFrame([], "t string").schema, "mapInArrow": lambda self, run, schema: run})()
+    rows.sparkSession = type("S", (), {"sparkContext": type("C", (), {"broadcast": staticmethod(lambda value: sent)})})
+    run = recurrent.RecurrentClassifier(["a", "b"], net).predict(rows, "t")
+    got = [r for b in run(iter([pa.RecordBatch.from_pydict({"t": texts})])) for r in b.to_pylist()]
+    assert max(calls) <= recurrent.TOLD and len(calls) < 20
+    for text, r in zip(texts, got, strict=True):
+        p = np.exp(forward(net, *recurrent.padded(recurrent.windows(text)))[1].mean(axis=0))
+        assert r["t"] == text and r["predicted"] == "ab"[int(p.argmax())] and r["score"] == pytest.approx(p.max() / p.sum(), abs=1e-9)
+
+
 def test_spans_of_a_long_row_are_found_in_one_pass(spark):
     """A text with many entities: work that grows with its square would take minutes here."""
     n = 30_000

@@ -12,6 +12,9 @@ from ..sources.writers import forgotten, written
 from . import corpus, similarity
 from .skew import over_cores, with_values
 
+#: Of pairs by a key: rows of a bundle of the left side (fewer where the input is small) and of the right one, and pairs of a task, about.
+LEFT, RIGHT, PAIRS = 1 << 16, 1 << 9, 1 << 25
+
 
 def product(few: DataFrame, many: DataFrame, most: int = 10_000) -> DataFrame:
     """Each row of a bounded table with each row of another.
@@ -29,8 +32,31 @@ def product(few: DataFrame, many: DataFrame, most: int = 10_000) -> DataFrame:
 
 
 def sharing(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
-    """Pairs of rows with equal keys: all of them, as many as the product of a key's rows, so that a small input is dealt over all cores first."""
-    return over_cores(left, *left.columns).join(right, list(keys))
+    """Pairs of rows with equal keys: all of them, as many as the product of a key's rows; null keys are equal to none.
+
+    Both sides are dealt to bundles by key and each two bundles of a key meet in a task, so that a hot key is dealt over all tasks
+    and a task buffers one bundle of the right side.  Each row of a bundle meets the same few rows in the same order, so that
+    what is written of the pairs repeats itself and is small.
+    """
+    cores = left.sparkSession.sparkContext.defaultParallelism
+    key = F.struct(*keys).alias("_key")
+    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    a, b = (df.where(known).select(key, *(c for c in df.columns if c not in keys), F.monotonically_increasing_id().alias("_id")) for df in (left, right))
+    met = written(a.groupBy("_key").agg(F.count("*").alias("_a")).join(b.groupBy("_key").agg(F.count("*").alias("_b")), "_key"))
+    total = met.agg(F.sum("_a").alias("rows"), F.sum(F.col("_a").cast("double") * F.col("_b")).alias("pairs")).first()
+    size = min(LEFT, max(1, (total.rows or 0) // (4 * cores)))
+    parts = int(max(cores, (total.pairs or 0) // PAIRS))
+    bundles = lambda n, most: F.ceil(F.col(n) / most).cast("int")
+    met = met.select("_key", "_a", "_b", bundles("_a", size).alias("_is"), bundles("_b", RIGHT).alias("_js"))
+
+    def dealt(df: DataFrame, rows: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
+        # Ids are hashed, as keys may recur at regular distances.
+        one = with_values(df, met.select("_key", rows, "_is", "_js"), "_key", rows).withColumn(own[0], F.pmod(F.xxhash64("_id"), F.col(own[1])).cast("int"))
+        each = one.withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1)))
+        return each.repartition(parts, "_key", "_i", "_j").select("_key", "_i", "_j", *(c for c in df.columns if c not in ("_key", "_id")))
+
+    i, j = ("_i", "_is"), ("_j", "_js")
+    return dealt(a, "_a", i, j).hint("merge").join(dealt(b, "_b", j, i), ["_key", "_i", "_j"]).drop("_i", "_j").select("_key.*", "*").drop("_key")
 
 
 def looked_up(df: DataFrame, table: DataFrame, keys: list[str], value: str, default) -> DataFrame:

@@ -259,3 +259,30 @@ def test_pairs_that_share_a_key_are_made_on_all_cores(spark, tmp_path):
     spark.range(40).selectExpr("id a", "id % 2 k").coalesce(1).write.parquet(f"{tmp_path}/a")
     found = matching.sharing(spark.read.parquet(f"{tmp_path}/a"), spark.range(10).selectExpr("id b", "id % 2 k"), "k").select("a", "b")
     assert found.count() == 200 and found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_pairs_of_a_hot_key_are_dealt_and_all_there(spark, monkeypatch):
+    """However many rows a key has, no task makes all of its pairs, and files of them repeat few rows."""
+    monkeypatch.setattr(matching, "RIGHT", 100, raising=False)
+    a = spark.range(1_000).selectExpr("id a", "IF(id % 500 = 7, null, id % 100 div 99) k", "'x' j")
+    b = spark.range(300).selectExpr("id b", "IF(id % 150 = 7, null, id % 100 div 99) k", "IF(id = 9, null, 'x') j")
+    found = matching.sharing(a, b, "k", "j")
+    assert found.columns == ["k", "j", "a", "b"]
+    want = a.join(b, ["k", "j"])
+    n = found.count()
+    assert n == want.count() == found.distinct().count() and found.exceptAll(want).isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        most = matching.sharing(a, b, "k", "j").where("k = 0").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert most < n * 0.6
+    together = a.select("a", (F.col("a") * 0).alias("k"))
+    copies = matching.sharing(together.withColumn("a", F.lit(1)), spark.range(2).selectExpr("id b", "0 k"), "k")
+    assert copies.count() == 2_000
+
+
+def test_pairs_of_keys_without_others_and_of_empty_tables(spark):
+    a, b = spark.range(4).selectExpr("id % 2 k"), spark.range(3).selectExpr("id % 2 k", "id b")
+    assert sorted(map(tuple, matching.sharing(a, b, "k").collect())) == [(0, 0), (0, 0), (0, 2), (0, 2), (1, 1), (1, 1)]
+    assert matching.sharing(a.where("false"), b, "k").collect() == matching.sharing(a, b.where("false"), "k").collect() == []

@@ -1,7 +1,7 @@
 """A tagger learned from tagged sequences: an averaged structured perceptron, mixed over partitions in rounds.
 
-In a round each partition starts from the mixed weights, goes through its sequences once, and gives back what it changed; a
-Spark aggregate mixes the changes by how many sequences each partition had.  Features are hashed to ``BUCKETS`` places, so that the
+All sequences are learned from.  In a round each learner starts from the mixed weights, goes through its sequences once, as they come,
+and gives back what it changed; a Spark aggregate mixes the changes by how many sequences each learner had.  Features are hashed to ``BUCKETS`` places, so that the
 weights that tasks are sent have a fixed size whatever the vocabulary.  Sequences are sentences, each of which fits a row.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 from zlib import crc32
 
 import numpy as np
@@ -17,14 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.writers import scratch
+from ..sources.writers import forgotten, written
 
 BUCKETS = 1 << 18
 #: Words that are tagged at once, about.
 TOGETHER = 1 << 14
 EPOCHS = 5
-#: Sequences a model is learned from at most (expected; a sample by the hash of their words).
-SEQUENCES = 1 << 20
 
 
 def word_shape(word: str) -> str:
@@ -78,7 +77,11 @@ def features_of_many(words: list[str], first: np.ndarray, last: np.ndarray, buck
     What a word gives is looked up once for all its places.
     """
     known = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    at = np.fromiter((known[w] for w in words), np.int64, len(words))
+    return _features(np.fromiter((known[w] for w in words), np.int64, len(words)), list(known), first, last, buckets)
+
+
+def _features(at: np.ndarray, known: list[str], first: np.ndarray, last: np.ndarray, buckets: int) -> np.ndarray:
+    """The same of words by their numbers in ``known``."""
     before = np.where(first, len(known), np.roll(at, 1))
     after = np.where(last, len(known), np.roll(at, -1))
     own = np.stack([_own(w, buckets) for w in known])
@@ -117,27 +120,72 @@ class Weights:
         return viterbi(self.emit[at].sum(axis=1), self.move[:-1], self.move[-1])
 
 
-def one_pass(w: Weights, total: Weights, sequences: Iterator[tuple[np.ndarray, np.ndarray]]) -> int:
-    """Go through sequences once; ``w`` changes by each mistake, and ``total`` gets each change times the sequences left.
+class Learner:
+    """A learner's way through its sequences: ``w`` changes by each mistake.
 
-    So ``total`` ends as the sum of the changes over all moments after each sequence: dividing by their number averages.
+    ``step`` is the sum of the changes, ``late`` the same with each change times the sequences before it: ``n`` times the first less
+    the second is the sum of the changes over all moments after each sequence, so that dividing by ``n`` averages.
     """
-    held = list(sequences)
-    n = len(held)
-    for k, (at, gold) in enumerate(held):
-        got = w.path(at)
-        if (got == gold).all():
-            continue
-        left = n - k
+
+    def __init__(self, emit: np.ndarray, move: np.ndarray):
+        self.w, self.step, self.late = (Weights(*emit.shape) for _ in range(3))
+        self.w.emit[:], self.w.move[:] = emit, move
+        self.n, self.reach = 0, 1
+
+    def learn(self, at: np.ndarray, gold: np.ndarray, sizes: np.ndarray) -> None:
+        """Go through sequences that follow each other (``at``, ``gold``: features and tags of their words).
+
+        Some are decoded together, as many as are likely without a mistake; those behind the first mistake are decoded again, so
+        that each is told by the weights that all before it left.
+        """
+        ends = np.cumsum(sizes)
+        begins, k = ends - sizes, 0
+        while k < len(sizes):
+            upto = min(k + self.reach, len(sizes))
+            a, b = begins[k], ends[upto - 1]
+            got = viterbi_of_many(self.w.emit[at[a:b]].sum(axis=1), sizes[k:upto], self.w.move[:-1], self.w.move[-1])
+            wrong = np.flatnonzero(got != gold[a:b])
+            if not len(wrong):
+                k, self.reach = upto, self.reach * 2 if upto - k == self.reach else self.reach
+                continue
+            m = int(np.searchsorted(ends, a + wrong[0], side="right"))
+            here = slice(begins[m], ends[m])
+            self._change(at[here], gold[here], got[begins[m] - a : ends[m] - a], self.n + m)
+            self.reach, k = m - k + 1, m + 1
+        self.n += len(sizes)
+
+    def _change(self, at: np.ndarray, gold: np.ndarray, got: np.ndarray, before: int) -> None:
         wrong = np.flatnonzero(got != gold)
         for tags, sign in ((gold, 1.0), (got, -1.0)):
-            places, kinds = at[wrong].ravel(), np.repeat(tags[wrong], at.shape[1])
-            np.add.at(w.emit, (places, kinds), sign)
-            np.add.at(total.emit, (places, kinds), sign * left)
-            before = np.concatenate([[w.move.shape[1]], tags[:-1]])
-            np.add.at(w.move, (before, tags), sign)
-            np.add.at(total.move, (before, tags), sign * left)
-    return n
+            emitted = at[wrong].ravel(), np.repeat(tags[wrong], at.shape[1])
+            moved = np.concatenate([[self.w.move.shape[1]], tags[:-1]]), tags
+            for x, by in ((self.w, sign), (self.step, sign), (self.late, sign * before)):
+                np.add.at(x.emit, emitted, by)
+                np.add.at(x.move, moved, by)
+
+    def told(self) -> pa.RecordBatch:
+        """Rows of ``n, kind, place, tag, change, total``; the first has the number of sequences."""
+        n = self.n
+        cols = [np.array([n]), np.array([-1]), np.array([0]), np.array([0]), np.array([0.0]), np.array([0.0])]
+        for kind, step, late in ((0, self.step.emit, self.late.emit), (1, self.step.move, self.late.move)):
+            at, tag = np.nonzero((step != 0) | (late != 0))
+            cols = [np.concatenate([c, x]) for c, x in zip(cols, [np.full(len(at), n), np.full(len(at), kind), at, tag, step[at, tag], n * step[at, tag] - late[at, tag]], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["n", "kind", "place", "tag", "change", "total"])
+
+
+def _learned(learner: Learner, b: pa.RecordBatch, number: dict[str, int]) -> None:
+    """Go through a batch's rows, some words at a time."""
+    sizes = b.column("words").value_lengths().to_numpy().astype(np.int64)
+    ends, k = np.cumsum(sizes), 0
+    while k < len(sizes):
+        upto = max(k + 1, int(np.searchsorted(ends, ends[k] - sizes[k] + TOGETHER, side="right")))
+        words, tags = (b.column(c).slice(k, upto - k).flatten().dictionary_encode() for c in ("words", "tags"))
+        size = sizes[k:upto]
+        last = np.zeros(len(words), bool)
+        last[np.cumsum(size) - 1] = True
+        at = _features(words.indices.to_numpy().astype(np.int64), words.dictionary.to_pylist(), np.roll(last, 1), last, len(learner.w.emit))
+        learner.learn(at, np.array([number[t] for t in tags.dictionary.to_pylist()])[tags.indices.to_numpy()], size)
+        k = upto
 
 
 class Tagger:
@@ -145,27 +193,25 @@ class Tagger:
         self.tags, self.weights = tags, weights
 
     @classmethod
-    def fit(cls, tagged: DataFrame, epochs: int = EPOCHS, buckets: int = BUCKETS, parts: int | None = None, most: int = SEQUENCES) -> Tagger:
-        """Learn from ``words, tags`` (arrays of equal lengths, a row a sequence; null and empty ones are left out).
+    def fit(cls, tagged: DataFrame, epochs: int = EPOCHS, buckets: int = BUCKETS, parts: int | None = None) -> Tagger:
+        """Learn from all of ``words, tags`` (arrays of equal lengths, a row a sequence; null and empty ones are left out).
 
-        ``parts``: how many learners are mixed, as many as the session has for shuffles if not given.
+        ``parts``: how many learners are mixed, as many as the session has for shuffles if not given; where a learner's file is
+        read in several splits, each of them is a learner.
         """
         spark = tagged.sparkSession
-        rows = tagged.select("words", "tags").where((F.size("words") > 0) & (F.size("words") == F.size("tags")))
-        n = rows.count()
-        if n > most:
-            rows = rows.where(F.pmod(F.xxhash64("words"), F.lit(1 << 30)) < int((1 << 30) * most / n))
         parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        path = scratch(spark)
-        rows.repartition(parts, F.xxhash64("words")).write.parquet(path)
-        rows = spark.read.schema(rows.schema).parquet(path)
-        tags = sorted(r.t for r in rows.select(F.explode("tags").alias("t")).distinct().where("t is not null").collect())  # a tag set is small
+        rows = tagged.select("words", "tags").where((F.size("words") > 0) & (F.size("words") == F.size("tags")))
+        dealt = rows.withColumn("_part", F.pmod(F.xxhash64("words"), F.lit(parts)).cast("int")).repartition(parts, "_part")
+        # In order once, so that rounds only read.
+        rows = written(dealt.sortWithinPartitions("_part", F.xxhash64("words")))
+        tags = sorted(r.t for r in rows.select(F.explode(F.array_distinct("tags")).alias("t")).distinct().where("t is not null").collect())  # a tag set is small
         number = {t: i for i, t in enumerate(tags)}
         mixed, average, seen = Weights(buckets, len(tags)), Weights(buckets, len(tags)), 0
-        dealt = rows.withColumn("_part", F.pmod(F.xxhash64("words"), F.lit(parts)).cast("int")).select("_part", "words", "tags")
-        dealt = dealt.repartition(parts, "_part").sortWithinPartitions("_part", F.xxhash64("words"))
+        full = lambda c: F.forall(c, lambda x: x.isNotNull())
+        dealt = rows.where(full("words") & full("tags")).select("_part", "words", "tags")
         for _ in range(epochs):
-            changes = cls._round(dealt, spark.sparkContext.broadcast((mixed.emit, mixed.move)), number, buckets)
+            changes = cls._round(dealt, spark.sparkContext.broadcast((mixed.emit, mixed.move)), number)
             n, step, sums = cls._mixed(changes, buckets, len(tags))
             if not n:
                 break
@@ -175,39 +221,31 @@ class Tagger:
             mixed.emit += step.emit
             mixed.move += step.move
             seen += n
+        forgotten(rows)
         if seen:
             average.emit /= seen
             average.move /= seen
         return cls(tags, average)
 
     @staticmethod
-    def _round(dealt: DataFrame, sent, number: dict[str, int], buckets: int) -> DataFrame:
-        """Rows of ``n, kind, place, tag, change, total`` from each learner; its first row has the number of its sequences."""
-        n_tags = len(number)
+    def _round(dealt: DataFrame, sent, number: dict[str, int]) -> DataFrame:
+        """What each learner told."""
 
         def run(batches):
-            emit, move = sent.value
-
-            def learn(pairs):
-                w, total = Weights(buckets, n_tags), Weights(buckets, n_tags)
-                w.emit[:], w.move[:] = emit, move
-                n = one_pass(w, total, ((features(a, buckets), np.array([number[t] for t in b])) for a, b in pairs if None not in a and None not in b))
-                cols = [np.array([n]), np.array([-1]), np.array([0]), np.array([0]), np.array([0.0]), np.array([0.0])]
-                for kind, old, new, s in ((0, emit, w.emit, total.emit), (1, move, w.move, total.move)):
-                    at, tag = np.nonzero((new != old) | (s != 0))
-                    cols = [np.concatenate([c, x]) for c, x in zip(cols, [np.full(len(at), n), np.full(len(at), kind), at, tag, (new - old)[at, tag], s[at, tag]], strict=True)]
-                return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["n", "kind", "place", "tag", "change", "total"])
-
-            held, now = [], None
+            learner, now = None, None
             for b in batches:
-                for part, words, tags in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    if part != now and held:
-                        yield learn(held)
-                        held = []
-                    now = part
-                    held.append((words, tags))
-            if held:
-                yield learn(held)
+                part = b.column("_part").to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+                for i, j in pairwise(cuts):
+                    if i == j:
+                        continue
+                    if learner and part[i] != now:
+                        yield learner.told()
+                        learner = None
+                    learner, now = learner or Learner(*sent.value), part[i]
+                    _learned(learner, b.slice(i, j - i), number)
+            if learner:
+                yield learner.told()
 
         return dealt.mapInArrow(run, "n long, kind long, place long, tag long, change double, total double")
 

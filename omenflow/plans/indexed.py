@@ -72,7 +72,7 @@ def learned_tags(spark, d):
     """Tags of held-out documents' words by a tagger that learned from the other documents (L1, L7): right ones and all by tag."""
     all_ = tagged_sentences(spark, d)
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
-    tagger = tagging.Tagger.fit(all_.where(~held), epochs=2, most=20_000)
+    tagger = tagging.Tagger.fit(all_.where(~held), epochs=2)
     told = tagger.tag(all_.where(held).select(F.col("tags").alias("gold"), "words"))
     each = told.select(F.inline(F.arrays_zip(F.col("gold").alias("gold"), F.col("tags").alias("tag"))))
     return each.groupBy("gold", "tag").agg(F.count("*").alias("n"))

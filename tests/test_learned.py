@@ -87,6 +87,45 @@ def test_mixing_one_learner_is_the_plain_averaged_perceptron(spark):
     assert np.allclose(got.weights.emit, total.emit / n) and np.allclose(got.weights.move, total.move / n)
 
 
+def test_a_learner_told_in_pieces_decodes_by_what_it_has_changed(monkeypatch):
+    """Sequences decoded together give what one after the other does, mistakes and all."""
+    rows, number = tagged(400, 8), {t: i for i, t in enumerate(["DT", "IN", "JJ", "MD", "NN", "NNP", "PR", "VB"])}
+    w, total = tagging.Weights(1 << 10, len(number)), np.zeros((1 << 10, len(number)))
+    start = np.random.Generator(np.random.PCG64(3)).normal(size=w.emit.shape)
+    w.emit[:] = start
+    for words, tags in rows:
+        at, gold = tagging.features(words, 1 << 10), np.array([number[t] for t in tags])
+        path = w.path(at)
+        for i in range(len(gold)):
+            for t, sign in ((gold, 1), (path, -1)):
+                np.add.at(w.emit, (at[i], t[i]), sign)
+                w.move[t[i - 1] if i else -1, t[i]] += sign
+        total += w.emit - start
+    monkeypatch.setattr(tagging, "TOGETHER", 50)
+    learner = tagging.Learner(start, np.zeros(w.move.shape))
+    for i in range(0, 400, 130):
+        words, tags = zip(*rows[i : i + 130], strict=True)
+        tagging._learned(learner, pa.RecordBatch.from_pydict({"words": words, "tags": tags}), number)
+    assert learner.n == 400 and np.allclose(learner.w.emit, w.emit) and np.array_equal(learner.w.move, w.move)
+    assert np.allclose(learner.n * learner.step.emit - learner.late.emit, total)
+
+
+def test_a_tagger_learns_from_every_sequence(spark, monkeypatch):
+    """Each sequence is told of in each round, however many there are."""
+    monkeypatch.setattr(tagging, "SEQUENCES", 50, raising=False)
+    seen, mixed = [], tagging.Tagger._mixed
+    monkeypatch.setattr(tagging.Tagger, "_mixed", staticmethod(lambda *a: seen.append(mixed(*a)) or seen[-1]))
+    df = spark.createDataFrame([*tagged(700, 1), (["a", None], ["DT", "NN"]), (["a"], [None])], "words array<string>, tags array<string>")
+    tagging.Tagger.fit(df, epochs=2, buckets=1 << 10, parts=3)
+    assert [n for n, *_ in seen] == [700, 700]
+    from omenflow.plans import indexed
+
+    asked, fit = [], tagging.Tagger.fit
+    monkeypatch.setattr(tagging.Tagger, "fit", classmethod(lambda cls, *a, **b: asked.append(b) or fit(*a, **b)))
+    held = {r.gold: r.n for r in indexed.learned_tags(spark, "/root/testdata/sf0.001").groupBy("gold").agg(F.sum("n").alias("n")).collect()}
+    assert asked == [{"epochs": 2}] and min(held.values()) > 0
+
+
 def test_spans_of_tags(spark):
     rows = [(1, "a b c d e f".split(), ["B-x", "I-x", "B-x", "I-y", "O", "I-y"]), (2, [], []), (3, None, None), (4, ["q"], ["I-z"])]
     got = tagging.spans(spark.createDataFrame(rows, "id long, words array<string>, tags array<string>"), "id").orderBy("id", "begin").collect()

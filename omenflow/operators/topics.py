@@ -1,8 +1,9 @@
 """Topics over documents, with counts sharded by term and by blocks of documents.
 
 Nothing of the model but its ``k`` topic totals is ever in one place.  Documents are dealt to blocks once and stay there, as
-numbers of the block's terms; a round sends a block each of its terms' shares once, shares each occurrence out inside the block,
-and sums what came out by term.  Every term is kept.  (The rounds are those of expectation-maximisation for latent Dirichlet
+numbers of the block's terms; a round shares each occurrence out inside the block.  Terms that one block alone has stay there
+too; the sums of others go to their bucket, a hash of the term, as packed numbers without the terms, and what all blocks of the
+bucket have in sum comes back the same way.  Every term is kept.  (The rounds are those of expectation-maximisation for latent Dirichlet
 allocation with priors ``alpha`` and ``beta``.)
 """
 
@@ -10,10 +11,10 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,12 +44,13 @@ def _column(t: pa.Table, name: str) -> np.ndarray:
 class Blocks:
     """Documents dealt to blocks: ``held`` has ``block, place, doc_id, places, tf``, a row a document, numbered inside its block.
 
-    A block's row with ``place`` -1 has its ``terms``; ``places`` are numbers of them.  ``first`` has ``x0, x1, ..``, sums of the
-    first shares of ``k`` topics by document (``doc``) or by term of the block, drawn by hashes of both.
+    A block's row with ``place`` -1 has its ``terms``; ``places`` are numbers of them.  ``links`` has ``bucket, block, places, slots,
+    n``: where a block's terms that others have too are in the block and in their bucket, and once a bucket (block -1) how many
+    terms it has.  ``first`` has the first sums (``state_schema``) of ``k`` topics, of shares drawn by hashes of document and term.
     """
 
-    def __init__(self, held: DataFrame, first: DataFrame | None, k: int, seed: int):
-        self.held, self.first, self.k, self.seed = held, first, k, seed
+    def __init__(self, held: DataFrame, first: DataFrame | None, links: DataFrame | None, k: int, seed: int):
+        self.held, self.first, self.links, self.k, self.seed = held, first, links, k, seed
 
     @classmethod
     def of(cls, counts: DataFrame, k: int = 0, seed: int = 42) -> Blocks:
@@ -94,20 +96,27 @@ class Blocks:
 
         schema = f"block int, place int, doc_id {rows.schema['doc_id'].dataType.simpleString()}, terms array<string>, places array<int>, tf array<double>" + "".join(f", x{i} array<double>" for i in range(k))
         packed = written(shared.groupBy("block").applyInArrow(pack, schema))
-        state = None
+        state = links = None
         if k:
             x = [f"x{i}" for i in range(k)]
-            of_docs = packed.where("place >= 0").select("block", F.lit(True).alias("doc"), "place", F.lit(None).cast("string").alias("term"), *(F.get(F.col(c), F.lit(0)).alias(c) for c in x))
-            zipped = F.arrays_zip(F.col("places").alias("place"), F.col("terms").alias("term"), *(F.col(c).alias(c) for c in x))
-            of_terms = packed.where("place = -1").select("block", F.lit(False).alias("doc"), F.inline(zipped))
-            state = written(of_docs.unionByName(of_terms))
+            zipped = F.arrays_zip(F.col("places").alias("place"), F.col("terms").alias("term"))
+            of_terms = packed.where("place = -1").select("block", F.inline(zipped)).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int"))
+            links = written(of_terms.groupBy("bucket").applyInArrow(_linked, "bucket int, block int, places binary, slots binary, n long"))
+
+            def first(held: pa.Table, links: pa.Table) -> pa.Table:
+                held = held.sort_by("place")
+                sums = lambda rows: np.stack([rows[c].combine_chunks().flatten().to_numpy() for c in x], axis=1)
+                return _state(held["block"][0].as_py(), sums(held.slice(1)), sums(held.slice(0, 1)), [(b, at) for b, at, _ in _sent(links, k)])
+
+            sums = packed.select("block", "place", *x)
+            state = written(sums.groupBy("block").cogroup(links.where("block >= 0").groupBy("block")).applyInArrow(first, state_schema(k)))
         # In buckets, so that rounds read blocks where they are.
         name, path = f"topics_{uuid.uuid4().hex}", scratch(spark)
         written(packed.select("block", "place", "doc_id", "terms", "places", "tf").repartition(blocks, "block"), path, lambda w: w.bucketBy(blocks, "block").saveAsTable(name, path=path))
         forgotten(packed)
         held = spark.table(name)
         spark.sql(f"DROP TABLE {name}")  # its name; the files stay
-        return cls(held, state, k, seed)
+        return cls(held, state, links, k, seed)
 
     def terms(self) -> DataFrame:
         """``block, place, term``, a row for each term of each block."""
@@ -115,6 +124,44 @@ class Blocks:
         return self.held.where("place = -1").select("block", F.inline(zipped))
 
 
+def state_schema(k: int) -> str:
+    """Sums of a block: ``x`` of its documents and of the terms that it alone has (``bucket`` -1), or of terms of a bucket; ``s0, s1, ..``: sums over terms."""
+    return "block int, bucket int, x binary" + "".join(f", s{i} double" for i in range(k))
+
+
+def _linked(t: pa.Table) -> pa.Table:
+    """A bucket's links, from ``block, place, term``; a term is in a block once."""
+    block, place = _column(t, "block"), _column(t, "place")
+    words = t["term"].combine_chunks().dictionary_encode()
+    number = words.indices.to_numpy()
+    blocks = np.bincount(number, minlength=len(words.dictionary))
+    slot = np.cumsum(blocks > 1) - 1
+    at = np.flatnonzero(blocks[number] > 1)
+    at = at[np.lexsort((place[at], block[at]))]
+    which, begin = np.unique(block[at], return_index=True)
+    cut = lambda v: [b"", *(v[i:j].astype(np.int32).tobytes() for i, j in pairwise([*begin, len(at)]))]
+    cols = [np.full(len(which) + 1, t["bucket"][0].as_py(), np.int32), np.concatenate([[-1], which]).astype(np.int32), pa.array(cut(place[at]), pa.binary()), pa.array(cut(slot[number[at]]), pa.binary())]
+    return pa.table([*cols, np.array([len(blocks)] + [0] * len(which))], names=["bucket", "block", "places", "slots", "n"])
+
+
+def _sent(rows: pa.Table, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """``bucket``, places in the block and sums or shares there, by bucket."""
+    rows = rows.sort_by("bucket")
+    x = rows["x"].to_pylist() if "x" in rows.column_names else [b""] * len(rows)
+    return [(b, np.frombuffer(at, np.int32), np.frombuffer(v, np.float64).reshape(-1, k)) for b, at, v in zip(rows["bucket"].to_pylist(), rows["places"].to_pylist(), x, strict=True)]
+
+
+def _state(block: int, docs: np.ndarray, terms: np.ndarray, met: list[tuple[int, np.ndarray]]) -> pa.Table:
+    """Rows of ``state_schema`` from sums by document and by term; ``met``: buckets, and which terms are theirs."""
+    own = np.ones(len(terms), bool)
+    for _, at in met:
+        own[at] = False
+    x = [np.concatenate([docs, terms[own]]), *(terms[at] for _, at in met)]
+    s = np.array([terms[own].sum(axis=0), *(v.sum(axis=0) for v in x[1:])])
+    cols = [np.full(len(x), block, np.int32), np.array([-1, *(b for b, _ in met)], np.int32), pa.array([v.tobytes() for v in x], pa.binary()), *s.T]
+    return pa.table([pa.array(c) for c in cols], names=["block", "bucket", "x", *(f"s{i}" for i in range(s.shape[1]))])
+
+
 def _numbers(sent: pa.Table, names: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
     """What was sent of each place, and which places were sent anything."""
     out, there = np.zeros((n, len(names))), np.zeros(n, bool)
@@ -135,6 +182,19 @@ def _block(held: pa.Table) -> tuple[pa.Array, pa.Table, np.ndarray, np.ndarray,
     return held["terms"].slice(0, 1).combine_chunks().flatten(), docs, doc, lists.flatten().to_numpy(), docs["tf"].combine_chunks().flatten().to_numpy()
 
 
+def _shares(sent: pa.Table, n_terms: int, n_docs: int, k: int, beta: float, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Shares of a block's terms, its documents' sums, and which terms are of which bucket."""
+    p, own, met = np.zeros((n_terms, k)), np.ones(n_terms, bool), []
+    for bucket, at, x in _sent(sent, k):
+        if bucket < 0:
+            sums = x
+        else:
+            p[at], own[at] = x, False
+            met.append((bucket, at))
+    p[own] = (sums[n_docs:] + beta) / totals
+    return p, sums[:n_docs], met
+
+
 class Topics:
     """``terms`` (``term``, and for each topic its share ``p0, p1, ..`` of that topic) and the number of topics."""
 
@@ -149,41 +209,68 @@ class Topics:
         blocks = Blocks.of(counts, k, seed) if own else counts
         if (blocks.k, blocks.seed) != (k, seed) or blocks.first is None:
             raise ValueError("the blocks were made for other topics, or their first shares are used up")
-        x = [f"x{i}" for i in range(k)]
-        sums = [F.sum(c).alias(c) for c in x]
         state, blocks.first = blocks.first, None
-        vocabulary = state.where("not doc").select("term").distinct().count()
-
-        def share(held: pa.Table, sent: pa.Table) -> pa.Table:
-            terms, docs, doc, place, tf = _block(held)
-            p, t = (_numbers(sent.filter(sent["doc"] if d else pc.invert(sent["doc"])), x, n)[0] for d, n in ((False, len(terms)), (True, len(docs))))
-            w = p[place] * t[doc]
-            w *= (tf / w.sum(axis=1))[:, None]
-            at = np.concatenate([np.arange(len(docs)), np.arange(len(terms))]).astype(np.int32)
-            cols = [np.concatenate([np.bincount(doc, weights=w[:, i], minlength=len(docs)), np.bincount(place, weights=w[:, i], minlength=len(terms))]) for i in range(k)]
-            block = np.full(len(at), held["block"][0].as_py(), np.int32)
-            return pa.table([block, np.arange(len(at)) < len(docs), at, pa.concat_arrays([pa.nulls(len(docs), terms.type), terms]), *cols], names=["block", "doc", "place", "term", *x])
-
+        links = blocks.links
+        vocabulary = links.agg(F.sum("n")).first()[0] or 0
         held = blocks.held.select("block", "place", "terms", "places", "tf")
         for _ in range(passes):
-            shares = cls._shares(state.where("not doc"), x, beta, vocabulary, lambda c: F.sum(c).over(Window.partitionBy("term")))
-            of_docs = state.where("doc").select("block", "doc", "place", *((F.col(c) + alpha).alias(c) for c in x))
-            sent = written(shares.select("block", "doc", "place", *x).unionByName(of_docs))
-            forgotten(state)
-            state = written(held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(share, state.schema))
-            forgotten(sent)
-        terms = cls._shares(state.where("not doc").groupBy("term").agg(*sums), x, beta, vocabulary, F.col)
-        model = cls(written(terms.select("term", *(F.col(c).alias(f"p{i}") for i, c in enumerate(x)))), k, alpha)
+            sent, totals = cls._shared(state, links, k, beta, vocabulary)
+
+            def share(held: pa.Table, sent: pa.Table) -> pa.Table:
+                terms, docs, doc, place, tf = _block(held)
+                p, t, met = _shares(sent, len(terms), len(docs), k, beta, totals)  # noqa: B023
+                t = t + alpha
+                w = p[place] * t[doc]
+                w *= (tf / w.sum(axis=1))[:, None]
+                by = lambda at, n: np.stack([np.bincount(at, weights=w[:, i], minlength=n) for i in range(k)], axis=1)
+                return _state(held["block"][0].as_py(), by(doc, len(docs)), by(place, len(terms)), met)
+
+            last, state = state, written(held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(share, state_schema(k)))
+            forgotten(last)
+        # Each term once: a shared one by the first block that has it.
+        sent, totals = cls._shared(state, links, k, beta, vocabulary, once=True)
+        names = [f"p{i}" for i in range(k)]
+
+        def told(held: pa.Table, sent: pa.Table) -> pa.Table:
+            terms, docs, *_ = _block(held)
+            p, _, _ = _shares(sent, len(terms), len(docs), k, beta, totals)
+            at = np.flatnonzero(~np.isnan(p[:, 0]))
+            return pa.table([terms.take(pa.array(at)), *p[at].T], names=["term", *names])
+
+        schema = "term string" + "".join(f", {c} double" for c in names)
+        model = cls(written(held.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(told, schema)), k, alpha)
         forgotten(state)
+        forgotten(links)
         if own:
             forgotten(blocks.held)
         return model
 
     @staticmethod
-    def _shares(rows: DataFrame, x: list[str], beta: float, vocabulary: int, whole) -> DataFrame:
-        """A topic's share of a term, from sums by term (``whole`` of a column); totals are ``k`` numbers."""
-        totals = rows.agg(*(F.sum(c).alias(c) for c in x)).first()
-        return rows.withColumns({c: (whole(c) + beta) / F.lit((totals[c] or 0.0) + beta * vocabulary) for c in x})
+    def _shared(state: DataFrame, links: DataFrame, k: int, beta: float, vocabulary: int, once: bool = False) -> tuple[DataFrame, np.ndarray]:
+        """``block, bucket, places, x``: shares of terms that blocks share (``once``: nan but in the first block of each), and a block's own sums; ``k`` totals."""
+        row = state.agg(*(F.sum(f"s{i}") for i in range(k))).first()
+        totals = np.array([v or 0.0 for v in row]) + beta * vocabulary
+
+        def summed(links: pa.Table, state: pa.Table) -> pa.Table:
+            found = dict(zip(state["block"].to_pylist(), state["x"].to_pylist(), strict=True))
+            links = links.sort_by("block")
+            block, places = links["block"].to_pylist(), links["places"].to_pylist()
+            slots = [np.frombuffer(v, np.int32) for v in links["slots"].to_pylist()]
+            sums = np.zeros((max((int(v.max()) + 1 for v in slots), default=0), k))
+            for b, at in zip(block, slots, strict=True):
+                sums[at] += np.frombuffer(found[b], np.float64).reshape(-1, k)
+            shares, x = (sums + beta) / totals, []
+            for at in slots:
+                x.append(shares[at].tobytes())
+                if once:
+                    shares[at] = np.nan
+            bucket = np.full(len(block), links["bucket"][0].as_py(), np.int32)
+            return pa.table([np.array(block, np.int32), bucket, pa.array(places, pa.binary()), pa.array(x, pa.binary())], names=["block", "bucket", "places", "x"])
+
+        known = links.where("block >= 0").select("bucket", "block", "places", "slots")
+        met = state.where("bucket >= 0").select("bucket", "block", "x")
+        shared = known.groupBy("bucket").cogroup(met.groupBy("bucket")).applyInArrow(summed, "block int, bucket int, places binary, x binary")
+        return shared.unionByName(state.where("bucket < 0").select("block", "bucket", F.lit(b"").alias("places"), "x")), totals
 
     def shares(self, counts: DataFrame | Blocks, passes: int = 5) -> DataFrame:
         """``doc_id, topics``: each document's share of each topic, with the terms' shares as they are; unknown terms don't count."""

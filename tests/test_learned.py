@@ -407,3 +407,16 @@ def test_documents_stay_in_their_blocks(spark, monkeypatch):
         a, b = ({r[0]: np.ravel(r[1:] if len(r) > 2 else r[1]) for r in x.collect()} for x in (a, b))
         assert set(a) == set(b) and all(a[i] == pytest.approx(b[i]) for i in a)
     assert set(b) == set(range(60))
+
+
+def test_rounds_of_topics_move_packed_sums(spark, monkeypatch):
+    """Between rounds a block has a row for each bucket, and one for what it alone has, however many terms and documents."""
+    monkeypatch.setattr(topics, "BLOCK", 400)
+    docs = spark.createDataFrame([*two_themes(60, 1), *((100 + i, f"own{i} a1 b2") for i in range(40))], "doc_id long, text string")
+    blocks = topics.Blocks.of_texts(docs, 2)
+    n = blocks.held.select("block").distinct().count()
+    assert n > 3 and blocks.first.count() <= n * (n + 1) < topics.bags(docs).select("term").distinct().count()
+    assert "term" not in blocks.first.columns
+    model = topics.Topics.fit(blocks, 2, 2)
+    assert model.terms.count() == model.terms.select("term").distinct().count() == topics.bags(docs).select("term").distinct().count()
+    assert model.terms.agg(F.sum("p0"), F.sum("p1")).first()[:] == pytest.approx((1.0, 1.0))

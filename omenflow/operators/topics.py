@@ -15,6 +15,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -55,15 +56,14 @@ class Blocks:
     @classmethod
     def of(cls, counts: DataFrame, k: int = 0, seed: int = 42) -> Blocks:
         """From ``doc_id, term, tf``; a null term is none."""
-        rows = counts.select("doc_id", "term", F.col("tf").cast("double").alias("tf"))
+        rows = counts.where("term is not null").select("doc_id", F.array("term").alias("term"), F.array(F.col("tf").cast("double")).alias("tf"))
         return cls._dealt(rows, lambda dealt: dealt, counts.count(), k, seed)
 
     @classmethod
     def of_texts(cls, docs: DataFrame, k: int = 0, seed: int = 42, text: str = "text", id_col: str = "doc_id") -> Blocks:
         """The same as from ``bags``, but that texts are moved instead of counts."""
         rows = docs.select(F.col(id_col).alias("doc_id"), F.lower(text).alias("t"))
-        # As an expression: of a bare column Spark asks first whether it is empty, and splits texts once more for that.
-        each = lambda dealt: dealt.select("block", "doc_id", F.explode(tokens(F.col("t"))).alias("term"), F.lit(1.0).alias("tf"))
+        each = lambda dealt: dealt.select("block", "doc_id", tokens(F.col("t")).alias("term"))
         return cls._dealt(rows, each, over_cores(rows, "doc_id").agg(F.sum(F.size(tokens(F.col("t"))))).first()[0] or 0, k, seed)
 
     @classmethod
@@ -71,17 +71,21 @@ class Blocks:
         spark = rows.sparkSession
         blocks = max(1, -(-n // BLOCK), min(spark.sparkContext.defaultParallelism, n // (BLOCK // 32)))
         dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-        each = entries(dealt).where("term is not null")
-        draw = [(F.pmod(F.xxhash64("doc_id", "term", F.lit(seed * 1000 + i)), F.lit(1 << 20)) + 1) / (1 << 20) for i in range(k)]
-        drawn = each.withColumns({f"_d{i}": d for i, d in enumerate(draw)})
-        shared = drawn.select("block", "doc_id", "term", "tf", *((F.col("tf") * F.col(f"_d{i}") / _sum([F.col(f"_d{j}") for j in range(k)])).alias(f"x{i}") for i in range(k)))
+        each = entries(dealt)
+        # Rows keep their terms together, so that they are sorted by block as rows and not term by term.
+        draw = lambda i: F.transform("term", lambda t: (F.pmod(F.xxhash64("doc_id", t, F.lit(seed * 1000 + i)), F.lit(1 << 20)) + 1).cast("int"))
+        drawn = each.select("*", *(draw(i).alias(f"d{i}") for i in range(k)))
 
         def pack(t: pa.Table) -> pa.Table:
-            docs, words = (t[c].combine_chunks().dictionary_encode("encode") for c in ("doc_id", "term"))
+            flat = lambda c: t[c].combine_chunks().flatten()
+            row = np.repeat(np.arange(len(t)), pc.fill_null(pc.list_value_length(t["term"]), 0).to_numpy())
+            docs, words = (v.dictionary_encode("encode") for v in (t["doc_id"].combine_chunks().take(pa.array(row)), flat("term")))
             ids, terms = docs.dictionary, words.dictionary
             d, w = docs.indices.to_numpy().astype(np.int64), words.indices.to_numpy().astype(np.int64)
-            key, at = np.unique(d * len(terms) + w, return_inverse=True)
-            tf = np.bincount(at, weights=_column(t, "tf"))
+            key, one, at = np.unique(d * len(terms) + w, return_index=True, return_inverse=True)
+            tf = np.bincount(at, weights=flat("tf").to_numpy() if "tf" in t.column_names else None).astype(np.float64)
+            d, w = d[one], w[one]
+            drawn = np.array([flat(f"d{i}").to_numpy()[one] for i in range(k)], np.float64)
             edges = np.searchsorted(key // len(terms), np.arange(len(ids) + 1))
             lists = lambda first, flat, offsets: pa.ListArray.from_arrays(np.concatenate([[0], offsets + len(first)]).astype(np.int32), pa.concat_arrays([first, flat]))
             one = np.arange(len(ids) + 1)
@@ -90,12 +94,12 @@ class Blocks:
             cols["places"] = lists(pa.array(np.arange(len(terms), dtype=np.int32)), pa.array((key % len(terms)).astype(np.int32)), edges)
             cols["tf"] = lists(pa.array(np.zeros(0)), pa.array(tf), edges)
             for i in range(k):
-                x = _column(t, f"x{i}")
+                x = tf * drawn[i] / drawn.sum(axis=0)
                 cols[f"x{i}"] = lists(pa.array(np.bincount(w, weights=x, minlength=len(terms))), pa.array(np.bincount(d, weights=x, minlength=len(ids))), one)
-            return pa.table(cols)
+            return pa.table(cols).slice(0, len(cols["place"]) if len(w) else 0)
 
         schema = f"block int, place int, doc_id {rows.schema['doc_id'].dataType.simpleString()}, terms array<string>, places array<int>, tf array<double>" + "".join(f", x{i} array<double>" for i in range(k))
-        packed = written(shared.groupBy("block").applyInArrow(pack, schema))
+        packed = written(drawn.groupBy("block").applyInArrow(pack, schema))
         state = links = None
         if k:
             x = [f"x{i}" for i in range(k)]

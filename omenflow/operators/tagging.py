@@ -156,12 +156,12 @@ class Learner:
 
     def _change(self, at: np.ndarray, gold: np.ndarray, got: np.ndarray, before: int) -> None:
         wrong = np.flatnonzero(got != gold)
-        for tags, sign in ((gold, 1.0), (got, -1.0)):
-            emitted = at[wrong].ravel(), np.repeat(tags[wrong], at.shape[1])
-            moved = np.concatenate([[self.w.move.shape[1]], tags[:-1]]), tags
-            for x, by in ((self.w, sign), (self.step, sign), (self.late, sign * before)):
-                np.add.at(x.emit, emitted, by)
-                np.add.at(x.move, moved, by)
+        n_tags = self.w.move.shape[1]
+        emitted = [(at[wrong] * n_tags + tags[wrong, None]).ravel() for tags in (gold, got)]
+        moved = [np.concatenate([[n_tags], tags[:-1]]) * n_tags + tags for tags in (gold, got)]
+        for x, by in ((self.w, 1.0), (self.step, 1.0), (self.late, float(before))):
+            for weights, places in ((x.emit, emitted), (x.move, moved)):
+                np.add.at(weights.reshape(-1), np.concatenate(places), np.repeat([by, -by], len(places[0])))
 
     def told(self) -> pa.RecordBatch:
         """Rows of ``n, kind, place, tag, change, total``; the first has the number of sequences."""
@@ -203,8 +203,8 @@ class Tagger:
         parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows = tagged.select("words", "tags").where((F.size("words") > 0) & (F.size("words") == F.size("tags")))
         dealt = rows.withColumn("_part", F.pmod(F.xxhash64("words"), F.lit(parts)).cast("int")).repartition(parts, "_part")
-        # In order once, so that rounds only read.
-        rows = written(dealt.sortWithinPartitions("_part", F.xxhash64("words")))
+        # In order once, so that rounds only read; tags too, as sequences of the same words may differ in them.
+        rows = written(dealt.sortWithinPartitions("_part", F.xxhash64("words"), F.xxhash64("tags")))
         tags = sorted(r.t for r in rows.select(F.explode(F.array_distinct("tags")).alias("t")).distinct().where("t is not null").collect())  # a tag set is small
         number = {t: i for i, t in enumerate(tags)}
         mixed, average, seen = Weights(buckets, len(tags)), Weights(buckets, len(tags)), 0

@@ -62,7 +62,8 @@ def complete_clusters(spark, d):
 
 def tagged_sentences(spark, d):
     """``doc_id, words, tags``: sentences of documents, each word tagged with the document's language."""
-    cut = load(spark, d, "documents").where("lang is not null").select("doc_id", "lang", F.explode(tx.sentences(F.col("text"))).alias("s"))
+    docs = over_cores(load(spark, d, "documents").where("lang is not null").select("doc_id", "lang", "text"), "doc_id")
+    cut = docs.select("doc_id", "lang", F.explode(tx.sentences(F.col("text"))).alias("s"))
     words = cut.select("doc_id", tx.tokens(F.col("s")).alias("words"), "lang")
     return words.select("doc_id", "words", F.transform("words", lambda w: F.col("lang")).alias("tags"))
 

@@ -286,3 +286,15 @@ def test_pairs_of_keys_without_others_and_of_empty_tables(spark):
     a, b = spark.range(4).selectExpr("id % 2 k"), spark.range(3).selectExpr("id % 2 k", "id b")
     assert sorted(map(tuple, matching.sharing(a, b, "k").collect())) == [(0, 0), (0, 0), (0, 2), (0, 2), (1, 1), (1, 1)]
     assert matching.sharing(a.where("false"), b, "k").collect() == matching.sharing(a, b.where("false"), "k").collect() == []
+
+
+def test_certified_pairs_are_dealt_by_bundles(spark):
+    """A nation's pairs are spread by bundles of both sides, and those that are accepted are the join's."""
+    from omenflow.plans import corpora
+
+    d = "/root/testdata/sf0.001"
+    found = corpora.certified_pairs(spark, d)
+    assert "hashpartitioning(_key, _i, _j" in re.sub(r"#\w+", "", plan_of(found))
+    c, s = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("customer", "supplier"))
+    want = c.join(s, (F.col("c_nationkey") == F.col("s_nationkey")) & (F.col("c_acctbal") > F.col("s_acctbal"))).selectExpr("c_custkey", "s_suppkey", "1 label")
+    assert found.count() == want.count() > 0 and found.exceptAll(want).isEmpty()
